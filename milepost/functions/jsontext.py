@@ -17,7 +17,7 @@ def to_json_text(c: Column) -> Column:
 
 def json_path(c: Column, path: str) -> Column:
     """Value at a dotted path with array indices, such as ``locations[0].id``."""
-    return F.get_json_object(c, "$." + path)
+    return F.get_json_object(c, "$" + path if path.startswith("[") else "$." + path)
 
 
 def canonical_json(c: Column) -> Column:

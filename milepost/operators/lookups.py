@@ -296,6 +296,7 @@ def normalize_discovered_fleet(rows: DataFrame, payload: str = "payload") -> Dat
         ).try_cast("bigint"),
     )
     return rows.select(
+        *[c for c in rows.columns if c != payload],
         internal.alias("internal_id"),
         name.alias("name"),
         location.alias("retailer_location_id"),

@@ -47,7 +47,6 @@ def upsert(
     The target is on the left of a left join and new keys are found against the matched keys alone,
     so with a batch under the broadcast threshold the target is scanned in place, not shuffled.
     """
-    now = stamp if isinstance(stamp, Column) else F.lit(stamp)
     batch = source.drop(*AUDIT, *generated)
     target = target.drop(*generated)
     business = [c for c in target.columns if c not in AUDIT]
@@ -56,6 +55,11 @@ def upsert(
     compared = [c for c in update_columns if c in batch.columns and c not in keys]
 
     known_types = {f.name: f.dataType for f in target.schema.fields}
+
+    def now(column: str) -> Column:
+        value = F.lit(stamp.isoformat(sep=" ")) if isinstance(stamp, datetime) else stamp
+        return value.cast(known_types[column])
+
     new_types = {f.name: f.dataType for f in batch.schema.fields}
     for c in added:
         target = target.withColumn(c, F.lit(None).cast(new_types[c]))
@@ -75,11 +79,9 @@ def upsert(
     joined = joined.withColumn("_changed", changed).withColumn("_matched", matched)
     move = F.col("_changed")
     stamps = {
-        "created_at": F.col("t.created_at") if "created_at" in audit else None,
-        "updated_at": F.when(move, now).otherwise(F.col("t.updated_at"))
-        if "updated_at" in audit else None,
-        "last_synced_at": F.when(move, now).otherwise(F.col("t.last_synced_at"))
-        if "last_synced_at" in audit else None,
+        c: F.col(f"t.{c}") if c == "created_at"
+        else F.when(move, now(c)).otherwise(F.col(f"t.{c}"))
+        for c in audit
     }
     old_rows = joined.select(
         *[
@@ -94,7 +96,7 @@ def upsert(
     known_keys = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
     new_rows = batch.join(known_keys, keys, "left_anti").select(
         *everything,
-        *[now.cast(known_types[c]).alias(c) for c in audit],
+        *[now(c).alias(c) for c in audit],
         F.lit(INSERT).alias("_action"),
     )
     return old_rows.unionByName(new_rows)

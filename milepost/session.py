@@ -27,6 +27,7 @@ def spark_session(app_name: str = "milepost", master: str | None = None, **conf)
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     for key, value in settings.items():

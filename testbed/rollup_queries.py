@@ -201,12 +201,7 @@ def unknown_driver_ids(b: Bed):
     ("found_fleet",),
 )
 def normalize_discovered_fleet(b: Bed):
-    # unnamed rows fall back to their whole JSON; the part key is re-read from the payload's source
-    found = lookups.normalize_discovered_fleet(b.found_fleet)
-    keyed = found.join(
-        b.found_fleet.withColumnRenamed("payload", "raw"), "raw"
-    )
-    return keyed.select("p_partkey", "internal_id", "name", "retailer_location_id")
+    return lookups.normalize_discovered_fleet(b.found_fleet).drop("raw")
 
 
 def reconciled(b: Bed):
