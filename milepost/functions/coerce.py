@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters that count as white space at either end of a text.
@@ -14,8 +14,13 @@ WHITESPACE = (
 # Words read as booleans.
 TRUE_WORDS = ["1", "true", "t", "yes", "y", "on"]
 FALSE_WORDS = ["0", "false", "f", "no", "n", "off"]
-_INFINITY = ["inf", "+inf", "-inf"]
 
+_PLAIN_NUMBER = r"^-?[0-9]+(?:\.[0-9]+)?$"
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+_NUMBER = (
+    rf"^(?:[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
+    r"|[+-]?(?:(?i)inf|infinity|nan)|true|false)$"
+)
 _ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 _ISO_MOMENT = (
     r"^\d{4}-\d{2}-\d{2}[T ]([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d([.,]\d+)?)?)?"
@@ -48,24 +53,41 @@ def first_filled(a: Column, b: Column) -> Column:
     return F.coalesce(F.nullif(a, F.lit("")), b)
 
 
+def number_text(c) -> Column:
+    """The number spelled by a text, without white space; empty when the text is no number.
+
+    Plain digits, the usual case, pass after one cheap test. The full rule also takes exponents,
+    digit groups (``1_000``), NaN, infinities and the words true and false, but not the type
+    suffixes and hexadecimal floats that the JVM parser would accept.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    spelled = F.replace(F.regexp_extract(strip(c), _NUMBER, 0), F.lit("_"), F.lit(""))
+    return F.when(c.rlike(_PLAIN_NUMBER), c).otherwise(spelled)
+
+
+def with_number_text(df: DataFrame, names: list[str]) -> DataFrame:
+    """Replaces columns by their number text, so that a coercion can refer to it repeatedly."""
+    return df.withColumns({n: number_text(n) for n in names})
+
+
+def number_to_double(n: Column) -> Column:
+    """Double from number text."""
+    return F.coalesce(n.try_cast("double"), F.when(n == "true", 1.0).when(n == "false", 0.0))
+
+
+def number_to_long(n: Column) -> Column:
+    """Integer from number text; fractions are cut off, NaN and infinities give NULL."""
+    return F.coalesce(n.try_cast("bigint"), number_to_double(n).try_cast("bigint"))
+
+
 def to_double(c) -> Column:
-    """Number from text. NaN and infinities are kept, as the source kept them."""
-    s = strip(c)
-    # The JVM parser also takes hexadecimal floats and a type suffix ('1d', '2f'); those are junk.
-    suffix = F.right(s, F.lit(1)).isin("d", "D", "f", "F")
-    hexadecimal = F.contains(s, F.lit("x")) | F.contains(s, F.lit("X"))
-    junk = (suffix & ~F.lower(s).isin(*_INFINITY)) | hexadecimal
-    return (
-        F.when(s == "true", F.lit(1.0))
-        .when(s == "false", F.lit(0.0))
-        .when(~junk, s.try_cast("double"))
-    )
+    """Number from text. NaN and infinities are kept, as the source kept them; junk is NULL."""
+    return number_to_double(number_text(c))
 
 
 def to_long(c) -> Column:
     """Integer from text; fractions are cut off, NaN, infinities and junk give NULL."""
-    s = strip(c)
-    return F.coalesce(s.try_cast("bigint"), to_double(c).try_cast("bigint"))
+    return number_to_long(number_text(c))
 
 
 def double_to_long(c) -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from milepost.functions.coerce import (
-    first_filled, iso_date, strip, text_or_null, to_bool, to_double, to_long,
+    first_filled, iso_date, number_to_double, number_to_long, strip, text_or_null, to_bool,
+    to_long, with_number_text,
 )
 from milepost.functions.jsontext import (
     app_blob_driver_id, canonical_json, parse_metadata, to_json_text,
@@ -54,14 +55,31 @@ def _status(df: DataFrame, *rules: tuple[Column, str, str]) -> DataFrame:
 
 def _metric_columns() -> list[Column]:
     return (
-        [to_long("distance").alias("distance_meters"),
-         to_double("overallScore").alias("overall_score")]
-        + [to_double(f"{m}Score").alias(f"{m}_score") for m in METRICS]
-        + [to_double(f"{m}Incidents").alias(f"{m}_incidents") for m in METRICS]
-        + [to_long(f"last{camel(m)}Incident").alias(f"last_{m}_incident") for m in METRICS]
+        [_long("distance").alias("distance_meters"), _double("overallScore").alias("overall_score")]
+        + [_double(f"{m}Score").alias(f"{m}_score") for m in METRICS]
+        + [_double(f"{m}Incidents").alias(f"{m}_incidents") for m in METRICS]
+        + [_long(f"last{camel(m)}Incident").alias(f"last_{m}_incident") for m in METRICS]
     )
 
 
+_METRIC_FIELDS = (
+    ["accountId", "distance", "overallScore"]
+    + [f"{m}Score" for m in METRICS]
+    + [f"{m}Incidents" for m in METRICS]
+    + [f"last{camel(m)}Incident" for m in METRICS]
+)
+_GEO_NUMBERS = ["startLatitude", "startLongitude", "endLatitude", "endLongitude"]
+_WEATHER_NUMBERS = ["weatherTempLow", "weatherTempHigh", "weatherWind"]
+
+
+def _long(name: str) -> Column:
+    return number_to_long(F.col(name))
+
+
+def _double(name: str) -> Column:
+    return number_to_double(F.col(name))
+
+
 def report_driver_id() -> Column:
     return text_or_null(first_filled(F.col("driverId"), F.col("thirdPartyId")))
 
@@ -69,7 +87,7 @@ def report_driver_id() -> Column:
 def _with_known_flag(df: DataFrame, drivers: DataFrame) -> DataFrame:
     known = drivers.select(F.col("driver_id").alias("_id")).distinct()
     flagged = left_lookup(df, F.col("driver_id"), known.withColumn("_known", F.lit(True)), "_id",
-                          ["_known"])
+                          ["_known"], spread_by=["_position"])
     return flagged.withColumn("_known", F.coalesce("_known", F.lit(False)))
 
 
@@ -177,12 +195,12 @@ def conform_driver_score(
     is kept and the earlier ones count as deduplicated.
     """
     given = F.col("sourceRowIndex")
-    mapped = raw.select(
+    mapped = with_number_text(raw, _METRIC_FIELDS + ["sourceRowIndex"]).select(
         report_driver_id().alias("driver_id"),
-        to_long("accountId").alias("account_id"),
+        _long("accountId").alias("account_id"),
         F.coalesce(iso_date("snapshotDate"), F.lit(snapshot_date)).alias("snapshot_date"),
         F.coalesce(text_or_null("sourceGroupKey"), F.lit(SCORE_GROUP)).alias("source_group_key"),
-        F.when(given.isNull(), F.col(position)).otherwise(to_long(given)).alias("source_row_index"),
+        F.when(given.isNull(), F.col(position)).otherwise(number_to_long(given)).alias("source_row_index"),
         text_or_null("fleetId").alias("fleet_id"),
         text_or_null("fleetName").alias("fleet_name"),
         text_or_null("thirdPartyId").alias("third_party_id"),
@@ -190,7 +208,9 @@ def conform_driver_score(
         *_metric_columns(),
         F.col(position).alias("_position"),
     )
-    flagged = _with_known_flag(resolve_fleet_identity(mapped, fleets, "fleet_id"), drivers)
+    flagged = _with_known_flag(
+        resolve_fleet_identity(mapped, fleets, "fleet_id", spread_by=["_position"]), drivers
+    )
     judged = _status(
         flagged,
         (F.col("driver_id").isNull(), SKIPPED, "missing_driver_id"),
@@ -203,23 +223,25 @@ def conform_driver_score(
 
 
 def geo_struct() -> Column:
+    """Trip end points from number text columns, NULL when all parts are missing."""
     parts = [
-        to_double("startLatitude").alias("startLatitude"),
-        to_double("startLongitude").alias("startLongitude"),
+        _double("startLatitude").alias("startLatitude"),
+        _double("startLongitude").alias("startLongitude"),
         F.col("startDescription"),
-        to_double("endLatitude").alias("endLatitude"),
-        to_double("endLongitude").alias("endLongitude"),
+        _double("endLatitude").alias("endLatitude"),
+        _double("endLongitude").alias("endLongitude"),
         F.col("endDescription"),
     ]
     return _struct_or_null(parts)
 
 
 def weather_struct() -> Column:
+    """Weather from number text columns, NULL when all parts are missing."""
     parts = [
         F.col("weatherCode"),
-        to_double("weatherTempLow").alias("weatherTempLow"),
-        to_double("weatherTempHigh").alias("weatherTempHigh"),
-        to_double("weatherWind").alias("weatherWind"),
+        _double("weatherTempLow").alias("weatherTempLow"),
+        _double("weatherTempHigh").alias("weatherTempHigh"),
+        _double("weatherWind").alias("weatherWind"),
     ]
     return _struct_or_null(parts)
 
@@ -239,17 +261,18 @@ def trip_window_reason(start: Column, end: Column) -> Column:
 
 
 def map_trip_rows(raw: DataFrame, position: str) -> DataFrame:
-    return raw.select(
+    numbers = _METRIC_FIELDS + ["startDate", "endDate"] + _GEO_NUMBERS + _WEATHER_NUMBERS
+    return with_number_text(raw, numbers).select(
         text_or_null("tripId").alias("trip_id"),
-        to_long("accountId").alias("account_id"),
+        _long("accountId").alias("account_id"),
         report_driver_id().alias("driver_id"),
         text_or_null("fleetId").alias("fleet_id"),
         text_or_null("fleetName").alias("fleet_name"),
         text_or_null("thirdPartyId").alias("third_party_id"),
         text_or_null("driverName").alias("driver_name"),
         text_or_null("tripType").alias("trip_type"),
-        to_long("startDate").alias("start_date"),
-        to_long("endDate").alias("end_date"),
+        _long("startDate").alias("start_date"),
+        _long("endDate").alias("end_date"),
         *_metric_columns(),
         geo_struct().alias("geo"),
         weather_struct().alias("weather"),
@@ -262,7 +285,9 @@ def conform_trip_score(
 ) -> DataFrame:
     """Trip scores; of rows with one trip id the first usable one in source order is kept."""
     mapped = map_trip_rows(raw, position)
-    flagged = _with_known_flag(resolve_fleet_identity(mapped, fleets, "fleet_id"), drivers)
+    flagged = _with_known_flag(
+        resolve_fleet_identity(mapped, fleets, "fleet_id", spread_by=["_position"]), drivers
+    )
     window = trip_window_reason(F.col("start_date"), F.col("end_date"))
     judged = _status(
         flagged,
@@ -287,7 +312,8 @@ def mark_duplicates(judged: DataFrame, keys: list[str], keep: str) -> DataFrame:
     key_text = F.to_json(F.struct(*keys))
     kept = judged.filter(resolved).groupBy(*keys).agg(best).withColumn("_key_text", key_text)
     joined = left_lookup(
-        judged, F.when(resolved, key_text), kept, "_key_text", ["_kept_position"]
+        judged, F.when(resolved, key_text), kept, "_key_text", ["_kept_position"],
+        spread_by=["_position"],
     )
     extra = resolved & (F.col("_position") != F.col("_kept_position"))
     return joined.select(
@@ -303,14 +329,15 @@ def mark_duplicates(judged: DataFrame, keys: list[str], keep: str) -> DataFrame:
 def _conform_points(raw: DataFrame, keys: list[str]) -> DataFrame:
     columns = {
         "trip_id": text_or_null("tripId"),
-        "account_id": to_long("accountId"),
-        "timestamp_ms": to_long("timestamp"),
-        "latitude": to_double("latitude"),
-        "longitude": to_double("longitude"),
+        "account_id": _long("accountId"),
+        "timestamp_ms": _long("timestamp"),
+        "latitude": _double("latitude"),
+        "longitude": _double("longitude"),
     }
     if "incident_type" in keys:
         columns["incident_type"] = text_or_null("type")
-    mapped = raw.select(*[columns[k].alias(k) for k in keys])
+    stripped = with_number_text(raw, ["accountId", "timestamp", "latitude", "longitude"])
+    mapped = stripped.select(*[columns[k].alias(k) for k in keys])
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()

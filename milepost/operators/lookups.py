@@ -6,6 +6,8 @@ Spark broadcasts those under its size threshold and splits skewed partitions of
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,14 +18,16 @@ from milepost.operators.dedup import last_by
 
 
 def left_lookup(
-    rows: DataFrame, key: Column, table: DataFrame, table_key: str, columns: list[str]
+    rows: DataFrame, key: Column, table: DataFrame, table_key: str, columns: list[str],
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Left join on a text key that is unique in ``table``.
 
     Rows without a key match nothing, yet a plain join would send all of them to one partition.
-    They get a spread-out stand-in key; whatever a stand-in finds is blanked out again.
+    They get a stand-in key spread by the hash of ``spread_by`` (default: the whole row); whatever
+    a stand-in finds is blanked out again.
     """
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(4096)).cast("string")
+    spread = F.pmod(F.xxhash64(*(spread_by or rows.columns)), F.lit(4096)).cast("string")
     probe = rows.withColumn("_key", key)
     probe = probe.withColumn("_probe", F.coalesce("_key", F.concat(F.lit("\x00"), spread)))
     side = table.select(
@@ -84,7 +88,9 @@ def fleet_identities(fleets: DataFrame) -> DataFrame:
     )
 
 
-def resolve_fleet_identity(rows: DataFrame, fleets: DataFrame, fleet_key: str) -> DataFrame:
+def resolve_fleet_identity(
+    rows: DataFrame, fleets: DataFrame, fleet_key: str, spread_by: list[str] | None = None
+) -> DataFrame:
     """Adds ``retailer_location_id`` and ``company_id`` of the row's fleet, NULL if unresolved."""
     return left_lookup(
         rows,
@@ -92,6 +98,7 @@ def resolve_fleet_identity(rows: DataFrame, fleets: DataFrame, fleet_key: str) -
         fleet_identities(fleets),
         "internal_id",
         ["retailer_location_id", "company_id"],
+        spread_by,
     )
 
 
@@ -324,12 +331,15 @@ def reconcile_fleets(discovered: DataFrame, fleets: DataFrame, companies: DataFr
 # --- trip details ---------------------------------------------------------------------------------
 
 
-def trips_in_window(trips: DataFrame, start, end, moment: str = "end_date_datetime") -> DataFrame:
-    """Half-open range scan: start <= moment < end. Literals reach the file scan."""
-    return trips.filter((F.col(moment) >= F.lit(start)) & (F.col(moment) < F.lit(end)))
+def trips_in_window(
+    trips: DataFrame, start: datetime, end: datetime, moment: str = "end_date_datetime"
+) -> DataFrame:
+    """Half-open UTC range scan: start <= moment < end. The bounds reach the file scan."""
+    low, high = (F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz") for v in (start, end))
+    return trips.filter((F.col(moment) >= low) & (F.col(moment) < high))
 
 
-def trip_detail_worklist(trips: DataFrame, start, end) -> DataFrame:
+def trip_detail_worklist(trips: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Trips of the window whose details are to be loaded: one row per trip with an account."""
     rows = trips_in_window(trips, start, end).select(
         text_or_null("trip_id").alias("trip_id"), "account_id", "end_date_datetime"

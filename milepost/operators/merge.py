@@ -19,14 +19,6 @@ INSERT, UPDATE, UNCHANGED, KEEP = "insert", "update", "unchanged", "keep"
 AUDIT = ("created_at", "updated_at", "last_synced_at")
 
 
-def any_distinct(columns: list[str], left: str, right: str) -> Column:
-    """True when some column differs; NULL equals NULL."""
-    differs = F.lit(False)
-    for c in columns:
-        differs = differs | ~F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return differs
-
-
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -67,31 +59,37 @@ def upsert(
         if c not in batch.columns:
             batch = batch.withColumn(c, F.lit(None).cast(known_types[c]))
     everything = business + added
+    fixed = [c for c in everything if c not in compared]
 
+    # The compared columns travel as one struct per side: one comparison (NULL equals NULL) and one
+    # choice instead of one per column.
+    stored = target.select(*fixed, *audit, _pack(compared).alias("_stored"))
+    incoming = batch.select(*keys, _pack(compared).alias("_incoming"), F.lit(True).alias("_in_batch"))
     on_keys = F.lit(True)
     for k in keys:
         on_keys = on_keys & (F.col(f"t.{k}") == F.col(f"s.{k}"))
-
-    marked = batch.withColumn("_in_batch", F.lit(True))
-    joined = target.alias("t").join(marked.alias("s"), on_keys, "left")
+    joined = stored.alias("t").join(incoming.alias("s"), on_keys, "left")
     matched = F.col("s._in_batch").isNotNull()
-    changed = matched & (any_distinct(compared, "t", "s") if compared else F.lit(True))
-    joined = joined.withColumn("_changed", changed).withColumn("_matched", matched)
+    differs = ~F.col("t._stored").eqNullSafe(F.col("s._incoming")) if compared else F.lit(True)
+    marked = joined.select(
+        *[F.col(f"t.{c}").alias(c) for c in fixed + audit],
+        "_stored",
+        "_incoming",
+        matched.alias("_matched"),
+        (matched & differs).alias("_changed"),
+    )
     move = F.col("_changed")
-    stamps = {
-        c: F.col(f"t.{c}") if c == "created_at"
-        else F.when(move, now(c)).otherwise(F.col(f"t.{c}"))
+    stamps = [
+        (F.col(c) if c == "created_at" else F.when(move, now(c)).otherwise(F.col(c))).alias(c)
         for c in audit
-    }
-    old_rows = joined.select(
-        *[
-            (F.when(move, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in compared
-             else F.col(f"t.{c}")).alias(c)
-            for c in everything
-        ],
-        *[stamps[c].alias(c) for c in audit],
-        F.when(~F.col("_matched"), KEEP).when(move, UPDATE).otherwise(UNCHANGED).alias("_action"),
-    )
+    ]
+    action = F.when(~F.col("_matched"), KEEP).when(move, UPDATE).otherwise(UNCHANGED)
+    old_rows = marked.select(
+        *fixed,
+        F.when(move, F.col("_incoming")).otherwise(F.col("_stored")).alias("_row"),
+        *stamps,
+        action.alias("_action"),
+    ).select(*fixed, *[F.col(f"_row.{c}").alias(c) for c in compared], *audit, "_action")
 
     known_keys = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
     new_rows = batch.join(known_keys, keys, "left_anti").select(
@@ -102,6 +100,10 @@ def upsert(
     return old_rows.unionByName(new_rows)
 
 
+def _pack(columns: list[str]) -> Column:
+    return F.struct(*columns) if columns else F.lit(True)
+
+
 def merged_table(actions: DataFrame) -> DataFrame:
     return actions.drop("_action")
 

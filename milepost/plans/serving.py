@@ -36,11 +36,12 @@ def performance_cards(groups: DataFrame, company_id, first_day, last_day) -> Dat
 
 
 def write_trip_list(trip_list: DataFrame, path: str) -> None:
-    """Trip list laid out for drill-downs: a folder per day, sorted by company and driver.
+    """Trip list laid out for drill-downs: a folder per day, files sorted by company and driver.
 
-    Rows are range-partitioned, so a day with very many trips spreads over several files.
+    The sort lets a scan for one driver skip most row groups. Rebalancing splits days with very
+    many trips over several files.
     """
     laid_out = trip_list.withColumn("end_day", F.col("end_date_datetime").cast("date"))
-    laid_out.repartitionByRange("end_day", "company_id", "driver_id", "trip_id").sortWithinPartitions(
+    laid_out.hint("rebalance", F.col("end_day")).sortWithinPartitions(
         "end_day", "company_id", "driver_id", F.col("end_date_datetime").desc()
     ).write.mode("overwrite").partitionBy("end_day").parquet(path)

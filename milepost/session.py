@@ -9,6 +9,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Runtime options that the jobs are written for.
+RUNTIME = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join partition even where that costs one more exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM never compiles methods over 8000 bytes, which wide projections easily exceed; such
+    # stages run better as many small generated methods
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
 def spark_session(app_name: str = "milepost", master: str | None = None, **conf) -> SparkSession:
     """Session with UTC time, adaptive execution and skew splitting.
 
@@ -21,13 +34,9 @@ def spark_session(app_name: str = "milepost", master: str | None = None, **conf)
         builder = builder.master(master)
     settings = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-        "spark.sql.parquet.filterPushdown": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        **RUNTIME,
         **conf,
     }
     for key, value in settings.items():
@@ -35,6 +44,13 @@ def spark_session(app_name: str = "milepost", master: str | None = None, **conf)
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Applies the runtime options to a session made elsewhere."""
+    for key, value in RUNTIME.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the folder every executor can reach.
 

@@ -19,6 +19,13 @@ INCIDENT_LEAD = ["tripId", "accountId", "timestamp", "type", "latitude", "longit
 # Columns that hold epoch milliseconds.
 EPOCH_FIELDS = ["startDate", "endDate"] + [f"last{camel(m)}Incident" for m in METRICS]
 
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def write_json(df: DataFrame, path: str, partitions=("fleet_id", "run_ts")) -> None:
     """JSON lines below ``fleet_id=/run_ts=`` folders; null fields are kept."""
@@ -30,7 +37,8 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    csv_cells(df).write.option("header", "true").option("emptyValue", "").csv(path)
+    """CSV with a header, quotes doubled, blanks kept and empty cells for NULL."""
+    csv_cells(df).write.options(**CSV_OPTIONS).option("emptyValue", "").csv(path)
 
 
 def export_fleet(raw: DataFrame) -> DataFrame:
@@ -104,9 +112,11 @@ def export_rows(df: DataFrame, lead: list[str], readable_times: bool = False) ->
     return df.select(*out)
 
 
-def replay_exports(spark: SparkSession, run_path: str, out_path: str) -> None:
+def replay_exports(
+    spark: SparkSession, run_path: str, out_path: str, layout: str = "files"
+) -> None:
     """Rebuilds the fleet and driver CSV exports from landed JSON."""
-    fleet, _ = read_entity(spark, f"{run_path}/fleet", "fleet")
-    drivers, _ = read_entity(spark, f"{run_path}/drivers", "drivers")
+    fleet, _ = read_entity(spark, f"{run_path}/fleet", "fleet", layout)
+    drivers, _ = read_entity(spark, f"{run_path}/drivers", "drivers", layout)
     write_csv(export_fleet(fleet), f"{out_path}/fleet")
     write_csv(export_drivers(drivers), f"{out_path}/drivers")

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from testbed import conform_queries, function_queries, rollup_queries  # noqa: F401
+from testbed import conform_queries, function_queries, rollup_queries, storage_queries  # noqa: F401
 from testbed.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -11,6 +11,7 @@ from milepost.functions.jsontext import to_json_text
 from milepost.functions.measures import timestamp_to_epoch_ms
 from milepost.operators.conform import derive_incident_times, derive_point_time, derive_trip_times
 from milepost.schemas import METRICS, camel
+from milepost.session import tune
 
 E = F.expr
 
@@ -19,7 +20,7 @@ class Bed:
     """Lazily built fixture tables over one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

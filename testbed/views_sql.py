@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from milepost.schemas import METRICS, camel
+from milepost.schemas import METRICS
 
 _SCORES = ",\n  ".join(
     f"CASE WHEN (event_id + {i}) % 13 <> 0 THEN 40 + (event_id * ({i} + 5)) % 61"
@@ -343,7 +343,6 @@ def with_views(body: str, *names: str) -> str:
     if not ordered:
         return body
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][1]}\n)" for n in ordered)
+    if body.startswith("WITH "):
+        return f"WITH {ctes},\n{body.removeprefix('WITH ')}"
     return f"WITH {ctes}\n{body}"
-
-
-__all__ = ["MEAN", "MILES", "VIEWS", "camel", "with_views"]
