@@ -53,6 +53,21 @@ def _status(df: DataFrame, *rules: tuple[Column, str, str]) -> DataFrame:
     return df.withColumn("_status", status).withColumn("_reason", reason)
 
 
+def _pack(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Columns that only pass through the lookups, as one struct: the joins stay narrow."""
+    rest = [c for c in df.columns if c not in keep]
+    return df.select(*keep, F.struct(*rest).alias("_row"))
+
+
+def _unpack(df: DataFrame) -> DataFrame:
+    return df.select(*[c for c in df.columns if c != "_row"], "_row.*")
+
+
+def _evaluate_once(df: DataFrame) -> DataFrame:
+    """Keeps later filters from being pushed below, where they would coerce every column again."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def _metric_columns() -> list[Column]:
     return (
         [_long("distance").alias("distance_meters"), _double("overallScore").alias("overall_score")]
@@ -208,6 +223,7 @@ def conform_driver_score(
         *_metric_columns(),
         F.col(position).alias("_position"),
     )
+    mapped = _pack(mapped, [*DRIVER_SCORE_KEY, "source_row_index", "_position"])
     flagged = _with_known_flag(
         resolve_fleet_identity(mapped, fleets, "fleet_id", spread_by=["_position"]), drivers
     )
@@ -219,7 +235,7 @@ def conform_driver_score(
         (F.col("fleet_id").isNull(), SKIPPED, "missing_fleet"),
         (F.col("company_id").isNull(), SKIPPED, "unresolved_company"),
     )
-    return mark_duplicates(judged, DRIVER_SCORE_KEY, "last").drop("_known", "_position")
+    return _unpack(mark_duplicates(judged, DRIVER_SCORE_KEY, "last").drop("_known", "_position"))
 
 
 def geo_struct() -> Column:
@@ -284,7 +300,10 @@ def conform_trip_score(
     raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str
 ) -> DataFrame:
     """Trip scores; of rows with one trip id the first usable one in source order is kept."""
-    mapped = map_trip_rows(raw, position)
+    mapped = _pack(
+        map_trip_rows(raw, position),
+        ["trip_id", "driver_id", "fleet_id", "start_date", "end_date", "_position"],
+    )
     flagged = _with_known_flag(
         resolve_fleet_identity(mapped, fleets, "fleet_id", spread_by=["_position"]), drivers
     )
@@ -298,7 +317,7 @@ def conform_trip_score(
         (window == "invalid_trip_window", SKIPPED, "invalid_trip_window"),
         (F.col("company_id").isNull(), SKIPPED, "unresolved_company"),
     )
-    return mark_duplicates(judged, TRIP_KEY, "first").drop("_known", "_position")
+    return _unpack(mark_duplicates(judged, TRIP_KEY, "first").drop("_known", "_position"))
 
 
 def mark_duplicates(judged: DataFrame, keys: list[str], keep: str) -> DataFrame:
@@ -337,7 +356,7 @@ def _conform_points(raw: DataFrame, keys: list[str]) -> DataFrame:
     if "incident_type" in keys:
         columns["incident_type"] = text_or_null("type")
     stripped = with_number_text(raw, ["accountId", "timestamp", "latitude", "longitude"])
-    mapped = stripped.select(*[columns[k].alias(k) for k in keys])
+    mapped = _evaluate_once(stripped.select(*[columns[k].alias(k) for k in keys]))
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
