@@ -403,29 +403,49 @@ def derive_point_time(df: DataFrame) -> DataFrame:
     return df.withColumn("timestamp_datetime", epoch_ms_to_timestamp(F.col("timestamp_ms")))
 
 
+# Pages are numbered in blocks of this many, so that no day's pages are summed up in one task.
+PAGES_PER_BLOCK = 4096
+
+
 def stamp_daily_scores(rows: DataFrame, day: str, page: str, position: str) -> DataFrame:
     """Snapshot date, group key per day and 1-based row index within the day.
 
-    A day may be large, so it is not ranked as one group: rows are ranked within their page, and
-    each page starts where the pages before it end.
+    A day may be large, so it is not ranked as one group: rows are ranked within their page, pages
+    start where the pages before them in their block end, and blocks likewise.
     """
-    sizes = rows.groupBy(day, page).agg(F.count("*").alias("_size"))
-    before = Window.partitionBy(day).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col(day).alias("_day"),
-        F.col(page).alias("_page"),
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+    sizes = rows.groupBy(F.col(day).alias("_day"), F.col(page).alias("_page")).agg(
+        F.count("*").alias("_size")
+    )
+    sizes = sizes.withColumn("_block", F.floor(F.col("_page") / PAGES_PER_BLOCK))
+
+    def rows_before(*group: str, order: str, size: str) -> Column:
+        earlier = Window.partitionBy(*group).orderBy(order).rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        return F.coalesce(F.sum(size).over(earlier), F.lit(0))
+
+    blocks = sizes.groupBy("_day", "_block").agg(F.sum("_size").alias("_block_size"))
+    block_starts = blocks.select(
+        "_day", "_block",
+        rows_before("_day", order="_block", size="_block_size").alias("_block_start"),
+    )
+    page_starts = sizes.select(
+        "_day", "_block", "_page",
+        rows_before("_day", "_block", order="_page", size="_size").alias("_page_start"),
+    )
+    starts = page_starts.join(block_starts, ["_day", "_block"]).select(
+        "_day", "_page", (F.col("_block_start") + F.col("_page_start")).alias("_start")
     )
     within = F.row_number().over(Window.partitionBy(day, page).orderBy(position))
     day_text = F.date_format(F.col(day), "yyyy-MM-dd")
     return (
         rows.withColumn("_within", within)
-        .join(offsets, (F.col(day) == F.col("_day")) & (F.col(page) == F.col("_page")))
+        .join(starts, (F.col(day) == F.col("_day")) & (F.col(page) == F.col("_page")))
         .select(
             *rows.columns,
             day_text.alias("snapshotDate"),
             F.concat(F.lit(SCORE_GROUP + ":"), day_text).alias("sourceGroupKey"),
-            (F.col("_offset") + F.col("_within")).alias("sourceRowIndex"),
+            (F.col("_start") + F.col("_within")).alias("sourceRowIndex"),
         )
     )
 

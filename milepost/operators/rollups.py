@@ -53,11 +53,35 @@ def eligible_companies(
     )
 
 
+# Company ids up to this number (a few MB) are broadcast to filter the trips.
+BROADCAST_COMPANIES = 200_000
+
+
+def broadcastable(eligible: DataFrame) -> bool:
+    """Counts the company ids, stopping at the limit."""
+    return eligible.limit(BROADCAST_COMPANIES + 1).count() <= BROADCAST_COMPANIES
+
+
 def ended_trips(trips: DataFrame, eligible: DataFrame) -> DataFrame:
-    return trips.filter("end_date_datetime IS NOT NULL").join(eligible, "company_id", "left_semi")
+    """Trips with an end time, of eligible companies."""
+    side = F.broadcast(eligible) if broadcastable(eligible) else eligible
+    return trips.filter("end_date_datetime IS NOT NULL").join(side, "company_id", "left_semi")
 
 
 def _day_aggregates(trips: DataFrame, eligible: DataFrame, events: bool) -> DataFrame:
+    """Trips per driver and day.
+
+    A counted, small set of eligible companies filters the trips in place. A larger one filters the
+    driver-days instead: joining the trips would bring each company's trips into one partition,
+    which the aggregate would then take over.
+    """
+    if not broadcastable(eligible):
+        days = _aggregate_days(trips.filter("end_date_datetime IS NOT NULL"), events)
+        return days.join(eligible, "company_id", "left_semi")
+    return _aggregate_days(ended_trips(trips, eligible), events)
+
+
+def _aggregate_days(trips: DataFrame, events: bool) -> DataFrame:
     aggregates: list[Column] = [
         F.count("*").alias("trip_count"),
         F.count("distance_meters").alias("distance_sample_count"),
@@ -72,8 +96,7 @@ def _day_aggregates(trips: DataFrame, eligible: DataFrame, events: bool) -> Data
         aggregates += [F.count(c).alias(f"{c}_sample_count") for c in SCORE_COLUMNS]
         aggregates += [F.avg(c).alias(f"_{c}") for c in SCORE_COLUMNS]
     return (
-        ended_trips(trips, eligible)
-        .withColumn("reporting_day", F.col("end_date_datetime").cast("date"))
+        trips.withColumn("reporting_day", F.col("end_date_datetime").cast("date"))
         .groupBy(*_TRIP_KEYS)
         .agg(*aggregates)
     )
