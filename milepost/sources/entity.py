@@ -90,8 +90,7 @@ def rows_of_documents(documents: DataFrame, entity: str, payload: str = "payload
 
 def read_documents(spark: SparkSession, path: str, layout: str = "files") -> DataFrame:
     """Landed files as ``source_file, payload``, with partition folders as columns."""
-    whole = layout == "files"
-    raw = spark.read.option("wholetext", whole).text(path)
+    raw = spark.read.text(path, wholetext=layout == "files")
     return raw.select(
         F.col("_metadata.file_path").alias("source_file"),
         F.col("value").alias("payload"),
