@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from milepost.functions.coerce import first_non_blank, strip, text_or_null, to_long
-from milepost.functions.jsontext import app_blob_driver_id, json_path
+from milepost.functions.jsontext import app_blob_driver_id, app_blob_value, json_path
 from milepost.functions.people import contact_email, focus_driver_id, report_driver_name
 from milepost.operators.dedup import last_by
 
@@ -218,7 +218,7 @@ def backfill_driver_id(drivers: DataFrame) -> DataFrame:
     info = F.col("app_info")
     found = F.nullif(
         F.coalesce(
-            F.get_json_object(F.get_json_object(info, "$.appBlob"), "$.driverId"),
+            app_blob_value(info, "driverId"),
             F.get_json_object(info, "$.driverId"),
         ),
         F.lit(""),

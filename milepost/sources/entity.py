@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.functions.coerce import text_or_null
+from milepost.functions.jsontext import is_json
 from milepost.operators.conform import SCORE_GROUP, TRIP_GROUP
 from milepost.schemas import LANDED
 
@@ -103,27 +104,24 @@ def read_entity(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, quarantine) of one entity.
 
-    The quarantine holds rows that are no JSON objects and files that are no JSON at all.
+    The quarantine holds rows that are no JSON objects and documents that are no JSON at all.
     """
     documents = read_documents(spark, path, layout)
+    usable = is_json(F.col("payload"))
+    unreadable = documents.filter(~usable).select(
+        "source_file", F.col("payload").alias("content"), F.lit("not_json").alias("reason")
+    )
+    documents = documents.filter(usable)
     if layout == "rows":
-        rows = parse_rows(
-            documents.select(
-                *[c for c in documents.columns if c != "payload"],
-                F.lit(0).alias("row_index"),
-                F.col("payload").alias("row_json"),
-            ),
-            entity,
+        rest = [c for c in documents.columns if c != "payload"]
+        lines = documents.select(
+            *rest, F.lit(0).alias("row_index"), F.col("payload").alias("row_json")
         )
-        bad_files = None
+        rows = parse_rows(lines, entity)
     else:
-        usable = F.try_parse_json("payload").isNotNull()
-        bad_files = documents.filter(~usable).select(
-            "source_file", F.col("payload").alias("content"), F.lit("not_json").alias("reason")
-        )
-        rows = rows_of_documents(documents.filter(usable), entity)
+        rows = rows_of_documents(documents, entity)
     bad_rows = rows.filter("_corrupt IS NOT NULL").select(
         "source_file", F.col("_corrupt").alias("content"), F.lit("not_an_object").alias("reason")
     )
     good = rows.filter("_corrupt IS NULL").drop("_corrupt")
-    return good, bad_rows if bad_files is None else bad_rows.unionByName(bad_files)
+    return good, bad_rows.unionByName(unreadable)

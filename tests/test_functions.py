@@ -87,13 +87,41 @@ def test_metadata(spark):
     ]
 
 
+def _is_python_json(text):
+    try:
+        json.loads(text, parse_constant=lambda _: 1 / 0)
+        return True
+    except (ValueError, ZeroDivisionError):
+        return False
+
+
+JSON_EDGES = [
+    "5 miles", '{"a":1} x', '{"a":1}}', "1,2", "1]", "1] , [2", '1} , {"k":2', '1,"k":2', '1,"k"',
+    "", " ", "[1]", ' {"a":{"b":[]}} ', "'a'", "{'a':1}", '{"a":1,"a":2}', '"x"', "true", "nul",
+    "-", "1.5e3", "01", "[1,]", '{"a":}', "\n{\n}\n", "[]]", '"a" "b"',
+]
+
+
+def test_is_json_agrees_with_python(spark):
+    got = column(texts(spark, *JSON_EDGES), jsontext.is_json(F.col("t")))
+    assert dict(zip(JSON_EDGES, got)) == {t: _is_python_json(t) for t in JSON_EDGES}
+
+
+@settings(max_examples=15, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet='[]{},:"1a ', max_size=9), min_size=60, max_size=60))
+def test_is_json_agrees_with_python_on_random_text(spark, values):
+    got = column(texts(spark, *values), jsontext.is_json(F.col("t")))
+    assert got == [_is_python_json(v) for v in values]
+
+
 def test_app_blob_shapes(spark):
     df = texts(
         spark, '{"appBlob":{"driverId":" d1 "}}', '{"appBlob":"{\\"driverId\\":7}"}',
         '{"appBlob":"{bad"}', "{}", "{bad", None, '{"appBlob":{"driverId":null}}',
-        '{"appBlob":"[1]"}',
+        '{"appBlob":"[1]"}', '{"appBlob":"{\\"driverId\\":7} x"}', """{"appBlob":"{'driverId':7}"}""",
     )
-    assert column(df, jsontext.app_blob_driver_id(F.col("t"))) == ["d1", "7"] + [None] * 6
+    assert column(df, jsontext.app_blob_driver_id(F.col("t"))) == ["d1", "7"] + [None] * 8
 
 
 def test_json_path_and_canonical(spark):

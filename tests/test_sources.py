@@ -25,6 +25,15 @@ def test_document_shapes(spark):
     assert sorted(r["reason"] for r in bad.collect()) == ["not_an_object", "not_json"]
 
 
+def test_rows_layout_quarantines_lines(spark):
+    folder = scratch_dir(spark, "lines")
+    _write(folder, "a.json", '{"tripId":"1"}\n{"tripId":"2"} x\n7\n')
+    good, bad = entity.read_entity(spark, folder, "trip_locations", layout="rows")
+    assert rows(good.select("tripId")) == [("1",)]
+    assert rows(bad.select("content", "reason")) == [
+        ("7", "not_an_object"), ('{"tripId":"2"} x', "not_json")]
+
+
 def test_fleet_item_is_unwrapped(spark):
     folder = scratch_dir(spark, "fleet")
     fleet = {"retailerLocationId": 5, "manager": {"id": 1}}
