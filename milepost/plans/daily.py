@@ -10,13 +10,16 @@ from pyspark.sql import functions as F
 from milepost.functions.coerce import to_long
 from milepost.functions.measures import epoch_ms_to_timestamp
 from milepost.operators import conform
-from milepost.operators.reports import conversion_summary
+from milepost.operators.merge import DISCOVERED_FLEET_COLUMNS
+from milepost.operators.lookups import details_for_worklist, trip_detail_worklist
+from milepost.operators.reports import conversion_summary, union_all
 from milepost.plans.tables import (
     StoredTable, advance_watermark, merge_into, read_watermark,
 )
 from milepost.plans.windows import DateWindow, resolve_window
 from milepost.schemas import (
-    INCIDENT_COLUMNS, INCIDENT_KEY, LAST_INCIDENT_COLUMNS, LOCATION_KEY, SCORE_COLUMNS, TRIP_KEY,
+    DRIVER_KEY, DRIVER_SCORE_KEY, FLEET_KEY, INCIDENT_COLUMNS, INCIDENT_KEY, LAST_INCIDENT_COLUMNS,
+    LOCATION_KEY, SCORE_COLUMNS, TRIP_KEY,
 )
 from milepost.session import cut_lineage
 
@@ -43,13 +46,40 @@ DRIVER_UPDATE_COLUMNS = [
 ]
 
 
-def trip_table(path: str, buckets: int = 64) -> StoredTable:
-    """Trips change their end time, so they are partitioned by a hash of the trip id."""
-    return StoredTable("trip_score", path, TRIP_KEY, TRIP_UPDATE_COLUMNS, buckets=buckets)
+def trip_table(path: str) -> StoredTable:
+    """Trips by end day, which a correction may change."""
+    return StoredTable(
+        "trip_score", path, TRIP_KEY, TRIP_UPDATE_COLUMNS + ["end_day"], partition="end_day"
+    )
+
+
+def with_end_day(trips: DataFrame) -> DataFrame:
+    return trips.withColumn("end_day", epoch_ms_to_timestamp(F.col("end_date")).cast("date"))
+
+
+def score_table(path: str) -> StoredTable:
+    """Driver scores by snapshot date, which belongs to the key."""
+    return StoredTable(
+        "driver_score", path, DRIVER_SCORE_KEY, DRIVER_SCORE_UPDATE_COLUMNS,
+        partition="snapshot_date",
+    )
+
+
+def fleet_table(path: str, buckets: int = 8) -> StoredTable:
+    return StoredTable("fleet", path, FLEET_KEY, FLEET_UPDATE_COLUMNS, buckets=buckets)
+
+
+def discovered_fleet_table(path: str, buckets: int = 8) -> StoredTable:
+    """The fleet table as seen by discovery: five compared columns, stats set on insert only."""
+    return StoredTable("fleet", path, FLEET_KEY, DISCOVERED_FLEET_COLUMNS, buckets=buckets)
+
+
+def driver_table(path: str, buckets: int = 64) -> StoredTable:
+    return StoredTable("driver", path, DRIVER_KEY, DRIVER_UPDATE_COLUMNS, buckets=buckets)
 
 
 def point_tables(location_path: str, incident_path: str) -> tuple[StoredTable, StoredTable]:
-    """Point tables, partitioned by day: the timestamp belongs to the key."""
+    """Point tables by day: the timestamp belongs to the key."""
     return (
         StoredTable("trip_location", location_path, LOCATION_KEY, [], partition="point_day"),
         StoredTable("trip_incident", incident_path, INCIDENT_KEY, [], partition="point_day"),
@@ -100,19 +130,44 @@ def load_trips(
         raw_trips_in_window(raw, window), fleets, drivers, position
     )
     judged = cut_lineage(judged, "judged-trips")
-    counts = merge_into(spark, table, conform.accepted(judged), window.end.replace(tzinfo=None),
-                        dry_run)
+    batch = with_end_day(conform.accepted(judged))
+    counts = merge_into(spark, table, batch, window.end.replace(tzinfo=None), dry_run)
     if not dry_run:
         advance_watermark(spark, watermark_path, job, window.end, now)
     return window, counts, conversion_summary(judged, "trip_scores")
 
 
-def load_points(
-    spark: SparkSession, raw: DataFrame, table: StoredTable, stamp: datetime, dry_run: bool = False
-) -> DataFrame:
-    """Conforms, deduplicates and touch-merges landed points."""
+def conform_points(raw: DataFrame, table: StoredTable) -> DataFrame:
+    """Usable, distinct points of the table's kind."""
     if table.keys == INCIDENT_KEY:
         points = conform.dedup_incidents(conform.accepted(conform.conform_trip_incident(raw)))
     else:
         points = conform.dedup_locations(conform.accepted(conform.conform_trip_location(raw)))
-    return merge_into(spark, table, with_point_day(points), stamp, dry_run)
+    return with_point_day(points)
+
+
+def load_points(
+    spark: SparkSession, raw: DataFrame, table: StoredTable, stamp: datetime, dry_run: bool = False
+) -> DataFrame:
+    """Conforms, deduplicates and touch-merges landed points."""
+    return merge_into(spark, table, conform_points(raw, table), stamp, dry_run)
+
+
+def backfill_details(
+    spark: SparkSession,
+    trips: DataFrame,
+    raw_locations: DataFrame,
+    raw_incidents: DataFrame,
+    point_tables: tuple[StoredTable, StoredTable],
+    start: datetime,
+    end: datetime,
+    stamp: datetime,
+    dry_run: bool = False,
+) -> DataFrame:
+    """Loads the landed points of the trips that ended in a range; returns the merge counts."""
+    worklist = cut_lineage(trip_detail_worklist(trips, start, end), "worklist")
+    counts = []
+    for raw, table in zip((raw_locations, raw_incidents), point_tables):
+        points = details_for_worklist(conform_points(raw, table), worklist)
+        counts.append(merge_into(spark, table, points, stamp, dry_run))
+    return union_all(counts)

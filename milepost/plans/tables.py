@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 from milepost.operators import rollups
 from milepost.operators.merge import KEEP, merge_counts, merged_table, upsert
 from milepost.operators.reports import union_all
-from milepost.session import cut_lineage, scratch_dir
+from milepost.session import cut_lineage
 
 
 @dataclass(frozen=True)
 class StoredTable:
     """A Parquet table with its merge rules.
 
-    ``partition`` names a partition column whose value is a function of the key (the day of a
-    timestamp in the key, say), so that a row never changes its partition. Tables without such a
-    column are partitioned by a hash of the key into ``buckets``.
+    ``partition`` names the partition column. Its value is either a function of the key, so that a
+    row never changes its partition, or one of the ``update_columns``, so that it may (the end day of
+    a trip). A table without such a column is partitioned by a hash of the key into ``buckets``.
     """
 
     name: str
@@ -32,6 +32,10 @@ class StoredTable:
     buckets: int = 64
     generated: tuple[str, ...] = field(default=())
 
+    @property
+    def rows_move(self) -> bool:
+        return self.partition in self.update_columns
+
     def with_partition(self, df: DataFrame) -> DataFrame:
         if self.partition in df.columns:
             return df
@@ -49,21 +53,56 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def write_partitions(df: DataFrame, path: str, partition: str) -> None:
-    """Overwrites the partitions that occur in ``df``.
+def partition_values(df: DataFrame, partition: str) -> list:
+    """Distinct partition values: one per folder, not per row."""
+    return [r[0] for r in df.select(partition).distinct().collect()]
+
+
+def drop_partitions(spark: SparkSession, path: str, partition: str, values) -> None:
+    fs = spark._jvm.org.apache.hadoop.fs
+    for value in values:
+        folder = fs.Path(f"{path}/{partition}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def write_partitions(
+    df: DataFrame, path: str, partition: str, replaced: list | None = None
+) -> None:
+    """Replaces a stored table, or only the given partitions of it.
 
     Rebalancing brings the rows of a partition together and, by their measured size, splits large
-    partitions over several tasks and files and joins small ones.
+    partitions over several tasks and files and joins small ones. Replaced partitions for which there
+    are no rows are dropped first; a run that dies in between is repeated, as its watermark has not
+    moved.
     """
-    df.hint("rebalance", F.col(partition)).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(partition).parquet(path)
+    writer = df.hint("rebalance", F.col(partition)).write.mode("overwrite")
+    if replaced is None:
+        writer.option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
+        return
+    present = partition_values(df, partition)
+    drop_partitions(df.sparkSession, path, partition, set(replaced) - set(present))
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def write_table(df: DataFrame, table: StoredTable) -> None:
     write_partitions(table.with_partition(df), table.path, table.partition)
 
 
+def touched_partitions(table: StoredTable, target: DataFrame, batch: DataFrame) -> list:
+    """Partitions the batch goes to, and those its keys are stored in now.
+
+    Where rows can move, the second part reads the key columns of the table; the batch is the
+    build side, so a small one shuffles nothing.
+    """
+    values = batch.select(table.partition)
+    if table.rows_move:
+        held = target.select(*table.keys, table.partition).join(
+            batch.select(*table.keys), table.keys, "left_semi"
+        )
+        values = values.union(held.select(table.partition))
+    return partition_values(values, table.partition)
+
+
 def merge_into(
     spark: SparkSession,
     table: StoredTable,
@@ -80,19 +119,19 @@ def merge_into(
     target = read_table(spark, table.path)
     batch = cut_lineage(table.with_partition(batch), f"{table.name}-batch")
     if target is None:
-        target = spark.createDataFrame([], batch.drop("_action").schema)
+        target = spark.createDataFrame([], batch.schema)
         for c in ("created_at", "updated_at", "last_synced_at"):
             target = target.withColumn(c, F.lit(None).cast("timestamp_ntz"))
+        touched = []
     else:
-        # one value per partition folder, not per row
-        touched = [r[0] for r in batch.select(table.partition).distinct().collect()]
+        touched = touched_partitions(table, target, batch)
         target = target.filter(F.col(table.partition).isin(touched))
     actions = upsert(
         target, batch, table.keys, table.update_columns, stamp, table.generated
     )
     actions = cut_lineage(actions, f"{table.name}-merge")
     if not dry_run:
-        write_table(merged_table(actions), table)
+        write_partitions(merged_table(actions), table.path, table.partition, touched)
     return merge_counts(actions.filter(F.col("_action") != KEEP), table.name)
 
 
@@ -129,37 +168,43 @@ def refresh_rollups(
     users: DataFrame,
     out_path: str,
     subscription_name: str = rollups.DEFAULT_SUBSCRIPTION,
+    days: list | None = None,
 ) -> dict[str, DataFrame]:
     """Rebuilds the five rollup tables in dependency order and returns them as stored.
 
     Both day rollups come from one pass over the trips, and the group rollups read what was stored.
-    Trips may be limited to some days: partitions of other days stay as they are.
+    With ``days`` only trips that ended on those days are read and only those days are replaced.
     """
     spark = trips.sparkSession
     eligible = rollups.eligible_companies(
         subscriptions, company_subscriptions, subscription_name
     )
+    ended_on = F.col("end_date_datetime").cast("date")
+    if days is not None:
+        trips = trips.filter(ended_on.isin(days))
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{out_path}/{name}"
-        write_partitions(df, path, "reporting_day")
-        return spark.read.schema(df.schema).parquet(path)
+        # replacing single days looks at the rows twice, so they are worked out once
+        rows = df if days is None else cut_lineage(df, name)
+        write_partitions(rows, path, "reporting_day", days)
+        stored = spark.read.schema(df.schema).parquet(path)
+        return stored if days is None else stored.filter(F.col("reporting_day").isin(days))
 
     stored = {}
     trip_list = rollups.driver_trip_list(trips, eligible, drivers, users)
     stored["driver_trip_list"] = store(
-        "driver_trip_list",
-        trip_list.withColumn("reporting_day", F.col("end_date_datetime").cast("date")),
+        "driver_trip_list", trip_list.withColumn("reporting_day", ended_on)
     )
     combined = rollups.trip_event_day_rollup(
         trips, eligible, companies, drivers, users, with_bucket=True
     )
-    days, event_days = rollups.split_day_rollups(cut_lineage(combined, "day-rollups"))
-    stored["trip_day_rollup"] = store("trip_day_rollup", days)
+    plain, events = rollups.split_day_rollups(cut_lineage(combined, "day-rollups"))
+    stored["trip_day_rollup"] = store("trip_day_rollup", plain)
     stored["performance_groups"] = store(
         "performance_groups", rollups.performance_groups(stored["trip_day_rollup"])
     )
-    stored["trip_event_day_rollup"] = store("trip_event_day_rollup", event_days)
+    stored["trip_event_day_rollup"] = store("trip_event_day_rollup", events)
     stored["trip_event_groups"] = store(
         "trip_event_groups", rollups.trip_event_groups(stored["trip_event_day_rollup"])
     )
@@ -186,6 +231,7 @@ def rollup_totals(stored: dict[str, DataFrame]) -> DataFrame:
 
 
 __all__ = [
-    "StoredTable", "advance_watermark", "merge_into", "read_table", "read_watermark",
-    "refresh_rollups", "rollup_totals", "scratch_dir", "write_table",
+    "StoredTable", "advance_watermark", "drop_partitions", "merge_into", "read_table",
+    "read_watermark", "refresh_rollups", "rollup_totals", "touched_partitions", "write_partitions",
+    "write_table",
 ]

@@ -496,7 +496,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY position) AS k
 )
 def incremental_load(b: Bed):
     """Three runs over growing windows; the second and third start at the watermark."""
-    table = daily.trip_table(scratch_dir(b.spark, "trips"), buckets=4)
+    table = daily.trip_table(scratch_dir(b.spark, "trips"))
     marks, landing_path = scratch_dir(b.spark, "marks"), scratch_dir(b.spark, "landed-trips")
     b.raw_trip.write.json(landing_path)
     landed = b.spark.read.schema(b.raw_trip.schema).json(landing_path)

@@ -101,3 +101,14 @@ def test_watermark(spark):
     tables.advance_watermark(spark, path, "j", NEW, NEW)
     tables.advance_watermark(spark, path, "other", datetime(2030, 1, 1), NEW)
     assert tables.read_watermark(spark, path, "j") == NEW
+
+
+def test_rows_that_move_leave_their_old_partition(spark):
+    table = tables.StoredTable("t", scratch_dir(spark, "moving"), ["k"], ["d"], partition="d")
+    first = spark.createDataFrame([("a", 1), ("b", 2), ("c", 2)], "k string, d int")
+    tables.merge_into(spark, table, first, OLD)
+    change = spark.createDataFrame([("a", 3), ("b", 3)], "k string, d int")
+    assert tuple(tables.merge_into(spark, table, change, NEW).first()) == ("t", 0, 2, 0)
+    now = tables.read_table(spark, table.path)
+    assert sorted((r["k"], r["d"]) for r in now.collect()) == [("a", 3), ("b", 3), ("c", 2)]
+    assert now.filter("k = 'a'").first()["created_at"] == OLD
