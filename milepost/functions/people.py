@@ -47,6 +47,4 @@ def report_driver_name(
 def trip_driver_name(stored: Column, display: Column, first: Column, last: Column) -> Column:
     """Name for trip lists. A display name of blanks falls through to first and last name."""
     joined = F.concat_ws(" ", first, last)
-    return F.coalesce(
-        blank_trim(stored), blank_trim(F.coalesce(display, joined)), blank_trim(joined)
-    )
+    return F.coalesce(blank_trim(stored), blank_trim(display), blank_trim(joined))

@@ -12,21 +12,28 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from milepost.plans.tables import StoredTable, merge_into
 from milepost.schemas import LANDED
 
 
 def landed_stream(
-    spark: SparkSession, path: str, entity: str, extra: str = "", files_per_batch: int = 1000
+    spark: SparkSession,
+    path: str,
+    entity: str,
+    more_fields: str = "",
+    files_per_batch: int = 1000,
 ) -> DataFrame:
-    """Landed JSON rows (one per line) as a stream of text columns."""
-    schema = LANDED[entity]
-    if extra:
-        schema = type(schema)(schema.fields + type(schema).fromDDL(extra).fields)
-    return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(path)
-    )
+    """Landed JSON rows (one per line) as a stream of text columns.
+
+    ``more_fields`` (DDL) names fields beyond the entity's own, such as ``position long``.
+    """
+    fields = list(LANDED[entity].fields)
+    if more_fields:
+        fields += StructType.fromDDL(more_fields).fields
+    reader = spark.readStream.schema(StructType(fields))
+    return reader.option("maxFilesPerTrigger", files_per_batch).json(path)
 
 
 def stream_into(

@@ -301,9 +301,10 @@ FROM trip_event_day_rollup GROUP BY {_FLEET_DAY}""",
 VIEWS["driver_trip_list"] = (
     ("trip_score", "eligible", "driver", "app_user"),
     f"""SELECT t.company_id, t.driver_id, t.account_id AS driver_account_id,
-  coalesce(nullif(trim(t.driver_name), ''),
-    nullif(trim(coalesce(u.display_name, concat_ws(' ', u.first_name, u.last_name))), ''),
-    nullif(trim(concat_ws(' ', u.first_name, u.last_name)), '')) AS driver_display_name,
+  CASE WHEN trim(t.driver_name) <> '' THEN trim(t.driver_name)
+       WHEN trim(u.display_name) <> '' THEN trim(u.display_name)
+       WHEN trim(concat_ws(' ', u.first_name, u.last_name)) <> ''
+       THEN trim(concat_ws(' ', u.first_name, u.last_name)) END AS driver_display_name,
   t.fleet_id AS fleet_internal_id, t.fleet_name, t.trip_id, t.start_date_datetime,
   t.end_date_datetime, {MILES.format('coalesce(distance_meters, 0)')} AS distance_miles,
   ((2 * (end_date - start_date) + 60) // 120)::DOUBLE / 1000.0 AS duration_minutes,
