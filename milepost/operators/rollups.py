@@ -57,15 +57,18 @@ def eligible_companies(
 BROADCAST_COMPANIES = 200_000
 
 
-def broadcastable(eligible: DataFrame) -> bool:
-    """Counts the company ids, stopping at the limit."""
-    return eligible.limit(BROADCAST_COMPANIES + 1).count() <= BROADCAST_COMPANIES
+def counted_side(eligible: DataFrame) -> DataFrame | None:
+    """The company ids marked for broadcast, or None when there are too many of them."""
+    count = eligible.limit(BROADCAST_COMPANIES + 1).count()
+    return F.broadcast(eligible) if count <= BROADCAST_COMPANIES else None
 
 
 def ended_trips(trips: DataFrame, eligible: DataFrame) -> DataFrame:
     """Trips with an end time, of eligible companies."""
-    side = F.broadcast(eligible) if broadcastable(eligible) else eligible
-    return trips.filter("end_date_datetime IS NOT NULL").join(side, "company_id", "left_semi")
+    side = counted_side(eligible)
+    return trips.filter("end_date_datetime IS NOT NULL").join(
+        eligible if side is None else side, "company_id", "left_semi"
+    )
 
 
 def _day_aggregates(trips: DataFrame, eligible: DataFrame, events: bool) -> DataFrame:
@@ -75,10 +78,11 @@ def _day_aggregates(trips: DataFrame, eligible: DataFrame, events: bool) -> Data
     driver-days instead: joining the trips would bring each company's trips into one partition,
     which the aggregate would then take over.
     """
-    if not broadcastable(eligible):
-        days = _aggregate_days(trips.filter("end_date_datetime IS NOT NULL"), events)
-        return days.join(eligible, "company_id", "left_semi")
-    return _aggregate_days(ended_trips(trips, eligible), events)
+    ended = trips.filter("end_date_datetime IS NOT NULL")
+    side = counted_side(eligible)
+    if side is None:
+        return _aggregate_days(ended, events).join(eligible, "company_id", "left_semi")
+    return _aggregate_days(ended.join(side, "company_id", "left_semi"), events)
 
 
 def _aggregate_days(trips: DataFrame, events: bool) -> DataFrame:

@@ -176,8 +176,9 @@ def refresh_rollups(
     With ``days`` only trips that ended on those days are read and only those days are replaced.
     """
     spark = trips.sparkSession
-    eligible = rollups.eligible_companies(
-        subscriptions, company_subscriptions, subscription_name
+    eligible = cut_lineage(
+        rollups.eligible_companies(subscriptions, company_subscriptions, subscription_name),
+        "eligible",
     )
     ended_on = F.col("end_date_datetime").cast("date")
     if days is not None:

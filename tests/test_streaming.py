@@ -41,7 +41,7 @@ def test_restart_takes_only_new_files(spark):
     )
     second.coalesce(1).write.mode("append").json(path)
     again = run(spark, path, table, checkpoint)
-    assert sum(p["numInputRows"] for p in again.recentProgress) == 2
+    assert len([p for p in again.recentProgress if p["numInputRows"]]) == 1
     stored = {r["trip_id"]: r for r in tables.read_table(spark, table.path).collect()}
     assert sorted(stored) == ["a", "b", "c"]
     assert stored["b"]["end_date"] == 90_000_000
