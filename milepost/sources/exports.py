@@ -41,6 +41,11 @@ def write_csv(df: DataFrame, path: str) -> None:
     csv_cells(df).write.options(**CSV_OPTIONS).option("emptyValue", "").csv(path)
 
 
+def write_report(df: DataFrame, path: str) -> None:
+    """A run or import report (a handful of lines) as one JSON file."""
+    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
 def export_fleet(raw: DataFrame) -> DataFrame:
     """19 columns per fleet: scalars as landed, nested members as JSON text, counters in stats."""
     scalars = {

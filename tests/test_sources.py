@@ -106,3 +106,13 @@ def test_driver_export_has_twenty_columns(spark):
     assert len(out.columns) == 20
     got = out.first()
     assert got["driver_id"] == "R" and got["app_blob_additional_services"] == "x;y"
+
+
+def test_report_is_one_file(spark):
+    out = scratch_dir(spark, "report")
+    exports.write_report(spark.createDataFrame([("t", 1, None), ("u", 2, "x")],
+                                               "table_name string, n long, note string"), out)
+    (path,) = glob.glob(out + "/*.json")
+    with open(path, encoding="utf-8") as f:
+        assert [json.loads(line) for line in f] == [
+            {"table_name": "t", "n": 1, "note": None}, {"table_name": "u", "n": 2, "note": "x"}]
