@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import byte_bpe, repetition_rules, token_counts
+from milepost.llm import byte_bpe, repetition_rules, simhash, token_counts, token_records
 from milepost.llm.common import table
 from milepost.session import scratch_dir
 
@@ -24,16 +24,33 @@ def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition_rules.repetition_measures(table(spark, sf_dir, "documents"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of 3-word shingles and components of links at up to 2 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes and decodes; digests of both."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"), path)
 
 
+def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the ids as binary records and reads them back."""
+    folder = scratch_dir(spark, "token-records")
+    token_records.write_records(
+        table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2
+    )
+    return token_records.read_digests(spark, folder)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op4_repetition_rules": op4_repetition_rules,
+    "op6_simhash": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_token_records": op8_token_records,
 }
 #: What SQL can express; the other queries are tested against brute force.
 ORACLES: dict[str, str] = {}
