@@ -54,21 +54,25 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the folder every executor can reach.
 
-    Where the setting is absent (a plain local run) a temporary folder takes its place.
+    Only a plain local run may leave the setting out; a temporary folder takes its place there. On a
+    cluster each executor would write to a disk of its own, so the job is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="milepost-")
         spark.conf.set("spark.checkpoint.dir", root)
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame, label: str) -> DataFrame:
+def cut_lineage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Used where one intermediate result feeds several outputs. Unlike a cache it survives the loss
     of executors.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
