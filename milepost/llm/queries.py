@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import byte_bpe, repetition_rules, simhash, token_counts, token_records
+from milepost.llm import (
+    byte_bpe, repetition_rules, simhash, substring_dedup, token_counts, token_records,
+)
 from milepost.llm.common import table
 from milepost.session import scratch_dir
 
@@ -19,6 +21,12 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "n_bytes", "n_tokens", "n_tokens > 4096 AS over_limit")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removes 50-word windows that a smaller document holds."""
+    found = substring_dedup.dedup_substrings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdicts."""
     return repetition_rules.repetition_measures(table(spark, sf_dir, "documents"))
@@ -47,6 +55,7 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_substring_dedup": op2_substring_dedup,
     "op4_repetition_rules": op4_repetition_rules,
     "op6_simhash": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
