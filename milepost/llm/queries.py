@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.llm import (
-    byte_bpe, repetition_rules, simhash, substring_dedup, token_counts, token_records,
+    byte_bpe, multi_index, quality_gam, repetition_rules, simhash, substring_dedup, token_counts, token_records,
+    url_filter,
 )
 from milepost.llm.common import table
 from milepost.session import scratch_dir
@@ -27,11 +28,35 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores, learned from the labels that are not held out."""
+    found = quality_gam.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS int) AS predicted")
+
+
 def op4_repetition_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repetition measures and verdicts."""
     return repetition_rules.repetition_measures(table(spark, sf_dir, "documents"))
 
 
+#: Verdict, host and start of the path.
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules first; other URLs by a model that is trained on URLs which a rule decides."""
+    pages = table(spark, sf_dir, "pages")
+    verdict = url_filter.by_rule(URL_RULES, 0)
+    labelled = url_filter.with_parts(pages.select("url")).select(
+        "host", "path", F.when(verdict == "allow", 1).when(verdict == "block", 0).alias("label")
+    )
+    found = url_filter.judge(pages.select("page_id", "url"), URL_RULES, *url_filter.fit(labelled))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 3-word shingles and components of links at up to 2 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -53,13 +78,22 @@ def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records.read_digests(spark, folder)
 
 
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every 50th vector."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return multi_index.nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_quality_gam": op3_quality_gam,
     "op4_repetition_rules": op4_repetition_rules,
+    "op5_url_filter": op5_url_filter,
     "op6_simhash": op6_simhash,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_records": op8_token_records,
+    "op9_multi_index": op9_multi_index,
 }
 #: What SQL can express; the other queries are tested against brute force.
 ORACLES: dict[str, str] = {}
