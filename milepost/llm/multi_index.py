@@ -210,7 +210,7 @@ def _deal(df: DataFrame, own: str, own_count: str, own_size: int, other: str, ot
     ).select("cell", "id", "v", "asks", "block", "grp")
 
 
-def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, centroids: int = 16, share: float = 0.5,
+def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 5, centroids: int = 16, share: float = 0.6,
                        least: int = 1000, sample_rows: int = 10_000, id_col: str = "vec_id",
                        vector_col: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score. ``queries`` has the same columns as ``vectors``.
