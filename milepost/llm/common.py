@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Rows and bytes that Spark hands to a Python worker at once.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -16,17 +16,27 @@ STEP_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables; batches for Python workers are kept small from here on."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One of the given tables."""
+    return small_batches(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same rows; from here on the session hands them to Python workers in small batches."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df
+
+
+def text_column(text_col: str) -> Column:
+    """The text, NULL as empty."""
+    return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
 
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the id and the text (NULL as empty), whatever else the table holds."""
-    return docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
+    return small_batches(docs).select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_column(text_col).alias("text")
     )
 
 
@@ -48,6 +58,20 @@ def utf8(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").cast(kind).to_pylist()
 
 
+def filtered(docs: DataFrame, good, text_col: str = "text") -> DataFrame:
+    """The rows whose texts ``good(texts, raw)`` marks, with all columns; NULL is judged as empty text."""
+    others = [f"c{k}" for k in range(len(docs.columns))]
+
+    def run(batches):
+        for batch in steps(batches):
+            marks = pa.array(good(batch.column("text").to_pylist(), utf8(batch)))
+            yield batch.select(others).filter(marks)
+
+    named = small_batches(docs).toDF(*others)
+    text = text_column(others[docs.columns.index(text_col)])
+    return named.withColumn("text", text).mapInArrow(run, named.schema).toDF(*docs.columns)
+
+
 class Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of several texts, laid out in one buffer.
 

@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from milepost.llm.common import Words, steps, texts_of, utf8
+from milepost.llm.common import Words, filtered, steps, texts_of, utf8
 from milepost.llm.repetition_rules import SYMBOLS, covered, line_counts, per_text, repeated_ngrams
 from milepost.session import cut_lineage
 
@@ -208,11 +208,9 @@ def _measure_batches(batches):
 
 def _score_batches(model: Additive):
     def run(batches):
-        for batch in batches:
-            rows = np.column_stack([batch.column(c).to_numpy() for c in MEASURES])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(model.score(rows))], ["doc_id", "score"]
-            )
+        for batch in steps(batches):
+            found = model.score(measures(batch.column("text").to_pylist(), utf8(batch)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found)], ["doc_id", "score"])
 
     return run
 
@@ -222,24 +220,39 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 3 == 1, F.lit(False))
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id",
-             text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """doc_id, held_out, score of every row; texts are read once, their measures are kept."""
-    found = cut_lineage(
-        texts_of(docs, id_col, text_col).mapInArrow(
-            _measure_batches, ", ".join(["doc_id long", *(f"`{c}` double" for c in MEASURES)])
-        ), "text-measures",
-    )
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id",
+          text_col: str = "text", label_col: str = "quality") -> Additive:
+    """Fits the model. Only the texts of the sampled ids are read for their measures."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("double").alias("label"))
         .filter("doc_id IS NOT NULL AND label IS NOT NULL").filter(~held_out())
         .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("double").alias("label"))
     )
-    sample = (
-        found.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *MEASURES).limit(max_rows)
+    texts = texts_of(docs, id_col, text_col)
+    sample = cut_lineage(
+        known.join(texts.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows),
+        "label-sample",
+    )
+    rows = (
+        texts.join(F.broadcast(sample), "doc_id")  # max_rows numbers at most
+        .select("doc_id", "text")
+        .mapInArrow(_measure_batches, ", ".join(["doc_id long", *(f"`{c}` double" for c in MEASURES)]))
+        .join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *MEASURES).limit(max_rows)
         .select("label", *MEASURES).toPandas().to_numpy(float)
     )
-    model = fit(sample[:, 1:], sample[:, 0])
-    return found.mapInArrow(_score_batches(model), "doc_id long, score double").select(
+    return fit(rows[:, 1:], rows[:, 0])
+
+
+def classify(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id",
+             text_col: str = "text", label_col: str = "quality") -> DataFrame:
+    """doc_id, held_out, score of every row."""
+    model = train(docs, labels, max_rows, id_col, text_col, label_col)
+    return texts_of(docs, id_col, text_col).mapInArrow(_score_batches(model), "doc_id long, score double").select(
         "doc_id", held_out().alias("held_out"), "score"
     )
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score ``least`` or more, with all their columns. No shuffle of texts."""
+    model = train(docs, labels, max_rows)
+    return filtered(docs, lambda texts, raw: model.score(measures(texts, raw)) >= least)

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.llm import (
-    byte_bpe, multi_index, quality_gam, repetition_rules, simhash, substring_dedup, token_counts, token_records,
-    url_filter,
+    byte_bpe, multi_index, packing, quality_gam, repetition_rules, simhash, substring_dedup,
+    token_counts, token_records, url_filter,
 )
 from milepost.llm.common import table
 from milepost.session import scratch_dir
@@ -84,6 +84,13 @@ def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multi_index.nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packs all documents into sequences of 4096 tokens; one document of a source or cluster in each."""
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096
+    )
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
@@ -94,6 +101,7 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_token_records": op8_token_records,
     "op9_multi_index": op9_multi_index,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 #: What SQL can express; the other queries are tested against brute force.
 ORACLES: dict[str, str] = {}

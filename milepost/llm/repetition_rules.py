@@ -17,9 +17,9 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from milepost.llm.common import Words, steps, texts_of, utf8
+from milepost.llm.common import Words, filtered, steps, texts_of, utf8
 
 SYMBOLS = b"#*$%&|<>"
 BASE_WINDOW = 8
@@ -127,13 +127,27 @@ def measure(texts: list[str], raw: list[bytes], lengths: list[int]) -> dict[str,
     return out
 
 
-def _measure_batches(lengths: list[int], names: list[str]):
+def verdicts(found: dict[str, np.ndarray], limits: Limits) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each text fails the base rule, and whether it is kept."""
+    base = (found["n_words"] < limits.min_words) | (
+        100 * found["n_repeat_words"] > limits.repeat_words * found["n_words"]
+    )
+    good = (found["n_dup_lines"] <= limits.dup_lines * found["n_lines"]) & (
+        found["dup_line_chars"] <= limits.dup_line_chars * found["line_chars"]
+    )
+    for n, share in limits.ngrams.items():
+        good &= found[f"chars_{n}"] <= share * found["word_chars"]
+    return base, ~base & good
+
+
+def _measure_batches(limits: Limits, names: list[str]):
     def run(batches):
         for batch in steps(batches):
-            found = measure(batch.column("text").to_pylist(), utf8(batch), lengths)
+            found = measure(batch.column("text").to_pylist(), utf8(batch), sorted(limits.ngrams))
+            base, kept = verdicts(found, limits)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(found[c].astype(np.int64)) for c in names)],
-                ["doc_id", *names],
+                [batch.column("doc_id"), *(pa.array(found[c].astype(np.int64)) for c in names), pa.array(base), pa.array(kept)],
+                ["doc_id", *names, "base_failed", "kept"],
             )
 
     return run
@@ -142,18 +156,16 @@ def _measure_batches(lengths: list[int], names: list[str]):
 def repetition_measures(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id",
                         text_col: str = "text") -> DataFrame:
     """Counts, repetition coverage and both verdicts of every row. No shuffle."""
-    lengths = sorted(limits.ngrams)
     names = ["n_words", "word_chars", "n_symbols", "n_repeat_words", "n_lines", "n_dup_lines",
-             "line_chars", "dup_line_chars", *(f"chars_{n}" for n in lengths)]
-    counts = texts_of(docs, id_col, text_col).mapInArrow(
-        _measure_batches(lengths, names), ", ".join(["doc_id long", *(f"{c} long" for c in names)])
-    )
-    base = (F.col("n_words") < limits.min_words) | (
-        100 * F.col("n_repeat_words") > limits.repeat_words * F.col("n_words")
-    )
-    good = (F.col("n_dup_lines") <= limits.dup_lines * F.col("n_lines")) & (
-        F.col("dup_line_chars") <= limits.dup_line_chars * F.col("line_chars")
-    )
-    for n, share in limits.ngrams.items():
-        good &= F.col(f"chars_{n}") <= share * F.col("word_chars")
-    return counts.withColumn("base_failed", base).withColumn("kept", ~base & good)
+             "line_chars", "dup_line_chars", *(f"chars_{n}" for n in sorted(limits.ngrams))]
+    schema = ["doc_id long", *(f"{c} long" for c in names), "base_failed boolean", "kept boolean"]
+    return texts_of(docs, id_col, text_col).mapInArrow(_measure_batches(limits, names), ", ".join(schema))
+
+
+def keep_good(docs: DataFrame, limits: Limits = Limits(), text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, with all their columns. No shuffle."""
+
+    def good(texts: list[str], raw: list[bytes]) -> np.ndarray:
+        return verdicts(measure(texts, raw, sorted(limits.ngrams)), limits)[1]
+
+    return filtered(docs, good, text_col)

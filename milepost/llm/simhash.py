@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from milepost.llm.common import Words, steps, texts_of, utf8, xxh64
+from milepost.llm.common import Words, steps, text_column, texts_of, utf8, xxh64
 from milepost.llm.components import connected_components
 from milepost.session import cut_lineage
 
@@ -75,19 +75,25 @@ def _fingerprint_batches(size: int):
         for batch in steps(batches):
             found = majority(*shingle_hashes(Words([t.lower() for t in utf8(batch)]), size))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"]
+                [batch.column("doc_id"), batch.column("rk"), pa.array(found.view(np.int64))],
+                ["doc_id", "rk", "fingerprint"],
             )
 
     return run
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and fingerprint (the 64 bits as a long) of every row."""
-    return texts_of(docs, id_col, text_col).mapInArrow(
-        _fingerprint_batches(shingle), "doc_id long, fingerprint long"
+    """doc_id, rk (a key of id and text) and fingerprint (the 64 bits as a long) of every row."""
+    return texts_of(docs, id_col, text_col).withColumn("rk", row_key()).mapInArrow(
+        _fingerprint_batches(shingle), "doc_id long, rk long, fingerprint long"
     )
 
 
+def row_key():
+    """Tells rows with one id apart by their texts."""
+    return F.xxhash64(F.col("doc_id").cast("long"), text_column("text"))
+
+
 class Planes:
     """The bits of a group of fingerprints, one plane of the group per bit."""
 
@@ -259,22 +265,36 @@ def near_links(classes: DataFrame, radius: int) -> DataFrame:
     )
 
 
+def _rooted(prints: DataFrame, radius: int) -> DataFrame:
+    """fingerprint, first (its least row) and root of every class; ``first`` holds id and key of a row."""
+    row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "rk")
+    classes = cut_lineage(prints.groupBy("fingerprint").agg(F.min(row).alias("first")), "fingerprint-classes")
+    roots = connected_components(near_links(classes.select("fingerprint"), radius))
+    return classes.join(roots, classes.fingerprint == roots.node, "left").select(
+        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, fingerprint (long) and component_id, the smallest id that can be reached, of every row."""
     prints = cut_lineage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    classes = cut_lineage(
-        prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "fingerprint-classes"
-    )
-    roots = connected_components(near_links(classes, radius))
-    rooted = classes.join(roots, classes.fingerprint == roots.node, "left").select(
-        "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select("fingerprint", "component_id")
+    rooted = _rooted(prints, radius)
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    named = rooted.join(least, "root").select("fingerprint", F.col("least.doc_id").alias("component_id"))
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """One row of ``docs`` for each component, the one with the least id (then text key), all columns."""
+    prints = cut_lineage(fingerprints(docs, shingle), "fingerprints")
+    stay = _rooted(prints, radius).groupBy("root").agg(F.min("first").alias("least")).select(
+        F.coalesce("least.doc_id", F.lit(0)).alias("k1"), F.col("least.rk").alias("k2")
+    )
+    keyed = docs.select(*docs.columns, F.coalesce("doc_id", F.lit(0)).alias("k1"), row_key().alias("k2"))
+    return keyed.join(stay, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*docs.columns)
+
+
 def hex_of(fingerprint: str = "fingerprint"):
     """A fingerprint as 16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))

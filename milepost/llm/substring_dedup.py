@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from milepost.llm.common import Words, steps, utf8
+from milepost.llm.common import Words, steps, text_column, texts_of, utf8
 from milepost.session import cut_lineage
 
 WINDOW = 50
@@ -330,17 +330,14 @@ def _cut(text: bytes, words: list[bytes], gone: np.ndarray) -> bytes:
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP, keep_layout: bool = False,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256, text of every row; ``text`` is NULL where nothing goes.
+    """doc_id, th (hash of the text), n_words, n_removed, kept_sha256, text of every row.
 
-    ``text`` is what is left: the kept words joined by one space or, with ``keep_layout``, with their own
+    ``text`` is NULL where nothing goes, otherwise what is left: the kept words joined by one space or, with ``keep_layout``, with their own
     white space. The digest is always of the kept words joined by one space.
     """
     if window < SEED + 1:
         raise ValueError(f"window must be longer than {SEED} words")
-    base = docs.select(
-        F.col(f"`{id_col}`").cast("long").alias("doc_id"),
-        F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("th", F.xxhash64("text"))
+    base = texts_of(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
     rows = cut_lineage(
         base.mapInArrow(_scan(window), f"doc_id long, th long, n_words long, sha binary, {ANCHORS}"), "anchors"
     )
@@ -400,9 +397,22 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
     return (
         rows.select("doc_id", "th", "n_words", "sha").join(changed, ["doc_id", "th"], "left")
         .select(
-            "doc_id", "n_words",
+            "doc_id", "th", "n_words",
             F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
             F.lower(F.hex(F.when(F.col("whole"), nothing).otherwise(F.coalesce("kept", "sha")))).alias("kept_sha256"),
             F.when(F.col("whole"), F.lit("")).otherwise(F.col("text")).alias("text"),
         )
     )
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """All rows of ``docs`` with what is left of their texts (and ``n_chars``, if there), all columns."""
+    found = dedup_substrings(docs, window, keep_layout=True).filter("text IS NOT NULL")
+    left = found.select(F.col("doc_id").alias("k1"), F.col("th").alias("k2"), F.col("text").alias("k3")).dropDuplicates(["k1", "k2"])
+    own = docs.withColumn("k1", F.col("doc_id").cast("long")).withColumn(
+        "k2", F.xxhash64(text_column("text"))
+    )
+    new = {"text": F.coalesce("k3", "text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(F.col("k3").isNotNull(), F.length("k3").cast("long")).otherwise(F.col("n_chars"))
+    return own.join(left, ["k1", "k2"], "left").select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))

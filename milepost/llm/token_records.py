@@ -62,7 +62,7 @@ class WordEncoder:
         self.known: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def _known(self, texts: list[str]) -> tuple[list[list[str]], dict[str, list[int]]]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         table = self.known
         new = set().union(*split).difference(table)
@@ -71,11 +71,19 @@ class WordEncoder:
         new = list(new.difference(table))
         for w, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
             table[w] = found.ids
-        out = [list(chain.from_iterable(map(table.__getitem__, words))) for words in split]
         if len(table) > KNOWN_WORDS:
             self.older = {w: ids for w, ids in table.items() if len(w) <= KEPT_WORD}
             self.known = {}
-        return out
+        return split, table
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        split, table = self._known(texts)
+        return [list(chain.from_iterable(map(table.__getitem__, words))) for words in split]
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Numbers of ids."""
+        split, table = self._known(texts)
+        return [sum(map(len, map(table.__getitem__, words))) for words in split]
 
 
 def id_width(path: str) -> int:
