@@ -58,18 +58,24 @@ def utf8(batch: pa.RecordBatch) -> list[bytes]:
     return batch.column("text").cast(kind).to_pylist()
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The same rows with columns c0, c1, ... (so that names can't clash), and the name of each."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names))
+
+
 def filtered(docs: DataFrame, good, text_col: str = "text") -> DataFrame:
     """The rows whose texts ``good(texts, raw)`` marks, with all columns; NULL is judged as empty text."""
-    others = [f"c{k}" for k in range(len(docs.columns))]
+    named, at = numbered(small_batches(docs))
+    columns = named.columns
 
     def run(batches):
         for batch in steps(batches):
             marks = pa.array(good(batch.column("text").to_pylist(), utf8(batch)))
-            yield batch.select(others).filter(marks)
+            yield batch.select(columns).filter(marks)
 
-    named = small_batches(docs).toDF(*others)
-    text = text_column(others[docs.columns.index(text_col)])
-    return named.withColumn("text", text).mapInArrow(run, named.schema).toDF(*docs.columns)
+    judged = named.withColumn("text", text_column(at[text_col]))
+    return judged.mapInArrow(run, named.schema).toDF(*docs.columns)
 
 
 class Words:

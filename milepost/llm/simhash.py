@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from milepost.llm.common import Words, steps, text_column, texts_of, utf8, xxh64
+from milepost.llm.common import Words, numbered, steps, text_column, texts_of, utf8, xxh64
 from milepost.llm.components import connected_components
 from milepost.session import cut_lineage
 
@@ -89,9 +89,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
     )
 
 
-def row_key():
+def row_key(id_col: str = "doc_id", text_col: str = "text"):
     """Tells rows with one id apart by their texts."""
-    return F.xxhash64(F.col("doc_id").cast("long"), text_column("text"))
+    return F.xxhash64(F.col(id_col).cast("long"), text_column(text_col))
 
 
 class Planes:
@@ -291,8 +291,12 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2) ->
     stay = _rooted(prints, radius).groupBy("root").agg(F.min("first").alias("least")).select(
         F.coalesce("least.doc_id", F.lit(0)).alias("k1"), F.col("least.rk").alias("k2")
     )
-    keyed = docs.select(*docs.columns, F.coalesce("doc_id", F.lit(0)).alias("k1"), row_key().alias("k2"))
-    return keyed.join(stay, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]).select(*docs.columns)
+    named, at = numbered(docs)
+    keyed = named.withColumn("k1", F.coalesce(F.col(at["doc_id"]).cast("long"), F.lit(0))).withColumn(
+        "k2", row_key(at["doc_id"], at["text"])
+    )
+    left = keyed.join(stay, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
+    return left.select(*named.columns).toDF(*docs.columns)
 
 
 def hex_of(fingerprint: str = "fingerprint"):
