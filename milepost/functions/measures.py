@@ -21,9 +21,21 @@ def _dec(c: Column, precision: int, scale: int) -> Column:
     return c.cast(f"decimal({precision},{scale})")
 
 
+# First and last millisecond of the years 1 to 9999.
+FIRST_MS, LAST_MS = -62135596800000, 253402300799999
+
+
+def epoch_in_range(c: Column) -> Column:
+    """Whether epoch milliseconds are a time at all; NULL for NULL."""
+    return c.between(FIRST_MS, LAST_MS)
+
+
 def epoch_ms_to_timestamp(c: Column) -> Column:
-    """UTC wall-clock time of epoch milliseconds, independent of the session time zone."""
-    return F.timestamp_add("MILLISECOND", c, F.expr(_EPOCH))
+    """UTC wall-clock time of epoch milliseconds, independent of the session time zone.
+
+    NULL outside the years 1 to 9999: adding such a number would end the whole job.
+    """
+    return F.timestamp_add("MILLISECOND", F.when(epoch_in_range(c), c), F.expr(_EPOCH))
 
 
 def timestamp_to_epoch_ms(c: Column) -> Column:
@@ -35,8 +47,7 @@ def epoch_ms_text(c: Column) -> Column:
     from milepost.functions.coerce import to_double
 
     ms = to_double(c.cast("string"))
-    in_range = ms.between(-62135596800000.0, 253402300799999.0)
-    moment = epoch_ms_to_timestamp(F.when(in_range, F.floor(ms)))
+    moment = epoch_ms_to_timestamp(F.when(epoch_in_range(ms), F.floor(ms)))
     return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
 
 

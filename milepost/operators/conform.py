@@ -19,12 +19,13 @@ from milepost.functions.coerce import (
 from milepost.functions.jsontext import (
     app_blob_driver_id, canonical_json, parse_metadata, to_json_text,
 )
-from milepost.functions.measures import epoch_ms_to_timestamp
+from milepost.functions.measures import epoch_in_range, epoch_ms_to_timestamp
 from milepost.functions.people import contact_email, focus_driver_id, location_id
 from milepost.operators.dedup import distinct_points
 from milepost.operators.lookups import (
     left_lookup, resolve_company, resolve_driver_user, resolve_fleet_identity,
 )
+from milepost.session import cut_lineage
 from milepost.schemas import (
     DRIVER_SCORE_KEY, INCIDENT_KEY, LAST_INCIDENT_COLUMNS, LOCATION_KEY, METRICS, TRIP_KEY, camel,
 )
@@ -202,12 +203,14 @@ def rejected_drivers(conformed: DataFrame) -> DataFrame:
 
 
 def conform_driver_score(
-    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, snapshot_date: date, position: str
+    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, snapshot_date: date, position: str,
+    order: str | None = None,
 ) -> DataFrame:
     """Daily driver scores.
 
-    ``position`` is the 1-based row number in the source. When a key repeats, the last source row
-    is kept and the earlier ones count as deduplicated.
+    ``position`` is the 1-based row number in the source document; ``order`` orders all rows, where
+    that differs. When a key repeats, the last source row is kept and the earlier ones count as
+    deduplicated.
     """
     given = F.col("sourceRowIndex")
     mapped = with_number_text(raw, _METRIC_FIELDS + ["sourceRowIndex"]).select(
@@ -221,7 +224,7 @@ def conform_driver_score(
         text_or_null("thirdPartyId").alias("third_party_id"),
         text_or_null("driverName").alias("driver_name"),
         *_metric_columns(),
-        F.col(position).alias("_position"),
+        F.col(order or position).alias("_position"),
     )
     mapped = _pack(mapped, [*DRIVER_SCORE_KEY, "source_row_index", "_position"])
     flagged = _with_known_flag(
@@ -271,8 +274,10 @@ def _struct_or_null(parts: list[Column]) -> Column:
 
 def trip_window_reason(start: Column, end: Column) -> Column:
     """Why a trip's time window is unusable; NULL when it is fine."""
-    return F.when(start.isNull() | end.isNull(), "missing_trip_window").when(
-        end < start, "invalid_trip_window"
+    return (
+        F.when(start.isNull() | end.isNull(), "missing_trip_window")
+        .when(~epoch_in_range(start) | ~epoch_in_range(end), "timestamp_out_of_range")
+        .when(end < start, "invalid_trip_window")
     )
 
 
@@ -297,11 +302,11 @@ def map_trip_rows(raw: DataFrame, position: str) -> DataFrame:
 
 
 def conform_trip_score(
-    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str
+    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str, order: str | None = None
 ) -> DataFrame:
     """Trip scores; of rows with one trip id the first usable one in source order is kept."""
     mapped = _pack(
-        map_trip_rows(raw, position),
+        map_trip_rows(raw, order or position),
         ["trip_id", "driver_id", "fleet_id", "start_date", "end_date", "_position"],
     )
     flagged = _with_known_flag(
@@ -314,6 +319,7 @@ def conform_trip_score(
          "missing_trip_id_or_driver_id"),
         (~F.col("_known"), FILTERED, "unknown_driver"),
         (window == "missing_trip_window", SKIPPED, "missing_trip_window"),
+        (window == "timestamp_out_of_range", SKIPPED, "timestamp_out_of_range"),
         (window == "invalid_trip_window", SKIPPED, "invalid_trip_window"),
         (F.col("company_id").isNull(), SKIPPED, "unresolved_company"),
     )
@@ -323,23 +329,22 @@ def conform_trip_score(
 def mark_duplicates(judged: DataFrame, keys: list[str], keep: str) -> DataFrame:
     """Sets the status of all resolved rows but one per key (``keep`` first or last) to ``deduped``.
 
-    The kept position per key comes from a partial aggregate, which a frequent key does not slow
-    down, and is joined back; no window over whole groups is needed.
+    The judged rows are written to the shared folder once: their keys and positions are read for the
+    kept position per key, a partial aggregate which a frequent key does not slow down, and all of
+    them for the join with it on the typed keys. Rows that are not resolved pass by the join.
     """
+    judged = cut_lineage(judged, "judged")
     resolved = F.col("_status") == RESOLVED
     best = (F.min if keep == "first" else F.max)("_position").alias("_kept_position")
-    key_text = F.to_json(F.struct(*keys))
-    kept = judged.filter(resolved).groupBy(*keys).agg(best).withColumn("_key_text", key_text)
-    joined = left_lookup(
-        judged, F.when(resolved, key_text), kept, "_key_text", ["_kept_position"],
-        spread_by=["_position"],
-    )
-    extra = resolved & (F.col("_position") != F.col("_kept_position"))
-    return joined.select(
+    usable = judged.filter(resolved)
+    kept = usable.groupBy(*keys).agg(best)
+    extra = F.col("_position") != F.col("_kept_position")
+    marked = usable.join(kept, keys).select(
         *[c for c in judged.columns if c not in ("_status", "_reason")],
         F.when(extra, DEDUPED).otherwise(F.col("_status")).alias("_status"),
         F.when(extra, "duplicate_key").otherwise(F.col("_reason")).alias("_reason"),
     )
+    return marked.unionByName(judged.filter(~resolved))
 
 
 # --- trip details ---------------------------------------------------------------------------------
@@ -360,7 +365,11 @@ def _conform_points(raw: DataFrame, keys: list[str]) -> DataFrame:
     missing = F.lit(False)
     for k in keys:
         missing = missing | F.col(k).isNull()
-    return _status(mapped, (missing, SKIPPED, "missing_required_fields"))
+    return _status(
+        mapped,
+        (missing, SKIPPED, "missing_required_fields"),
+        (~epoch_in_range(F.col("timestamp_ms")), SKIPPED, "timestamp_out_of_range"),
+    )
 
 
 def conform_trip_location(raw: DataFrame) -> DataFrame:

@@ -7,16 +7,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from milepost.functions.coerce import to_long
 from milepost.functions.measures import epoch_ms_to_timestamp
-from milepost.operators import conform
+from milepost.operators import conform, dedup
 from milepost.operators.merge import DISCOVERED_FLEET_COLUMNS
 from milepost.operators.lookups import details_for_worklist, trip_detail_worklist
 from milepost.operators.reports import conversion_summary, union_all
 from milepost.plans.tables import (
     StoredTable, advance_watermark, merge_into, read_watermark,
 )
-from milepost.plans.windows import DateWindow, resolve_window
+from milepost.plans.windows import RunWindow, window_of
 from milepost.schemas import (
     DRIVER_KEY, DRIVER_SCORE_KEY, FLEET_KEY, INCIDENT_COLUMNS, INCIDENT_KEY, LAST_INCIDENT_COLUMNS,
     LOCATION_KEY, SCORE_COLUMNS, TRIP_KEY,
@@ -79,30 +78,35 @@ def driver_table(path: str, buckets: int = 64) -> StoredTable:
 
 
 def point_tables(location_path: str, incident_path: str) -> tuple[StoredTable, StoredTable]:
-    """Point tables by day: the timestamp belongs to the key."""
+    """Point tables by month: the timestamp belongs to the key, and years of points stay few folders."""
     return (
-        StoredTable("trip_location", location_path, LOCATION_KEY, [], partition="point_day"),
-        StoredTable("trip_incident", incident_path, INCIDENT_KEY, [], partition="point_day"),
+        StoredTable("trip_location", location_path, LOCATION_KEY, [], partition="point_month"),
+        StoredTable("trip_incident", incident_path, INCIDENT_KEY, [], partition="point_month"),
     )
 
 
-def with_point_day(points: DataFrame) -> DataFrame:
-    return points.withColumn(
-        "point_day", epoch_ms_to_timestamp(F.col("timestamp_ms")).cast("date")
-    )
+def with_point_month(points: DataFrame) -> DataFrame:
+    moment = epoch_ms_to_timestamp(F.col("timestamp_ms"))
+    return points.withColumn("point_month", F.trunc(moment.cast("date"), "month"))
 
 
-def raw_trips_in_window(raw: DataFrame, window: DateWindow) -> DataFrame:
-    """Landed rows whose end time lies in the window. Rows without a readable end time stay, so that
-    they are counted as rejects."""
-    ended = epoch_ms_to_timestamp(to_long("endDate"))
-    start, end = (F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz") for v in
-                  (window.start.replace(tzinfo=None), window.end.replace(tzinfo=None)))
-    return (
-        raw.withColumn("_ended", ended)
-        .filter(F.col("_ended").isNull() | (F.col("_ended") >= start) & (F.col("_ended") < end))
-        .drop("_ended")
-    )
+def landed_in_window(raw: DataFrame, window: RunWindow, run: str = "run_ts") -> DataFrame:
+    """Rows of the landed runs that began in the window.
+
+    A window selects runs. No row is left out for its own times: a trip that ended long before it was
+    landed is loaded with the run that brought it. Rows of a run without a readable time stay, and so
+    do all rows where landed data has no runs.
+    """
+    if run not in raw.columns:
+        return raw
+    began = F.col(run).cast("timestamp_ntz")
+    start, end = (F.lit(str(v.replace(tzinfo=None))).cast("timestamp_ntz") for v in (window.start, window.end))
+    return raw.filter(began.isNull() | ((began >= start) & (began < end)))
+
+
+def source_order(raw: DataFrame) -> str | None:
+    """The column that orders all rows, where the source has made one."""
+    return "source_order" if "source_order" in raw.columns else None
 
 
 def load_trips(
@@ -118,18 +122,17 @@ def load_trips(
     dry_run: bool = False,
     job: str = "trip_scores",
     **window_options,
-) -> tuple[DateWindow, DataFrame, DataFrame]:
+) -> tuple[RunWindow, DataFrame, DataFrame]:
     """One run of the trip load; returns the window, the merge counts and the conversion summary.
 
     The watermark moves only after the merge has been written, and never in a dry run, so a run
     that fails is repeated over the same window. The merge is idempotent.
     """
-    mark = read_watermark(spark, watermark_path, job)
-    window = resolve_window(mode, now, watermark=mark, **window_options)
-    judged = conform.conform_trip_score(
-        raw_trips_in_window(raw, window), fleets, drivers, position
-    )
-    judged = cut_lineage(judged, "judged-trips")
+    if mode == "since_last_success":
+        window_options["watermark"] = read_watermark(spark, watermark_path, job)
+    window = window_of(mode, now, **window_options)
+    rows = landed_in_window(raw, window)
+    judged = conform.conform_trip_score(rows, fleets, drivers, position, source_order(raw))
     batch = with_end_day(conform.accepted(judged))
     counts = merge_into(spark, table, batch, window.end.replace(tzinfo=None), dry_run)
     if not dry_run:
@@ -137,13 +140,19 @@ def load_trips(
     return window, counts, conversion_summary(judged, "trip_scores")
 
 
+def judge_points(raw: DataFrame, table: StoredTable) -> DataFrame:
+    """Every landed point of the table's kind with its status."""
+    incidents = table.keys == INCIDENT_KEY
+    return (conform.conform_trip_incident if incidents else conform.conform_trip_location)(raw)
+
+
+def distinct_points(judged: DataFrame, table: StoredTable) -> DataFrame:
+    """Usable, distinct points."""
+    return with_point_month(dedup.distinct_points(conform.accepted(judged), table.keys))
+
+
 def conform_points(raw: DataFrame, table: StoredTable) -> DataFrame:
-    """Usable, distinct points of the table's kind."""
-    if table.keys == INCIDENT_KEY:
-        points = conform.dedup_incidents(conform.accepted(conform.conform_trip_incident(raw)))
-    else:
-        points = conform.dedup_locations(conform.accepted(conform.conform_trip_location(raw)))
-    return with_point_day(points)
+    return distinct_points(judge_points(raw, table), table)
 
 
 def load_points(

@@ -14,21 +14,29 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from milepost.functions.jsontext import to_json_text
 from milepost.operators import conform, lookups
 from milepost.operators.dedup import first_by
 from milepost.operators.merge import discovered_fleet_rows
 from milepost.plans import daily
 from milepost.plans.tables import (
-    StoredTable, advance_watermark, merge_into, partition_values, read_table, refresh_rollups,
+    StoredTable, advance_watermark, merge, read_table, refresh_rollups,
 )
-from milepost.plans.windows import DateWindow, snapshot_date
+from milepost.plans.windows import RunWindow, snapshot_date
 from milepost.schemas import DRIVER_KEY, FLEET_KEY
 from milepost.session import cut_lineage
 
 
+REJECTS = "status string, reason string, row string"
+
+
 @dataclass(frozen=True)
 class Landed:
-    """Landed rows per entity as text columns; score and trip rows also carry ``position``."""
+    """Landed rows per entity as text columns, as ``sources.entity.read_entity`` gives them.
+
+    Score and trip rows carry ``position`` and, where there are several documents, ``source_order``.
+    Rows with a ``run_ts`` belong to a landed run.
+    """
 
     fleet_search: DataFrame
     fleets: DataFrame
@@ -97,7 +105,7 @@ class RunReport:
             self.steps.append((entity, "ok", *counts.first()[1:], rejects, None))
             return True
         except (PySparkException, Py4JError) as exc:
-            self.steps.append((entity, "error", 0, 0, 0, 0, str(exc)[:2000]))
+            self.steps.append((entity, "error", 0, 0, 0, 0, str(exc)))
             return False
 
     def skip(self, entity: str, why: str) -> None:
@@ -122,126 +130,152 @@ def _complete(df: DataFrame, like: DataFrame) -> DataFrame:
     )
 
 
+def _keep_rejects(
+    warehouse: Warehouse, entity: str, run_at: datetime, judged: DataFrame, dry_run: bool
+) -> int:
+    """Stores the rows that a step rejects, with status and reason, and counts them.
+
+    They go to a folder of the run and the entity, which a repeated run replaces.
+    """
+    rejects = conform.rejected(judged)
+    if dry_run:
+        return rejects.count()
+    values = [c for c in rejects.columns if c not in ("_status", "_reason")]
+    path = f"{warehouse.path('rejects')}/run_at={run_at:%Y%m%dT%H%M%S}/entity={entity}"
+    rejects.select(
+        F.col("_status").alias("status"), F.col("_reason").alias("reason"), to_json_text(F.struct(*values)).alias("row")
+    ).write.mode("overwrite").parquet(path)
+    return rejects.sparkSession.read.schema(REJECTS).parquet(path).count()
+
+
+def read_rejects(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """Rejected rows of all runs: run_at, entity, status, reason, row (JSON)."""
+    return spark.read.schema(REJECTS + ", run_at string, entity string").parquet(warehouse.path("rejects"))
+
+
 def run_daily(
     spark: SparkSession,
     landed: Landed,
     directory: Directory,
     warehouse: Warehouse,
-    window: DateWindow,
+    window: RunWindow,
     run_at: datetime,
     default_location: Column,
     dry_run: bool = False,
     job: str = "daily",
+    refresh: str = "all",
 ) -> RunReport:
-    """One run over a window.
+    """One run over a window of landed runs; every row of a run is loaded or kept as a reject.
 
     When the drivers cannot be loaded, scores and trips are skipped, as they refer to them; points
-    are still loaded. Rollups are refreshed for the days the run touched. The watermark moves only if
-    no step failed, and not in a dry run.
+    are still loaded. Rollups also depend on companies, subscriptions, drivers and users, so all days
+    are rebuilt; ``refresh="touched"`` rebuilds the days of the loaded trips only, for runs between
+    full ones. The watermark moves only if no step failed, and not in a dry run. A dry run judges
+    every step against the tables as the steps before would leave them.
     """
+    if refresh not in ("all", "touched"):
+        raise ValueError(f"refresh is 'all' or 'touched', not {refresh!r}")
     report = RunReport()
     stamp = window.end.replace(tzinfo=None)
+    views: dict[str, DataFrame] = {}
+    touched: dict[str, list] = {}
+
+    def load(entity: str, table: StoredTable, batch: DataFrame, rejects: int) -> tuple[DataFrame, int]:
+        done = merge(spark, table, batch, stamp, dry_run)
+        views[entity], touched[entity] = done.table, done.touched
+        return done.counts, rejects
+
+    def keep(entity: str, judged: DataFrame) -> int:
+        return _keep_rejects(warehouse, entity, run_at, judged, dry_run)
+
+    def rows_in_window(raw: DataFrame) -> DataFrame:
+        return daily.landed_in_window(raw, window)
 
-    def load(table: StoredTable, judged: DataFrame, batch: DataFrame) -> tuple[DataFrame, int]:
-        rejects = conform.rejected(judged).count()
-        return merge_into(spark, table, batch, stamp, dry_run), rejects
+    def judged_fleets() -> DataFrame:
+        if "fleet rows" not in views:
+            rows = conform.conform_fleet(rows_in_window(landed.fleets), directory.companies)
+            views["fleet rows"] = cut_lineage(rows, "fleets")
+        return views["fleet rows"]
 
-    fleet_rows = cut_lineage(conform.conform_fleet(landed.fleets, directory.companies), "fleets")
-    fleet_batch = first_by(conform.accepted(fleet_rows), FLEET_KEY, [F.col("internal_id")])
+    def fleet_batch() -> DataFrame:
+        return first_by(conform.accepted(judged_fleets()), FLEET_KEY, [F.col("internal_id")])
 
     def discover() -> tuple[DataFrame, int]:
+        like = fleet_batch().limit(0)
         known = read_table(spark, warehouse.fleet.path)
-        known = fleet_batch.limit(0) if known is None else known
         reconciled = cut_lineage(
             lookups.reconcile_fleets(
-                lookups.normalize_discovered_fleet(landed.fleet_search), known,
-                directory.companies,
+                lookups.normalize_discovered_fleet(landed.fleet_search),
+                like if known is None else known, directory.companies,
             ),
             "reconciled",
         )
-        batch = _complete(discovered_fleet_rows(reconciled), fleet_batch)
+        batch = _complete(discovered_fleet_rows(reconciled), like)
         table = daily.discovered_fleet_table(warehouse.fleet.path)
-        pending = reconciled.filter("outcome = 'pending'").count()
-        return merge_into(spark, table, batch, stamp, dry_run), pending
+        return load("fleets", table, batch, reconciled.filter("outcome = 'pending'").count())
 
-    report.step("discovery", discover)
-    report.step("fleets", lambda: load(warehouse.fleet, fleet_rows, fleet_batch))
-
-    driver_rows = conform.conform_driver(landed.drivers, directory.users, default_location)
-    drivers: list[DataFrame] = []
+    def load_fleets() -> tuple[DataFrame, int]:
+        rejects = keep("fleets", judged_fleets())
+        return load("fleets", warehouse.fleet, fleet_batch(), rejects)
 
     def load_drivers() -> tuple[DataFrame, int]:
-        judged = cut_lineage(driver_rows, "drivers")
+        rows = conform.conform_driver(rows_in_window(landed.drivers), directory.users, default_location)
+        judged = cut_lineage(rows, "drivers")
         batch = first_by(conform.accepted(judged), DRIVER_KEY, [F.col("account_id")])
-        result = load(warehouse.driver, judged, batch.drop("_focus_id"))
-        drivers.append(read_table(spark, warehouse.driver.path) if not dry_run else batch)
-        return result
-
-    days: set = set()
-    if report.step("drivers", load_drivers):
-        stored_fleets = read_table(spark, warehouse.fleet.path)
-        fleets = fleet_batch if stored_fleets is None else stored_fleets
-
-        def load_scores() -> tuple[DataFrame, int]:
-            day = snapshot_date("end_date", end=window.end, now=run_at)
-            judged = cut_lineage(
-                conform.conform_driver_score(
-                    landed.driver_scores, fleets, drivers[0], day, "position"
-                ),
-                "scores",
-            )
-            return load(warehouse.driver_score, judged, conform.accepted(judged))
-
-        def load_trips() -> tuple[DataFrame, int]:
-            inside = daily.raw_trips_in_window(landed.trip_scores, window)
-            judged = cut_lineage(
-                conform.conform_trip_score(inside, fleets, drivers[0], "position"), "trips"
-            )
-            batch = daily.with_end_day(conform.accepted(judged))
-            days.update(partition_values(batch, "end_day"))
-            before = read_table(spark, warehouse.trip_score.path)
-            if before is not None:
-                held = before.select("trip_id", "end_day").join(
-                    batch.select("trip_id"), "trip_id", "left_semi"
-                )
-                days.update(partition_values(held, "end_day"))
-            return load(warehouse.trip_score, judged, batch)
+        return load("drivers", warehouse.driver, batch.drop("_focus_id"), keep("drivers", judged))
+
+    def load_scores() -> tuple[DataFrame, int]:
+        day = snapshot_date("end_date", end=window.end, now=run_at)
+        raw = rows_in_window(landed.driver_scores)
+        judged = conform.conform_driver_score(
+            raw, views["fleets"], views["drivers"], day, "position", daily.source_order(raw)
+        )
+        return load("driver_scores", warehouse.driver_score, conform.accepted(judged), keep("driver_scores", judged))
+
+    def load_trips() -> tuple[DataFrame, int]:
+        raw = rows_in_window(landed.trip_scores)
+        judged = conform.conform_trip_score(
+            raw, views["fleets"], views["drivers"], "position", daily.source_order(raw)
+        )
+        batch = daily.with_end_day(conform.accepted(judged))
+        return load("trip_scores", warehouse.trip_score, batch, keep("trip_scores", judged))
 
+    report.step("discovery", discover)
+    fleets_loaded = report.step("fleets", load_fleets)
+    if not fleets_loaded and "fleets" not in views:
+        stored = read_table(spark, warehouse.fleet.path)
+        if stored is not None:
+            views["fleets"] = stored
+    if report.step("drivers", load_drivers) and "fleets" in views:
         report.step("driver_scores", load_scores)
         report.step("trip_scores", load_trips)
     else:
+        missing = "drivers" if "drivers" not in views else "fleets"
         for entity in ("driver_scores", "trip_scores"):
-            report.skip(entity, "drivers were not loaded")
+            report.skip(entity, f"{missing} were not loaded")
 
-    raw_points = (landed.trip_locations, landed.trip_incidents)
-    for table, raw in zip(warehouse.points, raw_points):
-        judge = (
-            conform.conform_trip_incident if "incident_type" in table.keys
-            else conform.conform_trip_location
-        )
-        report.step(
-            table.name,
-            lambda table=table, raw=raw, judge=judge: load(
-                table, judge(raw), daily.conform_points(raw, table)
-            ),
-        )
+    for table, raw in zip(warehouse.points, (landed.trip_locations, landed.trip_incidents)):
+        def load_points(table=table, raw=raw) -> tuple[DataFrame, int]:
+            judged = cut_lineage(daily.judge_points(rows_in_window(raw), table), "points")
+            return load(table.name, table, daily.distinct_points(judged, table), keep(table.name, judged))
 
-    if not dry_run and days:
-        report.step(
-            "rollups", lambda: _refresh(spark, directory, warehouse, sorted(days))
-        )
+        report.step(table.name, load_points)
+
+    if not dry_run and "trip_scores" in touched:
+        days = None if refresh == "all" else sorted(d for d in touched["trip_scores"] if d is not None)
+        if days is None or days:
+            report.step("rollups", lambda: _refresh(spark, directory, warehouse, days))
     if not dry_run and not report.failed:
         advance_watermark(spark, warehouse.path("watermark"), job, window.end, run_at)
     return report
 
 
 def _refresh(
-    spark: SparkSession, directory: Directory, warehouse: Warehouse, days: list
+    spark: SparkSession, directory: Directory, warehouse: Warehouse, days: list[str] | None
 ) -> tuple[DataFrame, int]:
-    """Rollups of some days; the counts are trips and driver-days in the day rollup."""
-    trips = read_table(spark, warehouse.trip_score.path).filter(F.col("end_day").isin(days))
+    """Rollups of all days or some; the counts are trips and driver-days in the day rollup."""
     stored = refresh_rollups(
-        conform.derive_trip_times(trips), directory.subscriptions,
+        conform.derive_trip_times(read_table(spark, warehouse.trip_score.path, days)), directory.subscriptions,
         directory.company_subscriptions, directory.companies,
         read_table(spark, warehouse.driver.path), directory.users, warehouse.path("rollups"),
         days=days,

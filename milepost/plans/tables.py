@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.operators import rollups
-from milepost.operators.merge import KEEP, merge_counts, merged_table, upsert
+from milepost.operators.merge import AUDIT, KEEP, merge_counts, merged_table, upsert
 from milepost.operators.reports import union_all
+from milepost.plans import store
 from milepost.session import cut_lineage
 
 
@@ -43,52 +44,39 @@ class StoredTable:
         return df.withColumn(self.partition, bucket)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, or None before its first load."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
+def read_table(spark: SparkSession, path: str, values: list[str | None] | None = None) -> DataFrame | None:
+    """The stored table (or some of its partitions, by their values as text); None before its first load."""
+    version = store.latest(spark, path)
+    return None if version is None else store.read_version(spark, version, values)
 
-def partition_values(df: DataFrame, partition: str) -> list:
-    """Distinct partition values: one per folder, not per row."""
-    return [r[0] for r in df.select(partition).distinct().collect()]
 
-
-def drop_partitions(spark: SparkSession, path: str, partition: str, values) -> None:
-    fs = spark._jvm.org.apache.hadoop.fs
-    for value in values:
-        folder = fs.Path(f"{path}/{partition}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+def partition_values(df: DataFrame, partition: str) -> list[str | None]:
+    """Distinct partition values as text: one per folder, not per row."""
+    return [r[0] for r in df.select(F.col(partition).cast("string")).distinct().collect()]
 
 
 def write_partitions(
-    df: DataFrame, path: str, partition: str, replaced: list | None = None
-) -> None:
-    """Replaces a stored table, or only the given partitions of it.
+    df: DataFrame, path: str, partition: str, replaced: list[str | None] | None = None
+) -> DataFrame:
+    """Replaces a stored table, or only the given partitions of it, and returns what was written.
 
-    Rebalancing brings the rows of a partition together and, by their measured size, splits large
-    partitions over several tasks and files and joins small ones. Replaced partitions for which there
-    are no rows are dropped first; a run that dies in between is repeated, as its watermark has not
-    moved.
+    Replaced partitions for which there are no rows go. The new version counts once it is complete.
     """
-    writer = df.hint("rebalance", F.col(partition)).write.mode("overwrite")
-    if replaced is None:
-        writer.option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path)
-        return
-    present = partition_values(df, partition)
-    drop_partitions(df.sparkSession, path, partition, set(replaced) - set(present))
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    spark = df.sparkSession
+    before = store.latest(spark, path)
+    written = store.write_folders(df, path, partition)
+    kept = {} if before is None or replaced is None else {
+        v: f for v, f in before.folders.items() if v not in set(replaced) | set(written)
+    }
+    version = store.commit(spark, path, before, df.schema, kept | written)
+    return store.read_version(spark, version, list(written))
 
 
 def write_table(df: DataFrame, table: StoredTable) -> None:
     write_partitions(table.with_partition(df), table.path, table.partition)
 
 
-def touched_partitions(table: StoredTable, target: DataFrame, batch: DataFrame) -> list:
+def touched_partitions(table: StoredTable, target: DataFrame, batch: DataFrame) -> list[str | None]:
     """Partitions the batch goes to, and those its keys are stored in now.
 
     Where rows can move, the second part reads the key columns of the table; the batch is the
@@ -103,36 +91,58 @@ def touched_partitions(table: StoredTable, target: DataFrame, batch: DataFrame)
     return partition_values(values, table.partition)
 
 
-def merge_into(
+@dataclass(frozen=True)
+class Merge:
+    """What a merge did: its counts, the table as it is (or, after a dry run, would be), and the
+    partitions that it touched."""
+
+    counts: DataFrame
+    table: DataFrame
+    touched: list[str | None]
+
+
+def merge(
     spark: SparkSession,
     table: StoredTable,
     batch: DataFrame,
     stamp: datetime,
     dry_run: bool = False,
-) -> DataFrame:
-    """Merges a batch (one row per key) into a stored table and returns the merge counts.
+) -> Merge:
+    """Merges a batch (one row per key) into a stored table.
 
-    Only partitions that the batch touches are read and rewritten. Their merged rows are first
-    written to the shared folder: the table is never read and overwritten by one job, and a lost
-    executor cannot recompute a row from a half-overwritten table. A dry run stops there.
+    Only partitions that the batch touches are read and written, each into a new folder, once, with
+    the action of each row; counts come from that column. The new version counts when its manifest is
+    there. A dry run goes the same way and makes no version; its folders stay for :attr:`Merge.table`
+    and are named by none (``store.vacuum`` removes them).
     """
-    target = read_table(spark, table.path)
+    before = store.latest(spark, table.path)
     batch = cut_lineage(table.with_partition(batch), f"{table.name}-batch")
-    if target is None:
+    if before is None:
         target = spark.createDataFrame([], batch.schema)
-        for c in ("created_at", "updated_at", "last_synced_at"):
+        for c in AUDIT:
             target = target.withColumn(c, F.lit(None).cast("timestamp_ntz"))
-        touched = []
+        touched = partition_values(batch, table.partition)
     else:
-        touched = touched_partitions(table, target, batch)
-        target = target.filter(F.col(table.partition).isin(touched))
-    actions = upsert(
-        target, batch, table.keys, table.update_columns, stamp, table.generated
-    )
-    actions = cut_lineage(actions, f"{table.name}-merge")
-    if not dry_run:
-        write_partitions(merged_table(actions), table.path, table.partition, touched)
-    return merge_counts(actions.filter(F.col("_action") != KEEP), table.name)
+        touched = touched_partitions(table, store.read_version(spark, before), batch)
+        target = store.read_version(spark, before, touched)
+    actions = upsert(target, batch, table.keys, table.update_columns, stamp, table.generated)
+    written = store.write_folders(actions, table.path, table.partition)
+    found = store.read_folders(spark, actions.schema, sorted(written.values()))
+    counts = cut_lineage(merge_counts(found.select("_action").filter(F.col("_action") != KEEP), table.name), "merge-counts")
+    kept = {} if before is None else {v: f for v, f in before.folders.items() if v not in touched}
+    schema = merged_table(actions).schema
+    if dry_run:
+        version = store.Version(0, schema, kept | written)
+    else:
+        version = store.commit(spark, table.path, before, schema, kept | written)
+    return Merge(counts, store.read_version(spark, version), touched)
+
+
+def merge_into(
+    spark: SparkSession, table: StoredTable, batch: DataFrame, stamp: datetime, dry_run: bool = False
+) -> DataFrame:
+    """The counts of :func:`merge`."""
+    return merge(spark, table, batch, stamp, dry_run).counts
 
 
 # --- watermark ------------------------------------------------------------------------------------
@@ -142,8 +152,11 @@ _MARKS = "job string, last_success_end timestamp_ntz, last_run_at timestamp_ntz"
 
 def read_watermark(spark: SparkSession, path: str, job: str) -> datetime | None:
     """End of the last successful window of a job."""
-    marks = read_table(spark, path)
-    if marks is None:
+    try:
+        marks = spark.read.schema(_MARKS).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     return marks.filter(F.col("job") == job).agg(F.max("last_success_end")).first()[0]
 
@@ -182,31 +195,28 @@ def refresh_rollups(
     )
     ended_on = F.col("end_date_datetime").cast("date")
     if days is not None:
-        trips = trips.filter(ended_on.isin(days))
+        trips = trips.filter(ended_on.cast("string").isin([str(d) for d in days]))
+
+    replaced = None if days is None else [str(d) for d in days]
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{out_path}/{name}"
-        # replacing single days looks at the rows twice, so they are worked out once
-        rows = df if days is None else cut_lineage(df, name)
-        write_partitions(rows, path, "reporting_day", days)
-        stored = spark.read.schema(df.schema).parquet(path)
-        return stored if days is None else stored.filter(F.col("reporting_day").isin(days))
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        return write_partitions(df, f"{out_path}/{name}", "reporting_day", replaced)
 
     stored = {}
     trip_list = rollups.driver_trip_list(trips, eligible, drivers, users)
-    stored["driver_trip_list"] = store(
+    stored["driver_trip_list"] = keep(
         "driver_trip_list", trip_list.withColumn("reporting_day", ended_on)
     )
     combined = rollups.trip_event_day_rollup(
         trips, eligible, companies, drivers, users, with_bucket=True
     )
     plain, events = rollups.split_day_rollups(cut_lineage(combined, "day-rollups"))
-    stored["trip_day_rollup"] = store("trip_day_rollup", plain)
-    stored["performance_groups"] = store(
+    stored["trip_day_rollup"] = keep("trip_day_rollup", plain)
+    stored["performance_groups"] = keep(
         "performance_groups", rollups.performance_groups(stored["trip_day_rollup"])
     )
-    stored["trip_event_day_rollup"] = store("trip_event_day_rollup", events)
-    stored["trip_event_groups"] = store(
+    stored["trip_event_day_rollup"] = keep("trip_event_day_rollup", events)
+    stored["trip_event_groups"] = keep(
         "trip_event_groups", rollups.trip_event_groups(stored["trip_event_day_rollup"])
     )
     return stored
@@ -232,7 +242,7 @@ def rollup_totals(stored: dict[str, DataFrame]) -> DataFrame:
 
 
 __all__ = [
-    "StoredTable", "advance_watermark", "drop_partitions", "merge_into", "read_table",
-    "read_watermark", "refresh_rollups", "rollup_totals", "touched_partitions", "write_partitions",
+    "Merge", "StoredTable", "advance_watermark", "merge", "merge_into", "read_table", "read_watermark",
+    "refresh_rollups", "rollup_totals", "touched_partitions", "write_partitions",
     "write_table",
 ]

@@ -2,107 +2,106 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from datetime import date, datetime, time, timedelta, timezone
+from collections.abc import Callable
+from datetime import date, datetime, timedelta, timezone
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Look-back limit of a stale watermark, default and flagged range lengths in days.
-MAX_LOOKBACK_DAYS = 30
-DEFAULT_RANGE_DAYS = 30
-LONG_RANGE_DAYS = 45
+# How far back a stale watermark reaches, the window of a first run, the default range
+# and the length from which a range is flagged.
+LOOKBACK = timedelta(days=30)
+FIRST_RUN = timedelta(days=1)
+DEFAULT_RANGE = timedelta(days=30)
+LONG_RANGE = timedelta(days=45)
 
 
-@dataclass(frozen=True)
-class DateWindow:
-    """Half-open UTC window with the rule it came from."""
+class RunWindow(NamedTuple):
+    """Half-open UTC window ``[start, end)`` and the name of the rule that made it."""
 
     start: datetime
     end: datetime
     source: str
 
-    def __post_init__(self):
-        if self.end < self.start:
-            raise ValueError(f"window ends before it starts: {self.start} > {self.end}")
 
+def moment(value: datetime | str) -> datetime:
+    """A date-time, or one in ISO format, as UTC to the second; without a zone it is UTC already."""
+    given = datetime.fromisoformat(value) if isinstance(value, str) else value
+    zoned = given if given.tzinfo else given.replace(tzinfo=timezone.utc)
+    return zoned.astimezone(timezone.utc).replace(microsecond=0)
 
-def _utc(moment: datetime) -> datetime:
-    if moment.tzinfo is None:
-        moment = moment.replace(tzinfo=timezone.utc)
-    return moment.astimezone(timezone.utc).replace(microsecond=0)
 
+def checked(start: datetime | str, end: datetime | str, source: str) -> RunWindow:
+    """The window between two moments in order."""
+    window = RunWindow(moment(start), moment(end), source)
+    if window.start > window.end:
+        raise ValueError(f"{source}: {window.start} is after {window.end}")
+    return window
 
-def parse_moment(text: str) -> datetime:
-    """ISO date-time or date, read as UTC when it names no zone."""
-    text = text.split("#", 1)[0].strip()
-    try:
-        return _utc(datetime.fromisoformat(text.replace("Z", "+00:00")))
-    except ValueError:
-        return _utc(datetime.combine(date.fromisoformat(text.split()[0]), time.min))
 
+def _start_after(mark, now, earlier: Callable, later: Callable):
+    """Start rule of the watermark: within the look-back, and not in the future."""
+    return earlier(later(mark, now - (LOOKBACK if isinstance(now, datetime) else F.lit(LOOKBACK))), now)
 
-def resolve_window(
-    mode: str,
-    now: datetime,
-    *,
-    hours: int = 24,
-    watermark: datetime | str | None = None,
-    start: datetime | str | None = None,
-    end: datetime | str | None = None,
-) -> DateWindow:
-    """Window of one run.
 
-    Modes: ``rolling_hours``, ``rolling_24h``, ``rolling_7d``, ``since_last_success``, ``utc_day``
-    and ``env`` (given start and end).
-    """
-    now = _utc(now)
-    if mode == "rolling_hours":
-        if hours <= 0:
-            raise ValueError("hours must be positive")
-        return DateWindow(now - timedelta(hours=hours), now, f"rolling_{hours}h")
-    if mode == "rolling_24h":
-        return DateWindow(now - timedelta(days=1), now, mode)
-    if mode == "rolling_7d":
-        return DateWindow(now - timedelta(days=7), now, mode)
-    if mode == "since_last_success":
-        if watermark is None:
-            return DateWindow(now - timedelta(days=1), now, "rolling_24h")
-        mark = parse_moment(watermark) if isinstance(watermark, str) else _utc(watermark)
-        floor = now - timedelta(days=MAX_LOOKBACK_DAYS)
-        return DateWindow(min(max(mark, floor), now), now, mode)
-    if mode == "utc_day":
-        midnight = datetime.combine(now.date(), time.min, tzinfo=timezone.utc)
-        return DateWindow(midnight, midnight + timedelta(days=1), mode)
-    if mode == "env":
-        if start is None or end is None:
-            raise ValueError("mode env needs start and end")
-        bounds = [parse_moment(v) if isinstance(v, str) else _utc(v) for v in (start, end)]
-        return DateWindow(*bounds, mode)
-    raise ValueError(f"unknown window mode {mode!r}")
-
-
-def default_range(now: datetime, start=None, end=None) -> DateWindow:
+def _trailing(length: timedelta, source: str) -> Callable[..., RunWindow]:
+    return lambda now: checked(now - length, now, source)
+
+
+def _hours(now: datetime, hours: int = 24) -> RunWindow:
+    if hours < 1:
+        raise ValueError(f"a window of {hours} hours is empty")
+    return checked(now - timedelta(hours=hours), now, f"rolling_{hours}h")
+
+
+def _since(now: datetime, watermark: datetime | str | None = None) -> RunWindow:
+    if watermark is None:
+        return checked(now - FIRST_RUN, now, "rolling_24h")
+    return checked(_start_after(moment(watermark), now, min, max), now, "since_last_success")
+
+
+def _day(now: datetime) -> RunWindow:
+    midnight = now.replace(hour=0, minute=0, second=0)
+    return checked(midnight, midnight + timedelta(days=1), "utc_day")
+
+
+def _given(now: datetime, start: datetime | str, end: datetime | str) -> RunWindow:
+    return checked(start, end, "env")
+
+
+#: Rule of each mode; a rule takes the present moment and the options of its mode.
+MODES: dict[str, Callable[..., RunWindow]] = {
+    "rolling_24h": _trailing(timedelta(hours=24), "rolling_24h"),
+    "rolling_7d": _trailing(timedelta(days=7), "rolling_7d"),
+    "rolling_hours": _hours,
+    "since_last_success": _since,
+    "utc_day": _day,
+    "env": _given,
+}
+
+
+def window_of(mode: str, now: datetime, **options) -> RunWindow:
+    """Window of a run that starts now: a mode of :data:`MODES` and its options."""
+    if mode not in MODES:
+        raise ValueError(f"no window mode {mode!r}; there are {', '.join(MODES)}")
+    return MODES[mode](moment(now), **options)
+
+
+def default_range(now: datetime, start=None, end=None) -> RunWindow:
     """Given bounds, or the last 30 days when neither is given."""
-    if (start is None) != (end is None):
-        raise ValueError("start and end must both be given or both be left out")
-    if start is None:
-        now = _utc(now)
-        return DateWindow(now - timedelta(days=DEFAULT_RANGE_DAYS), now, "default")
-    return resolve_window("env", now, start=start, end=end)
+    given = [x for x in (start, end) if x is not None]
+    if len(given) == 1:
+        raise ValueError("a range needs both bounds or none")
+    return checked(*given, "env") if given else checked(moment(now) - DEFAULT_RANGE, now, "default")
 
 
 def snapshot_date(mode: str, *, end: datetime, now: datetime, custom: date | None = None) -> date:
     """Snapshot date of score rows that carry none: end of the range, run date or a given date."""
-    if mode == "end_date":
-        return end.date()
-    if mode == "run_date":
-        return now.date()
-    if mode == "custom":
-        if custom is None:
-            raise ValueError("mode custom needs a date")
-        return custom
-    raise ValueError(f"unknown snapshot mode {mode!r}")
+    dates = {"end_date": end.date(), "run_date": now.date(), "custom": custom}
+    if dates.get(mode) is None:
+        raise ValueError(f"no snapshot date for mode {mode!r}")
+    return dates[mode]
 
 
 def since_watermark(marks: DataFrame, mark: str, now: Column) -> DataFrame:
@@ -110,17 +109,20 @@ def since_watermark(marks: DataFrame, mark: str, now: Column) -> DataFrame:
 
     A missing watermark gives the last 24 hours.
     """
-    floor = now - F.expr(f"INTERVAL {MAX_LOOKBACK_DAYS} DAYS")
-    start = F.when(F.col(mark).isNull(), now - F.expr("INTERVAL 1 DAY")).otherwise(
-        F.least(F.greatest(F.col(mark), floor), now)
+    first = F.col(mark).isNull()
+    start = _start_after(F.col(mark), now, F.least, F.greatest)
+    return marks.withColumns(
+        {
+            "window_start": F.when(first, now - F.lit(FIRST_RUN)).otherwise(start),
+            "window_end": now,
+            "window_source": F.when(first, "rolling_24h").otherwise("since_last_success"),
+        }
     )
-    source = F.when(F.col(mark).isNull(), "rolling_24h").otherwise("since_last_success")
-    return marks.withColumns({"window_start": start, "window_end": now, "window_source": source})
 
 
 def range_check(ranges: DataFrame, start: str, end: str) -> DataFrame:
     """Marks ranges that end before they start or span more than 45 days."""
-    long = F.col(end) - F.expr(f"INTERVAL {LONG_RANGE_DAYS} DAYS") > F.col(start)
+    long = F.col(end) - F.lit(LONG_RANGE) > F.col(start)
     status = F.when(F.col(end) < F.col(start), "invalid").when(long, "over_45_days").otherwise("ok")
     return ranges.withColumn("range_status", status)
 
@@ -138,7 +140,7 @@ def daily_windows(ranges: DataFrame, start: str, end: str) -> DataFrame:
     ).filter("day_start <> day_end")
 
 
-def windows_frame(spark: SparkSession, windows: list[DateWindow]) -> DataFrame:
+def windows_frame(spark: SparkSession, windows: list[RunWindow]) -> DataFrame:
     rows = [
         (w.start.replace(tzinfo=None), w.end.replace(tzinfo=None), w.source) for w in windows
     ]

@@ -1,8 +1,12 @@
 """Entity JSON documents: an object, a list, or an object of lists per group.
 
-A document is one landed API answer, so its size is bounded by the API's page limits; a load has
-many documents, which are read in parallel. Layouts: ``files`` (one document per file), ``lines``
-(one document per line, files can be split) and ``rows`` (one row per line).
+Layouts: ``lines`` (one document per line, files can be split; the default), ``rows`` (one row per
+line) and ``files`` (one document per file: a file is one row of one task, so this is for files that a
+task can hold). Whatever is no row ends in the quarantine with a reason: ``not_json``, ``wrong_shape``
+(a document that is neither object nor list), ``group_not_a_list`` and ``not_an_object``.
+
+Rows carry ``position``, their number in their document from 1, and ``source_order``, which orders all
+rows of a folder by file, place in the file and position.
 """
 
 from __future__ import annotations
@@ -13,6 +17,7 @@ from pyspark.sql import functions as F
 from milepost.functions.coerce import text_or_null
 from milepost.functions.jsontext import is_json
 from milepost.operators.conform import SCORE_GROUP, TRIP_GROUP
+from milepost.operators.reports import union_all
 from milepost.schemas import LANDED
 
 # Default group key per grouped entity.
@@ -27,31 +32,57 @@ def _is_list(c: Column) -> Column:
     return F.ltrim(c).startswith("[")
 
 
-def flatten_grouped(documents: DataFrame, default_group: str, payload: str = "payload") -> DataFrame:
-    """Rows of ``{group: [rows]}`` documents, or of plain lists, as JSON text.
-
-    Adds ``group_key`` (the default when blank, NULL for plain lists), ``group_index``,
-    ``row_index`` and ``row_json``; keeps the other columns.
-    """
-    p = F.col(payload)
-    rest = [c for c in documents.columns if c != payload]
-    groups = F.when(
-        _is_list(p),
-        F.array(F.struct(F.lit(None).cast("string").alias("key"), p.alias("rows"))),
+def _groups(p: Column, default_group: str | None) -> Column:
+    """``(key, rows)`` of each group of a document; a plain list is one group without a key."""
+    return F.when(
+        _is_list(p), F.array(F.struct(F.lit(None).cast("string").alias("key"), p.alias("rows")))
     ).otherwise(
         F.transform(
             F.map_entries(F.from_json(p, "map<string,string>")),
             lambda e: F.struct(
-                F.coalesce(text_or_null(e["key"]), F.lit(default_group)).alias("key"),
-                e["value"].alias("rows"),
+                F.coalesce(text_or_null(e["key"]), F.lit(default_group)).alias("key"), e["value"].alias("rows")
             ),
         )
     )
-    grouped = documents.select(*rest, F.posexplode(groups).alias("group_index", "_group"))
-    rows = F.from_json("_group.rows", "array<string>")
-    return grouped.select(
-        *rest, F.col("_group.key").alias("group_key"), "group_index",
-        F.posexplode(rows).alias("row_index", "row_json"),
+
+
+_NO_ROWS = "array<struct<key:string,group:int,row:int,json:string>>"
+
+
+def flatten_grouped(
+    documents: DataFrame, default_group: str | None, payload: str = "payload"
+) -> DataFrame:
+    """Rows of ``{group: [rows]}`` documents, or of plain lists, as JSON text.
+
+    Adds ``group_key`` (the default when blank, NULL for plain lists), ``group_index``,
+    ``row_index`` (in the group), ``position`` (in the document, from 1) and ``row_json``; keeps the
+    other columns. Groups that are no lists have no rows; :func:`odd_groups` has them.
+    """
+    rest = [c for c in documents.columns if c != payload]
+    per_group = F.transform(
+        _groups(F.col(payload), default_group),
+        lambda g, i: F.coalesce(
+            F.transform(
+                F.when(_is_list(g["rows"]), F.from_json(g["rows"], "array<string>")),
+                lambda r, j: F.struct(g["key"].alias("key"), i.alias("group"), j.alias("row"), r.alias("json")),
+            ),
+            F.array().cast(_NO_ROWS),
+        ),
+    )
+    rows = documents.select(*rest, F.posexplode(F.flatten(per_group)).alias("_at", "_r"))
+    return rows.select(
+        *rest, F.col("_r.key").alias("group_key"), F.col("_r.group").alias("group_index"),
+        F.col("_r.row").alias("row_index"), (F.col("_at") + 1).cast("long").alias("position"),
+        F.col("_r.json").alias("row_json"),
+    )
+
+
+def odd_groups(documents: DataFrame, payload: str = "payload") -> DataFrame:
+    """Group values of object documents that are no lists, as ``content``; keeps the other columns."""
+    rest = [c for c in documents.columns if c != payload]
+    odd = F.filter(_groups(F.col(payload), None), lambda g: ~F.coalesce(_is_list(g["rows"]), F.lit(False)))
+    return documents.select(*rest, F.explode(odd).alias("_g")).select(
+        *rest, F.coalesce("_g.rows", F.lit("null")).alias("content")
     )
 
 
@@ -63,65 +94,70 @@ def parse_rows(rows: DataFrame, entity: str, row_json: str = "row_json") -> Data
     return rows.withColumn("_row", parsed).select(
         *keep,
         *[F.col(f"_row.{n}").alias(n) for n in names],
-        F.when(~_is_object(F.col(row_json)) | F.col(row_json).isNull(), F.col(row_json)).alias(
-            "_corrupt"
-        ),
+        F.when(
+            ~F.coalesce(_is_object(F.col(row_json)), F.lit(False)), F.coalesce(row_json, F.lit("null"))
+        ).alias("_corrupt"),
     )
 
 
 def rows_of_documents(documents: DataFrame, entity: str, payload: str = "payload") -> DataFrame:
     """Typed-text rows of one entity, in any of its document shapes."""
     p = F.col(payload)
-    if entity in DEFAULT_GROUPS:
-        flat = flatten_grouped(documents, DEFAULT_GROUPS[entity], payload)
-        parsed = parse_rows(flat, entity)
-        own = F.col("sourceGroupKey")
-        return parsed.withColumn("sourceGroupKey", F.coalesce(own, F.col("group_key")))
-    rest = [c for c in documents.columns if c != payload]
     if entity == "fleet":
+        rest = [c for c in documents.columns if c != payload]
         item = F.get_json_object(p, "$.item")
-        row = F.when(_is_object(item), item).otherwise(p)
-        rows = documents.select(*rest, F.lit(0).alias("row_index"), row.alias("row_json"))
-    else:
-        rows = documents.select(
-            *rest, F.posexplode(F.from_json(p, "array<string>")).alias("row_index", "row_json")
-        )
-    return parse_rows(rows, entity)
-
-
-def read_documents(spark: SparkSession, path: str, layout: str = "files") -> DataFrame:
-    """Landed files as ``source_file, payload``, with partition folders as columns."""
+        one = F.array(F.when(_is_object(item), item).otherwise(p))
+        found = F.when(_is_list(p), F.from_json(p, "array<string>")).otherwise(one)
+        rows = documents.select(*rest, F.posexplode(found).alias("row_index", "row_json"))
+        return parse_rows(rows.withColumn("position", (F.col("row_index") + 1).cast("long")), entity)
+    parsed = parse_rows(flatten_grouped(documents, DEFAULT_GROUPS.get(entity), payload), entity)
+    if entity not in DEFAULT_GROUPS:
+        return parsed
+    return parsed.withColumn("sourceGroupKey", F.coalesce("sourceGroupKey", "group_key"))
+
+
+def read_documents(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """Landed files as ``source_file, source_order, payload``, with partition folders as columns."""
     raw = spark.read.text(path, wholetext=layout == "files")
+    # ids grow within a task, and a task reads a split from its start
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
     return raw.select(
         F.col("_metadata.file_path").alias("source_file"),
+        place.alias("source_order"),
         F.col("value").alias("payload"),
         *[c for c in raw.columns if c != "value"],
     )
 
 
 def read_entity(
-    spark: SparkSession, path: str, entity: str, layout: str = "files"
+    spark: SparkSession, path: str, entity: str, layout: str = "lines"
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine) of one entity.
-
-    The quarantine holds rows that are no JSON objects and documents that are no JSON at all.
-    """
+    """(rows, quarantine) of one entity; every document and member is in one of them."""
     documents = read_documents(spark, path, layout)
-    usable = is_json(F.col("payload"))
-    unreadable = documents.filter(~usable).select(
-        "source_file", F.col("payload").alias("content"), F.lit("not_json").alias("reason")
-    )
-    documents = documents.filter(usable)
+    p = F.col("payload")
+    shaped = _is_object(p) | _is_list(p)
+
+    def out(df: DataFrame, content: Column, reason: str) -> DataFrame:
+        return df.select("source_file", content.alias("content"), F.lit(reason).alias("reason"))
+
+    usable = documents.filter(is_json(p))
+    bad = [out(documents.filter(~is_json(p)), p, "not_json")]
     if layout == "rows":
         rest = [c for c in documents.columns if c != "payload"]
-        lines = documents.select(
-            *rest, F.lit(0).alias("row_index"), F.col("payload").alias("row_json")
+        lines = usable.select(
+            *rest, F.lit(0).alias("row_index"), F.lit(1).cast("long").alias("position"), p.alias("row_json")
         )
         rows = parse_rows(lines, entity)
     else:
-        rows = rows_of_documents(documents, entity)
-    bad_rows = rows.filter("_corrupt IS NOT NULL").select(
-        "source_file", F.col("_corrupt").alias("content"), F.lit("not_an_object").alias("reason")
-    )
-    good = rows.filter("_corrupt IS NULL").drop("_corrupt")
-    return good, bad_rows.unionByName(unreadable)
+        bad.append(out(usable.filter(~shaped), p, "wrong_shape"))
+        usable = usable.filter(shaped)
+        rows = rows_of_documents(usable, entity)
+        if entity != "fleet":
+            bad.append(out(odd_groups(usable), F.col("content"), "group_not_a_list"))
+    bad.append(out(rows.filter("_corrupt IS NOT NULL"), F.col("_corrupt"), "not_an_object"))
+    order = F.struct("source_order.*", "position")
+    good = rows.filter("_corrupt IS NULL").drop("_corrupt").withColumn("source_order", order)
+    return good, union_all(bad)

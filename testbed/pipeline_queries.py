@@ -6,17 +6,16 @@ from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
 
-from milepost.functions.measures import epoch_ms_to_timestamp, timestamp_to_epoch_ms
 from milepost.operators import reports
-from milepost.plans import daily, pipeline, tables
-from milepost.plans.windows import DateWindow
+from milepost.plans import daily, pipeline
+from milepost.plans.windows import RunWindow
 from milepost.session import scratch_dir
 from testbed.conform_queries import _GOOD_INCIDENT, _GOOD_POINT
 from testbed.registry import query
 from testbed.views import Bed
 
 E = F.expr
-WINDOW = DateWindow(
+WINDOW = RunWindow(
     datetime(2023, 12, 1, tzinfo=timezone.utc), datetime(2024, 2, 1, tzinfo=timezone.utc), "env"
 )
 
@@ -24,10 +23,6 @@ WINDOW = DateWindow(
 def inputs(b: Bed) -> tuple[pipeline.Landed, pipeline.Directory]:
     """Landed rows whose fleets are the sites, so that loaded fleets resolve loaded trips."""
     site = E("concat('site_', substr(thirdPartyId, 2))")
-    # points of one year share its first day: the ship dates span thousands of days, a run does not
-    moment = epoch_ms_to_timestamp(F.col("timestamp").cast("bigint"))
-    year = timestamp_to_epoch_ms(F.trunc(moment.cast("date"), "year").cast("timestamp_ntz"))
-    points = b.raw_point.withColumn("timestamp", year.cast("string"))
 
     def land(name: str, df):
         path = scratch_dir(b.spark, f"landed-{name}")
@@ -42,8 +37,8 @@ def inputs(b: Bed) -> tuple[pipeline.Landed, pipeline.Directory]:
             "scores", b.raw_score.drop("event_id", "ts").withColumn("fleetId", site)
         ),
         trip_scores=land("trips", b.raw_trip.withColumn("fleetId", site)),
-        trip_locations=points,
-        trip_incidents=points,
+        trip_locations=b.raw_point,
+        trip_incidents=b.raw_point,
     )
     customer = b.table("customer")
     names = customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("company_name"))
@@ -94,10 +89,10 @@ UNION ALL SELECT 'driver_scores', 'ok',
 UNION ALL SELECT 'trip_scores', 'ok', count(DISTINCT trip_id) FILTER (problem IS NULL), 0, 0,
   count(*) - count(DISTINCT trip_id) FILTER (problem IS NULL) FROM run_trip
 UNION ALL SELECT 'trip_location', 'ok', (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_suppkey,
-    date_trunc('year', l_shipdate), l_quantity, l_partkey % 180 FROM lineitem WHERE {_GOOD_POINT})), 0, 0,
+    l_shipdate, l_quantity, l_partkey % 180 FROM lineitem WHERE {_GOOD_POINT})), 0, 0,
   count(*) FILTER (NOT ({_GOOD_POINT})) FROM lineitem
 UNION ALL SELECT 'trip_incident', 'ok', (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_suppkey,
-    date_trunc('year', l_shipdate), l_quantity, l_partkey % 180, l_returnflag FROM lineitem WHERE {_GOOD_INCIDENT})),
+    l_shipdate, l_quantity, l_partkey % 180, l_returnflag FROM lineitem WHERE {_GOOD_INCIDENT})),
   0, 0, count(*) FILTER (NOT ({_GOOD_INCIDENT})) FROM lineitem
 UNION ALL SELECT 'rollup trips', 'ok', count(DISTINCT trip_id), 0, 0, 0 FROM run_trip
 WHERE problem IS NULL AND company_id % 2 = 0""",
@@ -137,14 +132,11 @@ FROM (SELECT DISTINCT l_orderkey, l_suppkey, l_shipdate, l_quantity, l_partkey %
 )
 def trip_details_backfill(b: Bed):
     root = scratch_dir(b.spark, "details")
-    stored = [
-        tables.StoredTable(t.name, t.path, t.keys, [], buckets=4)
-        for t in daily.point_tables(f"{root}/locations", f"{root}/incidents")
-    ]
+    stored = daily.point_tables(f"{root}/locations", f"{root}/incidents")
     return reports.union_all(
         [
             daily.backfill_details(
-                b.spark, b.trip_score, b.raw_point, b.raw_point, tuple(stored),
+                b.spark, b.trip_score, b.raw_point, b.raw_point, stored,
                 datetime(2024, 1, 8), datetime(2024, 1, 23), datetime(2024, 2, 1),
             )
         ]

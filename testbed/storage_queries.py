@@ -426,12 +426,9 @@ def dry_run_counts(b: Bed):
     stored = _with_audit(
         conform.dedup_incidents(b.trip_incident.filter("incident_type <> 'N'"))
     )
-    # by ship year instead of day: few folders for a small check
-    by_year = tables.StoredTable(table.name, table.path, table.keys, [], partition="point_year")
-    year = F.year((F.col("timestamp_ms") / 1000).cast("timestamp"))
-    tables.write_table(stored.withColumn("point_year", year), by_year)
-    batch = conform.dedup_incidents(b.trip_incident).withColumn("point_year", year)
-    counts = tables.merge_into(b.spark, by_year, batch, _NEW, dry_run=True)
+    tables.write_table(daily.with_point_month(stored), table)
+    batch = daily.with_point_month(conform.dedup_incidents(b.trip_incident))
+    counts = tables.merge_into(b.spark, table, batch, _NEW, dry_run=True)
     after = tables.read_table(b.spark, table.path).agg(F.count("*").alias("rows_inserted"))
     zero = F.lit(0).cast("bigint")
     return counts.select(
@@ -482,24 +479,26 @@ def refreshed_event_groups(b: Bed):
     return stored["trip_event_groups"]
 
 
-_LOADED = """SELECT trip_id, start_ms, end_ms, fleet_id, overall_score + again AS overall_score
-FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY position) AS k
-  FROM judged_trip WHERE problem IS NULL) WHERE k = 1"""
+_LOADED = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY trip_id ORDER BY run DESC) AS newest
+  FROM (SELECT *, position % 3 AS run,
+      row_number() OVER (PARTITION BY trip_id, position % 3 ORDER BY position) AS k
+    FROM judged_trip WHERE problem IS NULL) WHERE k = 1) WHERE newest = 1"""
 
 
 @query(
     "incremental_load",
-    f"SELECT trip_id, start_ms AS start_date, end_ms AS end_date, fleet_id, overall_score"
-    f" FROM ({_LOADED}) WHERE end_ms < epoch_us(TIMESTAMP '2024-01-28') // 1000"
-    f" AND end_ms >= epoch_us(TIMESTAMP '2024-01-06') // 1000",
+    f"SELECT trip_id, start_ms AS start_date, end_ms AS end_date, fleet_id, overall_score + again AS overall_score"
+    f" FROM ({_LOADED})",
     ("judged_trip",),
 )
 def incremental_load(b: Bed):
-    """Three runs over growing windows; the second and third start at the watermark."""
+    """Three landed runs, each with trips of any age, loaded one after the other; the second and third
+    window start at the watermark, and trips that ended before it are loaded all the same."""
     table = daily.trip_table(scratch_dir(b.spark, "trips"))
     marks, landing_path = scratch_dir(b.spark, "marks"), scratch_dir(b.spark, "landed-trips")
-    b.raw_trip.write.json(landing_path)
-    landed = b.spark.read.schema(b.raw_trip.schema).json(landing_path)
+    run = E("element_at(array('2024-01-12', '2024-01-19', '2024-01-27'), cast(position % 3 + 1 AS int))")
+    b.raw_trip.withColumn("run_ts", run).write.partitionBy("run_ts").json(landing_path)
+    landed = b.spark.read.schema(b.raw_trip.withColumn("run_ts", run).schema).json(landing_path)
     runs_at = [datetime(2024, 1, 13), datetime(2024, 1, 20), datetime(2024, 1, 28)]
     for i, now in enumerate(runs_at):
         daily.load_trips(
@@ -526,14 +525,10 @@ def streaming_load(b: Bed):
         F.col("latitude").cast("string").alias("latitude"),
         F.col("longitude").cast("string").alias("longitude"),
     ).repartition(4, "tripId").write.json(landed)
-    table = tables.StoredTable(
-        "trip_location", scratch_dir(b.spark, "points"), LOCATION_KEY, [], buckets=4
-    )
+    table, _ = daily.point_tables(scratch_dir(b.spark, "points"), scratch_dir(b.spark, "incidents"))
     query_ = landing.stream_into(
         landing.landed_stream(b.spark, landed, "trip_locations", files_per_batch=2),
-        lambda rows: conform.dedup_locations(
-            conform.accepted(conform.conform_trip_location(rows))
-        ),
+        lambda rows: daily.conform_points(rows, table),
         table,
         scratch_dir(b.spark, "stream-state"),
         lambda: _NEW,
@@ -565,12 +560,12 @@ def window_modes(b: Bed):
     now = b.table("events").agg(F.max("ts")).first()[0].replace(microsecond=0)
     day = datetime(now.year, now.month, now.day)
     modes = [
-        windows.resolve_window("rolling_24h", now),
-        windows.resolve_window("rolling_7d", now),
-        windows.resolve_window("rolling_hours", now, hours=36),
-        windows.resolve_window("since_last_success", now, watermark=now - timedelta(days=60)),
-        windows.resolve_window("utc_day", now),
-        windows.resolve_window("env", now, start=day - timedelta(days=10), end=day),
+        windows.window_of("rolling_24h", now),
+        windows.window_of("rolling_7d", now),
+        windows.window_of("rolling_hours", now, hours=36),
+        windows.window_of("since_last_success", now, watermark=now - timedelta(days=60)),
+        windows.window_of("utc_day", now),
+        windows.window_of("env", now, start=day - timedelta(days=10), end=day),
     ]
     parts = []
     for w in modes:

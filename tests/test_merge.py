@@ -77,7 +77,7 @@ def test_merge_into_rewrites_only_touched_partitions(spark):
     assert tuple(tables.merge_into(spark, table, first, OLD).first()) == ("t", 200, 0, 0)
 
     def files():
-        return {r[0] for r in spark.read.parquet(table.path).select(
+        return {r[0] for r in tables.read_table(spark, table.path).select(
             F.col("_metadata.file_path")).distinct().collect()}
 
     before = files()
@@ -112,3 +112,63 @@ def test_rows_that_move_leave_their_old_partition(spark):
     now = tables.read_table(spark, table.path)
     assert sorted((r["k"], r["d"]) for r in now.collect()) == [("a", 3), ("b", 3), ("c", 2)]
     assert now.filter("k = 'a'").first()["created_at"] == OLD
+
+
+def frame(spark, data):
+    return spark.createDataFrame(data, "k string, d string, a long")
+
+
+def test_first_load_without_rows_is_a_table(spark):
+    table = tables.StoredTable("t", scratch_dir(spark, "empty"), ["k"], ["a"], partition="d")
+    assert tables.read_table(spark, table.path) is None
+    assert tuple(tables.merge_into(spark, table, frame(spark, []), OLD).first()) == ("t", 0, 0, 0)
+    assert tables.read_table(spark, table.path).count() == 0
+    assert tuple(tables.merge_into(spark, table, frame(spark, [("x", "1", 1)]), NEW).first()) == ("t", 1, 0, 0)
+    assert tables.read_table(spark, table.path).count() == 1
+
+
+def test_null_partition_keeps_its_rows(spark):
+    table = tables.StoredTable("t", scratch_dir(spark, "nulls"), ["k"], ["a", "d"], partition="d")
+    tables.merge_into(spark, table, frame(spark, [("x", None, 1), ("y", "1", 1)]), OLD)
+    done = tables.merge_into(spark, table, frame(spark, [("z", None, 2), ("y", None, 5)]), NEW)
+    assert tuple(done.first()) == ("t", 1, 1, 0)
+    now = tables.read_table(spark, table.path)
+    assert sorted((r["k"], r["d"], r["a"]) for r in now.collect()) == [
+        ("x", None, 1), ("y", None, 5), ("z", None, 2)]
+
+
+def test_a_merge_that_breaks_off_leaves_the_old_version(spark, monkeypatch):
+    table = tables.StoredTable("t", scratch_dir(spark, "broken"), ["k"], ["a", "d"], partition="d")
+    tables.merge_into(spark, table, frame(spark, [("x", "1", 1), ("y", "2", 1)]), OLD)
+    real = tables.store.commit
+
+    def broken(*_):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(tables.store, "commit", broken)
+    change = frame(spark, [("x", "3", 7)])
+    try:
+        tables.merge_into(spark, table, change, NEW)
+    except RuntimeError:
+        pass
+    seen = tables.read_table(spark, table.path)
+    assert sorted((r["k"], r["d"]) for r in seen.collect()) == [("x", "1"), ("y", "2")]
+    monkeypatch.setattr(tables.store, "commit", real)
+    assert tuple(tables.merge_into(spark, table, change, NEW).first()) == ("t", 0, 1, 0)
+    row = tables.read_table(spark, table.path).filter("k = 'x'").first()
+    assert (row["d"], row["created_at"]) == ("3", OLD)
+    assert tables.store.vacuum(spark, table.path) >= 1
+    assert tables.read_table(spark, table.path).count() == 2
+
+
+def test_two_writers_of_one_version(spark):
+    path = scratch_dir(spark, "race")
+    first = tables.store.commit(spark, path, None, frame(spark, []).schema, {})
+    for _ in range(2):
+        try:
+            tables.store.commit(spark, path, first, frame(spark, []).schema, {})
+        except RuntimeError as exc:
+            assert "another writer" in str(exc)
+            break
+    else:
+        raise AssertionError("both writers made version 2")

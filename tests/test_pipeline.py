@@ -28,14 +28,14 @@ def test_second_run_changes_no_business_rows(spark, run_inputs):
     first = run(spark, run_inputs, warehouse)
     assert {r["status"] for r in first.values()} == {"ok"}
     assert tables.read_watermark(spark, warehouse.path("watermark"), "daily") == RUN_AT
-    rollup = spark.read.parquet(warehouse.path("rollups/trip_day_rollup"))
+    rollup = tables.read_table(spark, warehouse.path("rollups/trip_day_rollup"))
     trips = rollup.agg(F.sum("trip_count")).first()[0]
     second = run(spark, run_inputs, warehouse)
     for entity in ("drivers", "driver_scores", "trip_scores"):
         assert first[entity]["rows_inserted"] == second[entity]["rows_skipped"] > 0
         assert second[entity]["rows_inserted"] == second[entity]["rows_updated"] == 0
     assert second["trip_location"]["rows_updated"] == first["trip_location"]["rows_inserted"]
-    again = spark.read.parquet(warehouse.path("rollups/trip_day_rollup"))
+    again = tables.read_table(spark, warehouse.path("rollups/trip_day_rollup"))
     assert again.agg(F.sum("trip_count")).first()[0] == trips
 
 
@@ -52,14 +52,14 @@ def test_failed_drivers_skip_scores_but_not_points(spark, run_inputs, monkeypatc
     def broken(*_):
         raise AnalysisException("no drivers today")
 
-    real = pipeline.merge_into
+    real = pipeline.merge
 
     def merge(spark_, table, *args, **options):
         if table.name == "driver":
             broken()
         return real(spark_, table, *args, **options)
 
-    monkeypatch.setattr(pipeline, "merge_into", merge)
+    monkeypatch.setattr(pipeline, "merge", merge)
     warehouse = pipeline.Warehouse(scratch_dir(spark, "broken"))
     got = run(spark, run_inputs, warehouse)
     assert got["drivers"]["status"] == "error" and "no drivers" in got["drivers"]["message"]
@@ -73,10 +73,10 @@ def test_partial_refresh_drops_emptied_days(spark, bed):
     sides = (bed.subscription, bed.company_subscription, bed.company, bed.driver, bed.app_user)
     tables.refresh_rollups(bed.trip_score, *sides, out)
     path = f"{out}/trip_day_rollup"
-    days = sorted(r[0] for r in spark.read.parquet(path).select("reporting_day").distinct().collect())
+    days = sorted(r[0] for r in tables.read_table(spark, path).select("reporting_day").distinct().collect())
     gone, kept = days[0], days[1]
     rest = bed.trip_score.filter(F.col("end_date_datetime").cast("date") != F.lit(gone))
     tables.refresh_rollups(rest, *sides, out, days=[gone, kept])
     for name in ("trip_day_rollup", "driver_trip_list", "trip_event_groups"):
-        left = spark.read.parquet(f"{out}/{name}").select("reporting_day").distinct().collect()
+        left = tables.read_table(spark, f"{out}/{name}").select("reporting_day").distinct().collect()
         assert sorted(r[0] for r in left) == days[1:], name

@@ -19,7 +19,7 @@ def test_document_shapes(spark):
     _write(folder, "a.json", json.dumps({"K": [{"tripId": "1"}, 5], " ": [{"tripId": 2}]}, indent=2))
     _write(folder, "b.json", json.dumps([{"tripId": "3", "sourceGroupKey": "own"}]))
     _write(folder, "c.json", "{broken")
-    good, bad = entity.read_entity(spark, folder, "trip_scores")
+    good, bad = entity.read_entity(spark, folder, "trip_scores", layout="files")
     assert rows(good.select("tripId", "sourceGroupKey").na.fill("-")) == [
         ("1", "K"), ("2", "GL_TRIP_DATA"), ("3", "own")]
     assert sorted(r["reason"] for r in bad.collect()) == ["not_an_object", "not_json"]

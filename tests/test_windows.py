@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from milepost.plans import windows
-from milepost.plans.windows import DateWindow, resolve_window
+from milepost.plans.windows import RunWindow, window_of
 
 NOW = datetime(2026, 6, 15, 12, 30, tzinfo=timezone.utc)
 
@@ -33,16 +33,16 @@ def utc(*args):
     ],
 )
 def test_modes(mode, options, start, end, source):
-    assert resolve_window(mode, NOW, **options) == DateWindow(start, end, source)
+    assert window_of(mode, NOW, **options) == RunWindow(start, end, source)
 
 
 def test_bad_windows():
     with pytest.raises(ValueError):
-        resolve_window("env", NOW, start="2026-06-02", end="2026-06-01")
+        window_of("env", NOW, start="2026-06-02", end="2026-06-01")
     with pytest.raises(ValueError):
-        resolve_window("rolling_hours", NOW, hours=0)
+        window_of("rolling_hours", NOW, hours=0)
     with pytest.raises(ValueError):
-        resolve_window("sometimes", NOW)
+        window_of("sometimes", NOW)
     with pytest.raises(ValueError):
         windows.default_range(NOW, start="2026-06-01")
 
@@ -58,7 +58,7 @@ def test_default_range_and_snapshot():
 
 def test_daily_windows_are_clamped(spark):
     frame = windows.windows_frame(
-        spark, [DateWindow(utc(2026, 6, 1, 18), utc(2026, 6, 3), "env")]
+        spark, [RunWindow(utc(2026, 6, 1, 18), utc(2026, 6, 3), "env")]
     )
     got = windows.daily_windows(frame, "window_start", "window_end").orderBy("day").collect()
     assert [(r["day"], r["day_start"], r["day_end"]) for r in got] == [
@@ -70,8 +70,8 @@ def test_daily_windows_are_clamped(spark):
 def test_range_check(spark):
     frame = windows.windows_frame(
         spark,
-        [DateWindow(utc(2026, 1, 1), utc(2026, 2, 15), "a"),
-         DateWindow(utc(2026, 1, 1), utc(2026, 2, 15, 0, 0, 1), "b")],
+        [RunWindow(utc(2026, 1, 1), utc(2026, 2, 15), "a"),
+         RunWindow(utc(2026, 1, 1), utc(2026, 2, 15, 0, 0, 1), "b")],
     )
     got = windows.range_check(frame, "window_start", "window_end")
     assert {r["window_source"]: r["range_status"] for r in got.collect()} == {
