@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from milepost.llm.common import Words, small_batches, steps, text_column, utf8
 from milepost.llm.simhash import majority, shingle_hashes
-from milepost.llm.token_records import WordEncoder
+from milepost.llm.token_records import encoder_of, id_width
 from milepost.session import cut_lineage
 
 #: Pieces that are packed together.
@@ -98,13 +98,13 @@ def pack_shard(lengths: np.ndarray, sources: np.ndarray, has_source: np.ndarray,
 
 def _measure(path: str):
     """Token counts, and fingerprints that name duplicate clusters."""
+    width = id_width(path)
 
     def run(batches):
-        encoder = None
         for batch in steps(batches):
-            encoder = encoder or WordEncoder(path)
-            counts = encoder.counts(batch.column("text").to_pylist())
-            prints = majority(*shingle_hashes(Words([t.lower() for t in utf8(batch)]), 3))
+            raw = utf8(batch)
+            counts = [len(ids) // width for ids in encoder_of(path, width).encode(raw)]
+            prints = majority(*shingle_hashes(Words([t.lower() for t in raw]), 3))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("source"), pa.array(counts, pa.int64()), pa.array(prints.view(np.int64))],
                 ["doc_id", "source", "n_tokens", "cluster"],

@@ -18,11 +18,13 @@ columns are ignored. A damaged record stops the reader with an error.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 import struct
 import uuid
 import zlib
-from itertools import chain
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,13 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from milepost.llm.common import steps, texts_of
+from milepost.llm.common import steps, texts_of, utf8
 
 MAGIC = b"MPREC1"
 HEAD, FIELDS = "<QI", "<Bq"
 HEAD_BYTES, FIELD_BYTES = struct.calcsize(HEAD), struct.calcsize(FIELDS)
-#: Words kept by a task: two generations of so many, each up to so many characters.
-KNOWN_WORDS, KEPT_WORD = 250_000, 32
+#: Pieces kept by a task: two generations of so many, each up to so many bytes.
+KNOWN_WORDS, KEPT_WORD = 400_000, 32
 #: Documents that a reader hands on at once.
 READ_ROWS = 500
 MANIFEST = "shard long, file string, n_records long, n_tokens long"
@@ -48,42 +50,52 @@ def masked(crc: int) -> int:
 
 
 class WordEncoder:
-    """Ids of whole texts from a bounded table of their blank-separated pieces.
+    """Ids of whole texts, as little-endian bytes, from a bounded table of their pieces.
 
     The tokenizer collapses white space and drops it before merging, and neither normalising nor
-    special strings reach over a blank, so a text's ids are those of its pieces one after another.
+    special strings reach over a blank; a full stop or comma between a letter and a blank is a piece of
+    its own, and A-Z are lower-cased. So a text's ids are those of its pieces one after another.
+    (Texts with the beginning of a special string, which is found before lower-casing, keep their case.)
+    The table holds bytes, which the garbage collector need not look through.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-
-    def _known(self, texts: list[str]) -> tuple[list[list[str]], dict[str, list[int]]]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        self.width = width
+        self.kind = {2: "H", 4: "I"}[width]
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.part_stops = functools.partial(re.compile(rb"(?<=[a-z])([.,])(?= |\Z)").sub, rb" \1")
+
+    def _pieces(self, raw: bytes) -> list[bytes]:
+        if b"<|" not in raw:
+            raw = raw.lower()
+        return self.part_stops(raw.replace(b"\n", b" ")).split(b" ")
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        split = list(map(self._pieces, texts))
         table = self.known
         new = set().union(*split).difference(table)
-        for w in new.intersection(self.older):
-            table[w] = self.older[w]
-        new = list(new.difference(table))
-        for w, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            table[w] = found.ids
+        again = new.intersection(self.older)
+        table.update((w, self.older[w]) for w in again)
+        new = list(new.difference(again))
+        found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        table.update((w, array(self.kind, x.ids).tobytes()) for w, x in zip(new, found))
+        out = [b"".join(map(table.__getitem__, words)) for words in split]
         if len(table) > KNOWN_WORDS:
             self.older = {w: ids for w, ids in table.items() if len(w) <= KEPT_WORD}
             self.known = {}
-        return split, table
+        return out
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        split, table = self._known(texts)
-        return [list(chain.from_iterable(map(table.__getitem__, words))) for words in split]
 
-    def counts(self, texts: list[str]) -> list[int]:
-        """Numbers of ids."""
-        split, table = self._known(texts)
-        return [sum(map(len, map(table.__getitem__, words))) for words in split]
+@functools.lru_cache(1)
+def encoder_of(path: str, width: int) -> WordEncoder:
+    """The encoder of this worker process; its table serves one task after the other."""
+    return WordEncoder(path, width)
 
 
 def id_width(path: str) -> int:
@@ -97,23 +109,21 @@ def _write_shard(folder: str, path: str, end_id: int, width: int):
         files, root = fs.FileSystem.from_uri(folder)
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
-        encoder, offsets, at, tokens = None, [], 8, 0
+        offsets, at, tokens = [], 8, 0
+        end = end_id.to_bytes(width, "little")
         with files.open_output_stream(f"{root}/{name}.rec") as out:
             out.write(MAGIC + struct.pack("<H", width))
             for batch in steps(batches):
-                encoder = encoder or WordEncoder(path)
-                for doc_id, ids in zip(
-                    batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())
-                ):
-                    ids.append(end_id)
-                    body = struct.pack(FIELDS, doc_id is not None, doc_id or 0) + np.array(ids, f"<u{width}").tobytes()
+                found = encoder_of(path, width).encode(utf8(batch))
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found):
+                    body = struct.pack(FIELDS, doc_id is not None, doc_id or 0) + ids + end
                     size = struct.pack("<Q", len(body))
                     out.write(size + struct.pack("<I", masked(zlib.crc32(size))))
                     out.write(body)
                     out.write(struct.pack("<I", masked(zlib.crc32(body))))
                     offsets.append(at)
                     at += HEAD_BYTES + len(body) + 4
-                    tokens += len(ids)
+                    tokens += len(ids) // width + 1
         with files.open_output_stream(f"{root}/{name}.idx") as out:
             out.write(np.array(offsets, "<u8").tobytes())
         yield pa.RecordBatch.from_pydict(
