@@ -103,10 +103,10 @@ def _measure(path: str):
     def run(batches):
         for batch in steps(batches):
             raw = utf8(batch)
-            counts = [len(ids) // width for ids in encoder_of(path, width).encode(raw)]
+            counts = encoder_of(path, width).counts(raw)
             prints = majority(*shingle_hashes(Words([t.lower() for t in raw]), 3))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("source"), pa.array(counts, pa.int64()), pa.array(prints.view(np.int64))],
+                [batch.column("doc_id"), batch.column("source"), pa.array(counts), pa.array(prints.view(np.int64))],
                 ["doc_id", "source", "n_tokens", "cluster"],
             )
 

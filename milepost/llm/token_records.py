@@ -20,11 +20,10 @@ from __future__ import annotations
 
 import functools
 import os
-import re
 import struct
 import uuid
 import zlib
-from array import array
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,13 +31,13 @@ from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from milepost.llm.common import steps, texts_of, utf8
+from milepost.llm.common import Words, steps, texts_of, utf8
 
 MAGIC = b"MPREC1"
 HEAD, FIELDS = "<QI", "<Bq"
 HEAD_BYTES, FIELD_BYTES = struct.calcsize(HEAD), struct.calcsize(FIELDS)
-#: Pieces kept by a task: two generations of so many, each up to so many bytes.
-KNOWN_WORDS, KEPT_WORD = 400_000, 32
+#: Words kept by a worker process (about 40 bytes each) before it begins anew.
+KNOWN_WORDS = 1_500_000
 #: Documents that a reader hands on at once.
 READ_ROWS = 500
 MANIFEST = "shard long, file string, n_records long, n_tokens long"
@@ -50,13 +49,16 @@ def masked(crc: int) -> int:
 
 
 class WordEncoder:
-    """Ids of whole texts, as little-endian bytes, from a bounded table of their pieces.
+    """Ids of whole texts from a bounded table of their words.
 
     The tokenizer collapses white space and drops it before merging, and neither normalising nor
-    special strings reach over a blank; a full stop or comma between a letter and a blank is a piece of
-    its own, and A-Z are lower-cased. So a text's ids are those of its pieces one after another.
+    special strings reach over a blank; A-Z are lower-cased. So a text's ids are those of its words one
+    after another.
     (Texts with the beginning of a special string, which is found before lower-casing, keep their case.)
-    The table holds bytes, which the garbage collector need not look through.
+
+    The table is a sorted array of word hashes with the place of each word's ids in one long array, so
+    that a slice of texts is looked up and put together without a step per word. Two words of the
+    table or of a slice would share a 64-bit hash with a chance of about 1 in 10^8.
     """
 
     def __init__(self, path: str, width: int):
@@ -64,32 +66,55 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.width = width
-        self.kind = {2: "H", 4: "I"}[width]
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.part_stops = functools.partial(re.compile(rb"(?<=[a-z])([.,])(?= |\Z)").sub, rb" \1")
-
-    def _pieces(self, raw: bytes) -> list[bytes]:
-        if b"<|" not in raw:
-            raw = raw.lower()
-        return self.part_stops(raw.replace(b"\n", b" ")).split(b" ")
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text."""
-        split = list(map(self._pieces, texts))
-        table = self.known
-        new = set().union(*split).difference(table)
-        again = new.intersection(self.older)
-        table.update((w, self.older[w]) for w in again)
-        new = list(new.difference(again))
-        found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        table.update((w, array(self.kind, x.ids).tobytes()) for w, x in zip(new, found))
-        out = [b"".join(map(table.__getitem__, words)) for words in split]
-        if len(table) > KNOWN_WORDS:
-            self.older = {w: ids for w, ids in table.items() if len(w) <= KEPT_WORD}
-            self.known = {}
-        return out
+        self.kind = np.dtype(f"<u{width}")
+        self.hash = np.zeros(0, np.uint64)
+        self.start = self.size = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.kind)
+
+    def _known(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.hash, hashes), max(0, len(self.hash) - 1))
+        return self.hash[at] == hashes if len(self.hash) else np.zeros(len(hashes), bool)
+
+    def _add(self, hashes: np.ndarray, words: list[str]) -> None:
+        found = [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        size = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), self.kind, int(size.sum()))
+        start = len(self.ids) + np.cumsum(size) - size
+        hashes = np.concatenate([self.hash, hashes])
+        order = np.argsort(hashes, kind="stable")
+        self.hash = hashes[order]
+        self.start = np.concatenate([self.start, start])[order]
+        self.size = np.concatenate([self.size, size])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _places(self, raw: list[bytes]) -> tuple[Words, np.ndarray]:
+        """The words of the texts and the place of each in the table."""
+        words = Words([t if b"<|" in t else t.lower() for t in raw])
+        kinds, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        if len(self.hash) > KNOWN_WORDS:
+            self.hash, self.start, self.size, self.ids = self.hash[:0], self.start[:0], self.size[:0], self.ids[:0]
+        new = np.flatnonzero(~self._known(kinds))
+        if len(new):
+            whole = words.buf.tobytes()
+            at = first[new]
+            spans = zip(words.start[at].tolist(), words.end[at].tolist())
+            self._add(kinds[new], [whole[a:b].decode() for a, b in spans])
+        return words, np.searchsorted(self.hash, kinds)[number]
+
+    def encode(self, raw: list[bytes]) -> list[bytes]:
+        """The ids of each text as little-endian bytes."""
+        words, at = self._places(raw)
+        size = self.size[at]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.ids[np.repeat(self.start[at] - (ends - size), size) + np.arange(total)]
+        cuts = np.append(0, ends)[words.first].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+
+    def counts(self, raw: list[bytes]) -> np.ndarray:
+        """The number of ids of each text."""
+        words, at = self._places(raw)
+        return np.diff(np.append(0, np.cumsum(self.size[at]))[words.first])
 
 
 @functools.lru_cache(1)
