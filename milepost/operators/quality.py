@@ -8,6 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.operators.dedup import duplicate_keys
+from milepost.schemas import (
+    DRIVER_KEY, DRIVER_SCORE_KEY, FLEET_KEY, INCIDENT_KEY, LOCATION_KEY, TRIP_KEY,
+)
+
+# What the table definitions ask for.
+REQUIRED = {
+    "trip_score": ["trip_id", "driver_id", "company_id"],
+    "driver_score": [
+        "driver_id", "company_id", "snapshot_date", "source_group_key", "source_row_index", "fleet_id",
+    ],
+    "trip_location": LOCATION_KEY,
+    "trip_incident": INCIDENT_KEY,
+}
+LINKS = [
+    ("trip_score", "driver_id", "driver", "driver_id"),
+    ("trip_score", "company_id", "company", "id"),
+    ("trip_score", "retailer_location_id", "fleet", "retailer_location_id"),
+    ("driver_score", "driver_id", "driver", "driver_id"),
+    ("driver_score", "company_id", "company", "id"),
+    ("driver_score", "retailer_location_id", "fleet", "retailer_location_id"),
+    ("trip_location", "trip_id", "trip_score", "trip_id"),
+    ("trip_incident", "trip_id", "trip_score", "trip_id"),
+]
+UNIQUE = {
+    "fleet": FLEET_KEY, "driver": DRIVER_KEY, "driver_score": DRIVER_SCORE_KEY, "trip_score": TRIP_KEY,
+    "trip_location": LOCATION_KEY, "trip_incident": INCIDENT_KEY,
+}
 
 
 def lat_lon_violations(df: DataFrame, latitude="latitude", longitude="longitude") -> DataFrame:
@@ -88,3 +115,31 @@ def unlink_fleets(rows: DataFrame, gone: DataFrame) -> DataFrame:
     joined = rows.join(lost, F.col("retailer_location_id") == F.col("_gone"), "left")
     kept = F.when(F.col("_gone").isNull(), F.col("retailer_location_id"))
     return joined.withColumn("retailer_location_id", kept).drop("_gone")
+
+
+def check_declared(tables: dict[str, DataFrame]) -> DataFrame:
+    """All declared rules over the given tables: rule, rule_name, bad_keys, bad_rows.
+
+    ``required`` counts NULLs, ``link`` keys and rows without a parent, ``unique`` repeated keys and
+    the rows that carry them. Rules of tables that are not given are left out.
+    """
+    parts = []
+    for name, columns in REQUIRED.items():
+        if name in tables:
+            found = null_counts(tables[name], name, columns)
+            rule = F.concat_ws(".", "table_name", "column_name")
+            parts.append(found.select(
+                F.lit("required").alias("rule"), rule.alias("rule_name"),
+                F.col("null_count").alias("bad_keys"), F.col("null_count").alias("bad_rows"),
+            ))
+    for child, column, parent, key in LINKS:
+        if child in tables and parent in tables:
+            found = orphan_counts(tables[child], tables[parent], column, key, f"{child}.{column}")
+            parts.append(found.select(F.lit("link").alias("rule"), "rule_name", "orphan_keys", "orphan_rows"))
+    keyed = {n: (tables[n], k) for n, k in UNIQUE.items() if n in tables}
+    if keyed:
+        parts.append(key_violations(keyed).select(
+            F.lit("unique").alias("rule"), "table_name", "duplicate_keys", "rows_involved"
+        ))
+    names = ["rule", "rule_name", "bad_keys", "bad_rows"]
+    return reduce(DataFrame.unionByName, [p.toDF(*names) for p in parts])

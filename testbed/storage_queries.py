@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from typing import Any
 
 from pyspark.sql import functions as F
 
@@ -441,6 +442,37 @@ def dry_run_counts(b: Bed):
     )
 
 
+_KEYED = """SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS part,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_custkey + 1 ELSE o_custkey END AS v FROM orders
+  WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0"""
+
+
+def _keyed_table(b: Bed, label: str) -> tuple[tables.StoredTable, Any]:
+    rows = b.table("orders").select(
+        "o_orderkey", E("CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS part"), F.col("o_custkey").alias("v")
+    )
+    return tables.StoredTable("keyed", scratch_dir(b.spark, label), ["o_orderkey"], ["v"], partition="part"), rows
+
+
+@query("merge_null_partition", _KEYED)
+def merge_null_partition(b: Bed):
+    """Two merges whose rows partly have no partition value; the second changes and adds such rows."""
+    table, rows = _keyed_table(b, "null-partition")
+    tables.merge_into(b.spark, table, rows.filter("o_orderkey % 2 = 0"), _NEW)
+    change = rows.filter("o_orderkey % 3 = 0").withColumn("v", F.col("v") + 1)
+    tables.merge_into(b.spark, table, change, _NEW)
+    return tables.read_table(b.spark, table.path).select("o_orderkey", "part", "v")
+
+
+@query("merge_after_empty_load", "SELECT o_orderkey, o_custkey AS v FROM orders")
+def merge_after_empty_load(b: Bed):
+    """A first load without rows, and a second with all of them."""
+    table, rows = _keyed_table(b, "empty-load")
+    tables.merge_into(b.spark, table, rows.filter("false"), _NEW)
+    tables.merge_into(b.spark, table, rows, _NEW)
+    return tables.read_table(b.spark, table.path).select("o_orderkey", "v")
+
+
 # --- whole loads ----------------------------------------------------------------------------------
 
 
@@ -718,6 +750,42 @@ def _violations_sql(table: str, keys: list[str], name: str | None = None) -> str
     )
 
 
+#: The testbed's view of each table that the declared rules name.
+_RULE_VIEWS = {
+    "trip_score": "trip_score", "driver": "known_driver", "company": "company", "fleet": "fleet",
+    "trip_location": "point", "trip_incident": "point",
+}
+
+
+def _rules_sql() -> str:
+    view, parts = _RULE_VIEWS.get, []
+    for name, columns in quality.REQUIRED.items():
+        for c in columns if view(name) else []:
+            n = f"count(*) FILTER ({c} IS NULL)"
+            parts.append(f"SELECT 'required' AS rule, '{name}.{c}' AS rule_name, {n} AS bad_keys, {n} AS bad_rows"
+                         f" FROM {view(name)}")
+    for child, c, parent, key in quality.LINKS:
+        if view(child) and view(parent):
+            parts.append(f"SELECT 'link', '{child}.{c}', count(DISTINCT {c}), count(*) FROM {view(child)}"
+                         f" WHERE {c} NOT IN (SELECT {key} FROM {view(parent)})")
+    for name, keys in quality.UNIQUE.items():
+        if view(name):
+            k = ", ".join(keys)
+            parts.append(f"SELECT 'unique', '{name}', count(*), coalesce(sum(n), 0)::BIGINT FROM (SELECT {k},"
+                         f" count(*) AS n FROM {view(name)} GROUP BY {k} HAVING count(*) > 1)")
+    return " UNION ALL ".join(parts)
+
+
+@query("declared_rules", _rules_sql(), ("trip_score", "known_driver", "company", "fleet", "point"))
+def declared_rules(b: Bed):
+    return quality.check_declared(
+        {
+            "trip_score": b.trip_score, "driver": b.known_driver, "company": b.company, "fleet": b.fleet,
+            "trip_location": b.trip_location, "trip_incident": b.trip_incident,
+        }
+    )
+
+
 @query(
     "rollup_key_violations",
     " UNION ALL ".join(
@@ -822,8 +890,15 @@ def run_totals(b: Bed):
     f"""SELECT fleet_id, CASE WHEN pull_status = 'ok' THEN 0 ELSE 1 END
     + (resolved < trip_scores - skipped)::INTEGER AS error_count,
   CASE WHEN pull_status = 'ok' AND resolved < trip_scores - skipped THEN 'partial'
-    ELSE pull_status END AS fleet_status, 'partial' AS run_status
-FROM {_OUTCOMES_SQL}""",
+    ELSE pull_status END AS fleet_status, NULL::VARCHAR AS run_status, NULL::INTEGER AS exit_code
+FROM {_OUTCOMES_SQL}
+UNION ALL SELECT NULL, NULL, NULL, CASE WHEN fleets = 0 OR attempted > 0 AND loaded = 0 THEN 'error'
+    WHEN failed > 0 THEN 'partial' ELSE 'ok' END,
+  CASE WHEN fleets = 0 THEN 2 WHEN attempted > 0 AND loaded = 0 THEN 1 ELSE 0 END
+FROM (SELECT count(*) AS fleets, count(*) FILTER (s <> 'skipped') AS attempted,
+    count(*) FILTER (s IN ('ok', 'partial')) AS loaded, count(*) FILTER (s = 'error') AS failed
+  FROM (SELECT CASE WHEN pull_status = 'ok' AND resolved < trip_scores - skipped THEN 'partial'
+      ELSE pull_status END AS s FROM {_OUTCOMES_SQL}))""",
     ("status_trip",),
 )
 def run_status(b: Bed):
@@ -836,8 +911,16 @@ def run_status(b: Bed):
         lost.cast("bigint").alias("errors"),
     )
     statuses = reports.fleet_statuses(steps, pulls)
-    overall = reports.run_status(statuses).select("run_status")
-    return statuses.join(overall, F.col("run_status").isNotNull())
+    overall = reports.run_status(statuses)
+    none = F.lit(None)
+    return statuses.select(
+        "fleet_id", "error_count", "fleet_status", none.cast("string").alias("run_status"), none.cast("int").alias("exit_code")
+    ).unionByName(
+        overall.select(
+            none.cast(statuses.schema["fleet_id"].dataType).alias("fleet_id"), none.cast("bigint").alias("error_count"),
+            none.cast("string").alias("fleet_status"), "run_status", F.col("exit_code").cast("int").alias("exit_code"),
+        )
+    )
 
 
 @query(

@@ -25,6 +25,23 @@ def test_document_shapes(spark):
     assert sorted(r["reason"] for r in bad.collect()) == ["not_an_object", "not_json"]
 
 
+def test_nothing_of_the_wrong_shape_is_lost(spark):
+    folder = scratch_dir(spark, "shapes")
+    lines = ['[{"tripId":"1"}, 7, null, {"tripId":"2"}]', '{"K":[{"tripId":"3"}],"L":{"tripId":"x"},"M":null}',
+             '{"tripId":"T4"}', '"text"', "{broken", "5 miles", "[]", "{}"]
+    _write(folder, "a.json", "\n".join(lines))
+    for name in ("trip_scores", "trip_locations", "drivers"):
+        _, bad = entity.read_entity(spark, folder, name)
+        assert rows(bad.select("reason", "content")) == [
+            ("group_not_a_list", "T4"), ("group_not_a_list", "null"), ("group_not_a_list", '{"tripId":"x"}'),
+            ("not_an_object", "7"), ("not_an_object", "null"), ("not_json", "5 miles"), ("not_json", "{broken"),
+            ("wrong_shape", '"text"')]
+    good, _ = entity.read_entity(spark, folder, "trip_locations")
+    assert [(r.tripId, r.position) for r in good.orderBy("source_order").collect()] == [("1", 1), ("2", 4), ("3", 1)]
+    fleets, bad = entity.read_entity(spark, folder, "fleet")
+    assert bad.filter("reason = 'wrong_shape'").count() == 1 and fleets.count() >= 3
+
+
 def test_rows_layout_quarantines_lines(spark):
     folder = scratch_dir(spark, "lines")
     _write(folder, "a.json", '{"tripId":"1"}\n{"tripId":"2"} x\n7\n')
@@ -49,14 +66,18 @@ def test_report_pages(spark):
     df = spark.createDataFrame(
         [(1, '{"valid":true,"rows":[{"a":1},{"a":2}],"hasMoreResults":true}'),
          (2, '{"items":[{"a":3}]}'), (3, '{"valid":false,"message":"no","errorCode":7}'),
-         (4, '{"valid":false}'), (5, '{"rows":[]}')],
+         (4, '{"valid":false}'), (5, '{"rows":[]}'), (6, "<html>"), (7, None), (8, '{"rows":{"a":1}}'),
+         (9, '{"rows":[{"a":9},1]}'), (10, "[]"), (11, "{}")],
         "page int, payload string",
     )
     good, bad = pages.explode_pages(df)
     assert rows(good.select("page", "row_index", "row_json", "has_more")) == [
-        (1, 0, '{"a":1}', True), (1, 1, '{"a":2}', True), (2, 0, '{"a":3}', False)]
+        (1, 0, '{"a":1}', True), (1, 1, '{"a":2}', True), (2, 0, '{"a":3}', False),
+        (9, 0, '{"a":9}', False)]
     assert rows(bad) == [(3, "no (errorCode=7)"),
-                         (4, "Reporting API returned an invalid response")]
+                         (4, "Reporting API returned an invalid response"),
+                         (6, "the page is no JSON object"), (7, "the page is no JSON object"),
+                         (8, "rows is no list"), (9, "row 1 is no object"), (10, "the page is no JSON object")]
 
 
 def test_search_pages_prefer_items(spark):
