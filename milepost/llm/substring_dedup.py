@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from milepost.llm.common import Words, steps, text_column, texts_of, utf8
+from milepost.llm.common import Words, numbered, steps, text_column, texts_of, utf8
 from milepost.session import cut_lineage
 
 WINDOW = 50
@@ -44,9 +44,6 @@ GROUP = 20_000
 SENT_KEYS = 50_000
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
-ANCHORS = "h array<long>, p array<int>, s1 array<int>, s2 array<int>"
-CONTEXT = "ckey binary, h4 long, h8 long, h16 long, left int, wins int, words binary"
-
 
 def rolled(values: np.ndarray, size: int) -> np.ndarray:
     """Rolling hashes of ``size`` neighbours."""
@@ -87,51 +84,49 @@ def _scan(window: int):
     def run(batches):
         for batch in steps(batches):
             words = Words(utf8(batch))
-            doc, h, p, s1, s2 = anchors(words, window)
+            doc, h, *_ = anchors(words, window)
             named = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            use = named[doc]
-            doc, h, p, s1, s2 = (x[use] for x in (doc, h, p, s1, s2))
+            doc, h = doc[named[doc]], h[named[doc]]
+            order = np.lexsort((h, doc))
+            doc, h = doc[order], h[order]
+            new = np.append(True, (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))[: len(h)]
+            doc, h = doc[new], h[new]
             cuts = pa.array(np.searchsorted(doc, np.arange(batch.num_rows + 1)), pa.int32())
-            own = words.first[doc]
-            lists = [pa.ListArray.from_arrays(cuts, pa.array(x)) for x in
-                     (h, *((y - own).astype(np.int32) for y in (p, s1, s2)))]
             sha = [hashlib.sha256(j).digest() for j in words.joined]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("th"), pa.array(words.counts), pa.array(sha, pa.binary()), *lists],
-                ["doc_id", "th", "n_words", "sha", "h", "p", "s1", "s2"],
+                [batch.column("doc_id"), batch.column("th"), pa.array(words.counts), pa.array(sha, pa.binary()),
+                 pa.ListArray.from_arrays(cuts, pa.array(h))],
+                ["doc_id", "th", "n_words", "sha", "anchors"],
             )
 
     return run
 
 
 def _contexts(window: int):
-    """The words around each anchor of a text: from its first window's start to its last one's end."""
+    """The words around each shared anchor of a text: from its first window's start to its last one's end."""
 
     def run(batches):
         for batch in steps(batches):
             words = Words(utf8(batch))
             value = words.hashes()
             hashes = {q: rolled(value, q) for q in PREFIXES}
-            raw = words.buf.tobytes()
-            out = {c: [] for c in ("doc_id", "th", "s1", "s2", "ckey", "left", "words", "p")}
-            for row, (doc_id, th, found) in enumerate(zip(
-                batch.column("doc_id").to_pylist(), batch.column("th").to_pylist(), batch.column("found").to_pylist()
-            )):
-                base = int(words.first[row])
-                for a in found:
-                    s1, s2, p = a["s1"], a["s2"], a["p"]
-                    part = raw[words.start[base + s1] : words.end[base + s2 + window - 1]]
-                    place = b"%d %d" % (p - s1, s2 - s1)
-                    for c, x in (("doc_id", doc_id), ("th", th), ("s1", s1), ("s2", s2), ("left", p - s1),
-                                 ("words", part), ("p", base + p),
-                                 ("ckey", hashlib.md5(place + b"\0" + part).digest())):
-                        out[c].append(x)
-            p = np.array(out.pop("p"), np.int64)
-            for q in PREFIXES:
-                out[f"h{q}"] = hashes[q][p].view(np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {c: pa.array(x, {"words": pa.binary(), "ckey": pa.binary(), "doc_id": pa.int64(), "th": pa.int64()}.get(
-                    c, pa.int64() if c[0] == "h" else pa.int32())) for c, x in out.items()}
+            doc, h, p, s1, s2 = anchors(words, window)
+            cut = np.searchsorted(doc, np.arange(batch.num_rows + 1))
+            shared = np.zeros(len(h), bool)
+            for k, found in enumerate(batch.column("found").to_pylist()):
+                shared[cut[k] : cut[k + 1]] = np.isin(h[cut[k] : cut[k + 1]], found)
+            doc, p, s1, s2 = (x[shared] for x in (doc, p, s1, s2))
+            raw, left, wins = words.buf.tobytes(), p - s1, s2 - s1
+            parts = [raw[a:b] for a, b in zip(words.start[s1].tolist(), words.end[s2 + window - 1].tolist())]
+            keys = [hashlib.md5(b"%d %d\0" % tuple(x) + part).digest() for *x, part in zip(left.tolist(), wins.tolist(), parts)]
+            own = words.first[doc]
+            row = pa.array(doc)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").take(row), batch.column("th").take(row),
+                 *(pa.array(x.astype(np.int32)) for x in (s1 - own, s2 - own, left)),
+                 pa.array(keys, pa.binary()), pa.array(parts, pa.binary()),
+                 *(pa.array(hashes[q][p].view(np.int64)) for q in PREFIXES)],
+                ["doc_id", "th", "s1", "s2", "left", "ckey", "words", *(f"h{q}" for q in PREFIXES)],
             )
 
     return run
@@ -339,7 +334,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
         raise ValueError(f"window must be longer than {SEED} words")
     base = texts_of(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
     rows = cut_lineage(
-        base.mapInArrow(_scan(window), f"doc_id long, th long, n_words long, sha binary, {ANCHORS}"), "anchors"
+        base.mapInArrow(_scan(window), "doc_id long, th long, n_words long, sha binary, anchors array<long>"), "anchors"
     )
     # equal texts: all but the first document's lose every word
     same = F.xxhash64("sha")
@@ -351,20 +346,18 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
         rows.select("doc_id", "th", "sha").join(firsts, "sha").filter("doc_id > one").select("doc_id", "th").distinct(),
         "copies",
     )
-    found = rows.select(
-        "doc_id", "th", same.alias("seq"), F.explode(F.arrays_zip("h", "p", "s1", "s2")).alias("a")
-    ).select("doc_id", "th", "seq", "a.*")
+    found = rows.select("doc_id", "th", same.alias("seq"), F.explode("anchors").alias("h"))
     shared = found.groupBy("h").agg(F.min("seq").alias("x"), F.max("seq").alias("y")).filter("x <> y").select("h")
     marked = (
         found.drop("seq").join(shared, "h", "left_semi").groupBy("doc_id", "th")
-        .agg(F.collect_set(F.struct("p", "s1", "s2")).alias("found"))
+        .agg(F.collect_set("h").alias("found"))
         .join(copies, ["doc_id", "th"], "left_anti")
     )
     touched = cut_lineage(base.join(marked, ["doc_id", "th"]), "touched", compression="zstd")
     members = cut_lineage(
         touched.mapInArrow(
             _contexts(window),
-            "doc_id long, th long, s1 int, s2 int, ckey binary, left int, words binary, h4 long, h8 long, h16 long",
+            "doc_id long, th long, s1 int, s2 int, left int, ckey binary, words binary, h4 long, h8 long, h16 long",
         ), "contexts", compression="zstd",
     )
     contexts = cut_lineage(
@@ -409,10 +402,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All rows of ``docs`` with what is left of their texts (and ``n_chars``, if there), all columns."""
     found = dedup_substrings(docs, window, keep_layout=True).filter("text IS NOT NULL")
     left = found.select(F.col("doc_id").alias("k1"), F.col("th").alias("k2"), F.col("text").alias("k3")).dropDuplicates(["k1", "k2"])
-    own = docs.withColumn("k1", F.col("doc_id").cast("long")).withColumn(
-        "k2", F.xxhash64(text_column("text"))
-    )
-    new = {"text": F.coalesce("k3", "text")}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(F.col("k3").isNotNull(), F.length("k3").cast("long")).otherwise(F.col("n_chars"))
-    return own.join(left, ["k1", "k2"], "left").select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    named, at = numbered(docs)
+    own = named.withColumn("k1", F.col(at["doc_id"]).cast("long")).withColumn("k2", F.xxhash64(text_column(at["text"])))
+    new = {at["text"]: F.coalesce("k3", at["text"])}
+    if "n_chars" in at:
+        new[at["n_chars"]] = F.when(F.col("k3").isNotNull(), F.length("k3").cast("long")).otherwise(F.col(at["n_chars"]))
+    joined = own.join(left, ["k1", "k2"], "left")
+    return joined.select(*(new.get(c, F.col(c)) for c in named.columns)).toDF(*docs.columns)
