@@ -19,12 +19,13 @@ from milepost.operators import conform, lookups
 from milepost.operators.dedup import first_by
 from milepost.operators.merge import discovered_fleet_rows
 from milepost.plans import daily
+from milepost.plans.store import Version
 from milepost.plans.tables import (
     StoredTable, advance_watermark, merge, read_table, refresh_rollups,
 )
 from milepost.plans.windows import RunWindow, snapshot_date
 from milepost.schemas import DRIVER_KEY, FLEET_KEY
-from milepost.session import cut_lineage
+from milepost.session import cut_lineage, run_scratch
 
 
 REJECTS = "status string, reason string, row string"
@@ -175,14 +176,35 @@ def run_daily(
     """
     if refresh not in ("all", "touched"):
         raise ValueError(f"refresh is 'all' or 'touched', not {refresh!r}")
+    with run_scratch(spark, f"run-{job}") as scratch:
+        report = _steps(
+            spark, landed, directory, warehouse, window, run_at, default_location, dry_run, job, refresh
+        )
+        scratch["keep"] = report.failed
+    return report
+
+
+def _steps(
+    spark: SparkSession,
+    landed: Landed,
+    directory: Directory,
+    warehouse: Warehouse,
+    window: RunWindow,
+    run_at: datetime,
+    default_location: Column,
+    dry_run: bool,
+    job: str,
+    refresh: str,
+) -> RunReport:
     report = RunReport()
     stamp = window.end.replace(tzinfo=None)
     views: dict[str, DataFrame] = {}
     touched: dict[str, list] = {}
+    versions: dict[str, Version] = {}
 
     def load(entity: str, table: StoredTable, batch: DataFrame, rejects: int) -> tuple[DataFrame, int]:
-        done = merge(spark, table, batch, stamp, dry_run)
-        views[entity], touched[entity] = done.table, done.touched
+        done = merge(spark, table, batch, stamp, dry_run, versions.get(entity) if dry_run else None)
+        views[entity], touched[entity], versions[entity] = done.table, done.touched, done.version
         return done.counts, rejects
 
     def keep(entity: str, judged: DataFrame) -> int:

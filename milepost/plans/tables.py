@@ -99,6 +99,7 @@ class Merge:
     counts: DataFrame
     table: DataFrame
     touched: list[str | None]
+    version: store.Version
 
 
 def merge(
@@ -107,15 +108,17 @@ def merge(
     batch: DataFrame,
     stamp: datetime,
     dry_run: bool = False,
+    before: store.Version | None = None,
 ) -> Merge:
     """Merges a batch (one row per key) into a stored table.
 
     Only partitions that the batch touches are read and written, each into a new folder, once, with
     the action of each row; counts come from that column. The new version counts when its manifest is
     there. A dry run goes the same way and makes no version; its folders stay for :attr:`Merge.table`
-    and are named by none (``store.vacuum`` removes them).
+    and are named by none (``store.vacuum`` removes them). ``before`` takes the place of the stored
+    version: the second dry run on a table goes on from the first one's.
     """
-    before = store.latest(spark, table.path)
+    before = before or store.latest(spark, table.path)
     batch = cut_lineage(table.with_partition(batch), f"{table.name}-batch")
     if before is None:
         target = spark.createDataFrame([], batch.schema)
@@ -135,7 +138,7 @@ def merge(
         version = store.Version(0, schema, kept | written)
     else:
         version = store.commit(spark, table.path, before, schema, kept | written)
-    return Merge(counts, store.read_version(spark, version), touched)
+    return Merge(counts, store.read_version(spark, version), touched, version)
 
 
 def merge_into(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,11 +24,16 @@ RUNTIME = {
 }
 
 
+#: Root of the scratch folders of the run that is going on.
+RUN_ROOT = "milepost.scratch.root"
+
+
 def spark_session(app_name: str = "milepost", master: str | None = None, **conf) -> SparkSession:
     """Session with UTC time, adaptive execution and skew splitting.
 
-    No broadcast hints are used anywhere in the package: Spark broadcasts a side only when its size
-    is under the threshold, measured at run time, and otherwise uses a sort-merge join whose skewed
+    Broadcast hints are used only for sides whose rows have been counted up to a limit (the eligible
+    companies of the rollups) or are bounded by a parameter. Elsewhere Spark broadcasts a side when
+    its measured size is under the threshold, and otherwise uses a sort-merge join whose skewed
     partitions are split.
     """
     builder = SparkSession.builder.appName(app_name)
@@ -57,7 +64,7 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     Only a plain local run may leave the setting out; a temporary folder takes its place there. On a
     cluster each executor would write to a disk of its own, so the job is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", "") or ""
+    root = spark.conf.get(RUN_ROOT, "") or spark.conf.get("spark.checkpoint.dir", "") or ""
     if not root:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):
@@ -67,6 +74,31 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def run_scratch(spark: SparkSession, label: str) -> Iterator[dict]:
+    """Gathers the scratch folders of one run below one root, which is removed when the run succeeds.
+
+    Set ``keep`` in the dictionary it gives to leave the root in place; an exception does so too. What
+    the run returns must not read from it.
+    """
+    root, outer = scratch_dir(spark, label), spark.conf.get(RUN_ROOT, "")
+    spark.conf.set(RUN_ROOT, root)
+    options = {"keep": False}
+    try:
+        yield options
+    except BaseException:
+        options["keep"] = True
+        raise
+    finally:
+        if outer:
+            spark.conf.set(RUN_ROOT, outer)
+        else:
+            spark.conf.unset(RUN_ROOT)
+        if not options["keep"]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 

@@ -1,10 +1,14 @@
+import os
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from milepost.operators import conform
 from milepost.plans import pipeline, tables
+from milepost.schemas import ROLLUP_KEYS
 from milepost.session import scratch_dir
 from testbed.pipeline_queries import WINDOW, inputs
 
@@ -37,6 +41,37 @@ def test_second_run_changes_no_business_rows(spark, run_inputs):
     assert second["trip_location"]["rows_updated"] == first["trip_location"]["rows_inserted"]
     again = tables.read_table(spark, warehouse.path("rollups/trip_day_rollup"))
     assert again.agg(F.sum("trip_count")).first()[0] == trips
+    rejects_and_scratch(spark, warehouse, first)
+    dimensions_move_rollups(spark, run_inputs, warehouse)
+
+
+def rejects_and_scratch(spark, warehouse, lines):
+    stored = pipeline.read_rejects(spark, warehouse).groupBy("entity").count().collect()
+    want = {e: r["rejected_rows"] for e, r in lines.items() if e not in ("discovery", "rollups") and r["rejected_rows"]}
+    assert {r["entity"]: r["count"] for r in stored} == want
+    root = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not [d for d in os.listdir(root) if d.startswith("run-daily") and len(os.listdir(f"{root}/{d}")) == 0]
+
+
+def dimensions_move_rollups(spark, run_inputs, warehouse):
+    """Users and subscriptions change, no trip lands: the rollups equal a full rebuild."""
+    landed, directory = run_inputs
+    changed = replace(
+        directory,
+        users=directory.users.withColumn("email", F.concat(F.lit("new-"), "email")),
+        company_subscriptions=directory.company_subscriptions.filter("company_id % 3 <> 0"),
+    )
+    quiet = replace(landed, trip_scores=landed.trip_scores.limit(0), driver_scores=landed.driver_scores.limit(0))
+    run(spark, (quiet, changed), warehouse)
+    fresh = scratch_dir(spark, "fresh")
+    tables.refresh_rollups(
+        conform.derive_trip_times(tables.read_table(spark, warehouse.trip_score.path)), changed.subscriptions,
+        changed.company_subscriptions, changed.companies, tables.read_table(spark, warehouse.driver.path),
+        changed.users, fresh,
+    )
+    for name in ROLLUP_KEYS:
+        a, b = tables.read_table(spark, warehouse.path(f"rollups/{name}")), tables.read_table(spark, f"{fresh}/{name}")
+        assert a.count() == b.count() > 0 and a.exceptAll(b).count() == 0, name
 
 
 def test_dry_run_stores_nothing(spark, run_inputs):
@@ -48,6 +83,24 @@ def test_dry_run_stores_nothing(spark, run_inputs):
         assert tables.read_table(spark, warehouse.path(name)) is None
 
 
+def test_dry_run_counts_are_those_of_the_real_run(spark, run_inputs):
+    """Half of the trips and drivers first, so that the second run meets a filled warehouse."""
+    landed, directory = run_inputs
+    half = replace(
+        landed, drivers=landed.drivers.filter("pmod(xxhash64(accountId), 2) = 0"),
+        trip_scores=landed.trip_scores.filter("position % 2 = 0"),
+    )
+    warehouse = pipeline.Warehouse(scratch_dir(spark, "half"))
+    run(spark, (half, directory), warehouse)
+    later = replace(landed, drivers=landed.drivers.filter("pmod(xxhash64(accountId), 2) = 1"))
+    dry = run(spark, (later, directory), warehouse, dry_run=True)
+    real = run(spark, (later, directory), warehouse)
+    counts = ("status", "rows_inserted", "rows_updated", "rows_skipped", "rejected_rows")
+    for entity, line in dry.items():
+        assert [line[c] for c in counts] == [real[entity][c] for c in counts], entity
+    assert dry["trip_scores"]["rows_inserted"] > 0
+
+
 def test_failed_drivers_skip_scores_but_not_points(spark, run_inputs, monkeypatch):
     def broken(*_):
         raise AnalysisException("no drivers today")
