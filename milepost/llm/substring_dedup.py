@@ -119,14 +119,24 @@ def _contexts(window: int):
             raw, left, wins = words.buf.tobytes(), p - s1, s2 - s1
             parts = [raw[a:b] for a, b in zip(words.start[s1].tolist(), words.end[s2 + window - 1].tolist())]
             keys = [hashlib.md5(b"%d %d\0" % tuple(x) + part).digest() for *x, part in zip(left.tolist(), wins.tolist(), parts)]
-            own = words.first[doc]
-            row = pa.array(doc)
+            place = (s1 - words.first[doc]).tolist()
+            one: dict[tuple[int, bytes], int] = {}  # first occurrence of each context in each text
+            pick, starts = [], []
+            for k, context in enumerate(zip(doc.tolist(), keys)):
+                at = one.setdefault(context, len(pick))
+                if at == len(pick):
+                    pick.append(k)
+                    starts.append([])
+                starts[at].append(place[k])
+            pick = np.array(pick, np.int64)
+            row = pa.array(doc[pick])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(row), batch.column("th").take(row),
-                 *(pa.array(x.astype(np.int32)) for x in (s1 - own, s2 - own, left)),
-                 pa.array(keys, pa.binary()), pa.array(parts, pa.binary()),
-                 *(pa.array(hashes[q][p].view(np.int64)) for q in PREFIXES)],
-                ["doc_id", "th", "s1", "s2", "left", "ckey", "words", *(f"h{q}" for q in PREFIXES)],
+                 pa.array(starts, pa.list_(pa.int32())),
+                 *(pa.array(x[pick].astype(np.int32)) for x in (left, wins)),
+                 pa.array([keys[k] for k in pick], pa.binary()), pa.array([parts[k] for k in pick], pa.binary()),
+                 *(pa.array(hashes[q][p[pick]].view(np.int64)) for q in PREFIXES)],
+                ["doc_id", "th", "starts", "left", "wins", "ckey", "words", *(f"h{q}" for q in PREFIXES)],
             )
 
     return run
@@ -357,25 +367,27 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
     members = cut_lineage(
         touched.mapInArrow(
             _contexts(window),
-            "doc_id long, th long, s1 int, s2 int, left int, ckey binary, words binary, h4 long, h8 long, h16 long",
+            "doc_id long, th long, starts array<int>, left int, wins int, ckey binary, words binary,"
+            " h4 long, h8 long, h16 long",
         ), "contexts", compression="zstd",
     )
     contexts = cut_lineage(
-        members.withColumn("wins", F.expr("s2 - s1"))
-        .groupBy("ckey", "h4", "h8", "h16", "left", "wins", "words").agg(F.min("doc_id").alias("first")), "suffixes",
+        members.groupBy("ckey", "h4", "h8", "h16", "left", "wins", "words").agg(F.min("doc_id").alias("first")), "suffixes",
         compression="zstd",
     )
     offs = repeated_offsets(contexts, window, group)
     known = contexts.select("ckey", "first").join(offs, "ckey", "left")
     runs = F.expr(
-        "CASE WHEN doc_id > first THEN array(struct(s1 AS a, s2 AS b))"
-        " ELSE transform(coalesce(offs, array()), o -> struct(s1 + o AS a, s1 + o AS b)) END"
+        "CASE WHEN doc_id > first THEN transform(starts, s -> struct(s AS a, s + wins AS b))"
+        " ELSE flatten(transform(starts, s -> transform(coalesce(offs, array()),"
+        " o -> struct(s + o AS a, s + o AS b)))) END"
     )
-    spans = (
-        members.select("doc_id", "th", "s1", "s2", "ckey").join(known, "ckey")
-        .select("doc_id", "th", F.explode(runs).alias("run"))
-        .groupBy("doc_id", "th").agg(F.collect_set("run").alias("runs"))
+    # written before it is grouped, so that the join on a context of very many documents can be split
+    found = cut_lineage(
+        members.select("doc_id", "th", "starts", "wins", "ckey").join(known, "ckey")
+        .select("doc_id", "th", runs.alias("runs")).filter("size(runs) > 0"), "runs",
     )
+    spans = found.groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
     cut = cut_lineage(
         touched.select("doc_id", "th", "text").join(spans, ["doc_id", "th"]).mapInArrow(
             _apply(window, keep_layout),
