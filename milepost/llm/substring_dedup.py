@@ -352,9 +352,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
         rows.filter(F.col("n_words") >= window).groupBy("sha")
         .agg(F.min("doc_id").alias("one"), F.count("*").alias("n")).filter("n > 1")
     )
-    copies = cut_lineage(
-        rows.select("doc_id", "th", "sha").join(firsts, "sha").filter("doc_id > one").select("doc_id", "th").distinct(),
-        "copies",
+    copies = cut_lineage(  # written at once, so that the join on a large group of copies can be split
+        rows.select("doc_id", "th", "sha").join(firsts, "sha").filter("doc_id > one").select("doc_id", "th"), "copies"
     )
     found = rows.select("doc_id", "th", same.alias("seq"), F.explode("anchors").alias("h"))
     shared = found.groupBy("h").agg(F.min("seq").alias("x"), F.max("seq").alias("y")).filter("x <> y").select("h")
@@ -396,7 +395,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
     )
     changed = cut.select("doc_id", "th", F.lit(False).alias("whole"), "n_removed", "sha", "text").dropDuplicates(
         ["doc_id", "th"]
-    ).unionByName(copies.select("doc_id", "th", F.lit(True).alias("whole")), allowMissingColumns=True)
+    ).unionByName(copies.distinct().withColumn("whole", F.lit(True)), allowMissingColumns=True)
     changed = changed.withColumnRenamed("sha", "kept")
     nothing = F.lit(bytearray(hashlib.sha256(b"").digest()))
     return (
