@@ -1,6 +1,7 @@
 """Best-fit packing of documents into sequences, under conflicts.
 
-A sequence (bin) holds at most one document of a source and one of a duplicate cluster. Pieces, the
+A sequence (bin) holds at most one document of a source and one of a duplicate cluster, a component of
+near duplicates (`similar`: five-word shingles, similarity 0.8 or more). Pieces, the
 longest first, go to the tightest bin that has room and no conflict: bins are kept ordered by what is
 left in them, the search begins at the first bin with room (the successor of the piece's length) and
 goes on to ever roomier ones until a bin's bitmaps of sources and clusters have neither of the piece's
@@ -21,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from milepost.llm.common import Words, small_batches, steps, text_column, utf8
-from milepost.llm.simhash import majority, shingle_hashes
+from milepost.llm import similar
+from milepost.llm.common import small_batches, steps, text_column, utf8
+from milepost.llm.simhash import row_key
 from milepost.llm.token_records import encoder_of, id_width
 from milepost.session import cut_lineage
 
@@ -97,29 +99,35 @@ def pack_shard(lengths: np.ndarray, sources: np.ndarray, has_source: np.ndarray,
 
 
 def _measure(path: str):
-    """Token counts, and fingerprints that name duplicate clusters."""
+    """Token counts, and the shingle sets' sketches."""
     width = id_width(path)
 
     def run(batches):
         for batch in steps(batches):
             raw = utf8(batch)
             counts = encoder_of(path, width).counts(raw)
-            prints = majority(*shingle_hashes(Words([t.lower() for t in raw]), 3))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("source"), pa.array(counts), pa.array(prints.view(np.int64))],
-                ["doc_id", "source", "n_tokens", "cluster"],
+                [batch.column("doc_id"), batch.column("rk"), batch.column("source"), pa.array(counts),
+                 *similar.sketch_arrays(raw, similar.SHINGLE)],
+                ["doc_id", "rk", "source", "n_tokens", "sid", "fingerprint", "n_shingles", "keys"],
             )
 
     return run
 
 
 def measured(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """doc_id, source (hash or NULL), n_tokens and cluster (SimHash) of every row."""
+    """doc_id, source (hash or NULL), n_tokens and cluster (component of near duplicates) of every row."""
     source = F.col(f"`{source_col}`").cast("string")
-    return small_batches(docs).select(
+    rows = small_batches(docs).select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_column(text_col).alias("text"),
         F.when(source.isNotNull(), F.xxhash64(source)).alias("source"),
-    ).mapInArrow(_measure(path), "doc_id long, source long, n_tokens long, cluster long")
+    ).withColumn("rk", row_key())
+    found = rows.mapInArrow(_measure(path), f"doc_id long, rk long, source long, n_tokens long, {similar.SKETCH}")
+    found = cut_lineage(found, "measured")
+    roots = similar.similar_roots(docs, found, id_col=id_col, text_col=text_col)
+    return found.join(roots, found.sid == roots.node, "left").select(
+        "doc_id", "source", "n_tokens", F.coalesce("root", "sid").alias("cluster")
+    )
 
 
 def _pack_batches(capacity: int):

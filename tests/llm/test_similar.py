@@ -6,9 +6,9 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from milepost.llm import similar
+from milepost.llm import packing, similar
 from tests.llm.conftest import EDGE
-from tests.llm.test_texts import WORD
+from tests.llm.test_texts import WORD, WORDS
 
 
 def shingles(text):
@@ -96,3 +96,15 @@ def test_links_are_exact():
     sets = [np.arange(a, a + 100, dtype=np.uint64) for a in (0, 11, 12, 40)]
     links = similar.confirmed_links(np.zeros(4, np.uint64), sets, 80)
     assert {tuple(sorted(x)) for x in links} == {(0, 1), (1, 2)}
+
+
+def test_no_sequence_holds_two_of_a_component(make_docs):
+    """Near copies of different sources are kept apart by their cluster alone."""
+    rows = [(d, t, f"source {d}") for d, t in copies(3)]
+    component = {d: k for (d, *_), k in zip(rows, components_of(rows))}
+    bins = {}
+    for g in packing.pack_documents(make_docs(rows), WORDS).collect():
+        bins.setdefault(g.bin_id, set()).add(g.doc_id)
+    assert sum(map(len, bins.values())) == len(rows) and max(map(len, bins.values())) > 3
+    for own in bins.values():
+        assert len({component[d] for d in own}) == len(own)
