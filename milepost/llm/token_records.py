@@ -48,12 +48,26 @@ def masked(crc: int) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
+def lowered(raw: list[bytes]) -> Words:
+    """The words of the texts, A-Z lower-cased in words of ASCII alone and in texts without ``<|``."""
+    words = Words(raw)
+    buf = words.buf.copy()
+    high = np.append(0, np.cumsum(buf >= 128))
+    special = np.array([b"<|" in t for t in raw], bool)
+    plain = (high[words.end] == high[words.start]) & ~special[words.doc()]
+    at = np.flatnonzero((buf >= 65) & (buf <= 90))
+    buf[at[plain[np.searchsorted(words.start, at, side="right") - 1]]] |= 32
+    words.buf = buf
+    return words
+
+
 class WordEncoder:
     """Ids of whole texts from a bounded table of their words.
 
     The tokenizer collapses white space and drops it before merging, and neither normalising nor
-    special strings reach over a blank; A-Z are lower-cased. So a text's ids are those of its words one
-    after another.
+    special strings reach over a blank. So a text's ids are those of its words one after another. To have
+    fewer kinds, words of ASCII alone are lower-cased; others keep their case, since the tokenizer composes
+    letters and marks first and some pairs have a composed form in small letters only.
     (Texts with the beginning of a special string, which is found before lower-casing, keep their case.)
 
     The table is a sorted array of word hashes with the place of each word's ids in one long array, so
@@ -89,7 +103,7 @@ class WordEncoder:
 
     def _places(self, raw: list[bytes]) -> tuple[Words, np.ndarray]:
         """The words of the texts and the place of each in the table."""
-        words = Words([t if b"<|" in t else t.lower() for t in raw])
+        words = lowered(raw)
         kinds, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
         if len(self.hash) > KNOWN_WORDS:
             self.hash, self.start, self.size, self.ids = self.hash[:0], self.start[:0], self.size[:0], self.ids[:0]

@@ -225,6 +225,16 @@ def test_records_edges(spark, edge, nothing):
     assert token_records.read_digests(spark, empty).count() == 0
 
 
+def test_marks_after_capitals(spark, make_docs):
+    """Pairs that have a composed form in small letters only; the tokenizer composes before it lower-cases."""
+    pairs = ["H\u0331", "J\u030c", "T\u0308", "W\u030a", "Y\u030a"]
+    rows = [(k, f"Plain {p}asan x{p} {p} AND {p.lower()} \u00c9T{p}") for k, p in enumerate(pairs)]
+    rows += [(10, "Hello World"), (11, "H\u0331 <|x HELLO"), (12, "\u212aELVIN Kelvin")]
+    folder = scratch_dir(spark, "records")
+    token_records.write_records(make_docs(rows), folder, WORDS, 2)
+    assert rows_of(token_records.read_digests(spark, folder), *RECORD) == want_records(rows)
+
+
 def test_damaged_record_is_found(spark, make_docs):
     folder = scratch_dir(spark, "records")
     token_records.write_records(make_docs([(1, "some words here")]), folder, WORDS, 2, shards=1)
