@@ -134,6 +134,10 @@ def _walks(books: Codebooks, sizes: np.ndarray, enough: int):
     return run
 
 
+#: Pairs whose exact cosines are worked out at once.
+PAIRS = 16_384
+
+
 def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int):
     """Query, row and exact cosine of each query's best ``k`` rows in a block, ties to smaller ids."""
     order = np.argsort(ids, kind="stable")
@@ -147,7 +151,10 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: n
         keep = np.ones(rough.shape, bool)
     q, r = np.nonzero(keep & np.isfinite(rough))
     norm = lambda x: np.sqrt((x * x).sum(axis=1))
-    exact = (queries[q] * rows[r]).sum(axis=1) / (norm(queries)[q] * norm(rows)[r])
+    norm_q, norm_r, exact = norm(queries), norm(rows), np.empty(len(q))
+    for lo in range(0, len(q), PAIRS):  # on ties a block may keep every pair
+        a, b = q[lo : lo + PAIRS], r[lo : lo + PAIRS]
+        exact[lo : lo + PAIRS] = (queries[a] * rows[b]).sum(axis=1) / (norm_q[a] * norm_r[b])
     by = np.lexsort((ids[r], -exact, q))
     q, r, exact = q[by], r[by], exact[by]
     first = np.searchsorted(q, q)
