@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from milepost.llm import packing, quality_gam, repetition_rules, similar, substring_dedup
+from milepost.llm import packing, quality_gam, repetition_rules, simhash, substring_dedup
 from milepost.llm.common import table
 from milepost.session import scratch_dir
 
@@ -23,8 +23,8 @@ def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Leaves one document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    return similar.drop_similar(docs)
+    """Leaves one document of each SimHash component: three-word shingles, links at up to two bits."""
+    return simhash.drop_near_duplicates(docs, shingle=3, radius=2)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,6 @@ import random
 import numpy as np
 import pytest
 
-import corpus_pipeline
 from milepost.llm import packing, similar
 from tests.llm.conftest import EDGE
 from tests.llm.test_texts import WORD, WORDS
@@ -68,11 +67,11 @@ def copies(seed):
 
 
 @pytest.mark.parametrize("part", [1000, similar.PART])
-def test_stage_finds_near_copies(spark, make_docs, sf_dir, monkeypatch, part):
+def test_finds_near_copies(make_docs, monkeypatch, part):
     """Also with keys that are dealt out to many parts."""
     monkeypatch.setattr(similar, "PART", part)
     rows = copies(part)
-    got = corpus_pipeline.near_duplicates(spark, make_docs(rows), sf_dir)
+    got = similar.drop_similar(make_docs(rows))
     want = staying(rows)
     assert sorted(r.doc_id for r in got.collect()) == want and 20 < len(want) < len(rows) - 30
 
