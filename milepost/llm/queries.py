@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.llm import (
-    byte_bpe, multi_index, packing, quality_gam, repetition_rules, simhash, substring_dedup,
+    byte_bpe, merkle, multi_index, packing, quality_gam, repetition_rules, simhash, substring_dedup,
     token_counts, token_records, url_filter,
 )
 from milepost.llm.common import table
@@ -91,6 +91,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, proofs and verification of all documents, every fifth (by the CRC-32 of its id) tampered with."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.verify(table(spark, sf_dir, "documents"), tampered)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_substring_dedup": op2_substring_dedup,
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_multi_index": op9_multi_index,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 _REMOVED_SQL = r"""WITH d AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -117,5 +124,43 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS
   sha256(coalesce(text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
 
+# crc32 bit by bit: DuckDB has no function for it
+_CRC_SQL = """list_reduce(list_prepend(4294967295::UBIGINT, [ascii(c)::UBIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), [k::UBIGINT FOR k IN range(8)]),
+    lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END))"""
+_FIELDS_SQL = " || ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars")
+)
+_MERKLE_SQL = f"""WITH RECURSIVE hit AS (SELECT *, coalesce(xor({_CRC_SQL}, 4294967295::UBIGINT) % 5 = 0, false) AS tampered
+  FROM documents),
+leaf AS (SELECT doc_id, source, sha256({_FIELDS_SQL} || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256({_FIELDS_SQL} || coalesce(strlen(t) || ':' || t, '-')) AS given
+  FROM (SELECT *, CASE WHEN tampered
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS t FROM hit)),
+ranked AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s,
+    row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+    count(*) OVER (PARTITION BY source) AS n FROM leaf),
+low AS (SELECT s, 0 AS h, r, n, leaf AS d FROM ranked UNION ALL
+  SELECT s, any_value(h) + 1, r // 16, any_value((n + 15) // 16), sha256(string_agg(d, '' ORDER BY r))
+  FROM low WHERE n > 1 GROUP BY s, r // 16),
+sub AS (SELECT s, h, d FROM low WHERE n = 1),
+high AS (SELECT 0 AS h, s AS r, (SELECT count(*) FROM sub) AS n, d FROM sub UNION ALL
+  SELECT any_value(h) + 1, r // 16, any_value((n + 15) // 16), sha256(string_agg(d, '' ORDER BY r))
+  FROM high WHERE n > 1 GROUP BY r // 16),
+node AS (SELECT s, h, r, n, d FROM low UNION ALL SELECT -1, h, r, n, d FROM high),
+kin AS (SELECT a.s, a.h, a.r, coalesce(string_agg(b.d, '' ORDER BY b.r) FILTER (b.r < a.r), '') AS l,
+    coalesce(string_agg(b.d, '' ORDER BY b.r) FILTER (b.r > a.r), '') AS g
+  FROM node a JOIN node b ON a.s = b.s AND a.h = b.h AND a.r // 16 = b.r // 16 WHERE a.n > 1 GROUP BY a.s, a.h, a.r),
+up AS (SELECT k.*, k.source_row AS x FROM (SELECT row_number() OVER () AS source_row, q.*, sub.h AS depth, sub.d AS subroot
+    FROM ranked q JOIN sub USING (s)) k),
+fold AS (SELECT x, 0 AS step, given AS acc, '' AS sibs FROM up UNION ALL
+  SELECT x, step + 1, sha256(l || acc || g), sibs || l || g FROM fold JOIN up USING (x)
+  JOIN kin ON kin.s = CASE WHEN step < depth THEN up.s ELSE -1 END
+    AND kin.h = CASE WHEN step < depth THEN step ELSE step - depth END
+    AND kin.r = CASE WHEN step < depth THEN up.r // (16 ** step)::BIGINT ELSE up.s // (16 ** (step - depth))::BIGINT END)
+SELECT doc_id, leaf, subroot, root, sha256(sibs) AS proof_sha256, acc AS folded_root, acc = root AS verified
+FROM (SELECT x, arg_max(acc, step) AS acc, arg_max(sibs, step) AS sibs FROM fold GROUP BY x) JOIN up USING (x),
+  (SELECT d AS root FROM high WHERE n = 1)"""
+
 #: What SQL can express; the other queries are tested against brute force.
-ORACLES: dict[str, str] = {"op2_substring_dedup": _REMOVED_SQL}
+ORACLES: dict[str, str] = {"op2_substring_dedup": _REMOVED_SQL, "op13_merkle_manifest": _MERKLE_SQL}
