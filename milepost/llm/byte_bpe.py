@@ -123,6 +123,11 @@ def packed_classes() -> bytes:
     return zlib.compress(classes.tobytes())
 
 
+def class_array(packed: bytes) -> np.ndarray:
+    """Class of every code point."""
+    return np.frombuffer(zlib.decompress(packed), np.uint8)
+
+
 def _pairs(first: np.ndarray, second: np.ndarray, table: bytes) -> np.ndarray:
     """The table's entries for pairs of numbers below 16."""
     return np.frombuffer(((first << 4) | second).tobytes().translate(table), np.uint8).reshape(second.shape)
@@ -259,7 +264,7 @@ class Codec:
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
         self.names = [str(k) for k in range(len(self.tokens))]
-        self.classes = np.frombuffer(zlib.decompress(classes or packed_classes()), np.uint8)
+        self.classes = class_array(classes or packed_classes())
         self.merge = Merger(self.ranks).merge
         self.known: dict[str, list[int]] = {}
         self.older: dict[str, list[int]] = {}

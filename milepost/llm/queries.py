@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.llm import (
-    byte_bpe, merkle, multi_index, packing, quality_gam, repetition_rules, simhash, substring_dedup,
+    alignment, byte_bpe, merkle, multi_index, packing, quality_gam, repetition_rules, simhash, substring_dedup,
     token_counts, token_records, url_filter,
 )
 from milepost.llm.common import table
@@ -91,6 +91,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of a byte-level and a piece vocabulary, and how common the links are."""
+    return alignment.align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves, proofs and verification of all documents, every fifth (by the CRC-32 of its id) tampered with."""
     tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
@@ -108,6 +116,7 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_multi_index": op9_multi_index,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 _REMOVED_SQL = r"""WITH d AS (
