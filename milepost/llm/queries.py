@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from milepost.llm import (
     alignment, byte_bpe, merkle, multi_index, packing, quality_gam, repetition_rules, simhash, substring_dedup,
-    token_counts, token_records, url_filter,
+    token_counts, token_records, toxicity, url_filter,
 )
 from milepost.llm.common import table
 from milepost.session import scratch_dir
@@ -91,6 +91,12 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores, learned from the labels that are not held out."""
+    found = toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.selectExpr("doc_id", "held_out", "score", "CAST(score >= 0.5 AS int) AS predicted")
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of a byte-level and a piece vocabulary, and how common the links are."""
     return alignment.align(
@@ -116,6 +122,7 @@ QUERIES = {
     "op8_token_records": op8_token_records,
     "op9_multi_index": op9_multi_index,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_toxicity": op11_toxicity,
     "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
