@@ -25,6 +25,7 @@ from milepost.operators.dedup import distinct_points
 from milepost.operators.lookups import (
     left_lookup, resolve_company, resolve_driver_user, resolve_fleet_identity,
 )
+from milepost.operators.skew import one_per_key
 from milepost.session import cut_lineage
 from milepost.schemas import (
     DRIVER_SCORE_KEY, INCIDENT_KEY, LAST_INCIDENT_COLUMNS, LOCATION_KEY, METRICS, TRIP_KEY, camel,
@@ -101,7 +102,7 @@ def report_driver_id() -> Column:
 
 
 def _with_known_flag(df: DataFrame, drivers: DataFrame) -> DataFrame:
-    known = drivers.select(F.col("driver_id").alias("_id")).distinct()
+    known = one_per_key(drivers.select(F.col("driver_id").alias("_id")), ["_id"])
     flagged = left_lookup(df, F.col("driver_id"), known.withColumn("_known", F.lit(True)), "_id",
                           ["_known"], spread_by=["_position"])
     return flagged.withColumn("_known", F.coalesce("_known", F.lit(False)))
@@ -337,7 +338,7 @@ def mark_duplicates(judged: DataFrame, keys: list[str], keep: str) -> DataFrame:
     resolved = F.col("_status") == RESOLVED
     best = (F.min if keep == "first" else F.max)("_position").alias("_kept_position")
     usable = judged.filter(resolved)
-    kept = usable.groupBy(*keys).agg(best)
+    kept = one_per_key(usable, keys, best)
     extra = F.col("_position") != F.col("_kept_position")
     marked = usable.join(kept, keys).select(
         *[c for c in judged.columns if c not in ("_status", "_reason")],

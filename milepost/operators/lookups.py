@@ -1,7 +1,8 @@
 """Lookup joins: companies, fleets, users, drivers and trip details.
 
-The looked-up tables are first reduced to one row per key. Sides are not marked for broadcast;
-Spark broadcasts those under its size threshold and splits skewed partitions of the others.
+The looked-up tables are first reduced to one row per key, in a way that leaves the join an exchange of
+its own (`skew`). Sides are not marked for broadcast; Spark broadcasts those under its size threshold and splits
+skewed partitions of the others.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from milepost.functions.coerce import first_non_blank, strip, text_or_null, to_l
 from milepost.functions.jsontext import app_blob_driver_id, app_blob_value, json_path
 from milepost.functions.people import contact_email, focus_driver_id, report_driver_name
 from milepost.operators.dedup import last_by
+from milepost.operators.skew import one_per_key
 
 
 def left_lookup(
@@ -49,14 +51,12 @@ def company_by_location(companies: DataFrame) -> DataFrame:
     Several companies may claim one location: the lowest company id wins, the others are counted.
     """
     location = to_long(json_path(F.col("focus_data"), "eventInfo.flAccountId"))
-    return (
-        companies.select(location.alias("retailer_location_id"), F.col("id").alias("company_id"))
-        .filter("retailer_location_id IS NOT NULL AND company_id IS NOT NULL")
-        .groupBy("retailer_location_id")
-        .agg(
-            F.min("company_id").alias("company_id"),
-            (F.count_distinct("company_id") - 1).alias("conflicting_companies"),
-        )
+    claims = companies.select(location.alias("retailer_location_id"), F.col("id").alias("company_id")).filter(
+        "retailer_location_id IS NOT NULL AND company_id IS NOT NULL"
+    )
+    return one_per_key(
+        claims, ["retailer_location_id"], F.min("company_id").alias("company_id"),
+        (F.count_distinct("company_id") - 1).alias("conflicting_companies"),
     )
 
 
@@ -77,14 +77,11 @@ def resolve_company(rows: DataFrame, companies: DataFrame, location: str) -> Dat
 def fleet_identities(fleets: DataFrame) -> DataFrame:
     """Internal id -> location and company; on a repeated internal id the lowest location wins."""
     pair = F.struct("retailer_location_id", "company_id")
-    return (
-        fleets.filter(
-            "internal_id IS NOT NULL AND retailer_location_id IS NOT NULL"
-            " AND company_id IS NOT NULL"
-        )
-        .groupBy("internal_id")
-        .agg(F.min(pair).alias("p"))
-        .select("internal_id", "p.retailer_location_id", "p.company_id")
+    whole = fleets.filter(
+        "internal_id IS NOT NULL AND retailer_location_id IS NOT NULL AND company_id IS NOT NULL"
+    )
+    return one_per_key(whole, ["internal_id"], F.min(pair).alias("p")).select(
+        "internal_id", "p.retailer_location_id", "p.company_id"
     )
 
 
@@ -104,9 +101,9 @@ def resolve_fleet_identity(
 
 def active_roster(fleets: DataFrame, companies: DataFrame) -> DataFrame:
     """Active fleets that some company claims by account id."""
-    claimed = companies.select(
-        json_path(F.col("focus_data"), "eventInfo.flAccountId").alias("_account")
-    ).distinct()
+    claimed = one_per_key(
+        companies.select(json_path(F.col("focus_data"), "eventInfo.flAccountId").alias("_account")), ["_account"]
+    )
     return (
         fleets.filter("active")
         .join(claimed, F.col("retailer_location_id").cast("string") == F.col("_account"),
@@ -120,7 +117,7 @@ def repair_company_ids(rows: DataFrame, fleets: DataFrame) -> DataFrame:
     side = fleets.select(
         F.col("internal_id").alias("_internal"), F.col("company_id").alias("_company")
     )
-    side = side.groupBy("_internal").agg(F.min("_company").alias("_company"))
+    side = one_per_key(side, ["_internal"], F.min("_company").alias("_company"))
     joined = left_lookup(rows, F.col("fleet_id"), side.withColumn("_hit", F.lit(True)),
                          "_internal", ["_company", "_hit"])
     differs = F.coalesce(F.col("_hit"), F.lit(False)) & ~F.col("company_id").eqNullSafe(
@@ -138,22 +135,14 @@ def repair_company_ids(rows: DataFrame, fleets: DataFrame) -> DataFrame:
 
 def users_by_focus_id(users: DataFrame) -> DataFrame:
     key = focus_driver_id(F.col("focus_data"))
-    return (
-        users.select(key.alias("focus_id"), F.col("id").alias("user_id"))
-        .filter("focus_id IS NOT NULL")
-        .groupBy("focus_id")
-        .agg(F.min("user_id").alias("user_id"))
-    )
+    keyed = users.select(key.alias("focus_id"), F.col("id").alias("user_id")).filter("focus_id IS NOT NULL")
+    return one_per_key(keyed, ["focus_id"], F.min("user_id").alias("user_id"))
 
 
 def users_by_email(users: DataFrame) -> DataFrame:
     key = F.lower(text_or_null("email"))
-    return (
-        users.select(key.alias("email_key"), F.col("id").alias("user_id"))
-        .filter("email_key IS NOT NULL")
-        .groupBy("email_key")
-        .agg(F.min("user_id").alias("user_id"))
-    )
+    keyed = users.select(key.alias("email_key"), F.col("id").alias("user_id")).filter("email_key IS NOT NULL")
+    return one_per_key(keyed, ["email_key"], F.min("user_id").alias("user_id"))
 
 
 def resolve_driver_user(
@@ -172,7 +161,7 @@ def resolve_driver_user(
 
 def known_driver_rows(rows: DataFrame, drivers: DataFrame, driver_id: str) -> DataFrame:
     """Rows whose driver exists."""
-    known = drivers.select(F.col("driver_id").alias("_known")).distinct()
+    known = one_per_key(drivers.select(F.col("driver_id").alias("_known")), ["_known"])
     return rows.join(known, text_or_null(driver_id) == F.col("_known"), "left_semi")
 
 
@@ -206,7 +195,7 @@ def driver_lookup(raw_drivers: DataFrame, users: DataFrame, position: str) -> Da
     name = report_driver_name(
         F.col("display"), F.col("contact"), F.col("contactEmail"), F.col("username")
     )
-    return last_by(matched, ["driver_id"], position).select(
+    return last_by(matched, ["driver_id"], position, as_side=True).select(
         "driver_id",
         name.alias("driver_name"),
         to_long("accountId").alias("driver_account_id"),
@@ -313,7 +302,7 @@ def normalize_discovered_fleet(rows: DataFrame, payload: str = "payload") -> Dat
 
 def reconcile_fleets(discovered: DataFrame, fleets: DataFrame, companies: DataFrame) -> DataFrame:
     """Adds ``company_id`` and ``outcome``: known, insertable or pending."""
-    known = fleets.select(F.col("internal_id").alias("_id")).distinct().withColumn(
+    known = one_per_key(fleets.select(F.col("internal_id").alias("_id")), ["_id"]).withColumn(
         "_known", F.lit(True)
     )
     flagged = left_lookup(discovered, F.col("internal_id"), known, "_id", ["_known"])

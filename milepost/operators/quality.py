@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milepost.operators.dedup import duplicate_keys
+from milepost.operators.skew import one_per_key
 from milepost.schemas import (
     DRIVER_KEY, DRIVER_SCORE_KEY, FLEET_KEY, INCIDENT_KEY, LOCATION_KEY, TRIP_KEY,
 )
@@ -99,7 +100,7 @@ def purge_drivers(
     incidents: DataFrame,
 ) -> dict[str, DataFrame]:
     """What remains after drivers are deleted: their trips and scores go, and the trips' points."""
-    ids = gone.select("driver_id").distinct()
+    ids = one_per_key(gone.select("driver_id"), ["driver_id"])
     lost_trips = trips.join(ids, "driver_id", "left_semi").select("trip_id")
     return {
         "trip_score": trips.join(ids, "driver_id", "left_anti"),
@@ -111,7 +112,7 @@ def purge_drivers(
 
 def unlink_fleets(rows: DataFrame, gone: DataFrame) -> DataFrame:
     """Clears the location link of rows whose fleet was deleted; the rows stay."""
-    lost = gone.select(F.col("retailer_location_id").alias("_gone")).distinct()
+    lost = one_per_key(gone.select(F.col("retailer_location_id").alias("_gone")), ["_gone"])
     joined = rows.join(lost, F.col("retailer_location_id") == F.col("_gone"), "left")
     kept = F.when(F.col("_gone").isNull(), F.col("retailer_location_id"))
     return joined.withColumn("retailer_location_id", kept).drop("_gone")

@@ -16,6 +16,7 @@ from milepost.functions.measures import (
     meters_to_miles, round_mean, trip_class,
 )
 from milepost.functions.people import trip_driver_name
+from milepost.operators.skew import one_per_key
 from milepost.schemas import (
     INCIDENT_COLUMNS, LAST_INCIDENT_COLUMNS, METRICS, SCORE_COLUMNS,
 )
@@ -46,11 +47,8 @@ def eligible_companies(
     chosen = subscriptions.filter(F.col("subscription_name") == subscription_name).agg(
         F.min("id").alias("subscription_id")
     )
-    return (
-        company_subscriptions.join(chosen, "subscription_id", "left_semi")
-        .select("company_id")
-        .distinct()
-    )
+    holders = company_subscriptions.join(chosen, "subscription_id", "left_semi").select("company_id")
+    return one_per_key(holders, ["company_id"])
 
 
 # Company ids up to this number (a few MB) are broadcast to filter the trips.
@@ -106,6 +104,77 @@ def _aggregate_days(trips: DataFrame, events: bool) -> DataFrame:
     )
 
 
+# --- partial states -------------------------------------------------------------------------------
+
+_STATE_SUMS = (
+    [*_COUNTS, "_meters", "_score"]
+    + [f"_{c}" for c in INCIDENT_COLUMNS]
+    + [f"{c}_sample_count" for c in SCORE_COLUMNS]
+    + [f"_{c}" for c in SCORE_COLUMNS]
+)
+
+
+def day_states(trips: DataFrame) -> DataFrame:
+    """Partial states per driver and day, of all companies: counts, sums, first start and last end.
+
+    States of disjoint sets of trips merge to the state of their union (:func:`merge_states`).
+    """
+    aggregates = [
+        F.count("*").alias("trip_count"),
+        F.count("distance_meters").alias("distance_sample_count"),
+        F.count("overall_score").alias("score_sample_count"),
+        F.sum("distance_meters").alias("_meters"),
+        F.sum("overall_score").alias("_score"),
+        F.min("start_date_datetime").alias("first_trip_start_datetime"),
+        F.max("end_date_datetime").alias("last_trip_end_datetime"),
+        *[F.sum(F.coalesce(c, F.lit(0.0))).alias(f"_{c}") for c in INCIDENT_COLUMNS],
+        *[F.count(c).alias(f"{c}_sample_count") for c in SCORE_COLUMNS],
+        *[F.sum(c).alias(f"_{c}") for c in SCORE_COLUMNS],
+    ]
+    return with_reporting_day(trips).groupBy(*_TRIP_KEYS).agg(*aggregates)
+
+
+def with_reporting_day(trips: DataFrame) -> DataFrame:
+    """Ended trips with the day they count for."""
+    return trips.filter("end_date_datetime IS NOT NULL").withColumn(
+        "reporting_day", F.col("end_date_datetime").cast("date")
+    )
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """One state per driver and day from several."""
+    return states.groupBy(*_TRIP_KEYS).agg(
+        *[F.sum(c).alias(c) for c in _STATE_SUMS],
+        F.min("first_trip_start_datetime").alias("first_trip_start_datetime"),
+        F.max("last_trip_end_datetime").alias("last_trip_end_datetime"),
+    )
+
+
+def same_group(left: str, right: str) -> Column:
+    """Whether two aliased rows belong to one driver-day; NULL equals NULL."""
+    out = F.lit(True)
+    for k in _TRIP_KEYS:
+        out = out & F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}"))
+    return out
+
+
+def state_groups(trips: DataFrame) -> DataFrame:
+    """The driver-days of some ended trips."""
+    return with_reporting_day(trips).select(*_TRIP_KEYS).distinct()
+
+
+def event_rollup_of_states(
+    states: DataFrame, eligible: DataFrame, companies: DataFrame, drivers: DataFrame, users: DataFrame
+) -> DataFrame:
+    """What :func:`trip_event_day_rollup` gives for the trips of the states, bucket included."""
+    days = states.join(eligible, "company_id", "left_semi")
+    means = {"_mean_score": ("_score", "score_sample_count")}
+    means |= {f"_{c}": (f"_{c}", f"{c}_sample_count") for c in SCORE_COLUMNS}
+    for name, (total, count) in means.items():
+        days = days.withColumn(name, F.when(F.col(count) > 0, F.col(total) / F.col(count)))
+    return _event_rollup(days, companies, drivers, users, True)
+
+
 def _with_identity(
     days: DataFrame, companies: DataFrame, drivers: DataFrame, users: DataFrame
 ) -> DataFrame:
@@ -166,7 +235,13 @@ def trip_event_day_rollup(
     ``with_bucket`` adds the performance bucket, so that both day rollups can be taken from one
     pass over the trips.
     """
-    days = _with_identity(_day_aggregates(trips, eligible, True), companies, drivers, users)
+    return _event_rollup(_day_aggregates(trips, eligible, True), companies, drivers, users, with_bucket)
+
+
+def _event_rollup(
+    days: DataFrame, companies: DataFrame, drivers: DataFrame, users: DataFrame, with_bucket: bool
+) -> DataFrame:
+    days = _with_identity(days, companies, drivers, users)
     bucket = day_bucket(F.col("distance_sample_count"), F.col("_meters"), F.col("_mean_score"))
     return days.select(
         *_IDENTITY,

@@ -18,10 +18,9 @@ from milepost.functions.jsontext import to_json_text
 from milepost.operators import conform, lookups
 from milepost.operators.dedup import first_by
 from milepost.operators.merge import discovered_fleet_rows
-from milepost.plans import daily
-from milepost.plans.store import Version
+from milepost.plans import daily, maintenance
 from milepost.plans.tables import (
-    StoredTable, advance_watermark, merge, read_table, refresh_rollups,
+    Merge, StoredTable, advance_watermark, merge, read_table, refresh_rollups,
 )
 from milepost.plans.windows import RunWindow, snapshot_date
 from milepost.schemas import DRIVER_KEY, FLEET_KEY
@@ -164,18 +163,18 @@ def run_daily(
     default_location: Column,
     dry_run: bool = False,
     job: str = "daily",
-    refresh: str = "all",
+    refresh: str = "changes",
 ) -> RunReport:
     """One run over a window of landed runs; every row of a run is loaded or kept as a reject.
 
     When the drivers cannot be loaded, scores and trips are skipped, as they refer to them; points
-    are still loaded. Rollups also depend on companies, subscriptions, drivers and users, so all days
-    are rebuilt; ``refresh="touched"`` rebuilds the days of the loaded trips only, for runs between
-    full ones. The watermark moves only if no step failed, and not in a dry run. A dry run judges
+    are still loaded. Rollups follow what the merge changed, and changed companies, subscriptions, drivers
+    and users (`plans.maintenance`); ``refresh="all"`` rebuilds them from all trips, ``refresh="touched"``
+    from the trips of the loaded trips' days, whatever else has changed. The watermark moves only if no step failed, and not in a dry run. A dry run judges
     every step against the tables as the steps before would leave them.
     """
-    if refresh not in ("all", "touched"):
-        raise ValueError(f"refresh is 'all' or 'touched', not {refresh!r}")
+    if refresh not in ("changes", "all", "touched"):
+        raise ValueError(f"refresh is 'changes', 'all' or 'touched', not {refresh!r}")
     with run_scratch(spark, f"run-{job}") as scratch:
         report = _steps(
             spark, landed, directory, warehouse, window, run_at, default_location, dry_run, job, refresh
@@ -199,12 +198,12 @@ def _steps(
     report = RunReport()
     stamp = window.end.replace(tzinfo=None)
     views: dict[str, DataFrame] = {}
-    touched: dict[str, list] = {}
-    versions: dict[str, Version] = {}
+    merges: dict[str, Merge] = {}
 
     def load(entity: str, table: StoredTable, batch: DataFrame, rejects: int) -> tuple[DataFrame, int]:
-        done = merge(spark, table, batch, stamp, dry_run, versions.get(entity) if dry_run else None)
-        views[entity], touched[entity], versions[entity] = done.table, done.touched, done.version
+        before = merges[entity].version if dry_run and entity in merges else None
+        done = merge(spark, table, batch, stamp, dry_run, before)
+        views[entity], merges[entity] = done.table, done
         return done.counts, rejects
 
     def keep(entity: str, judged: DataFrame) -> int:
@@ -283,26 +282,48 @@ def _steps(
 
         report.step(table.name, load_points)
 
-    if not dry_run and "trip_scores" in touched:
-        days = None if refresh == "all" else sorted(d for d in touched["trip_scores"] if d is not None)
-        if days is None or days:
-            report.step("rollups", lambda: _refresh(spark, directory, warehouse, days))
+    if not dry_run and "trip_scores" in merges:
+        trips = merges["trip_scores"]
+        if refresh != "touched":
+            report.step("rollups", lambda: _refresh(spark, directory, warehouse, trips, refresh == "all"))
+        elif days := sorted(d for d in trips.touched if d is not None):
+            report.step("rollups", lambda: _refresh_days(spark, directory, warehouse, days))
     if not dry_run and not report.failed:
         advance_watermark(spark, warehouse.path("watermark"), job, window.end, run_at)
     return report
 
 
 def _refresh(
-    spark: SparkSession, directory: Directory, warehouse: Warehouse, days: list[str] | None
+    spark: SparkSession, directory: Directory, warehouse: Warehouse, trips: Merge, rebuild: bool
 ) -> tuple[DataFrame, int]:
-    """Rollups of all days or some; the counts are trips and driver-days in the day rollup."""
+    """Rollups from what changed, or from all trips."""
+    sides = maintenance.Sides(
+        directory.subscriptions, directory.company_subscriptions, directory.companies,
+        read_table(spark, warehouse.driver.path), directory.users,
+    )
+    done = maintenance.refresh(
+        spark, warehouse.trip_score.path, sides, warehouse.path("rollups"), trips, rebuild
+    )
+    return _rollup_counts(spark, done.stored)
+
+
+def _refresh_days(
+    spark: SparkSession, directory: Directory, warehouse: Warehouse, days: list[str]
+) -> tuple[DataFrame, int]:
+    """Rollups of some days from their trips."""
     stored = refresh_rollups(
         conform.derive_trip_times(read_table(spark, warehouse.trip_score.path, days)), directory.subscriptions,
         directory.company_subscriptions, directory.companies,
         read_table(spark, warehouse.driver.path), directory.users, warehouse.path("rollups"),
         days=days,
     )
-    counts = stored["trip_day_rollup"].agg(
+    return _rollup_counts(spark, stored)
+
+
+def _rollup_counts(spark: SparkSession, stored: dict[str, DataFrame]) -> tuple[DataFrame, int]:
+    """The counts are trips and driver-days of the day rollup that were written."""
+    days = stored.get("trip_day_rollup", spark.createDataFrame([], "trip_count long"))
+    counts = days.agg(
         F.lit("rollups"), F.coalesce(F.sum("trip_count"), F.lit(0)), F.count("*"),
         F.lit(0).cast("bigint"),
     )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.operators import rollups
-from milepost.operators.merge import AUDIT, KEEP, merge_counts, merged_table, upsert
+from milepost.operators.merge import AUDIT, INSERT, KEEP, UPDATE, merge_counts, merged_table, upsert
 from milepost.operators.reports import union_all
 from milepost.plans import store
 from milepost.session import cut_lineage
@@ -93,13 +93,19 @@ def touched_partitions(table: StoredTable, target: DataFrame, batch: DataFrame)
 
 @dataclass(frozen=True)
 class Merge:
-    """What a merge did: its counts, the table as it is (or, after a dry run, would be), and the
-    partitions that it touched."""
+    """What a merge did: its counts, the table as it is (or, after a dry run, would be), the
+    partitions that it touched, and the number of the version it began from (0: none).
+
+    ``changes`` are the rows that it inserted or updated, with ``_sign`` 1, and the updated rows as they
+    were, with ``_sign`` -1. They are read from the touched partitions of both versions.
+    """
 
     counts: DataFrame
     table: DataFrame
     touched: list[str | None]
     version: store.Version
+    before: int
+    changes: DataFrame
 
 
 def merge(
@@ -138,7 +144,14 @@ def merge(
         version = store.Version(0, schema, kept | written)
     else:
         version = store.commit(spark, table.path, before, schema, kept | written)
-    return Merge(counts, store.read_version(spark, version), touched, version)
+    moved = found.filter(F.col("_action").isin(INSERT, UPDATE))
+    updated = found.filter(F.col("_action") == UPDATE).select(*table.keys)
+    changes = merged_table(moved).withColumn("_sign", F.lit(1)).unionByName(
+        target.join(updated, table.keys, "left_semi").withColumn("_sign", F.lit(-1)), allowMissingColumns=True
+    )
+    return Merge(
+        counts, store.read_version(spark, version), touched, version, 0 if before is None else before.number, changes
+    )
 
 
 def merge_into(
@@ -191,28 +204,40 @@ def refresh_rollups(
     Both day rollups come from one pass over the trips, and the group rollups read what was stored.
     With ``days`` only trips that ended on those days are read and only those days are replaced.
     """
-    spark = trips.sparkSession
-    eligible = cut_lineage(
+    eligible = stored_eligible(subscriptions, company_subscriptions, subscription_name)
+    if days is not None:
+        ended_on = F.col("end_date_datetime").cast("date")
+        trips = trips.filter(ended_on.cast("string").isin([str(d) for d in days]))
+    replaced = None if days is None else [str(d) for d in days]
+    trip_list = rollups.driver_trip_list(trips, eligible, drivers, users)
+    combined = rollups.trip_event_day_rollup(
+        trips, eligible, companies, drivers, users, with_bucket=True
+    )
+    return store_trip_list(trip_list, out_path, replaced) | store_day_rollups(combined, out_path, replaced)
+
+
+def stored_eligible(
+    subscriptions: DataFrame, company_subscriptions: DataFrame, subscription_name: str
+) -> DataFrame:
+    return cut_lineage(
         rollups.eligible_companies(subscriptions, company_subscriptions, subscription_name),
         "eligible",
     )
-    ended_on = F.col("end_date_datetime").cast("date")
-    if days is not None:
-        trips = trips.filter(ended_on.cast("string").isin([str(d) for d in days]))
 
-    replaced = None if days is None else [str(d) for d in days]
+
+def store_trip_list(trip_list: DataFrame, out_path: str, replaced: list | None) -> dict[str, DataFrame]:
+    """Stores the trip list by day: all of it, or the given days."""
+    by_day = trip_list.withColumn("reporting_day", F.col("end_date_datetime").cast("date"))
+    return {"driver_trip_list": write_partitions(by_day, f"{out_path}/driver_trip_list", "reporting_day", replaced)}
+
+
+def store_day_rollups(combined: DataFrame, out_path: str, replaced: list | None) -> dict[str, DataFrame]:
+    """Stores both day rollups from their combined form, and the group rollups from what was stored."""
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         return write_partitions(df, f"{out_path}/{name}", "reporting_day", replaced)
 
     stored = {}
-    trip_list = rollups.driver_trip_list(trips, eligible, drivers, users)
-    stored["driver_trip_list"] = keep(
-        "driver_trip_list", trip_list.withColumn("reporting_day", ended_on)
-    )
-    combined = rollups.trip_event_day_rollup(
-        trips, eligible, companies, drivers, users, with_bucket=True
-    )
     plain, events = rollups.split_day_rollups(cut_lineage(combined, "day-rollups"))
     stored["trip_day_rollup"] = keep("trip_day_rollup", plain)
     stored["performance_groups"] = keep(
@@ -246,6 +271,6 @@ def rollup_totals(stored: dict[str, DataFrame]) -> DataFrame:
 
 __all__ = [
     "Merge", "StoredTable", "advance_watermark", "merge", "merge_into", "read_table", "read_watermark",
-    "refresh_rollups", "rollup_totals", "touched_partitions", "write_partitions",
-    "write_table",
+    "refresh_rollups", "rollup_totals", "store_day_rollups", "store_trip_list", "stored_eligible",
+    "touched_partitions", "write_partitions", "write_table",
 ]

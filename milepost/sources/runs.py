@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from milepost.operators.skew import one_per_key
+
 
 def latest_run(rows: DataFrame, location: str = "fleet_id", run: str = "run_ts") -> DataFrame:
     """Rows of the lexicographically greatest run per location.
 
     The maximum is a partial aggregate (over partition folders: metadata-sized), joined back.
     """
-    latest = rows.groupBy(location).agg(F.max(run).alias(run))
+    latest = one_per_key(rows, [location], F.max(run).alias(run))
     return rows.join(latest, [location, run], "left_semi")

@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from milepost.operators import reports
-from milepost.plans import daily, pipeline
+from milepost.plans import daily, maintenance, pipeline, tables
 from milepost.plans.windows import RunWindow
 from milepost.session import scratch_dir
 from testbed.conform_queries import _GOOD_INCIDENT, _GOOD_POINT
@@ -141,3 +141,32 @@ def trip_details_backfill(b: Bed):
             )
         ]
     )
+
+
+@query("incremental_rollups", "SELECT * FROM trip_event_groups", ("trip_event_groups",))
+def incremental_rollups(b: Bed):
+    """Three loads with rollups kept from their change rows: most trips; the rest and some with wrong days,
+    drivers and scores; the corrections. Users and subscriptions change with the last one."""
+    derived = [c for c in b.trip_score.columns if c.endswith("_datetime") or c in ("duration_seconds", "end_day")]
+    trips = b.trip_score.drop(*derived)
+    part = E("pmod(xxhash64(trip_id), 10)")
+    wrong = trips.filter(part.isin(0, 1, 2)).withColumns({
+        "end_date": F.when(part == 0, F.col("end_date") + 86_400_000).otherwise(F.col("end_date")),
+        "driver_id": F.when(part == 1, F.lit("D1")).otherwise(F.col("driver_id")),
+        "overall_score": F.when(part == 2, F.lit(0.0)).otherwise(F.col("overall_score")),
+    })
+    early = maintenance.Sides(
+        b.subscription, b.company_subscription.filter("company_id % 4 <> 0"), b.company, b.driver,
+        b.app_user.withColumn("email", F.lower("first_name")),
+    )
+    now = maintenance.Sides(b.subscription, b.company_subscription, b.company, b.driver, b.app_user)
+    table = daily.trip_table(scratch_dir(b.spark, "trips"))
+    out = scratch_dir(b.spark, "kept-rollups")
+    loads = [
+        (trips.filter(part > 1), early), (wrong.unionByName(trips.filter(part == 9)), early),
+        (trips.filter(part < 4), now),
+    ]
+    for day, (batch, sides) in enumerate(loads, 1):
+        done = tables.merge(b.spark, table, daily.with_end_day(batch), datetime(2024, 2, day))
+        maintenance.refresh(b.spark, table.path, sides, out, done)
+    return tables.read_table(b.spark, f"{out}/trip_event_groups")
