@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from milepost.operators.skew import one_per_key
 from milepost.session import cut_lineage
 
 
@@ -15,7 +16,7 @@ def _mark(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked to its smallest neighbour (or itself)."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = one_per_key(both, ["a"], F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     return (
         both.filter("b > a").join(least, "a").filter("b <> m")
         .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -24,7 +25,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked to the smallest of them; ``b < a`` in all rows."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = one_per_key(edges, ["a"], F.min("b").alias("m"))
     moved = edges.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
 

@@ -6,8 +6,9 @@ radius are found exactly: of ``radius + 2`` blocks of bits, two are equal in any
 pair of blocks is a key and linked fingerprints meet under one of the keys. Under a key, fingerprints
 are stored vertically, one bit plane of the group per bit; the distances of one fingerprint to all
 others come from carry-save counters over the planes, eight planes at a time, and the rest is
-abandoned as soon as every counter is beyond the radius. The group is walked breadth-first, so it
-gives a spanning forest and never all pairs. Groups of less than a machine word are compared directly.
+abandoned as soon as every counter is beyond the radius. A group is walked breadth-first, so it
+gives a spanning forest and never all pairs. Groups of less than a machine word share one set of planes, which is
+compared with itself moved by 1, 2, ... rows: all groups of a batch at once, masked to rows of one group.
 
 A key with more fingerprints than ``GROUP`` is dealt out to pairs of parts (each part with each), so
 no task gets more than two parts, and no pair is lost.
@@ -105,42 +106,70 @@ class Planes:
         self.planes = np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view("<u8")
         self.open = np.packbits(np.arange(rows) < n, bitorder="little").view("<u8")
 
+    def bitmap(self, rows: np.ndarray) -> np.ndarray:
+        """Marked rows as a bitmap of the planes' length."""
+        whole = np.zeros(64 * len(self.open), bool)
+        whole[: len(rows)] = rows
+        return np.packbits(whole, bitorder="little").view("<u8")
+
     def within(self, value: int, radius: int, among: np.ndarray) -> np.ndarray:
-        """Positions of the rows ``among`` (a bitmap) at up to ``radius`` bits from a value.
+        """Positions of the rows ``among`` (a bitmap) at up to ``radius`` bits from a value."""
+        flips = np.array([-(value >> b & 1) & 0xFFFFFFFFFFFFFFFF for b in range(64)], np.uint64)
+        return _near(lambda eight: self.planes[eight : eight + 8] ^ flips[eight : eight + 8, None], radius, among)
 
-        Counters are kept in binary, one bitmap per digit, and stop at the first number beyond the
-        radius: ``over`` remembers the rows that got there.
+    def near_later(self, shift: int, radius: int, among: np.ndarray) -> np.ndarray:
+        """Positions of the rows ``among`` at up to ``radius`` bits from the row ``shift`` places (1 to 63) later.
+
+        Every row of the planes is compared with its own partner at once: the planes are xored with
+        themselves, moved by ``shift`` bits.
         """
-        digits = radius.bit_length()
-        count = [np.zeros_like(among) for _ in range(digits)]
-        over = ~among
-        flips = np.array([-(value >> b & 1) & 0xFFFFFFFFFFFFFFFF for b in range(64)], np.uint64)
-        for eight in range(0, 64, 8):
-            differ = self.planes[eight : eight + 8] ^ flips[eight : eight + 8, None]
-            # carry-save: three bitmaps of one weight give a sum and a carry
-            ones, twos = _save(differ[0], differ[1], differ[2])
-            ones, c2 = _save(ones, differ[3], differ[4])
-            ones, c3 = _save(ones, differ[5], differ[6])
-            ones, c4 = ones ^ differ[7], ones & differ[7]
-            twos, fours = _save(twos, c2, c3)
-            twos, f2 = twos ^ c4, twos & c4
-            fours, eights = fours ^ f2, fours & f2
-            for k, added in enumerate((ones, twos, fours, eights)):
-                for d in range(k, digits):
-                    count[d], added = count[d] ^ added, count[d] & added
-                over |= added
-            beyond = np.zeros_like(over)
-            equal = ~beyond
-            for d in reversed(range(digits)):
-                if radius >> d & 1:
-                    equal &= count[d]
-                else:
-                    beyond |= equal & count[d]
-                    equal &= ~count[d]
-            over |= beyond
-            if not (~over).any():
-                return np.zeros(0, np.int64)
-        return np.flatnonzero(np.unpackbits((~over).view(np.uint8), bitorder="little"))
+        down, up = np.uint64(shift), np.uint64(WORD - shift)
+
+        def differ(eight: int) -> np.ndarray:
+            own = self.planes[eight : eight + 8]
+            later = own >> down
+            later[:, :-1] |= own[:, 1:] << up
+            return own ^ later
+
+        return _near(differ, radius, among)
+
+
+def _near(differ, radius: int, among: np.ndarray) -> np.ndarray:
+    """Positions of the rows ``among`` (a bitmap) with up to ``radius`` differing bits.
+
+    ``differ(b)`` gives eight bitmaps of the rows that differ in bits b to b + 7. Counters are kept in binary,
+    one bitmap per digit, and stop at the first number beyond the radius: ``over`` remembers the rows that
+    got there. The other planes are abandoned when no row is left.
+    """
+    digits = radius.bit_length()
+    count = [np.zeros_like(among) for _ in range(digits)]
+    over = ~among
+    for eight in range(0, 64, 8):
+        bits = differ(eight)
+        # carry-save: three bitmaps of one weight give a sum and a carry
+        ones, twos = _save(bits[0], bits[1], bits[2])
+        ones, c2 = _save(ones, bits[3], bits[4])
+        ones, c3 = _save(ones, bits[5], bits[6])
+        ones, c4 = ones ^ bits[7], ones & bits[7]
+        twos, fours = _save(twos, c2, c3)
+        twos, f2 = twos ^ c4, twos & c4
+        fours, eights = fours ^ f2, fours & f2
+        for k, added in enumerate((ones, twos, fours, eights)):
+            for d in range(k, digits):
+                count[d], added = count[d] ^ added, count[d] & added
+            over |= added
+        beyond = np.zeros_like(over)
+        equal = ~beyond
+        for d in reversed(range(digits)):
+            if radius >> d & 1:
+                equal &= count[d]
+            else:
+                beyond |= equal & count[d]
+                equal &= ~count[d]
+        over |= beyond
+        if not (~over).any():
+            return np.zeros(0, np.int64)
+    return np.flatnonzero(np.unpackbits((~over).view(np.uint8), bitorder="little"))
 
 
 def _save(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,13 +204,16 @@ def links_in(keys: np.ndarray, values: np.ndarray, radius: int) -> tuple[np.ndar
     left, right = [], []
     group = np.repeat(np.arange(len(cut)), sizes)
     small = np.repeat(sizes < WORD, sizes)
-    for shift in range(1, min(WORD, int(sizes.max(initial=0)))):
-        at = np.flatnonzero((group[shift:] == group[:-shift]) & small[shift:])
-        if not len(at):
-            break
-        near = at[np.bitwise_count(values[at] ^ values[at + shift]) <= radius]
-        left.append(values[near])
-        right.append(values[near + shift])
+    # small groups lie side by side in one set of planes, each row against the next, the one after it, ...
+    few = values[small]
+    of = group[small]
+    planes = Planes(few) if len(few) else None
+    for shift in range(1, min(WORD, int(sizes[sizes < WORD].max(initial=0)))):
+        partner = np.zeros(len(few), bool)
+        partner[:-shift] = of[shift:] == of[:-shift]
+        at = planes.near_later(shift, radius, planes.bitmap(partner))
+        left.append(few[at])
+        right.append(few[at + shift])
     for k in np.flatnonzero(sizes >= WORD):
         own = np.unique(values[cut[k] : cut[k] + sizes[k]])
         found = np.array(spanning_links(own, radius), np.int64).reshape(-1, 2)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from milepost.llm.common import Words, numbered, steps, texts_of, utf8
 from milepost.llm.components import connected_components
-from milepost.llm.simhash import Planes, majority, row_key, shingle_hashes
+from milepost.llm.simhash import WORD, Planes, majority, row_key, shingle_hashes
 from milepost.session import cut_lineage
 
 #: Words of a shingle, and the least similarity in hundredths.
@@ -37,6 +37,8 @@ BANDS, DEEP = 20, 4
 RADIUS = 26
 #: Shingles of one part of a key.
 PART = 1 << 19
+#: Keys whose links a task hands on at once.
+LINK_GROUPS = 2000
 
 _ODD = np.random.default_rng(42).integers(0, 1 << 32, (BANDS, DEEP), np.uint32) | np.uint32(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -127,20 +129,25 @@ def _set_batches(size: int):
 
 
 def confirmed_links(prints: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (positions) that connect all sets whose similarity is at least ``percent`` hundredths."""
-    group = Planes(prints)
-    todo = group.open.copy()
-    numbers = prints.tolist()
+    """Links (positions) that connect all sets whose similarity is at least ``percent`` hundredths.
+
+    The bits in common only save exact comparisons; few rows are told apart by xor, many by bit planes.
+    """
+    planes = Planes(prints) if len(prints) >= WORD else None
+    todo = np.ones(len(sets), bool)
     sizes = np.array([len(s) for s in sets])
     links = []
     for seed in range(len(sets)):
-        if not int(todo[seed >> 6]) >> (seed & 63) & 1:
+        if not todo[seed]:
             continue
-        todo[seed >> 6] ^= np.uint64(1 << (seed & 63))
+        todo[seed] = False
         queue = [seed]
         while queue and todo.any():
             at = queue.pop()
-            found = group.within(numbers[at], RADIUS, todo)
+            if planes is None:
+                found = np.flatnonzero(todo & (np.bitwise_count(prints ^ prints[at]) <= RADIUS))
+            else:
+                found = planes.within(int(prints[at]), RADIUS, planes.bitmap(todo))
             # sizes too far apart rule a pair out
             found = found[100 * np.minimum(sizes[found], sizes[at]) >= percent * np.maximum(sizes[found], sizes[at])]
             if not len(found):
@@ -149,23 +156,27 @@ def confirmed_links(prints: np.ndarray, sets: list[np.ndarray], percent: int) ->
             hit = own[np.minimum(np.searchsorted(own, others), len(own) - 1)] == others
             both = np.add.reduceat(hit.astype(np.int64), np.cumsum(sizes[found]) - sizes[found])
             found = found[100 * both >= percent * (sizes[found] + sizes[at] - both)]
-            np.bitwise_and.at(todo, found >> 6, ~(np.uint64(1) << (found & 63).astype(np.uint64)))
+            todo[found] = False
             links += [(at, int(k)) for k in found]
             queue += found.tolist()
     return links
 
 
 def _link_batches(percent: int):
-    def flush(held: list[pa.RecordBatch]):
+    def links_of(held: list[pa.RecordBatch]) -> np.ndarray:
+        """Linked set names of one key."""
         t = pa.Table.from_batches(held)
         sid = t.column("sid").to_numpy()
         prints = t.column("fingerprint").to_numpy().view(np.uint64)
         sets = [np.frombuffer(s, np.uint64) for s in t.column("shingles").to_pylist()]
-        pairs = np.array(confirmed_links(prints, sets, percent), np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(sid[pairs[:, 0]]), pa.array(sid[pairs[:, 1]])], ["a", "b"])
+        return sid[np.array(confirmed_links(prints, sets, percent), np.int64).reshape(-1, 2)]
+
+    def out(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.concatenate([np.zeros((0, 2), np.int64), *found])
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
     def run(batches):
-        held, last = [], None
+        held, last, found = [], None, []
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -173,12 +184,16 @@ def _link_batches(percent: int):
             cut = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))).tolist()
             for a, b in zip(cut, [*cut[1:], len(key)]):
                 if held and (key[a] != last).any():
-                    yield flush(held)
+                    found.append(links_of(held))
                     held = []
                 held.append(batch.slice(a, b - a))
                 last = key[a]
+            if len(found) > LINK_GROUPS:  # keys are many and small: their links go on together
+                yield out(found)
+                found = []
         if held:
-            yield flush(held)
+            found.append(links_of(held))
+        yield out(found)
 
     return run
 

@@ -280,7 +280,7 @@ def fit_labels(votes: np.ndarray, labels: np.ndarray, rounds: int = 20) -> tuple
     parents = np.full(wide, -1)
     for step in range(rounds):
         if step in (0, rounds // 2):
-            parents = spanning_tree(dependence(votes, q), 6.0 / n)
+            parents = spanning_tree(dependence(votes, q), 15.0 / n)
         tables = np.empty((wide, 2, 3, 3))
         for j, parent in enumerate(parents):
             other = votes[:, parent] if parent >= 0 else np.zeros(n, np.int64)
