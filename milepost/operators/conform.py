@@ -21,6 +21,7 @@ from milepost.functions.jsontext import (
 )
 from milepost.functions.measures import epoch_in_range, epoch_ms_to_timestamp
 from milepost.functions.people import contact_email, focus_driver_id, location_id
+from milepost.operators.accounting import Watch
 from milepost.operators.dedup import distinct_points
 from milepost.operators.lookups import (
     left_lookup, resolve_company, resolve_driver_user, resolve_fleet_identity,
@@ -204,14 +205,23 @@ def rejected_drivers(conformed: DataFrame) -> DataFrame:
 
 
 def conform_driver_score(
+    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, snapshot_date: date, position: str,
+    order: str | None = None, watch: Watch | None = None,
+) -> DataFrame:
+    """Daily driver scores; when a key repeats, the last source row is kept (:func:`judge_driver_scores`)."""
+    judged = judge_driver_scores(raw, fleets, drivers, snapshot_date, position, order)
+    marked = mark_duplicates(judged, DRIVER_SCORE_KEY, "last", watch)
+    return _unpack(marked.drop("_known", "_position"))
+
+
+def judge_driver_scores(
     raw: DataFrame, fleets: DataFrame, drivers: DataFrame, snapshot_date: date, position: str,
     order: str | None = None,
 ) -> DataFrame:
-    """Daily driver scores.
+    """Driver scores with their status, repeated keys not told apart yet.
 
     ``position`` is the 1-based row number in the source document; ``order`` orders all rows, where
-    that differs. When a key repeats, the last source row is kept and the earlier ones count as
-    deduplicated.
+    that differs.
     """
     given = F.col("sourceRowIndex")
     mapped = with_number_text(raw, _METRIC_FIELDS + ["sourceRowIndex"]).select(
@@ -231,7 +241,7 @@ def conform_driver_score(
     flagged = _with_known_flag(
         resolve_fleet_identity(mapped, fleets, "fleet_id", spread_by=["_position"]), drivers
     )
-    judged = _status(
+    return _status(
         flagged,
         (F.col("driver_id").isNull(), SKIPPED, "missing_driver_id"),
         (~F.col("_known"), FILTERED, "unknown_driver"),
@@ -239,7 +249,6 @@ def conform_driver_score(
         (F.col("fleet_id").isNull(), SKIPPED, "missing_fleet"),
         (F.col("company_id").isNull(), SKIPPED, "unresolved_company"),
     )
-    return _unpack(mark_duplicates(judged, DRIVER_SCORE_KEY, "last").drop("_known", "_position"))
 
 
 def geo_struct() -> Column:
@@ -303,9 +312,18 @@ def map_trip_rows(raw: DataFrame, position: str) -> DataFrame:
 
 
 def conform_trip_score(
-    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str, order: str | None = None
+    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str, order: str | None = None,
+    watch: Watch | None = None,
 ) -> DataFrame:
     """Trip scores; of rows with one trip id the first usable one in source order is kept."""
+    marked = mark_duplicates(judge_trip_scores(raw, fleets, drivers, position, order), TRIP_KEY, "first", watch)
+    return _unpack(marked.drop("_known", "_position"))
+
+
+def judge_trip_scores(
+    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str, order: str | None = None
+) -> DataFrame:
+    """Trip scores with their status, repeated trips not told apart yet."""
     mapped = _pack(
         map_trip_rows(raw, order or position),
         ["trip_id", "driver_id", "fleet_id", "start_date", "end_date", "_position"],
@@ -314,7 +332,7 @@ def conform_trip_score(
         resolve_fleet_identity(mapped, fleets, "fleet_id", spread_by=["_position"]), drivers
     )
     window = trip_window_reason(F.col("start_date"), F.col("end_date"))
-    judged = _status(
+    return _status(
         flagged,
         (F.col("trip_id").isNull() | F.col("driver_id").isNull(), SKIPPED,
          "missing_trip_id_or_driver_id"),
@@ -324,17 +342,17 @@ def conform_trip_score(
         (window == "invalid_trip_window", SKIPPED, "invalid_trip_window"),
         (F.col("company_id").isNull(), SKIPPED, "unresolved_company"),
     )
-    return _unpack(mark_duplicates(judged, TRIP_KEY, "first").drop("_known", "_position"))
 
 
-def mark_duplicates(judged: DataFrame, keys: list[str], keep: str) -> DataFrame:
+def mark_duplicates(judged: DataFrame, keys: list[str], keep: str, watch: Watch | None = None) -> DataFrame:
     """Sets the status of all resolved rows but one per key (``keep`` first or last) to ``deduped``.
 
     The judged rows are written to the shared folder once: their keys and positions are read for the
     kept position per key, a partial aggregate which a frequent key does not slow down, and all of
-    them for the join with it on the typed keys. Rows that are not resolved pass by the join.
+    them for the join with it on the typed keys. Rows that are not resolved pass by the join. A ``watch``
+    counts the judged rows as they are written.
     """
-    judged = cut_lineage(judged, "judged")
+    judged = cut_lineage(judged, "judged", watch=watch)
     resolved = F.col("_status") == RESOLVED
     best = (F.min if keep == "first" else F.max)("_position").alias("_kept_position")
     usable = judged.filter(resolved)

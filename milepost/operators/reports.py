@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from milepost.operators.accounting import Watch
 from milepost.operators.conform import DEDUPED, FILTERED, RESOLVED, SKIPPED
 
 # Counters of one fleet's run and their names in the totals.
@@ -22,6 +23,14 @@ RUN_COUNTERS = {
 }
 
 
+CONVERSIONS = "entity string, total long, resolved long, skipped long, filtered long, deduped long"
+
+
+def conversion_line(entity: str, seen: Watch, kept: int) -> tuple:
+    """One line of the summary from counts of the judged rows, of whose resolved rows ``kept`` were loaded."""
+    return entity, seen["total"], kept, seen["skipped"], seen["filtered"], seen["resolved"] - kept
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     """Rows of all batches; columns a batch lacks are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -41,6 +50,25 @@ def conversion_summary(conformed: DataFrame, entity: str) -> DataFrame:
     ).select(F.lit(entity).alias("entity"), "total", "resolved", "skipped", "filtered", "deduped")
 
 
+def conversion_counts(judged: DataFrame, entity: str, keys: list[str]) -> DataFrame:
+    """The summary of judged rows of which one per key will be kept.
+
+    One narrow pass: of resolved rows, as many are kept as there are keys, whichever rows those are. Rows are
+    counted per status and key first, so a frequent key is one row of the second step.
+    """
+    key = [F.when(F.col("_status") == RESOLVED, F.col(k)).alias(f"_k{i}") for i, k in enumerate(keys)]
+    per_key = judged.groupBy("_status", *key).agg(F.count("*").alias("_rows"))
+
+    def rows(name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("_status") == name, F.col("_rows"))), F.lit(0))
+
+    kept = F.count_if(F.col("_status") == RESOLVED)
+    return per_key.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total"), kept.alias("resolved"),
+        rows(SKIPPED).alias("skipped"), rows(FILTERED).alias("filtered"), (rows(RESOLVED) - kept).alias("deduped"),
+    ).select(F.lit(entity).alias("entity"), "total", "resolved", "skipped", "filtered", "deduped")
+
+
 def lookup_coverage(
     requested: DataFrame, resolved: DataFrame, key: str, lookup: str
 ) -> DataFrame:

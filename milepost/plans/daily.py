@@ -11,9 +11,10 @@ from milepost.functions.measures import epoch_ms_to_timestamp
 from milepost.operators import conform, dedup
 from milepost.operators.merge import DISCOVERED_FLEET_COLUMNS
 from milepost.operators.lookups import details_for_worklist, trip_detail_worklist
-from milepost.operators.reports import conversion_summary, union_all
+from milepost.operators.accounting import outcome_watch
+from milepost.operators.reports import CONVERSIONS, conversion_line, union_all
 from milepost.plans.tables import (
-    StoredTable, advance_watermark, merge_into, read_watermark,
+    StoredTable, advance_watermark, merge, merge_into, read_watermark,
 )
 from milepost.plans.windows import RunWindow, window_of
 from milepost.schemas import (
@@ -132,12 +133,14 @@ def load_trips(
         window_options["watermark"] = read_watermark(spark, watermark_path, job)
     window = window_of(mode, now, **window_options)
     rows = landed_in_window(raw, window)
-    judged = conform.conform_trip_score(rows, fleets, drivers, position, source_order(raw))
+    seen = outcome_watch()
+    judged = conform.conform_trip_score(rows, fleets, drivers, position, source_order(raw), seen)
     batch = with_end_day(conform.accepted(judged))
-    counts = merge_into(spark, table, batch, window.end.replace(tzinfo=None), dry_run)
+    done = merge(spark, table, batch, window.end.replace(tzinfo=None), dry_run)
     if not dry_run:
         advance_watermark(spark, watermark_path, job, window.end, now)
-    return window, counts, conversion_summary(judged, "trip_scores")
+    line = conversion_line("trip_scores", seen, done.batch_rows)
+    return window, done.counts, spark.createDataFrame([line], CONVERSIONS)
 
 
 def judge_points(raw: DataFrame, table: StoredTable) -> DataFrame:

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from milepost.functions.jsontext import to_json_text
 from milepost.operators import conform, lookups
+from milepost.operators.accounting import Watch, outcome_watch, row_watch
 from milepost.operators.dedup import first_by
 from milepost.operators.merge import discovered_fleet_rows
+from milepost.operators.reports import CONVERSIONS, conversion_line
 from milepost.plans import daily, maintenance
 from milepost.plans.tables import (
     Merge, StoredTable, advance_watermark, merge, read_table, refresh_rollups,
@@ -92,6 +94,7 @@ class RunReport:
     """One line per step, kept on the driver: entity, status, counts, rejected rows, message."""
 
     steps: list[tuple] = field(default_factory=list)
+    conversions: list[tuple] = field(default_factory=list)
 
     SCHEMA = (
         "entity string, status string, rows_inserted long, rows_updated long, rows_skipped long,"
@@ -108,6 +111,14 @@ class RunReport:
             self.steps.append((entity, "error", 0, 0, 0, 0, str(exc)))
             return False
 
+    def converted(self, entity: str, seen: Watch, kept: int) -> None:
+        """Accounts for the judged rows of an entity, of whose resolved rows ``kept`` were loaded."""
+        self.conversions.append(conversion_line(entity, seen, kept))
+
+    def conversion_frame(self, spark: SparkSession) -> DataFrame:
+        """Input rows by outcome per entity; the four outcomes add up to the total."""
+        return spark.createDataFrame(self.conversions, CONVERSIONS)
+
     def skip(self, entity: str, why: str) -> None:
         self.steps.append((entity, "skipped", 0, 0, 0, 0, why))
 
@@ -135,17 +146,19 @@ def _keep_rejects(
 ) -> int:
     """Stores the rows that a step rejects, with status and reason, and counts them.
 
-    They go to a folder of the run and the entity, which a repeated run replaces.
+    They go to a folder of the run and the entity, which a repeated run replaces, and are counted as they
+    are written.
     """
     rejects = conform.rejected(judged)
     if dry_run:
         return rejects.count()
     values = [c for c in rejects.columns if c not in ("_status", "_reason")]
     path = f"{warehouse.path('rejects')}/run_at={run_at:%Y%m%dT%H%M%S}/entity={entity}"
-    rejects.select(
+    watch = row_watch()
+    watch.on(rejects.select(
         F.col("_status").alias("status"), F.col("_reason").alias("reason"), to_json_text(F.struct(*values)).alias("row")
-    ).write.mode("overwrite").parquet(path)
-    return rejects.sparkSession.read.schema(REJECTS).parquet(path).count()
+    )).write.mode("overwrite").parquet(path)
+    return watch["rows"]
 
 
 def read_rejects(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
@@ -200,10 +213,18 @@ def _steps(
     views: dict[str, DataFrame] = {}
     merges: dict[str, Merge] = {}
 
+    seen: dict[str, Watch] = {}
+    seen_fleets: list[Watch] = []
+
+    def watch(entity: str) -> Watch:
+        return seen.setdefault(entity, outcome_watch())
+
     def load(entity: str, table: StoredTable, batch: DataFrame, rejects: int) -> tuple[DataFrame, int]:
         before = merges[entity].version if dry_run and entity in merges else None
         done = merge(spark, table, batch, stamp, dry_run, before)
         views[entity], merges[entity] = done.table, done
+        if entity in seen:
+            report.converted(entity, seen.pop(entity), done.batch_rows)
         return done.counts, rejects
 
     def keep(entity: str, judged: DataFrame) -> int:
@@ -215,7 +236,8 @@ def _steps(
     def judged_fleets() -> DataFrame:
         if "fleet rows" not in views:
             rows = conform.conform_fleet(rows_in_window(landed.fleets), directory.companies)
-            views["fleet rows"] = cut_lineage(rows, "fleets")
+            seen_fleets.append(outcome_watch())
+            views["fleet rows"] = cut_lineage(rows, "fleets", watch=seen_fleets[0])
         return views["fleet rows"]
 
     def fleet_batch() -> DataFrame:
@@ -237,11 +259,12 @@ def _steps(
 
     def load_fleets() -> tuple[DataFrame, int]:
         rejects = keep("fleets", judged_fleets())
+        seen["fleets"] = seen_fleets[0]
         return load("fleets", warehouse.fleet, fleet_batch(), rejects)
 
     def load_drivers() -> tuple[DataFrame, int]:
         rows = conform.conform_driver(rows_in_window(landed.drivers), directory.users, default_location)
-        judged = cut_lineage(rows, "drivers")
+        judged = cut_lineage(rows, "drivers", watch=watch("drivers"))
         batch = first_by(conform.accepted(judged), DRIVER_KEY, [F.col("account_id")])
         return load("drivers", warehouse.driver, batch.drop("_focus_id"), keep("drivers", judged))
 
@@ -249,14 +272,14 @@ def _steps(
         day = snapshot_date("end_date", end=window.end, now=run_at)
         raw = rows_in_window(landed.driver_scores)
         judged = conform.conform_driver_score(
-            raw, views["fleets"], views["drivers"], day, "position", daily.source_order(raw)
+            raw, views["fleets"], views["drivers"], day, "position", daily.source_order(raw), watch("driver_scores")
         )
         return load("driver_scores", warehouse.driver_score, conform.accepted(judged), keep("driver_scores", judged))
 
     def load_trips() -> tuple[DataFrame, int]:
         raw = rows_in_window(landed.trip_scores)
         judged = conform.conform_trip_score(
-            raw, views["fleets"], views["drivers"], "position", daily.source_order(raw)
+            raw, views["fleets"], views["drivers"], "position", daily.source_order(raw), watch("trip_scores")
         )
         batch = daily.with_end_day(conform.accepted(judged))
         return load("trip_scores", warehouse.trip_score, batch, keep("trip_scores", judged))
@@ -277,7 +300,7 @@ def _steps(
 
     for table, raw in zip(warehouse.points, (landed.trip_locations, landed.trip_incidents)):
         def load_points(table=table, raw=raw) -> tuple[DataFrame, int]:
-            judged = cut_lineage(daily.judge_points(rows_in_window(raw), table), "points")
+            judged = cut_lineage(daily.judge_points(rows_in_window(raw), table), "points", watch=watch(table.name))
             return load(table.name, table, daily.distinct_points(judged, table), keep(table.name, judged))
 
         report.step(table.name, load_points)

@@ -60,15 +60,17 @@ def read_version(spark: SparkSession, version: Version, values: list[str | None]
     return read_folders(spark, version.schema, sorted(version.folders[v] for v in picked))
 
 
-def write_folders(df: DataFrame, path: str, partition: str) -> dict[str | None, str]:
+def write_folders(df: DataFrame, path: str, partition: str, watch=None) -> dict[str | None, str]:
     """Writes rows that no version names yet; gives the folder of each partition value.
 
     Rebalancing brings the rows of a partition together and, by their measured size, splits large
-    partitions over several tasks and files and joins small ones.
+    partitions over several tasks and files and joins small ones. A ``watch`` (`operators.accounting`) counts
+    the rows as they are written.
     """
     spark, root = df.sparkSession, f"{path}/data/{uuid.uuid4().hex}"
     parts = df.withColumn("_part", F.hex(F.col(partition).cast("string")))
-    parts.hint("rebalance", F.col("_part")).write.partitionBy("_part").parquet(root)
+    dealt = parts.hint("rebalance", F.col("_part"))
+    (dealt if watch is None else watch.on(dealt)).write.partitionBy("_part").parquet(root)
     found = [n.removeprefix("_part=") for n in _names(spark, root) if n.startswith("_part=")]
     null = "__HIVE_DEFAULT_PARTITION__"
     return {None if n == null else bytes.fromhex(n).decode(): f"{root}/_part={n}" for n in found}

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.operators import rollups
-from milepost.operators.merge import AUDIT, INSERT, KEEP, UPDATE, merge_counts, merged_table, upsert
+from milepost.operators.accounting import action_watch, row_watch
+from milepost.operators.merge import AUDIT, INSERT, UPDATE, merged_table, upsert
 from milepost.operators.reports import union_all
 from milepost.plans import store
 from milepost.session import cut_lineage
@@ -91,10 +92,14 @@ def touched_partitions(table: StoredTable, target: DataFrame, batch: DataFrame)
     return partition_values(values, table.partition)
 
 
+COUNTS = "table_name string, rows_inserted long, rows_updated long, rows_skipped long"
+
+
 @dataclass(frozen=True)
 class Merge:
     """What a merge did: its counts, the table as it is (or, after a dry run, would be), the
-    partitions that it touched, and the number of the version it began from (0: none).
+    partitions that it touched, the rows of the batch, and the number of the version it began from (0: none).
+    The counts were gathered as the rows were written.
 
     ``changes`` are the rows that it inserted or updated, with ``_sign`` 1, and the updated rows as they
     were, with ``_sign`` -1. They are read from the touched partitions of both versions.
@@ -104,6 +109,7 @@ class Merge:
     table: DataFrame
     touched: list[str | None]
     version: store.Version
+    batch_rows: int
     before: int
     changes: DataFrame
 
@@ -125,7 +131,8 @@ def merge(
     version: the second dry run on a table goes on from the first one's.
     """
     before = before or store.latest(spark, table.path)
-    batch = cut_lineage(table.with_partition(batch), f"{table.name}-batch")
+    batch_rows, counted = row_watch(), action_watch()
+    batch = cut_lineage(table.with_partition(batch), f"{table.name}-batch", watch=batch_rows)
     if before is None:
         target = spark.createDataFrame([], batch.schema)
         for c in AUDIT:
@@ -135,9 +142,10 @@ def merge(
         touched = touched_partitions(table, store.read_version(spark, before), batch)
         target = store.read_version(spark, before, touched)
     actions = upsert(target, batch, table.keys, table.update_columns, stamp, table.generated)
-    written = store.write_folders(actions, table.path, table.partition)
+    written = store.write_folders(actions, table.path, table.partition, counted)
     found = store.read_folders(spark, actions.schema, sorted(written.values()))
-    counts = cut_lineage(merge_counts(found.select("_action").filter(F.col("_action") != KEEP), table.name), "merge-counts")
+    names = ("rows_inserted", "rows_updated", "rows_skipped")
+    counts = spark.createDataFrame([(table.name, *[counted[n] for n in names])], COUNTS)
     kept = {} if before is None else {v: f for v, f in before.folders.items() if v not in touched}
     schema = merged_table(actions).schema
     if dry_run:
@@ -150,7 +158,8 @@ def merge(
         target.join(updated, table.keys, "left_semi").withColumn("_sign", F.lit(-1)), allowMissingColumns=True
     )
     return Merge(
-        counts, store.read_version(spark, version), touched, version, 0 if before is None else before.number, changes
+        counts, store.read_version(spark, version), touched, version, batch_rows["rows"],
+        0 if before is None else before.number, changes,
     )
 
 

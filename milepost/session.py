@@ -99,12 +99,12 @@ def run_scratch(spark: SparkSession, label: str) -> Iterator[dict]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def cut_lineage(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
+def cut_lineage(df: DataFrame, label: str, compression: str = "snappy", watch=None) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 
     Used where one intermediate result feeds several outputs. Unlike a cache it survives the loss
-    of executors.
+    of executors. A ``watch`` (`operators.accounting`) counts the rows as they are written.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.option("compression", compression).parquet(path)
+    (df if watch is None else watch.on(df)).write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

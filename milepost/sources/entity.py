@@ -7,6 +7,10 @@ task can hold). Whatever is no row ends in the quarantine with a reason: ``not_j
 
 Rows carry ``position``, their number in their document from 1, and ``source_order``, which orders all
 rows of a folder by file, place in the file and position.
+
+Members that the entity's schema doesn't list are kept on request (``more=True``): ``more_members`` maps each to its
+value as text (nested values as JSON), and ``member_names`` holds all names of a row in the row's order. Batches with
+differing members thus have one schema, and `exports.landed_columns` finds the columns they have together.
 """
 
 from __future__ import annotations
@@ -86,7 +90,18 @@ def odd_groups(documents: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
-def parse_rows(rows: DataFrame, entity: str, row_json: str = "row_json") -> DataFrame:
+#: Columns that ``more=True`` adds.
+MORE = ["more_members", "member_names"]
+
+
+def _more_members(row_json: str, names: list[str]) -> list[Column]:
+    """Unlisted members of a row, and all its members' names in its order; NULL for rows that are no objects."""
+    listed = F.array(*map(F.lit, names))
+    unlisted = F.map_filter(F.from_json(row_json, "map<string,string>"), lambda k, v: ~F.array_contains(listed, k))
+    return [unlisted.alias(MORE[0]), F.json_object_keys(row_json).alias(MORE[1])]
+
+
+def parse_rows(rows: DataFrame, entity: str, row_json: str = "row_json", more: bool = False) -> DataFrame:
     """Row JSON -> text columns of the entity; rows that are no objects are marked ``_corrupt``."""
     parsed = F.from_json(row_json, LANDED[entity])
     keep = [c for c in rows.columns if c != row_json]
@@ -94,13 +109,16 @@ def parse_rows(rows: DataFrame, entity: str, row_json: str = "row_json") -> Data
     return rows.withColumn("_row", parsed).select(
         *keep,
         *[F.col(f"_row.{n}").alias(n) for n in names],
+        *(_more_members(row_json, names) if more else []),
         F.when(
             ~F.coalesce(_is_object(F.col(row_json)), F.lit(False)), F.coalesce(row_json, F.lit("null"))
         ).alias("_corrupt"),
     )
 
 
-def rows_of_documents(documents: DataFrame, entity: str, payload: str = "payload") -> DataFrame:
+def rows_of_documents(
+    documents: DataFrame, entity: str, payload: str = "payload", more: bool = False
+) -> DataFrame:
     """Typed-text rows of one entity, in any of its document shapes."""
     p = F.col(payload)
     if entity == "fleet":
@@ -109,8 +127,8 @@ def rows_of_documents(documents: DataFrame, entity: str, payload: str = "payload
         one = F.array(F.when(_is_object(item), item).otherwise(p))
         found = F.when(_is_list(p), F.from_json(p, "array<string>")).otherwise(one)
         rows = documents.select(*rest, F.posexplode(found).alias("row_index", "row_json"))
-        return parse_rows(rows.withColumn("position", (F.col("row_index") + 1).cast("long")), entity)
-    parsed = parse_rows(flatten_grouped(documents, DEFAULT_GROUPS.get(entity), payload), entity)
+        return parse_rows(rows.withColumn("position", (F.col("row_index") + 1).cast("long")), entity, more=more)
+    parsed = parse_rows(flatten_grouped(documents, DEFAULT_GROUPS.get(entity), payload), entity, more=more)
     if entity not in DEFAULT_GROUPS:
         return parsed
     return parsed.withColumn("sourceGroupKey", F.coalesce("sourceGroupKey", "group_key"))
@@ -133,9 +151,10 @@ def read_documents(spark: SparkSession, path: str, layout: str = "lines") -> Dat
 
 
 def read_entity(
-    spark: SparkSession, path: str, entity: str, layout: str = "lines"
+    spark: SparkSession, path: str, entity: str, layout: str = "lines", more: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, quarantine) of one entity; every document and member is in one of them."""
+    """(rows, quarantine) of one entity; every document and row is in one of them, and with ``more`` every
+    member of a row."""
     documents = read_documents(spark, path, layout)
     p = F.col("payload")
     shaped = _is_object(p) | _is_list(p)
@@ -150,11 +169,11 @@ def read_entity(
         lines = usable.select(
             *rest, F.lit(0).alias("row_index"), F.lit(1).cast("long").alias("position"), p.alias("row_json")
         )
-        rows = parse_rows(lines, entity)
+        rows = parse_rows(lines, entity, more=more)
     else:
         bad.append(out(usable.filter(~shaped), p, "wrong_shape"))
         usable = usable.filter(shaped)
-        rows = rows_of_documents(usable, entity)
+        rows = rows_of_documents(usable, entity, more=more)
         if entity != "fleet":
             bad.append(out(odd_groups(usable), F.col("content"), "group_not_a_list"))
     bad.append(out(rows.filter("_corrupt IS NOT NULL"), F.col("_corrupt"), "not_an_object"))

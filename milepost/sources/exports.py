@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.functions.jsontext import app_blob_driver_id, app_blob_value, json_path, to_json_text
 from milepost.functions.render import csv_cells, render_json_list
 from milepost.functions.measures import epoch_ms_text
 from milepost.operators.conform import fleet_stats
-from milepost.schemas import METRICS, camel
+from milepost.schemas import LANDED, METRICS, camel
 from milepost.sources.entity import read_entity
 
 # Leading columns of the row exports.
@@ -117,6 +117,30 @@ def export_rows(df: DataFrame, lead: list[str], readable_times: bool = False) ->
     return df.select(*out)
 
 
+def landed_columns(rows: DataFrame, lead: list[str], order: str = "source_order") -> list[str]:
+    """Columns of landed rows: leading ones that occur, then all others in the order in which they are first seen.
+
+    Rows come from ``read_entity(..., more=True)``, of one batch or of several in a union. Only the names come to the
+    driver, one row per name and not per row: they become columns. Without rows the leading columns are all there is.
+    """
+    seen = (
+        rows.select(F.col(order).alias("_row"), F.posexplode("member_names").alias("_at", "name"))
+        .groupBy("name").agg(F.min(F.struct("_row", "_at")).alias("first")).orderBy("first", "name")
+    )
+    names = [r["name"] for r in seen.select("name").collect()]
+    return export_columns(names, lead) if names else list(lead)
+
+
+def export_landed(rows: DataFrame, entity: str, lead: list[str], order: str = "source_order") -> DataFrame:
+    """Every member of every landed row as a text column (:func:`landed_columns`); NULL where a row lacks it."""
+    listed = set(LANDED[entity].fieldNames())
+
+    def member(name: str) -> Column:
+        return F.col(f"`{name}`") if name in listed else F.col("more_members")[name]
+
+    return rows.select(*[member(name).alias(name) for name in landed_columns(rows, lead, order)])
+
+
 def replay_exports(
     spark: SparkSession, run_path: str, out_path: str, layout: str = "files"
 ) -> None:

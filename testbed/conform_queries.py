@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from milepost.operators import conform, reports
 from milepost.operators.dedup import first_by
-from milepost.schemas import METRICS
+from milepost.schemas import DRIVER_SCORE_KEY, METRICS, TRIP_KEY
 from testbed.registry import query
 from testbed.views import Bed
 
@@ -286,8 +286,13 @@ FROM {table}"""
 def conversion_summary(b: Bed):
     return reports.union_all(
         [
-            reports.conversion_summary(trips(b), "trip_scores"),
-            reports.conversion_summary(scores(b), "driver_scores"),
+            reports.conversion_counts(
+                conform.judge_trip_scores(b.raw_trip, b.fleet, b.known_driver, "position"), "trip_scores", TRIP_KEY
+            ),
+            reports.conversion_counts(
+                conform.judge_driver_scores(b.raw_score, b.fleet, b.known_driver, SNAPSHOT, "position"),
+                "driver_scores", DRIVER_SCORE_KEY,
+            ),
             reports.conversion_summary(drivers(b), "drivers"),
             reports.conversion_summary(locations(b), "trip_locations"),
         ]

@@ -240,6 +240,38 @@ def export_scores_columns(b: Bed):
     )
 
 
+@query(
+    "export_landed_columns",
+    """SELECT 'T' || o_orderkey AS "tripId", o_custkey::VARCHAR AS "accountId",
+  CASE WHEN o_orderkey % 2 = 1 THEN (o_orderkey * 1000)::VARCHAR END AS "timestamp",
+  CASE WHEN o_orderkey % 2 = 0 THEN (o_orderkey % 90)::VARCHAR END AS speed,
+  CASE WHEN o_orderkey % 2 = 0 THEN '{"code":' || o_orderkey % 7 || ',"tags":["' || o_orderstatus || '"]}' END AS extra,
+  CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS heading,
+  CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS position,
+  'tripId,accountId,timestamp,speed,extra,heading,position' AS column_order FROM orders""",
+)
+def export_landed_columns(b: Bed):
+    """Two landed batches whose rows have different members, some of them in no schema: all are exported."""
+    o, path = b.table("orders"), scratch_dir(b.spark, "landed-batches")
+    trip, account = E("concat('T', o_orderkey) AS tripId"), E("CAST(o_custkey AS STRING) AS accountId")
+    heading = E("CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS heading")
+    first = F.struct(
+        trip, E("o_orderkey % 90 AS speed"), account,
+        E("named_struct('code', o_orderkey % 7, 'tags', array(o_orderstatus)) AS extra"), heading,
+    )
+    second = F.struct(
+        heading, trip, E("o_orderstatus AS position"), account, E("CAST(o_orderkey * 1000 AS STRING) AS timestamp")
+    )
+    batches = []
+    for number, (rows, row) in enumerate(((o.filter("o_orderkey % 2 = 0"), first), (o.filter("o_orderkey % 2 = 1"), second))):
+        rows.select(F.to_json(row)).write.text(f"{path}/batch_{number}")
+        batches.append(
+            entity.read_entity(b.spark, f"{path}/batch_{number}", "trip_locations", layout="rows", more=True)[0]
+        )
+    out = exports.export_landed(reports.union_all(batches), "trip_locations", exports.LOCATION_LEAD)
+    return out.withColumn("column_order", F.lit(",".join(out.columns)))
+
+
 @query(
     "replay_exports",
     """SELECT 'fleet' AS export, 'site_' || p_partkey AS key, p_name AS label,

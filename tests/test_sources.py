@@ -137,3 +137,28 @@ def test_report_is_one_file(spark):
     with open(path, encoding="utf-8") as f:
         assert [json.loads(line) for line in f] == [
             {"table_name": "t", "n": 1, "note": None}, {"table_name": "u", "n": 2, "note": "x"}]
+
+
+def test_unlisted_members_are_kept(spark):
+    """In documents of all shapes: values as text, names in the rows' order, listed columns as before."""
+    path = scratch_dir(spark, "more")
+    documents = [
+        '{"g": [{"tripId": "a", "zeta": 1, "accountId": "7"}, 5, {"alpha": {"x": [1, null]}, "tripId": "b"}]}',
+        '[{"position": "p", "tripId": "c", "zeta": null, "beta": "t"}]',
+    ]
+    spark.createDataFrame([(d,) for d in documents], "value string").coalesce(1).write.text(path)
+    rows, bad = entity.read_entity(spark, path, "trip_locations", more=True)
+    got = {r["tripId"]: r for r in rows.collect()}
+    assert got["a"]["more_members"] == {"zeta": "1"} and got["a"]["member_names"] == ["tripId", "zeta", "accountId"]
+    assert got["b"]["more_members"] == {"alpha": '{"x":[1,null]}'}
+    assert got["c"]["more_members"] == {"position": "p", "zeta": None, "beta": "t"} and got["c"]["position"] == 1
+    assert [r["content"] for r in bad.collect()] == ["5"]
+    out = exports.export_landed(rows, "trip_locations", exports.LOCATION_LEAD)
+    assert out.columns == ["tripId", "accountId", "zeta", "alpha", "position", "beta"]
+    assert {tuple(r) for r in out.collect()} == {
+        ("a", "7", "1", None, None, None), ("b", None, None, '{"x":[1,null]}', None, None),
+        ("c", None, None, None, "p", "t"),
+    }
+    plain, _ = entity.read_entity(spark, path, "trip_locations")
+    assert "more_members" not in plain.columns
+    assert exports.landed_columns(rows.limit(0), exports.LOCATION_LEAD) == exports.LOCATION_LEAD
