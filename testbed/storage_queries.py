@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from milepost.operators import conform, merge, quality, reports, rollups
 from milepost.operators.lookups import trips_in_window
-from milepost.plans import daily, tables, windows
+from milepost.plans import daily, maintenance, pipeline, purge, tables, windows
 from milepost.schemas import (
     INCIDENT_KEY, LANDED, LOCATION_KEY, ROLLUP_KEYS, TRIP_KEY,
 )
@@ -96,6 +96,23 @@ def latest_run_per_fleet(b: Bed):
     return runs.latest_run(b.run_row)
 
 
+@query(
+    "latest_run_files",
+    """SELECT o_custkey % 25 + 1000 AS fleet_id, strftime(o_orderdate, '%Y-%m') AS run_ts,
+  'T' || o_orderkey AS trip_id FROM orders WHERE o_orderkey % 9 > 0
+QUALIFY rank() OVER (PARTITION BY o_custkey % 25 ORDER BY strftime(o_orderdate, '%Y-%m') DESC) = 1""",
+)
+def latest_run_files(b: Bed):
+    """Monthly runs of each fleet landed as JSON; the latest are found by their folders' names."""
+    path = scratch_dir(b.spark, "runs")
+    rows = b.table("orders").filter("o_orderkey % 9 > 0").select(
+        E("o_custkey % 25 + 1000 AS fleet_id"), E("date_format(o_orderdate, 'yyyy-MM') AS run_ts"),
+        E("concat('T', o_orderkey) AS trip_id"),
+    )
+    exports.write_json(rows.repartition("run_ts"), path)
+    return runs.read_latest_run(b.spark, path, rows.schema)
+
+
 @query(
     "read_entity_json",
     """SELECT 'row' AS kind, (c_custkey + 500000)::VARCHAR AS account_id, lower(c_name) AS username,
@@ -874,6 +891,44 @@ def cascade_purge(b: Bed):
 # --- run accounting -------------------------------------------------------------------------------
 
 
+@query(
+    "purge_stored",
+    """SELECT 'trip_score' AS table_name, count(*) AS remaining FROM trip_score WHERE kept
+UNION ALL SELECT 'driver_score', count(*) FROM driver_score WHERE kept
+UNION ALL SELECT 'driver', count(*) FROM driver WHERE kept
+UNION ALL SELECT 'trip_location', count(*) FROM (SELECT DISTINCT trip_id, account_id, timestamp_ms, latitude,
+  longitude FROM point) WHERE trip_id NOT IN (SELECT trip_id FROM trip_score WHERE NOT kept)
+UNION ALL SELECT 'trip_incident', count(*) FROM (SELECT DISTINCT * FROM point) WHERE trip_id NOT IN
+  (SELECT trip_id FROM trip_score WHERE NOT kept)
+UNION ALL SELECT 'rollup trips', coalesce(sum(trip_count), 0)::BIGINT FROM trip_day_rollup WHERE kept""".replace(
+        "NOT kept", "driver_id NOT IN (SELECT driver_id FROM known_driver)"
+    ).replace("kept", "driver_id IN (SELECT driver_id FROM known_driver)"),
+    ("trip_score", "driver_score", "point", "known_driver", "driver", "trip_day_rollup"),
+)
+def purge_stored(b: Bed):
+    """A stored warehouse with rollups, from which the drivers that are not known are purged."""
+    spark, house = b.spark, pipeline.Warehouse(scratch_dir(b.spark, "warehouse"))
+    tables.write_table(b.driver, house.driver)
+    tables.write_table(b.driver_score, house.driver_score)
+    tables.write_table(daily.with_end_day(b.trip_score), house.trip_score)
+    for table, points in zip(house.points, (conform.dedup_locations(b.trip_location), conform.dedup_incidents(b.trip_incident))):
+        tables.write_table(daily.with_point_month(points), table)
+
+    def sides() -> maintenance.Sides:
+        drivers = tables.read_table(spark, house.driver.path)
+        return maintenance.Sides(b.subscription, b.company_subscription, b.company, drivers, b.app_user)
+
+    maintenance.refresh(spark, house.trip_score.path, sides(), house.path("rollups"))
+    gone = b.driver.join(b.known_driver.select("driver_id"), "driver_id", "left_anti")
+    done = purge.purge_drivers(spark, gone, house.driver, house.driver_score, house.trip_score, house.points)
+    maintenance.refresh(spark, house.trip_score.path, sides(), house.path("rollups"), done.trips)
+    stored = {t.name: tables.read_table(spark, t.path) for t in (house.driver, house.driver_score, house.trip_score, *house.points)}
+    counts = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("remaining")) for name, df in stored.items()]
+    rolled = tables.read_table(spark, house.path("rollups/trip_day_rollup"))
+    total = F.coalesce(F.sum("trip_count"), F.lit(0)).alias("remaining")
+    return reports.union_all([*counts, rolled.agg(F.lit("rollup trips").alias("table_name"), total)])
+
+
 def fleet_outcomes(b: Bed):
     """Counters per fleet of one run, from landed trips and their conversion."""
     judged = conformed_trips(b)
