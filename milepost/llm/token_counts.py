@@ -25,9 +25,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.errors import AnalysisException
 
 from milepost.llm.common import steps, texts_of
+from milepost.operators.skew import one_per_key
+from milepost.session import cut_lineage
 
 #: Words kept by a task: two generations of so many, each up to so many characters.
 KNOWN_WORDS, KEPT_WORD = 250_000, 32
+#: Missing digests (32 bytes each) that are broadcast to the texts.
+FEW = 50_000
 MARK = "▁"
 CACHE_SCHEMA = "content binary, tokenizer string, n_tokens long"
 
@@ -98,9 +102,8 @@ def cached_counts(spark, cache_dir: str, version: str) -> DataFrame:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise
         cache = spark.createDataFrame([], CACHE_SCHEMA)
-    return (
-        cache.filter(F.col("tokenizer") == version)
-        .groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    return one_per_key(
+        cache.filter(F.col("tokenizer") == version), ["content"], F.max("n_tokens").alias("n_tokens")
     )
 
 
@@ -108,17 +111,25 @@ def token_counts(docs: DataFrame, model_path: str, cache_dir: str, id_col: str =
                  text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, content (digest), n_tokens of every row; new counts go to ``cache_dir``.
 
-    Equal texts are merged by a partial aggregate before the shuffle, so a group of copies sends one
-    text per task. The counts are joined back to narrow rows.
+    Which digests are missing is found among digests alone. With none missing no text moves; up to ``FEW`` are
+    broadcast, so that only their texts do. Equal texts are merged by a partial aggregate before the shuffle, so a
+    group of copies sends one text per task. The counts are joined back to narrow rows.
     """
     spark = docs.sparkSession
     version = tokenizer_version(model_path)
     keyed = texts_of(docs, id_col, text_col).withColumn("content", F.unhex(F.sha2("text", 256)))
-    missing = (
-        keyed.select("content", "text").dropDuplicates(["content"])
-        .join(cached_counts(spark, cache_dir, version), "content", "left_anti")
+    digests = one_per_key(keyed.select("content"), ["content"])
+    missing = cut_lineage(
+        digests.join(cached_counts(spark, cache_dir, version), "content", "left_anti"), "missing-digests"
     )
-    missing.mapInArrow(_encode(model_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
+    n = missing.count()
+    if n:
+        wanted = keyed.select("content", "text")
+        if n <= FEW:
+            wanted = wanted.join(F.broadcast(missing), "content", "left_semi").dropDuplicates(["content"])
+        else:
+            wanted = wanted.dropDuplicates(["content"]).join(missing, "content", "left_semi")
+        wanted.mapInArrow(_encode(model_path, version), CACHE_SCHEMA).write.mode("append").parquet(cache_dir)
     narrow = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
     return narrow.join(cached_counts(spark, cache_dir, version), "content").select(
         "doc_id", "n_bytes", "n_tokens", "content"

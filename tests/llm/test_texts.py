@@ -77,6 +77,24 @@ def test_word_counter_equals_library():
     assert counter.count(texts) == list(map(len, counter.model.encode(texts)))
 
 
+@pytest.mark.parametrize("few", [0, 3, 1000])
+def test_known_texts_do_not_move(spark, make_docs, monkeypatch, few):
+    """Nothing is missing: nothing is encoded or appended. Some are: by a broadcast of their digests or a join."""
+    monkeypatch.setattr(token_counts, "FEW", few)
+    folder = scratch_dir(spark, "cache")
+    rows = [(k, f"text {k % 10} of ten") for k in range(40)]
+    token_counts.token_counts(make_docs(rows), PIECES, folder).collect()
+    lines = spark.read.parquet(folder).count()
+    monkeypatch.setattr(token_counts, "_encode", None)  # would fail if it were called
+    assert token_counts.token_counts(make_docs(rows[::-1]), PIECES, folder).count() == 40
+    monkeypatch.undo()
+    monkeypatch.setattr(token_counts, "FEW", few)
+    more = [*rows, (50, "a new one"), (51, "a new one"), (52, None)]
+    got = token_counts.token_counts(make_docs(more), PIECES, folder)
+    assert rows_of(got, "doc_id", "n_bytes", "n_tokens") == want_counts(more)
+    assert spark.read.parquet(folder).count() == lines + 2
+
+
 def test_op1(spark, sf_dir):
     got = queries.op1_token_counts(spark, sf_dir)
     want = [(*w, w[2] > 4096) for w in want_counts(documents(spark, sf_dir))]
