@@ -267,36 +267,38 @@ def enrich_report_rows(rows: DataFrame, fleets: DataFrame, lookup: DataFrame) ->
 
 
 def normalize_discovered_fleet(rows: DataFrame, payload: str = "payload") -> DataFrame:
-    """Id and name of a fleet-search row, whichever of several keys carries them."""
+    """Id and name of a fleet-search row, whichever of several keys carries them.
+
+    The document is read once for all members (``json_tuple``); only one without an id is parsed again, for
+    its canonical text.
+    """
     p = F.col(payload)
+    rest = [c for c in rows.columns if c != payload]
+    ids = ["internal_id", "internalId", "id", "fleetId"]
+    names = ["name", "fleetName", "display", "title"]
+    places = ["retailerLocationId", "retailer_location_id", "locationId"]
+    members = {n: f"_member_{k}" for k, n in enumerate([*ids, *names, *places])}
+    read = rows.select(*rest, p.alias("raw"), F.json_tuple(p, *members).alias(*members.values()))
 
-    def pick(*names: str) -> Column:
-        return first_non_blank(*[json_path(p, n) for n in names])
+    def member(name: str) -> Column:
+        return F.col(members[name])
 
     internal = F.coalesce(
-        pick("internal_id", "internalId", "id", "fleetId"), F.to_json(F.try_parse_json(p))
+        first_non_blank(*map(member, ids)), F.to_json(F.try_parse_json(F.col("raw")))
     )
-    name = F.coalesce(pick("name", "fleetName", "display", "title"), internal)
+    name = F.coalesce(first_non_blank(*map(member, names)), internal)
     location = F.coalesce(
-        *[
-            strip(json_path(p, n)).try_cast("bigint")
-            for n in ("retailerLocationId", "retailer_location_id", "locationId", "id")
-        ],
+        *[strip(member(n)).try_cast("bigint") for n in [*places, "id"]],
         strip(
-            F.coalesce(
-                *[
-                    F.nullif(json_path(p, n), F.lit(""))
-                    for n in ("internalId", "internal_id", "fleetId")
-                ]
-            )
+            F.coalesce(*[F.nullif(member(n), F.lit("")) for n in ("internalId", "internal_id", "fleetId")])
         ).try_cast("bigint"),
     )
-    return rows.select(
-        *[c for c in rows.columns if c != payload],
+    return read.select(
+        *rest,
         internal.alias("internal_id"),
         name.alias("name"),
         location.alias("retailer_location_id"),
-        p.alias("raw"),
+        "raw",
     )
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milepost.operators.lookups import active_roster
+from milepost.plans import store
 
 
 def roster_top_n(fleets: DataFrame, companies: DataFrame, limit: int) -> DataFrame:
@@ -35,13 +36,19 @@ def performance_cards(groups: DataFrame, company_id, first_day, last_day) -> Dat
     return chosen.orderBy(day.desc(), "retailer_location_id", "performance_bucket")
 
 
-def write_trip_list(trip_list: DataFrame, path: str) -> None:
-    """Trip list laid out for drill-downs: a folder per day, files sorted by company and driver.
+def stored_recent_trips(
+    spark: SparkSession, rollups_path: str, company_id, driver_id: str, first_day=None, last_day=None
+) -> DataFrame:
+    """A driver's trips from the stored list, newest first, of all days or of some.
 
-    The sort lets a scan for one driver skip most row groups. Rebalancing splits days with very
-    many trips over several files.
+    Days outside the range are not opened. Files are sorted by company and driver, so of the others only
+    the pages whose statistics allow the driver are read.
     """
-    laid_out = trip_list.withColumn("end_day", F.col("end_date_datetime").cast("date"))
-    laid_out.hint("rebalance", F.col("end_day")).sortWithinPartitions(
-        "end_day", "company_id", "driver_id", F.col("end_date_datetime").desc()
-    ).write.mode("overwrite").partitionBy("end_day").parquet(path)
+    version = store.latest(spark, f"{rollups_path}/driver_trip_list")
+    if version is None:
+        raise ValueError(f"no rollups are stored at {rollups_path}")
+    days = [
+        d for d in version.folders
+        if d is not None and (first_day is None or str(first_day) <= d) and (last_day is None or d <= str(last_day))
+    ]
+    return driver_recent_trips(store.read_version(spark, version, days), company_id, driver_id)

@@ -57,7 +57,7 @@ def partition_values(df: DataFrame, partition: str) -> list[str | None]:
 
 
 def write_partitions(
-    df: DataFrame, path: str, partition: str, replaced: list[str | None] | None = None
+    df: DataFrame, path: str, partition: str, replaced: list[str | None] | None = None, order: list | None = None
 ) -> DataFrame:
     """Replaces a stored table, or only the given partitions of it, and returns what was written.
 
@@ -65,7 +65,7 @@ def write_partitions(
     """
     spark = df.sparkSession
     before = store.latest(spark, path)
-    written = store.write_folders(df, path, partition)
+    written = store.write_folders(df, path, partition, order=order)
     kept = {} if before is None or replaced is None else {
         v: f for v, f in before.folders.items() if v not in set(replaced) | set(written)
     }
@@ -235,16 +235,23 @@ def stored_eligible(
 
 
 def store_trip_list(trip_list: DataFrame, out_path: str, replaced: list | None) -> dict[str, DataFrame]:
-    """Stores the trip list by day: all of it, or the given days."""
+    """Stores the trip list by day: all of it, or the given days.
+
+    Files are sorted by company and driver, so that a drill-down (`plans.serving`) skips what their
+    statistics rule out.
+    """
     by_day = trip_list.withColumn("reporting_day", F.col("end_date_datetime").cast("date"))
-    return {"driver_trip_list": write_partitions(by_day, f"{out_path}/driver_trip_list", "reporting_day", replaced)}
+    order = ["company_id", "driver_id", F.desc("end_date_datetime")]
+    kept = write_partitions(by_day, f"{out_path}/driver_trip_list", "reporting_day", replaced, order)
+    return {"driver_trip_list": kept}
 
 
 def store_day_rollups(combined: DataFrame, out_path: str, replaced: list | None) -> dict[str, DataFrame]:
     """Stores both day rollups from their combined form, and the group rollups from what was stored."""
 
     def keep(name: str, df: DataFrame) -> DataFrame:
-        return write_partitions(df, f"{out_path}/{name}", "reporting_day", replaced)
+        order = [c for c in ("company_id", "retailer_location_id", "driver_id") if c in df.columns]
+        return write_partitions(df, f"{out_path}/{name}", "reporting_day", replaced, order)
 
     stored = {}
     plain, events = rollups.split_day_rollups(cut_lineage(combined, "day-rollups"))

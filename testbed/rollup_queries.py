@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from milepost.functions.measures import meters_to_miles, trip_class
 from milepost.operators import lookups, reports, rollups
 from milepost.operators.dedup import duplicate_keys
-from milepost.plans import serving
+from milepost.plans import serving, tables
+from milepost.session import scratch_dir
 from testbed.registry import query
 from testbed.views import Bed
 from testbed.views_sql import MILES
@@ -82,6 +83,24 @@ def driver_recent_trips(b: Bed):
     )
 
 
+@query(
+    "stored_recent_trips",
+    """SELECT trip_id, driver_display_name, end_date_datetime, distance_miles, duration_minutes,
+  performance_class FROM driver_trip_list WHERE company_id = 0 AND driver_id = 'D3'
+  AND end_date_datetime >= TIMESTAMP '2024-01-05' AND end_date_datetime < TIMESTAMP '2024-01-26'""",
+    ("driver_trip_list",),
+)
+def stored_recent_trips(b: Bed):
+    """The drill-down on the stored list: days by folder, the driver by the files' order."""
+    out = scratch_dir(b.spark, "rollups")
+    tables.store_trip_list(trip_list(b), out, None)
+    mine = serving.stored_recent_trips(b.spark, out, 0, "D3", date(2024, 1, 5), date(2024, 1, 25))
+    return mine.select(
+        "trip_id", "driver_display_name", "end_date_datetime", "distance_miles",
+        "duration_minutes", "performance_class",
+    )
+
+
 @query(
     "top_scores",
     """SELECT trip_id, driver_id, overall_score FROM trip_score

@@ -126,3 +126,12 @@ def test_unlink_fleets(spark):
 
 def test_ntz_helper(spark):
     assert spark.range(1).select(ntz("2024-01-01 00:00:00")).first()[0] == datetime(2024, 1, 1)
+
+
+def test_found_fleets_are_read_once(spark):
+    """All members come from one pass over the document."""
+    found = spark.createDataFrame([('{"id":1}', 7), (None, 8), ("[1]", 9)], "payload string, n int")
+    out = lookups.normalize_discovered_fleet(found)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_tuple") == 1 and "get_json_object" not in plan
+    assert rows(out) == [(7, "1", "1", 1, '{"id":1}'), (8, None, None, None, None), (9, "[1]", "[1]", None, "[1]")]
