@@ -47,3 +47,48 @@ def test_restart_takes_only_new_files(spark):
     assert stored["b"]["end_date"] == 90_000_000
     count = tables.read_table(spark, table.path).filter(F.col("trip_id") == "b").count()
     assert count == 1
+
+
+def points(spark, ids):
+    return daily.with_point_month(spark.createDataFrame(
+        [(t, 1, 1_700_000_000_000, 1.0, 2.0) for t in ids],
+        "trip_id string, account_id long, timestamp_ms long, latitude double, longitude double",
+    ))
+
+
+def test_repeated_batch_is_skipped(spark):
+    """A touch merge that was committed: the batch comes again, no stamp moves and nothing is counted."""
+    table, _ = daily.point_tables(scratch_dir(spark, "points"), scratch_dir(spark, "incidents"))
+    batches = scratch_dir(spark, "batches")
+    first = landing.merge_once(points(spark, "ab"), 0, table, batches, STAMP)
+    assert tuple(first.first())[1:] == (2, 0, 0)
+    second = landing.merge_once(points(spark, "bc"), 1, table, batches, STAMP)
+    assert tuple(second.first())[1:] == (1, 1, 0)
+    stamps = {r.trip_id: r.last_synced_at for r in tables.read_table(spark, table.path).collect()}
+    assert stamps["a"] == STAMP < stamps["b"] == stamps["c"]
+    assert landing.merge_once(points(spark, "bc"), 1, table, batches, datetime(2024, 3, 2)) is None
+    assert {r.trip_id: r.last_synced_at for r in tables.read_table(spark, table.path).collect()} == stamps
+
+
+def test_batch_that_broke_off_is_merged(spark, monkeypatch):
+    """The list has it, the table doesn't: it is merged with the stamp it was given first."""
+    table, _ = daily.point_tables(scratch_dir(spark, "points"), scratch_dir(spark, "incidents"))
+    batches = scratch_dir(spark, "batches")
+    landing.merge_once(points(spark, "a"), 0, table, batches, STAMP)
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    real = landing.merge_into
+    monkeypatch.setattr(landing, "merge_into", broken)
+    try:
+        landing.merge_once(points(spark, "b"), 1, table, batches, datetime(2024, 3, 2))
+        raise AssertionError
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(landing, "merge_into", real)
+    done = landing.merge_once(points(spark, "b"), 1, table, batches, datetime(2024, 3, 9))
+    assert tuple(done.first())[1:] == (1, 0, 0)
+    stored = {r.trip_id: r.last_synced_at for r in tables.read_table(spark, table.path).collect()}
+    assert stored == {"a": STAMP, "b": datetime(2024, 3, 2)}
+    assert landing.begun_batch(spark, batches, 0) == (STAMP, datetime(2024, 3, 2))
