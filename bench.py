@@ -23,7 +23,7 @@ HEADLINE = [
     "enrich_report_rows", "trips_missing_details", "stamp_daily_scores", "fk_orphans",
     "rollup_key_violations", "conversion_summary", "coerce_int", "coerce_float", "text_or_null",
     "parse_metadata", "daily_windows", "top_scores", "incremental_load", "streaming_load",
-    "daily_run", "trip_details_backfill",
+    "daily_run", "trip_details_backfill", "incremental_rollups", "export_landed_columns",
 ]
 
 

@@ -98,15 +98,15 @@ def latest_run_per_fleet(b: Bed):
 
 @query(
     "latest_run_files",
-    """SELECT o_custkey % 25 + 1000 AS fleet_id, strftime(o_orderdate, '%Y-%m') AS run_ts,
+    """SELECT o_custkey % 25 + 1000 AS fleet_id, strftime(o_orderdate, '%Y') AS run_ts,
   'T' || o_orderkey AS trip_id FROM orders WHERE o_orderkey % 9 > 0
-QUALIFY rank() OVER (PARTITION BY o_custkey % 25 ORDER BY strftime(o_orderdate, '%Y-%m') DESC) = 1""",
+QUALIFY rank() OVER (PARTITION BY o_custkey % 25 ORDER BY strftime(o_orderdate, '%Y') DESC) = 1""",
 )
 def latest_run_files(b: Bed):
-    """Monthly runs of each fleet landed as JSON; the latest are found by their folders' names."""
+    """Yearly runs of each fleet landed as JSON; the latest are found by their folders' names."""
     path = scratch_dir(b.spark, "runs")
     rows = b.table("orders").filter("o_orderkey % 9 > 0").select(
-        E("o_custkey % 25 + 1000 AS fleet_id"), E("date_format(o_orderdate, 'yyyy-MM') AS run_ts"),
+        E("o_custkey % 25 + 1000 AS fleet_id"), E("date_format(o_orderdate, 'yyyy') AS run_ts"),
         E("concat('T', o_orderkey) AS trip_id"),
     )
     exports.write_json(rows.repartition("run_ts"), path)
