@@ -74,7 +74,7 @@ def test_learns_new_words_and_their_starts(spark, make_docs):
         words = [r.choice(plain) for _ in range(30)]
         toxic = k % 4 == 0
         if toxic:
-            words[3:5] = ["zwarg", f"quimbo{r.choice('abcdefgh')}{k}"] if k % 8 else ["zwarg", "zwarg"]
+            words[3] = f"quimbo{r.choice('abcdefgh')}{k}" if k % 8 else "zwarg"
         rows.append((k, " ".join(words)))
         marks.append((k, 1, int(toxic)))
     model = toxicity.train(make_docs(rows), labels_frame(spark, marks))
