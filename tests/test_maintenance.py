@@ -19,6 +19,11 @@ def sides(bed):
     return maintenance.Sides(bed.subscription, bed.company_subscription, bed.company, bed.driver, bed.app_user)
 
 
+def digest(df):
+    """Number of rows, and a sum over their hashes."""
+    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64(*sorted(df.columns)).cast("decimal(38,0)"))).first())
+
+
 class House:
     """Stored trips with maintained rollups next to them."""
 
@@ -42,9 +47,11 @@ class House:
             sides.company_subscriptions, sides.companies, sides.drivers, sides.users, fresh,
         )
         for name in ROLLUP_KEYS:
-            got, want = self.rollup(name), tables.read_table(self.spark, f"{fresh}/{name}").select(*self.rollup(name).columns)
-            assert got.count() == want.count() > 0, name
-            assert got.exceptAll(want).count() == 0, name
+            got, want = self.rollup(name), tables.read_table(self.spark, f"{fresh}/{name}")
+            found, rebuilt = digest(got), digest(want)
+            if found != rebuilt:
+                got.exceptAll(want.select(*got.columns)).show(5, False)
+            assert found == rebuilt and found[0] > 0, name
 
     def folders(self, name):
         return store.latest(self.spark, f"{self.out}/{name}").folders

@@ -24,7 +24,12 @@ def run(spark, run_inputs, warehouse, **options):
     report = pipeline.run_daily(
         spark, *run_inputs, warehouse, WINDOW, RUN_AT, F.lit(999), **options
     )
-    return {r["entity"]: r for r in report.frame(spark).collect()}
+    lines = {r["entity"]: r for r in report.frame(spark).collect()}
+    for entity, total, resolved, *others in report.conversions:
+        assert total == resolved + sum(others) and min(others) >= 0, report.conversions
+        # repeated scores and trips are kept as rejects, repeated fleets, drivers and points are not
+        assert lines[entity]["rejected_rows"] in (sum(others), sum(others[:2])), report.conversions
+    return lines
 
 
 def test_second_run_changes_no_business_rows(spark, run_inputs):
