@@ -61,20 +61,24 @@ def read_version(spark: SparkSession, version: Version, values: list[str | None]
 
 
 def write_folders(
-    df: DataFrame, path: str, partition: str, watch=None, order: list | None = None
+    df: DataFrame, path: str, partition: str, watch=None, order: list | None = None, sought: list[str] | None = None
 ) -> dict[str | None, str]:
     """Writes rows that no version names yet; gives the folder of each partition value.
 
     Rebalancing brings the rows of a partition together and, by their measured size, splits large
     partitions over several tasks and files and joins small ones. A ``watch`` (`operators.accounting`) counts
-    the rows as they are written. ``order`` sorts the rows of each file.
+    the rows as they are written. ``order`` sorts the rows of each file. Row groups get Bloom filters, sized
+    by their distinct values, for the columns ``sought``.
     """
     spark, root = df.sparkSession, f"{path}/data/{uuid.uuid4().hex}"
     parts = df.withColumn("_part", F.hex(F.col(partition).cast("string")))
     dealt = parts.hint("rebalance", F.col("_part"))
     if order:
         dealt = dealt.sortWithinPartitions("_part", *order)
-    (dealt if watch is None else watch.on(dealt)).write.partitionBy("_part").parquet(root)
+    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in sought or []}
+    if blooms:
+        blooms["parquet.bloom.filter.adaptive.enabled"] = "true"
+    (dealt if watch is None else watch.on(dealt)).write.options(**blooms).partitionBy("_part").parquet(root)
     found = [n.removeprefix("_part=") for n in _names(spark, root) if n.startswith("_part=")]
     null = "__HIVE_DEFAULT_PARTITION__"
     return {None if n == null else bytes.fromhex(n).decode(): f"{root}/_part={n}" for n in found}

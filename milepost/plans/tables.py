@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from milepost.operators import rollups
 from milepost.operators.accounting import action_watch, row_watch
@@ -17,6 +18,10 @@ from milepost.plans import store
 from milepost.session import cut_lineage
 
 
+#: Most keys of a batch that become filters of the scan that looks for them.
+PUSHED_KEYS = 10_000
+
+
 @dataclass(frozen=True)
 class StoredTable:
     """A Parquet table with its merge rules.
@@ -38,6 +43,11 @@ class StoredTable:
     def rows_move(self) -> bool:
         return self.partition in self.update_columns
 
+    @property
+    def sought(self) -> list[str]:
+        """Columns by which stored rows are looked for: the keys of rows that may be anywhere."""
+        return self.keys if self.rows_move else []
+
     def with_partition(self, df: DataFrame) -> DataFrame:
         if self.partition in df.columns:
             return df
@@ -57,7 +67,8 @@ def partition_values(df: DataFrame, partition: str) -> list[str | None]:
 
 
 def write_partitions(
-    df: DataFrame, path: str, partition: str, replaced: list[str | None] | None = None, order: list | None = None
+    df: DataFrame, path: str, partition: str, replaced: list[str | None] | None = None, order: list | None = None,
+    sought: list[str] | None = None,
 ) -> DataFrame:
     """Replaces a stored table, or only the given partitions of it, and returns what was written.
 
@@ -65,7 +76,7 @@ def write_partitions(
     """
     spark = df.sparkSession
     before = store.latest(spark, path)
-    written = store.write_folders(df, path, partition, order=order)
+    written = store.write_folders(df, path, partition, order=order, sought=sought)
     kept = {} if before is None or replaced is None else {
         v: f for v, f in before.folders.items() if v not in set(replaced) | set(written)
     }
@@ -74,24 +85,35 @@ def write_partitions(
 
 
 def write_table(df: DataFrame, table: StoredTable) -> None:
-    write_partitions(table.with_partition(df), table.path, table.partition)
+    write_partitions(table.with_partition(df), table.path, table.partition, sought=table.sought)
 
 
 def touched_partitions(table: StoredTable, target: DataFrame, batch: DataFrame) -> list[str | None]:
-    """Partitions the batch goes to, and those its keys are stored in now.
-
-    Where rows can move, the second part reads the key columns of the table; the batch is the
-    build side, so a small one shuffles nothing.
-    """
+    """Partitions the batch goes to, and those its keys are stored in now (where rows can move)."""
     values = batch.select(table.partition)
     if table.rows_move:
-        held = target.select(*table.keys, table.partition).join(
-            batch.select(*table.keys), table.keys, "left_semi"
-        )
-        values = values.union(held.select(table.partition))
+        values = values.union(held_rows(table, target, batch).select(table.partition))
     return partition_values(values, table.partition)
 
 
+def held_rows(table: StoredTable, target: DataFrame, batch: DataFrame, pushed: int = PUSHED_KEYS) -> DataFrame:
+    """Keys and partition of the stored rows whose keys the batch has.
+
+    Only the key columns are read. The values of a batch of up to ``pushed`` keys are filters of the scan, which
+    leaves out each row group whose Bloom filters have none of them. A larger batch would find some of
+    its keys in nearly every row group, so all are read. Either way the batch is the build side of the
+    exact join, so a small one shuffles nothing. A NULL in a key matches nothing.
+    """
+    stored = target.select(*table.keys, table.partition)
+    keys = batch.select(*table.keys)
+    some = keys.limit(pushed + 1).collect()
+    if len(some) <= pushed:
+        for at, f in enumerate(keys.schema.fields):
+            if isinstance(f.dataType, (StringType, IntegralType)):
+                stored = stored.filter(F.col(f.name).isin([v for v in {r[at] for r in some} if v is not None]))
+    return stored.join(keys, table.keys, "left_semi")
+
+
 COUNTS = "table_name string, rows_inserted long, rows_updated long, rows_skipped long"
 
 
@@ -142,7 +164,7 @@ def merge(
         touched = touched_partitions(table, store.read_version(spark, before), batch)
         target = store.read_version(spark, before, touched)
     actions = upsert(target, batch, table.keys, table.update_columns, stamp, table.generated)
-    written = store.write_folders(actions, table.path, table.partition, counted)
+    written = store.write_folders(actions, table.path, table.partition, counted, sought=table.sought)
     found = store.read_folders(spark, actions.schema, sorted(written.values()))
     names = ("rows_inserted", "rows_updated", "rows_skipped")
     counts = spark.createDataFrame([(table.name, *[counted[n] for n in names])], COUNTS)
@@ -286,7 +308,7 @@ def rollup_totals(stored: dict[str, DataFrame]) -> DataFrame:
 
 
 __all__ = [
-    "Merge", "StoredTable", "advance_watermark", "merge", "merge_into", "read_table", "read_watermark",
+    "Merge", "StoredTable", "advance_watermark", "held_rows", "merge", "merge_into", "read_table", "read_watermark",
     "refresh_rollups", "rollup_totals", "store_day_rollups", "store_trip_list", "stored_eligible",
     "touched_partitions", "write_partitions", "write_table",
 ]

@@ -522,6 +522,25 @@ def merge_after_empty_load(b: Bed):
     return tables.read_table(b.spark, table.path).select("o_orderkey", "v")
 
 
+@query(
+    "correct_moved_rows",
+    """SELECT o_orderkey, o_custkey + CASE WHEN last THEN 1 ELSE 0 END AS v,
+  strftime(o_orderdate + CASE WHEN last THEN 1 ELSE 0 END, '%Y-%m') AS month
+FROM (SELECT *, o_orderdate::DATE = max(o_orderdate::DATE) OVER () AS last FROM
+  (SELECT o_orderkey, o_custkey, o_orderdate::DATE AS o_orderdate FROM orders))""",
+)
+def correct_moved_rows(b: Bed):
+    """All orders by month, and a small batch that corrects those of the last day and moves them by one."""
+    days = b.table("orders").select("o_orderkey", "o_custkey", E("cast(o_orderdate AS date) AS day"))
+    last = days.agg(F.max("day").alias("day"))
+    moved = E("date_format(day, 'yyyy-MM') AS month")
+    table = tables.StoredTable("orders", scratch_dir(b.spark, "moved"), ["o_orderkey"], ["v", "month"], partition="month")
+    tables.merge_into(b.spark, table, days.select("o_orderkey", F.col("o_custkey").alias("v"), moved), _NEW)
+    change = days.join(last, "day", "left_semi").withColumn("day", E("date_add(day, 1)"))
+    tables.merge_into(b.spark, table, change.select("o_orderkey", (F.col("o_custkey") + 1).alias("v"), moved), _NEW)
+    return tables.read_table(b.spark, table.path).select("o_orderkey", "v", "month")
+
+
 # --- whole loads ----------------------------------------------------------------------------------
 
 

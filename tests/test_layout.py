@@ -4,6 +4,7 @@ import glob
 import os
 
 import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import functions as F
 
 from milepost.operators import rollups
@@ -61,3 +62,63 @@ def test_sorted_files_hold_narrow_pages(spark, tmp_path):
             groups += 1
             hit += statistics.min <= "D77" <= statistics.max
     assert groups > 5 and hit <= 2
+
+
+def scan_rows(df):
+    """Rows of a DataFrame, and how many its scan of Parquet files gave to get them."""
+    found = df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    scans = [leaves.apply(k) for k in range(leaves.size())]
+    return found, sum(s.metrics().apply("numOutputRows").value() for s in scans if "parquet" in s.nodeName())
+
+
+@pytest.fixture
+def moving(spark, tmp_path):
+    """100,000 rows by day in many row groups; keys say nothing about the day."""
+    table = tables.StoredTable("t", str(tmp_path / "t"), ["k"], ["v", "day"], partition="day")
+    rows = spark.range(100_000).select(
+        F.sha1(F.col("id").cast("string")).alias("k"), F.col("id").alias("v"),
+        F.concat(F.lit("d"), F.floor(F.col("id") / 2_500)).alias("day"),
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("parquet.block.size", str(64 << 10))
+    try:
+        tables.write_table(rows, table)
+        yield table, rows
+    finally:
+        spark.conf.unset("parquet.block.size")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("batch", ["v BETWEEN 40000 AND 40099", "v % 50000 = 77"])
+def test_small_batch_skips_row_groups(spark, moving, batch):
+    """A batch of a thousandth, or of rows anywhere, reads a small share of the stored keys."""
+    table, rows = moving
+    change = rows.filter(batch)
+    target = tables.read_table(spark, table.path)
+    found, read = scan_rows(tables.held_rows(table, target, change))
+    assert sorted(r.k for r in found) == sorted(r.k for r in change.collect())
+    assert read < 5_000
+    assert scan_rows(tables.held_rows(table, target, change, pushed=1))[1] == 100_000
+
+
+def test_large_batch_and_odd_keys(spark, moving):
+    table, rows = moving
+    target = tables.read_table(spark, table.path)
+    large = rows.filter("v < 12000")
+    assert tables.held_rows(table, target, large).count() == 12_000
+    odd = spark.createDataFrame([(None, 1, "d1"), ("", 2, "d1"), ("no such key", 3, "d1")], "k string, v long, day string")
+    assert tables.held_rows(table, target, odd).count() == 0
+    assert tables.held_rows(table, target, odd.filter("false")).count() == 0
+
+
+def test_keys_of_several_columns(spark, tmp_path):
+    """Each column's values are filtered, the pairs are matched by the join; doubles aren't filtered."""
+    table = tables.StoredTable("t", str(tmp_path / "pairs"), ["a", "b", "c"], ["day"], partition="day")
+    rows = [("x", 1, 0.5, "d1"), ("x", 2, 0.5, "d2"), ("y", 1, 0.5, "d3"), ("y", 2, float("nan"), "d4"), (None, 1, 0.5, "d5")]
+    df = spark.createDataFrame(rows, "a string, b int, c double, day string")
+    tables.write_table(df, table)
+    target = tables.read_table(spark, table.path)
+    want = df.filter("day IN ('d1', 'd4', 'd5')").withColumn("day", F.lit("d9"))
+    assert sorted(r.day for r in tables.held_rows(table, target, want).collect()) == ["d1", "d4"]
+    assert sorted(tables.touched_partitions(table, target, want)) == ["d1", "d4", "d9"]
