@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from milepost.llm.common import Words, numbered, steps, text_column, texts_of, utf8
+from milepost.operators.skew import one_per_key
 from milepost.session import cut_lineage
 
 WINDOW = 50
@@ -333,6 +334,40 @@ def _cut(text: bytes, words: list[bytes], gone: np.ndarray) -> bytes:
     return b"".join(parts)
 
 
+def _copies(rows: DataFrame, window: int) -> DataFrame:
+    """doc_id, th of the rows whose whole text a row with a smaller id has.
+
+    The firsts are reduced so that the join on a large group of copies can be split (`operators.skew`), and
+    the result is to be written before it is joined again.
+    """
+    firsts = one_per_key(
+        rows.filter(F.col("n_words") >= window), ["sha"], F.min("doc_id").alias("one"), F.count("*").alias("n")
+    ).filter("n > 1").drop("n")
+    return rows.select("doc_id", "th", "sha").join(firsts, "sha").filter("doc_id > one").select("doc_id", "th")
+
+
+def _runs(members: DataFrame, contexts: DataFrame, offs: DataFrame) -> DataFrame:
+    """doc_id, th, runs: places of repeated windows, from what is known of the context.
+
+    One side comes out of a join on the context itself. That join takes a hash of the context as a second key, so
+    that the other one has exchanges of its own on both sides and a context of very many documents can be
+    split. The result is to be written before it is grouped.
+    """
+    spread = F.xxhash64("ckey").alias("_spread")
+    known = contexts.select("ckey", "first", spread).join(
+        offs.select("ckey", "offs", spread), ["_spread", "ckey"], "left"
+    ).drop("_spread")
+    runs = F.expr(
+        "CASE WHEN doc_id > first THEN transform(starts, s -> struct(s AS a, s + wins AS b))"
+        " ELSE flatten(transform(starts, s -> transform(coalesce(offs, array()),"
+        " o -> struct(s + o AS a, s + o AS b)))) END"
+    )
+    return (
+        members.select("doc_id", "th", "starts", "wins", "ckey").join(known, "ckey")
+        .select("doc_id", "th", runs.alias("runs")).filter("size(runs) > 0")
+    )
+
+
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP, keep_layout: bool = False,
                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, th (hash of the text), n_words, n_removed, kept_sha256, text of every row.
@@ -348,13 +383,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
     )
     # equal texts: all but the first document's lose every word
     same = F.xxhash64("sha")
-    firsts = (
-        rows.filter(F.col("n_words") >= window).groupBy("sha")
-        .agg(F.min("doc_id").alias("one"), F.count("*").alias("n")).filter("n > 1")
-    )
-    copies = cut_lineage(  # written at once, so that the join on a large group of copies can be split
-        rows.select("doc_id", "th", "sha").join(firsts, "sha").filter("doc_id > one").select("doc_id", "th"), "copies"
-    )
+    copies = cut_lineage(_copies(rows, window), "copies")
     found = rows.select("doc_id", "th", same.alias("seq"), F.explode("anchors").alias("h"))
     shared = found.groupBy("h").agg(F.min("seq").alias("x"), F.max("seq").alias("y")).filter("x <> y").select("h")
     marked = (
@@ -375,17 +404,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, group: int = GROUP,
         compression="zstd",
     )
     offs = repeated_offsets(contexts, window, group)
-    known = contexts.select("ckey", "first").join(offs, "ckey", "left")
-    runs = F.expr(
-        "CASE WHEN doc_id > first THEN transform(starts, s -> struct(s AS a, s + wins AS b))"
-        " ELSE flatten(transform(starts, s -> transform(coalesce(offs, array()),"
-        " o -> struct(s + o AS a, s + o AS b)))) END"
-    )
-    # written before it is grouped, so that the join on a context of very many documents can be split
-    found = cut_lineage(
-        members.select("doc_id", "th", "starts", "wins", "ckey").join(known, "ckey")
-        .select("doc_id", "th", runs.alias("runs")).filter("size(runs) > 0"), "runs",
-    )
+    found = cut_lineage(_runs(members, contexts, offs), "runs")  # written before it is grouped, see there
     spans = found.groupBy("doc_id", "th").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
     cut = cut_lineage(
         touched.select("doc_id", "th", "text").join(spans, ["doc_id", "th"]).mapInArrow(

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from milepost.llm import components, queries, simhash, substring_dedup
 from tests.llm.conftest import EDGE, PASSAGE, rows_of
@@ -173,3 +174,62 @@ def test_op2(spark, sf_dir):
     got = rows_of(queries.op2_substring_dedup(spark, sf_dir), *REMOVED)
     want = want_removed(documents(spark, sf_dir))
     assert got == want and sum(w[2] for w in want) > 0
+
+
+# joins on a context or a text that a third of all rows have
+
+@pytest.fixture
+def split_early(spark):
+    tiny = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "12",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {k: spark.conf.get(k) for k in tiny}
+    for k, v in tiny.items():
+        spark.conf.set(k, v)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def ran(df):
+    """Rows of a DataFrame, and the plan as it ran."""
+    total = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")))
+    rows = total.collect()[0].n
+    return rows, total._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def hot_rows(spark, path):
+    """30,000 documents, each third of them with key 7, the others with one of 2,000."""
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 2000)
+    spark.range(30_000, numPartitions=16).select(
+        F.col("id").alias("doc_id"), F.xxhash64("id").alias("th"), F.sha2(key.cast("string"), 256).cast("binary").alias("sha"),
+        F.lit(60).cast("long").alias("n_words"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_join_on_copies_is_split(split_early, tmp_path):
+    rows = hot_rows(split_early, str(tmp_path / "rows"))
+    n, plan = ran(substring_dedup._copies(rows, 50))
+    assert "skew=true" in plan and n == 30_000 - rows.select("sha").distinct().count()
+    assert substring_dedup._copies(rows, 61).count() == 0
+
+
+def test_join_on_contexts_is_split(split_early, tmp_path):
+    rows = hot_rows(split_early, str(tmp_path / "rows")).withColumnRenamed("sha", "ckey")
+    members = rows.withColumns({"starts": F.array(F.lit(3), F.lit(90)), "wins": F.lit(5)})
+    contexts = members.groupBy("ckey").agg(F.min("doc_id").alias("first"))
+    contexts.write.parquet(str(tmp_path / "contexts"))
+    contexts = split_early.read.parquet(str(tmp_path / "contexts"))
+    offs = contexts.filter("first % 2 = 0").select("ckey", F.array(F.lit(1), F.lit(4)).alias("offs"))
+    found = substring_dedup._runs(members, contexts, offs)
+    n, plan = ran(found)
+    with_offs = offs.count()
+    assert "skew=true" in plan and n == 30_000 - contexts.count() + with_offs
+    firsts = [r.first for r in contexts.collect()]
+    got = {r.doc_id: [tuple(x) for x in r.runs] for r in found.filter(F.col("doc_id").isin(firsts + [29_999])).collect()}
+    want = {d: [(4, 4), (7, 7), (91, 91), (94, 94)] for d in firsts if d % 2 == 0}
+    assert got == want | {29_999: [(3, 8), (90, 95)]}
