@@ -40,6 +40,8 @@ HEAD_BYTES, FIELD_BYTES = struct.calcsize(HEAD), struct.calcsize(FIELDS)
 KNOWN_WORDS = 1_500_000
 #: Documents that a reader hands on at once.
 READ_ROWS = 500
+#: Bytes of input files for one shard, at most: more input makes more shards.
+SHARD_INPUT = 128 << 20
 MANIFEST = "shard long, file string, n_records long, n_tokens long"
 
 
@@ -172,10 +174,22 @@ def _write_shard(folder: str, path: str, end_id: int, width: int):
     return run
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that a DataFrame reads, from their listing (what is no file counts nothing)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    nodes = [leaves.apply(k) for k in range(leaves.size())]
+    return sum(int(n.stats().sizeInBytes()) for n in nodes if n.nodeName() == "LogicalRelation")
+
+
 def write_records(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id",
                   text_col: str = "text", shards: int | None = None) -> None:
-    """Encodes every row and writes the data set to ``folder``, a shared folder (local, HDFS, S3)."""
-    shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Encodes every row and writes the data set to ``folder``, a shared folder (local, HDFS, S3).
+
+    Without ``shards`` there is one for every ``SHARD_INPUT`` bytes of the files read, and at least
+    ``spark.sql.shuffle.partitions``.
+    """
+    least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or max(least, -(-input_bytes(docs) // SHARD_INPUT))
     files, root = fs.FileSystem.from_uri(folder)
     files.create_dir(root, recursive=True)
     (
@@ -246,7 +260,7 @@ def _read(spark: SparkSession, folder: str, row, extra: dict, schema: str) -> Da
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
     # one row per shard: the running total is a small sort
     before = F.sum("n_tokens").over(Window.orderBy("shard")) - F.col("n_tokens")
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), manifest.count())
     kinds = {"doc_id": pa.int64(), "start": pa.int64(), **extra}
     return (
         manifest.withColumn("before", before).repartition(shards, "file")

@@ -253,6 +253,22 @@ def test_marks_after_capitals(spark, make_docs):
     assert rows_of(token_records.read_digests(spark, folder), *RECORD) == want_records(rows)
 
 
+def test_shards_grow_with_the_files(spark, sf_dir, monkeypatch):
+    docs = common.table(spark, sf_dir, "documents")
+    size = token_records.input_bytes(docs)
+    assert 0 < size == token_records.input_bytes(docs.select("doc_id", "text").filter("doc_id > 0"))
+    assert token_records.input_bytes(spark.range(5).crossJoin(spark.createDataFrame([(1,)], "a int"))) == 0
+    found = {}
+    for bytes_ in (size + 1, size // 9):
+        monkeypatch.setattr(token_records, "SHARD_INPUT", bytes_)
+        folder = scratch_dir(spark, "records")
+        token_records.write_records(docs, folder, WORDS, 2)
+        shards = spark.read.parquet(f"{folder}/manifest").count()
+        found[shards] = rows_of(token_records.read_digests(spark, folder), "doc_id", "start", "n_tokens", "ids_crc32")
+    few, many = sorted(found)
+    assert few <= 4 < 9 <= many and found[few] == found[many]
+
+
 def test_damaged_record_is_found(spark, make_docs):
     folder = scratch_dir(spark, "records")
     token_records.write_records(make_docs([(1, "some words here")]), folder, WORDS, 2, shards=1)
