@@ -30,6 +30,8 @@ from milepost.session import cut_lineage
 
 #: Pieces that are packed together.
 SHARD = 8192
+#: Most Spark partitions that shards are dealt to; a task packs its shards one after another.
+TASKS = 20_000
 #: Bins that one step of the search looks at.
 LOOK = 128
 
@@ -166,8 +168,8 @@ def _pack_batches(capacity: int):
     return run
 
 
-def pack(items: DataFrame, capacity: int) -> DataFrame:
-    """Packs rows of doc_id, source, n_tokens, cluster.
+def pack(items: DataFrame, capacity: int, tasks: int = TASKS) -> DataFrame:
+    """Packs rows of doc_id, source, n_tokens, cluster in at most ``tasks`` tasks.
 
     Gives doc_id, piece, first_token (of the document), n_tokens, bin_id and place (tokens before the
     piece in its bin).
@@ -185,7 +187,7 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     shard: Column = F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards))
     return (
         pieces.withColumn("shard", shard)
-        .repartition(shards, "shard")
+        .repartition(min(shards, tasks), "shard")
         .sortWithinPartitions("shard", F.desc("n_tokens"), "doc_id", "piece", "cluster")
         .mapInArrow(_pack_batches(capacity), "doc_id long, piece long, first_token long, n_tokens long, bin_id long, place long")
     )

@@ -243,6 +243,17 @@ def test_packing_edges(edge, nothing):
     assert packing.pack_documents(nothing, WORDS).count() == 0
 
 
+def test_few_tasks_pack_alike(spark, monkeypatch):
+    """Shards are packed by themselves, whichever task they are dealt to."""
+    monkeypatch.setattr(packing, "SHARD", 32)
+    items = spark.range(300).selectExpr("id AS doc_id", "id % 7 AS source", "1 + id * id % 150 AS n_tokens", "id % 90 AS cluster")
+    few = packing.pack(items, 100, tasks=2)
+    assert few.rdd.getNumPartitions() == 2
+    names = ("doc_id", "piece", "bin_id", "place")
+    assert rows_of(few, *names) == rows_of(packing.pack(items, 100), *names)
+    assert few.select((F.col("bin_id") / 2**32).cast("long")).distinct().count() > 2
+
+
 def test_op10(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     bins = check_packed(queries.op10_best_fit_packing(spark, sf_dir), [(r.doc_id, r.text) for r in docs])
