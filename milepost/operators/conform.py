@@ -352,7 +352,7 @@ def mark_duplicates(judged: DataFrame, keys: list[str], keep: str, watch: Watch
     them for the join with it on the typed keys. Rows that are not resolved pass by the join. A ``watch``
     counts the judged rows as they are written.
     """
-    judged = cut_lineage(judged, "judged", watch=watch)
+    judged = cut_lineage(judged, "judged", "zstd", watch)
     resolved = F.col("_status") == RESOLVED
     best = (F.min if keep == "first" else F.max)("_position").alias("_kept_position")
     usable = judged.filter(resolved)

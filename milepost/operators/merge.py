@@ -26,6 +26,7 @@ def upsert(
     update_columns: list[str],
     stamp: datetime | Column,
     generated: tuple[str, ...] = (),
+    whole: bool = False,
 ) -> DataFrame:
     """Merge ``source`` (one row per key) into ``target``.
 
@@ -37,7 +38,9 @@ def upsert(
     * ``generated`` columns never come from the batch; derive them from the result.
 
     The target is on the left of a left join and new keys are found against the matched keys alone,
-    so with a batch under the broadcast threshold the target is scanned in place, not shuffled.
+    so with a batch under the broadcast threshold the target is scanned in place, not shuffled. ``whole`` is
+    for a batch that is far over it: one full join moves each side once, where the two joins of a small batch
+    would move the target twice and the batch three times.
     """
     batch = source.drop(*AUDIT, *generated)
     target = target.drop(*generated)
@@ -68,9 +71,33 @@ def upsert(
     on_keys = F.lit(True)
     for k in keys:
         on_keys = on_keys & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+    differs = ~F.col("t._stored").eqNullSafe(F.col("s._incoming")) if compared else F.lit(True)
+    if whole:
+        joined = stored.withColumn("_in_table", F.lit(True)).alias("t").join(
+            batch.select(*fixed, _pack(compared).alias("_incoming"), F.lit(True).alias("_in_batch")).alias("s"),
+            on_keys, "full",
+        )
+        known, given = F.col("t._in_table").isNotNull(), F.col("s._in_batch").isNotNull()
+        marked = joined.select(
+            *[F.when(known, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in fixed],
+            *[F.col(f"t.{c}").alias(c) for c in audit],
+            "_stored",
+            "_incoming",
+            (~known).alias("_new"),
+            (known & given).alias("_matched"),
+            (known & given & differs).alias("_changed"),
+        )
+        new, move = F.col("_new"), F.col("_changed")
+        action = F.when(new, INSERT).when(~F.col("_matched"), KEEP).when(move, UPDATE).otherwise(UNCHANGED)
+        return marked.select(
+            *fixed,
+            F.when(new | move, F.col("_incoming")).otherwise(F.col("_stored")).alias("_row"),
+            *[F.when(new if c == "created_at" else new | move, now(c)).otherwise(F.col(c)).alias(c) for c in audit],
+            action.alias("_action"),
+        ).select(*fixed, *[F.col(f"_row.{c}").alias(c) for c in compared], *audit, "_action")
+
     joined = stored.alias("t").join(incoming.alias("s"), on_keys, "left")
     matched = F.col("s._in_batch").isNotNull()
-    differs = ~F.col("t._stored").eqNullSafe(F.col("s._incoming")) if compared else F.lit(True)
     marked = joined.select(
         *[F.col(f"t.{c}").alias(c) for c in fixed + audit],
         "_stored",
@@ -100,6 +127,17 @@ def upsert(
     return old_rows.unionByName(new_rows)
 
 
+def inserted(source: DataFrame, update_columns: list[str], keys: list[str], stamp: datetime, generated: tuple[str, ...] = ()) -> DataFrame:
+    """:func:`upsert` into a table without rows: every row of the batch is new, so nothing is joined."""
+    batch = source.drop(*AUDIT, *generated)
+    compared = [c for c in update_columns if c in batch.columns and c not in keys]
+    moment = F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz")
+    return batch.select(
+        *[c for c in batch.columns if c not in compared], *compared, *[moment.alias(c) for c in AUDIT],
+        F.lit(INSERT).alias("_action"),
+    )
+
+
 def _pack(columns: list[str]) -> Column:
     return F.struct(*columns) if columns else F.lit(True)
 

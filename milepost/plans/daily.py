@@ -177,7 +177,7 @@ def backfill_details(
     dry_run: bool = False,
 ) -> DataFrame:
     """Loads the landed points of the trips that ended in a range; returns the merge counts."""
-    worklist = cut_lineage(trip_detail_worklist(trips, start, end), "worklist")
+    worklist = cut_lineage(trip_detail_worklist(trips, start, end), "worklist", "zstd")
     counts = []
     for raw, table in zip((raw_locations, raw_incidents), point_tables):
         points = details_for_worklist(conform_points(raw, table), worklist)

@@ -157,7 +157,7 @@ def _keep_rejects(
     watch = row_watch()
     watch.on(rejects.select(
         F.col("_status").alias("status"), F.col("_reason").alias("reason"), to_json_text(F.struct(*values)).alias("row")
-    )).write.mode("overwrite").parquet(path)
+    )).write.mode("overwrite").option("compression", "zstd").parquet(path)
     return watch["rows"]
 
 
@@ -237,7 +237,7 @@ def _steps(
         if "fleet rows" not in views:
             rows = conform.conform_fleet(rows_in_window(landed.fleets), directory.companies)
             seen_fleets.append(outcome_watch())
-            views["fleet rows"] = cut_lineage(rows, "fleets", watch=seen_fleets[0])
+            views["fleet rows"] = cut_lineage(rows, "fleets", "zstd", seen_fleets[0])
         return views["fleet rows"]
 
     def fleet_batch() -> DataFrame:
@@ -251,7 +251,7 @@ def _steps(
                 lookups.normalize_discovered_fleet(landed.fleet_search),
                 like if known is None else known, directory.companies,
             ),
-            "reconciled",
+            "reconciled", "zstd",
         )
         batch = _complete(discovered_fleet_rows(reconciled), like)
         table = daily.discovered_fleet_table(warehouse.fleet.path)
@@ -264,7 +264,7 @@ def _steps(
 
     def load_drivers() -> tuple[DataFrame, int]:
         rows = conform.conform_driver(rows_in_window(landed.drivers), directory.users, default_location)
-        judged = cut_lineage(rows, "drivers", watch=watch("drivers"))
+        judged = cut_lineage(rows, "drivers", "zstd", watch("drivers"))
         batch = first_by(conform.accepted(judged), DRIVER_KEY, [F.col("account_id")])
         return load("drivers", warehouse.driver, batch.drop("_focus_id"), keep("drivers", judged))
 
@@ -300,7 +300,7 @@ def _steps(
 
     for table, raw in zip(warehouse.points, (landed.trip_locations, landed.trip_incidents)):
         def load_points(table=table, raw=raw) -> tuple[DataFrame, int]:
-            judged = cut_lineage(daily.judge_points(rows_in_window(raw), table), "points", watch=watch(table.name))
+            judged = cut_lineage(daily.judge_points(rows_in_window(raw), table), "points", "zstd", watch(table.name))
             return load(table.name, table, daily.distinct_points(judged, table), keep(table.name, judged))
 
         report.step(table.name, load_points)

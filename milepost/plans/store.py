@@ -75,10 +75,11 @@ def write_folders(
     dealt = parts.hint("rebalance", F.col("_part"))
     if order:
         dealt = dealt.sortWithinPartitions("_part", *order)
-    blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in sought or []}
-    if blooms:
-        blooms["parquet.bloom.filter.adaptive.enabled"] = "true"
-    (dealt if watch is None else watch.on(dealt)).write.options(**blooms).partitionBy("_part").parquet(root)
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in sought or []}
+    if options:
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+    options["compression"] = "zstd"
+    (dealt if watch is None else watch.on(dealt)).write.options(**options).partitionBy("_part").parquet(root)
     found = [n.removeprefix("_part=") for n in _names(spark, root) if n.startswith("_part=")]
     null = "__HIVE_DEFAULT_PARTITION__"
     return {None if n == null else bytes.fromhex(n).decode(): f"{root}/_part={n}" for n in found}

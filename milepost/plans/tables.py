@@ -12,7 +12,7 @@ from pyspark.sql.types import IntegralType, StringType
 
 from milepost.operators import rollups
 from milepost.operators.accounting import action_watch, row_watch
-from milepost.operators.merge import AUDIT, INSERT, UPDATE, merged_table, upsert
+from milepost.operators.merge import INSERT, UPDATE, inserted, merged_table, upsert
 from milepost.operators.reports import union_all
 from milepost.plans import store
 from milepost.session import cut_lineage
@@ -21,6 +21,9 @@ from milepost.session import cut_lineage
 #: Most keys of a batch that become filters of the scan that looks for them.
 PUSHED_KEYS = 10_000
 
+#: A batch of more rows is merged by one full join; rows of any table here would not be broadcast at that number.
+WHOLE_JOIN_ROWS = 200_000
+
 
 @dataclass(frozen=True)
 class StoredTable:
@@ -68,15 +71,16 @@ def partition_values(df: DataFrame, partition: str) -> list[str | None]:
 
 def write_partitions(
     df: DataFrame, path: str, partition: str, replaced: list[str | None] | None = None, order: list | None = None,
-    sought: list[str] | None = None,
+    sought: list[str] | None = None, watch=None,
 ) -> DataFrame:
     """Replaces a stored table, or only the given partitions of it, and returns what was written.
 
-    Replaced partitions for which there are no rows go. The new version counts once it is complete.
+    Replaced partitions for which there are no rows go. The new version counts once it is complete. A ``watch``
+    (`operators.accounting`) counts the rows as they are written.
     """
     spark = df.sparkSession
     before = store.latest(spark, path)
-    written = store.write_folders(df, path, partition, order=order, sought=sought)
+    written = store.write_folders(df, path, partition, watch, order=order, sought=sought)
     kept = {} if before is None or replaced is None else {
         v: f for v, f in before.folders.items() if v not in set(replaced) | set(written)
     }
@@ -147,40 +151,47 @@ def merge(
     """Merges a batch (one row per key) into a stored table.
 
     Only partitions that the batch touches are read and written, each into a new folder, once, with
-    the action of each row; counts come from that column. The new version counts when its manifest is
+    the action of each row; counts come from that column. A first load is written as it is, without a join. The new version counts when its manifest is
     there. A dry run goes the same way and makes no version; its folders stay for :attr:`Merge.table`
     and are named by none (``store.vacuum`` removes them). ``before`` takes the place of the stored
     version: the second dry run on a table goes on from the first one's.
     """
     before = before or store.latest(spark, table.path)
-    batch_rows, counted = row_watch(), action_watch()
-    batch = cut_lineage(table.with_partition(batch), f"{table.name}-batch", watch=batch_rows)
+    counted = action_watch()
+    batch = table.with_partition(batch)
     if before is None:
-        target = spark.createDataFrame([], batch.schema)
-        for c in AUDIT:
-            target = target.withColumn(c, F.lit(None).cast("timestamp_ntz"))
-        touched = partition_values(batch, table.partition)
+        actions = inserted(batch, table.update_columns, table.keys, stamp, table.generated)
     else:
+        batch_watch = row_watch()
+        batch = cut_lineage(batch, f"{table.name}-batch", "zstd", batch_watch)
         touched = touched_partitions(table, store.read_version(spark, before), batch)
         target = store.read_version(spark, before, touched)
-    actions = upsert(target, batch, table.keys, table.update_columns, stamp, table.generated)
+        actions = upsert(
+            target, batch, table.keys, table.update_columns, stamp, table.generated,
+            whole=batch_watch["rows"] > WHOLE_JOIN_ROWS,
+        )
     written = store.write_folders(actions, table.path, table.partition, counted, sought=table.sought)
     found = store.read_folders(spark, actions.schema, sorted(written.values()))
     names = ("rows_inserted", "rows_updated", "rows_skipped")
     counts = spark.createDataFrame([(table.name, *[counted[n] for n in names])], COUNTS)
-    kept = {} if before is None else {v: f for v, f in before.folders.items() if v not in touched}
+    if before is None:
+        touched, batch_rows, kept = list(written), counted["rows_inserted"], {}
+    else:
+        batch_rows, kept = batch_watch["rows"], {v: f for v, f in before.folders.items() if v not in touched}
     schema = merged_table(actions).schema
     if dry_run:
         version = store.Version(0, schema, kept | written)
     else:
         version = store.commit(spark, table.path, before, schema, kept | written)
     moved = found.filter(F.col("_action").isin(INSERT, UPDATE))
-    updated = found.filter(F.col("_action") == UPDATE).select(*table.keys)
-    changes = merged_table(moved).withColumn("_sign", F.lit(1)).unionByName(
-        target.join(updated, table.keys, "left_semi").withColumn("_sign", F.lit(-1)), allowMissingColumns=True
-    )
+    changes = merged_table(moved).withColumn("_sign", F.lit(1))
+    if before is not None:
+        updated = found.filter(F.col("_action") == UPDATE).select(*table.keys)
+        changes = changes.unionByName(
+            target.join(updated, table.keys, "left_semi").withColumn("_sign", F.lit(-1)), allowMissingColumns=True
+        )
     return Merge(
-        counts, store.read_version(spark, version), touched, version, batch_rows["rows"],
+        counts, store.read_version(spark, version), touched, version, batch_rows,
         0 if before is None else before.number, changes,
     )
 
@@ -252,7 +263,7 @@ def stored_eligible(
 ) -> DataFrame:
     return cut_lineage(
         rollups.eligible_companies(subscriptions, company_subscriptions, subscription_name),
-        "eligible",
+        "eligible", "zstd",
     )
 
 
@@ -276,7 +287,7 @@ def store_day_rollups(combined: DataFrame, out_path: str, replaced: list | None)
         return write_partitions(df, f"{out_path}/{name}", "reporting_day", replaced, order)
 
     stored = {}
-    plain, events = rollups.split_day_rollups(cut_lineage(combined, "day-rollups"))
+    plain, events = rollups.split_day_rollups(cut_lineage(combined, "day-rollups", "zstd"))
     stored["trip_day_rollup"] = keep("trip_day_rollup", plain)
     stored["performance_groups"] = keep(
         "performance_groups", rollups.performance_groups(stored["trip_day_rollup"])

@@ -12,7 +12,7 @@ from milepost.plans.windows import RunWindow
 from milepost.session import scratch_dir
 from testbed.conform_queries import _GOOD_INCIDENT, _GOOD_POINT
 from testbed.registry import query
-from testbed.views import Bed
+from testbed.views import LANDED_FILES, Bed
 
 E = F.expr
 WINDOW = RunWindow(
@@ -26,7 +26,7 @@ def inputs(b: Bed) -> tuple[pipeline.Landed, pipeline.Directory]:
 
     def land(name: str, df):
         path = scratch_dir(b.spark, f"landed-{name}")
-        df.write.json(path)
+        df.write.options(**LANDED_FILES).json(path)
         return b.spark.read.schema(df.schema).json(path)
 
     landed = pipeline.Landed(

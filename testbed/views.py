@@ -15,6 +15,9 @@ from milepost.session import tune
 
 E = F.expr
 
+#: How landed JSON is written: compressed, in files small enough to be read by many tasks.
+LANDED_FILES = {"compression": "gzip", "maxRecordsPerFile": "50000"}
+
 
 class Bed:
     """Lazily built fixture tables over one scale-factor folder."""
@@ -25,6 +28,12 @@ class Bed:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def parts(self, name: str, mb: int) -> int:
+        """How many parts a table is dealt to when each is to take so many MB of its files, four at least."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{name}.parquet")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return max(4, -(-files.getContentSummary(path).getLength() // (mb << 20)))
+
     # --- companies, subscriptions, fleets ---------------------------------------------------------
 
     @cached_property

@@ -172,3 +172,49 @@ def test_two_writers_of_one_version(spark):
             break
     else:
         raise AssertionError("both writers made version 2")
+
+
+def test_whole_join_is_the_same_merge(spark):
+    source = [("same", 1, (1.0, None)), ("nulls", None, None), ("diff", 1, (2.0, "z")), ("new", 9, None), (None, 3, None)]
+    target = ROWS + [(None, 1, None, "e"), ("diff", 4, None, "twice")]
+    for columns in (["a", "g"], []):
+        few, whole = (
+            merge.upsert(stored(spark, target), batch(spark, source), ["k"], columns, NEW, whole=w) for w in (False, True)
+        )
+        assert few.columns == whole.columns
+        assert sorted(map(str, few.collect())) == sorted(map(str, whole.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Join ") == 1
+
+
+def test_large_batches_take_the_whole_join(spark, monkeypatch):
+    monkeypatch.setattr(tables, "WHOLE_JOIN_ROWS", 1)
+    table = tables.StoredTable("t", scratch_dir(spark, "whole"), ["k"], ["d", "a"], partition="d")
+    first = spark.createDataFrame([("a", 1, 1), ("b", 2, 1), ("c", 2, 1)], "k string, d int, a long")
+    tables.merge_into(spark, table, first, OLD)
+    change = spark.createDataFrame([("a", 3, 1), ("b", 2, 1), ("n", 2, 5)], "k string, d int, a long")
+    done = tables.merge(spark, table, change, NEW)
+    assert tuple(done.counts.first()) == ("t", 1, 1, 1) and done.batch_rows == 3
+    kept = {tuple(r) for r in tables.read_table(spark, table.path).select("k", "d", "a", "created_at").collect()}
+    assert kept == {("a", 3, 1, OLD), ("b", 2, 1, OLD), ("c", 2, 1, OLD), ("n", 2, 5, NEW)}
+    signs = {(r["k"], r["d"], r["_sign"]) for r in done.changes.collect()}
+    assert signs == {("a", 3, 1), ("a", 1, -1), ("n", 2, 1)}
+
+
+def test_a_first_load_joins_nothing_and_is_compressed(spark, monkeypatch):
+    def no_join(*_, **__):
+        raise AssertionError("a first load was joined")
+
+    monkeypatch.setattr(tables, "upsert", no_join)
+    table = tables.StoredTable("t", scratch_dir(spark, "first"), ["k"], ["a", "d"], partition="d")
+    rows = spark.createDataFrame([("a", 1, 1), (None, 2, 1), ("c", None, 1)], "k string, d int, a long")
+    done = tables.merge(spark, table, rows, NEW)
+    assert tuple(done.counts.first()) == ("t", 3, 0, 0) and set(done.touched) == {"1", "2", None}
+    assert done.batch_rows == 3 and done.changes.filter("_sign = 1").count() == 3
+    read = tables.read_table(spark, table.path)
+    assert read.columns == ["k", "a", "d", *merge.AUDIT]
+    assert all(r[0].endswith(".zstd.parquet") for r in read.select(F.col("_metadata.file_path")).collect())
