@@ -105,13 +105,14 @@ def _anti_or_semi(rows: DataFrame, groups: DataFrame, how: str) -> DataFrame:
 
 def apply_changes(spark: SparkSession, trip_path: str, changes: DataFrame, out_path: str) -> list[str | None]:
     """Brings the states up to date with the merge's change rows; gives the days that it rewrote."""
-    changed = cut_lineage(conform.derive_trip_times(changes), "trip-changes")
-    days = partition_values(rollups.with_reporting_day(changed), "reporting_day")
+    changed = conform.derive_trip_times(changes)
+    # written as states and driver-days: of the rows as they were, only the keys of their groups are read and moved
+    added = cut_lineage(rollups.day_states(changed.filter("_sign > 0")), "added-states", "zstd")
+    lost = cut_lineage(rollups.state_groups(changed.filter("_sign < 0")), "lost-trips", "zstd")
+    days = partition_values(added.select("reporting_day").union(lost.select("reporting_day")), "reporting_day")
     if not days:
         return []
     held = read_table(spark, f"{out_path}/{STATE}", days)
-    added = rollups.day_states(changed.filter("_sign > 0"))
-    lost = cut_lineage(rollups.state_groups(changed.filter("_sign < 0")), "lost-trips")
     if lost.isEmpty():
         states = rollups.merge_states(held.unionByName(added))
     else:
@@ -143,7 +144,7 @@ def refresh(
     if current is None:
         raise ValueError(f"no trips are stored at {trip_path}")
     eligible = stored_eligible(sides.subscriptions, sides.company_subscriptions, sides.subscription_name)
-    marks = cut_lineage(present_marks(sides, eligible), "rollup-marks")
+    marks = cut_lineage(present_marks(sides, eligible), "rollup-marks", "zstd")
     marks_path, state_path = f"{out_path}/{MARKS}", f"{out_path}/{STATE}"
     last = store.latest(spark, marks_path)
     held = _trips_version(last)
