@@ -51,9 +51,7 @@ def remove_keys(spark: SparkSession, table: StoredTable, lost: DataFrame, key: s
         return (table.name, 0, 0, 0), []
     watch = row_watch()
     rest = read_table(spark, table.path, list(found)).join(keys, key, "left_anti")
-    # written once, so that the count is that of the rows that stay
-    kept = cut_lineage(rest, f"{table.name}-kept", watch=watch)
-    write_partitions(kept, table.path, table.partition, list(found))
+    write_partitions(rest, table.path, table.partition, list(found), watch=watch)
     return (table.name, sum(found.values()), watch["rows"], len(found)), list(found)
 
 
@@ -62,14 +60,14 @@ def purge_drivers(
     points: tuple[StoredTable, ...],
 ) -> Purge:
     """Deletes the drivers in ``gone`` (``driver_id``) and whatever refers to them, table by table."""
-    ids = cut_lineage(one_per_key(gone.select("driver_id").filter("driver_id IS NOT NULL"), ["driver_id"]), "gone-drivers")
+    ids = cut_lineage(one_per_key(gone.select("driver_id").filter("driver_id IS NOT NULL"), ["driver_id"]), "gone-drivers", "zstd")
     lines, change = [], None
     before = store.latest(spark, trips.path)
     if before is not None:
         lost = cut_lineage(
-            store.read_version(spark, before).join(ids, "driver_id", "left_semi"), "lost-trips"
+            store.read_version(spark, before).join(ids, "driver_id", "left_semi"), "lost-trips", "zstd"
         )
-        keys = cut_lineage(one_per_key(lost.select("trip_id"), ["trip_id"]), "lost-trip-ids")
+        keys = cut_lineage(one_per_key(lost.select("trip_id"), ["trip_id"]), "lost-trip-ids", "zstd")
         for table in points:
             lines.append(remove_keys(spark, table, keys, "trip_id")[0])
         line, touched = remove_keys(spark, trips, keys, "trip_id")
