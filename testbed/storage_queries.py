@@ -13,7 +13,7 @@ from milepost.plans import daily, maintenance, pipeline, purge, tables, windows
 from milepost.schemas import (
     INCIDENT_KEY, LANDED, LOCATION_KEY, ROLLUP_KEYS, TRIP_KEY,
 )
-from milepost.session import scratch_dir
+from milepost.session import cut_lineage, scratch_dir
 from milepost.sources import entity, exports, pages, runs
 from milepost.streaming import landing
 from testbed.conform_queries import drivers as conformed_drivers
@@ -22,7 +22,7 @@ from testbed.registry import query
 from testbed.rollup_queries import (
     day_rollup, eligible, event_rollup, reconciled, trip_list,
 )
-from testbed.views import Bed
+from testbed.views import LANDED_FILES, Bed
 
 E = F.expr
 
@@ -338,7 +338,7 @@ def trip_actions(b: Bed):
     )
     generated = tuple(c for c in stored.columns if c.endswith("_datetime")) + ("duration_seconds",)
     return merge.upsert(
-        stored, batch, TRIP_KEY, daily.TRIP_UPDATE_COLUMNS, _NEW, generated
+        stored, batch, TRIP_KEY, daily.TRIP_UPDATE_COLUMNS, _NEW, generated, whole=True
     )
 
 
@@ -372,7 +372,7 @@ def point_actions(b: Bed):
     """Stored points of finished lines, touched by a batch of all points."""
     flags = b.trip_incident.filter("incident_type <> 'N'")
     stored = _with_audit(conform.dedup_incidents(flags))
-    return merge.upsert(stored, conform.dedup_incidents(b.trip_incident), INCIDENT_KEY, [], _NEW)
+    return merge.upsert(stored, conform.dedup_incidents(b.trip_incident), INCIDENT_KEY, [], _NEW, whole=True)
 
 
 @query(
@@ -597,7 +597,7 @@ def incremental_load(b: Bed):
     table = daily.trip_table(scratch_dir(b.spark, "trips"))
     marks, landing_path = scratch_dir(b.spark, "marks"), scratch_dir(b.spark, "landed-trips")
     run = E("element_at(array('2024-01-12', '2024-01-19', '2024-01-27'), cast(position % 3 + 1 AS int))")
-    b.raw_trip.withColumn("run_ts", run).write.partitionBy("run_ts").json(landing_path)
+    b.raw_trip.withColumn("run_ts", run).write.options(**LANDED_FILES).partitionBy("run_ts").json(landing_path)
     landed = b.spark.read.schema(b.raw_trip.withColumn("run_ts", run).schema).json(landing_path)
     runs_at = [datetime(2024, 1, 13), datetime(2024, 1, 20), datetime(2024, 1, 28)]
     for i, now in enumerate(runs_at):
@@ -616,18 +616,18 @@ def incremental_load(b: Bed):
     ("point",),
 )
 def streaming_load(b: Bed):
-    """Landed points streamed into a stored table in several micro-batches."""
-    landed = scratch_dir(b.spark, "landed")
+    """Landed points streamed into a stored table in two micro-batches; files grow in number, not in size."""
+    landed, parts = scratch_dir(b.spark, "landed"), b.parts("lineitem", 16)
     b.trip_location.select(
         F.col("trip_id").alias("tripId"),
         F.col("account_id").cast("string").alias("accountId"),
         F.col("timestamp_ms").cast("string").alias("timestamp"),
         F.col("latitude").cast("string").alias("latitude"),
         F.col("longitude").cast("string").alias("longitude"),
-    ).repartition(4, "tripId").write.json(landed)
+    ).repartition(parts, "tripId").write.option("compression", "gzip").json(landed)
     table, _ = daily.point_tables(scratch_dir(b.spark, "points"), scratch_dir(b.spark, "incidents"))
     query_ = landing.stream_into(
-        landing.landed_stream(b.spark, landed, "trip_locations", files_per_batch=2),
+        landing.landed_stream(b.spark, landed, "trip_locations", files_per_batch=-(-parts // 2)),
         lambda rows: daily.conform_points(rows, table),
         table,
         scratch_dir(b.spark, "stream-state"),
@@ -1009,7 +1009,7 @@ FROM (SELECT count(*) AS fleets, count(*) FILTER (s <> 'skipped') AS attempted,
 )
 def run_status(b: Bed):
     """Status per fleet (a conversion step that filtered or dropped rows counts as an error)."""
-    pulls = fleet_outcomes(b)
+    pulls = cut_lineage(fleet_outcomes(b), "fleet-outcomes", "zstd")  # one row per fleet, read four times
     lost = F.col("sql_inserted") < F.col("trip_scores") - F.col("sql_skipped")
     steps = pulls.select(
         "fleet_id", F.lit("convert").alias("step"),

@@ -92,3 +92,13 @@ def test_batch_that_broke_off_is_merged(spark, monkeypatch):
     stored = {r.trip_id: r.last_synced_at for r in tables.read_table(spark, table.path).collect()}
     assert stored == {"a": STAMP, "b": datetime(2024, 3, 2)}
     assert landing.begun_batch(spark, batches, 0) == (STAMP, datetime(2024, 3, 2))
+
+
+def test_landed_parts_grow_with_the_table(spark, tmp_path):
+    """A fixed number of parts makes each part, and the task that writes it, grow with the table."""
+    from testbed.views import Bed
+
+    (tmp_path / "lineitem.parquet").mkdir()
+    (tmp_path / "lineitem.parquet" / "part-0.parquet").write_bytes(bytes(9 << 20))
+    bed = Bed(spark, str(tmp_path))
+    assert (bed.parts("lineitem", 16), bed.parts("lineitem", 1)) == (4, 9)
