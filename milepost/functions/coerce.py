@@ -15,7 +15,9 @@ WHITESPACE = (
 TRUE_WORDS = ["1", "true", "t", "yes", "y", "on"]
 FALSE_WORDS = ["0", "false", "f", "no", "n", "off"]
 
+_PLAIN_TEXT = r"^[!-~](?:[ -~]*[!-~])?\z"
 _PLAIN_NUMBER = r"^-?[0-9]+(?:\.[0-9]+)?$"
+_PADDED_NUMBER = r"^ *-?[0-9]+(?:\.[0-9]+)? *\z"
 _DIGITS = r"[0-9]+(?:_[0-9]+)*"
 _NUMBER = (
     rf"^(?:[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?"
@@ -30,8 +32,14 @@ _BASIC_DATE = r"^\d{8}$"
 
 
 def strip(c) -> Column:
-    """Remove white space of every kind from both ends (SQL ``trim`` removes blanks only)."""
-    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(WHITESPACE))
+    """Remove white space of every kind from both ends (SQL ``trim`` removes blanks only).
+
+    A named column is tested first for ASCII text between blanks, of which the cheap ``trim`` gives the same.
+    """
+    if not isinstance(c, str):
+        return F.btrim(c, F.lit(WHITESPACE))
+    plain = F.trim(F.col(c))
+    return F.when(plain.rlike(_PLAIN_TEXT), plain).otherwise(F.btrim(F.col(c), F.lit(WHITESPACE)))
 
 
 def text_or_null(c) -> Column:
@@ -56,13 +64,13 @@ def first_filled(a: Column, b: Column) -> Column:
 def number_text(c) -> Column:
     """The number spelled by a text, without white space; empty when the text is no number.
 
-    Plain digits, the usual case, pass after one cheap test. The full rule also takes exponents,
+    Plain digits, between blanks or not, are the usual case and pass after one cheap test. The full rule also takes exponents,
     digit groups (``1_000``), NaN, infinities and the words true and false, but not the type
     suffixes and hexadecimal floats that the JVM parser would accept.
     """
     c = F.col(c) if isinstance(c, str) else c
     spelled = F.replace(F.regexp_extract(strip(c), _NUMBER, 0), F.lit("_"), F.lit(""))
-    return F.when(c.rlike(_PLAIN_NUMBER), c).otherwise(spelled)
+    return F.when(c.rlike(_PADDED_NUMBER), F.trim(c)).when(c.rlike(_PLAIN_NUMBER), c).otherwise(spelled)
 
 
 def with_number_text(df: DataFrame, names: list[str]) -> DataFrame:
@@ -71,8 +79,8 @@ def with_number_text(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def number_to_double(n: Column) -> Column:
-    """Double from number text."""
-    return F.coalesce(n.try_cast("double"), F.when(n == "true", 1.0).when(n == "false", 0.0))
+    """Double from number text. Empty text is left out: a failing cast to double costs an exception."""
+    return F.coalesce(F.when(n != "", n.try_cast("double")), F.when(n == "true", 1.0).when(n == "false", 0.0))
 
 
 def number_to_long(n: Column) -> Column:

@@ -158,6 +158,15 @@ def conform_points(raw: DataFrame, table: StoredTable) -> DataFrame:
     return distinct_points(judge_points(raw, table), table)
 
 
+def points_of_trips(raw: DataFrame, table: StoredTable, worklist: DataFrame) -> DataFrame:
+    """Usable, distinct points of the trips of a worklist.
+
+    The trips are picked before equal points are dropped: only what is picked is deduplicated, and the trip id,
+    by which a join of two large sides deals the points, is part of their key, so that they move once.
+    """
+    return distinct_points(details_for_worklist(judge_points(raw, table), worklist), table)
+
+
 def load_points(
     spark: SparkSession, raw: DataFrame, table: StoredTable, stamp: datetime, dry_run: bool = False
 ) -> DataFrame:
@@ -180,6 +189,5 @@ def backfill_details(
     worklist = cut_lineage(trip_detail_worklist(trips, start, end), "worklist", "zstd")
     counts = []
     for raw, table in zip((raw_locations, raw_incidents), point_tables):
-        points = details_for_worklist(conform_points(raw, table), worklist)
-        counts.append(merge_into(spark, table, points, stamp, dry_run))
+        counts.append(merge_into(spark, table, points_of_trips(raw, table, worklist), stamp, dry_run))
     return union_all(counts)

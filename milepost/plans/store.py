@@ -71,8 +71,8 @@ def write_folders(
     by their distinct values, for the columns ``sought``.
     """
     spark, root = df.sparkSession, f"{path}/data/{uuid.uuid4().hex}"
-    parts = df.withColumn("_part", F.hex(F.col(partition).cast("string")))
-    dealt = parts.hint("rebalance", F.col("_part"))
+    # the text of the value is made after the shuffle, which then moves the value alone
+    dealt = df.hint("rebalance", F.col(partition)).withColumn("_part", F.hex(F.col(partition).cast("string")))
     if order:
         dealt = dealt.sortWithinPartitions("_part", *order)
     options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in sought or []}

@@ -253,3 +253,18 @@ def test_flatten_struct(spark):
     flat = render.flatten_struct(df)
     assert flat.columns == ["a.b", "a.c.d", "a.c.e"]
     assert tuple(flat.first()) == (1, 2, "x;y")
+
+
+def test_plain_text_and_numbers_take_the_short_way(spark):
+    """A named column gives what the full rules give, whatever stands at the ends of the text."""
+    ends = ["", " ", "\t", "\n", "\u2028", "\xa0", "\x1c", "\x00", "é"]
+    df = texts(spark, None, *[a + v + b for v in ("", "T1", "a b", "7", "-2.50", "1d", "1e3") for a in ends for b in ends])
+    assert column(df, coerce.strip("t")) == column(df, F.btrim("t", F.lit(coerce.WHITESPACE)))
+    plans = [df.select(f("t"))._jdf.queryExecution().optimizedPlan().toString() for f in (coerce.strip, coerce.number_text)]
+    assert all(p.upper().index("RLIKE") < p.index("Some(") for p in plans)
+    spelled = F.regexp_extract(F.btrim("t", F.lit(coerce.WHITESPACE)), coerce._NUMBER, 0)
+    full = F.when(F.col("t").rlike(coerce._PLAIN_NUMBER), F.col("t")).otherwise(spelled)
+    assert column(df, coerce.number_text("t")) == column(df, full)
+    assert column(df, coerce.number_to_double(coerce.number_text("t"))) == column(
+        df, F.coalesce(full.try_cast("double"), F.when(full == "true", 1.0).when(full == "false", 0.0))
+    )

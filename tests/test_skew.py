@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from milepost.operators import conform, dedup, lookups, quality
 from milepost.operators.skew import one_per_key
+from milepost.plans import daily
 from milepost.sources.runs import latest_run
 
 HOT = 30_000
@@ -100,3 +101,26 @@ def test_plain_aggregate_is_not_split(tiny, hot):
     """What the reduced side is for: with a plain aggregate the hot key stays in one task."""
     side = keys(tiny, "k").groupBy("k").agg(F.max("n").alias("n"))
     assert "skew=true" not in final_plan(hot.join(side, "k", "left"))[0]
+
+
+def hot_points(hot):
+    """Landed points, each twice; a third of them belongs to one trip."""
+    once = hot.select(
+        F.concat(F.lit(" "), "k").alias("tripId"), F.lit("1").alias("accountId"), (F.col("position") * 1000).cast("string").alias("timestamp"),
+        F.lit("2.5 ").alias("latitude"), F.lit("3").alias("longitude"),
+    )
+    return once.unionByName(once)
+
+
+def test_points_of_trips_move_once(tiny, hot, tmp_path):
+    """Points are dealt by trip for the join, and what is picked is deduplicated where it lies."""
+    table, _ = daily.point_tables(str(tmp_path / "l"), str(tmp_path / "i"))
+    hot.filter("position % 2000 < 40").select(F.col("k").alias("trip_id")).distinct().write.parquet(str(tmp_path / "w"))
+    worklist = tiny.read.parquet(str(tmp_path / "w"))
+    got = daily.points_of_trips(hot_points(hot), table, worklist)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == plan.count("Exchange hashpartitioning(trip_id") == 2
+    split, _ = final_plan(got)
+    assert "skew=true" in split
+    picked = hot.join(worklist, F.col("k") == F.col("trip_id"), "left_semi").count()
+    assert got.count() == got.distinct().count() == picked
