@@ -12,7 +12,7 @@ from pyspark.sql.types import IntegralType, StringType
 
 from milepost.operators import rollups
 from milepost.operators.accounting import action_watch, row_watch
-from milepost.operators.merge import INSERT, UPDATE, inserted, merged_table, upsert
+from milepost.operators.merge import INSERT, UPDATE, inserted, merge_counts, merged_table, upsert
 from milepost.operators.reports import union_all
 from milepost.plans import store
 from milepost.session import cut_lineage
@@ -158,18 +158,7 @@ def merge(
     """
     before = before or store.latest(spark, table.path)
     counted = action_watch()
-    batch = table.with_partition(batch)
-    if before is None:
-        actions = inserted(batch, table.update_columns, table.keys, stamp, table.generated)
-    else:
-        batch_watch = row_watch()
-        batch = cut_lineage(batch, f"{table.name}-batch", "zstd", batch_watch)
-        touched = touched_partitions(table, store.read_version(spark, before), batch)
-        target = store.read_version(spark, before, touched)
-        actions = upsert(
-            target, batch, table.keys, table.update_columns, stamp, table.generated,
-            whole=batch_watch["rows"] > WHOLE_JOIN_ROWS,
-        )
+    actions, touched, target, batch_rows = _actions(spark, table, batch, stamp, before)
     written = store.write_folders(actions, table.path, table.partition, counted, sought=table.sought)
     found = store.read_folders(spark, actions.schema, sorted(written.values()))
     names = ("rows_inserted", "rows_updated", "rows_skipped")
@@ -177,7 +166,7 @@ def merge(
     if before is None:
         touched, batch_rows, kept = list(written), counted["rows_inserted"], {}
     else:
-        batch_rows, kept = batch_watch["rows"], {v: f for v, f in before.folders.items() if v not in touched}
+        kept = {v: f for v, f in before.folders.items() if v not in touched}
     schema = merged_table(actions).schema
     if dry_run:
         version = store.Version(0, schema, kept | written)
@@ -196,11 +185,34 @@ def merge(
     )
 
 
+def _actions(
+    spark: SparkSession, table: StoredTable, batch: DataFrame, stamp: datetime, before: store.Version | None
+) -> tuple[DataFrame, list[str | None], DataFrame | None, int]:
+    """The rows of a merge with their actions, the partitions that the batch touches, their stored rows and the rows
+    of the batch. Before the first load there are no partitions and no stored rows, and the batch isn't counted."""
+    batch = table.with_partition(batch)
+    if before is None:
+        return inserted(batch, table.update_columns, table.keys, stamp, table.generated), [], None, 0
+    batch_watch = row_watch()
+    batch = cut_lineage(batch, f"{table.name}-batch", "zstd", batch_watch)
+    touched = touched_partitions(table, store.read_version(spark, before), batch)
+    target = store.read_version(spark, before, touched)
+    actions = upsert(
+        target, batch, table.keys, table.update_columns, stamp, table.generated,
+        whole=batch_watch["rows"] > WHOLE_JOIN_ROWS,
+    )
+    return actions, touched, target, batch_watch["rows"]
+
+
 def merge_into(
     spark: SparkSession, table: StoredTable, batch: DataFrame, stamp: datetime, dry_run: bool = False
 ) -> DataFrame:
-    """The counts of :func:`merge`."""
-    return merge(spark, table, batch, stamp, dry_run).counts
+    """The counts of :func:`merge`. Nobody reads the rows of a dry run here, so they are counted where they are joined
+    and not written."""
+    if not dry_run:
+        return merge(spark, table, batch, stamp).counts
+    actions = _actions(spark, table, batch, stamp, store.latest(spark, table.path))[0]
+    return spark.createDataFrame([tuple(merge_counts(actions, table.name).first())], COUNTS)
 
 
 # --- watermark ------------------------------------------------------------------------------------

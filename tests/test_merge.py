@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from milepost.operators import merge
-from milepost.plans import tables
+from milepost.plans import store, tables
 from milepost.session import scratch_dir
 
 OLD, NEW = datetime(2024, 1, 1), datetime(2024, 2, 2)
@@ -218,3 +218,16 @@ def test_a_first_load_joins_nothing_and_is_compressed(spark, monkeypatch):
     read = tables.read_table(spark, table.path)
     assert read.columns == ["k", "a", "d", *merge.AUDIT]
     assert all(r[0].endswith(".zstd.parquet") for r in read.select(F.col("_metadata.file_path")).collect())
+
+
+def test_dry_run_counts_write_no_rows(spark):
+    table = tables.StoredTable("t", scratch_dir(spark, "dry"), ["k"], ["a"], buckets=4)
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, a long")
+    assert tuple(tables.merge_into(spark, table, rows, OLD, dry_run=True).first()) == ("t", 2, 0, 0)
+    assert tables.read_table(spark, table.path) is None
+    tables.merge_into(spark, table, rows, OLD)
+    change = spark.createDataFrame([("a", 1), ("b", 3), ("c", 4)], "k string, a long")
+    got = tables.merge_into(spark, table, change, NEW, dry_run=True)
+    assert tuple(got.first()) == ("t", 1, 1, 1) and got.schema.simpleString().count("bigint") == 3
+    assert store.vacuum(spark, table.path) == 0
+    assert sorted(r[0] for r in tables.read_table(spark, table.path).select("a").collect()) == [1, 2]
