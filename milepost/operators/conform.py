@@ -59,11 +59,11 @@ def _status(df: DataFrame, *rules: tuple[Column, str, str]) -> DataFrame:
 def _pack(df: DataFrame, keep: list[str]) -> DataFrame:
     """Columns that only pass through the lookups, as one struct: the joins stay narrow."""
     rest = [c for c in df.columns if c not in keep]
-    return df.select(*keep, F.struct(*rest).alias("_row"))
+    return df.select(*keep, *([F.struct(*rest).alias("_row")] if rest else []))
 
 
 def _unpack(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if c != "_row"], "_row.*")
+    return df.select(*[c for c in df.columns if c != "_row"], "_row.*") if "_row" in df.columns else df
 
 
 def _evaluate_once(df: DataFrame) -> DataFrame:
@@ -313,21 +313,33 @@ def map_trip_rows(raw: DataFrame, position: str) -> DataFrame:
 
 def conform_trip_score(
     raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str, order: str | None = None,
-    watch: Watch | None = None,
+    watch: Watch | None = None, columns: list[str] | None = None,
 ) -> DataFrame:
-    """Trip scores; of rows with one trip id the first usable one in source order is kept."""
-    marked = mark_duplicates(judge_trip_scores(raw, fleets, drivers, position, order), TRIP_KEY, "first", watch)
-    return _unpack(marked.drop("_known", "_position"))
+    """Trip scores; of rows with one trip id the first usable one in source order is kept.
+
+    ``columns`` names those of the result that are asked for besides status and reason: all rows are judged by all
+    rules, and only the columns that these need are moved and written on the way.
+    """
+    marked = mark_duplicates(
+        judge_trip_scores(raw, fleets, drivers, position, order, columns), TRIP_KEY, "first", watch
+    )
+    found = _unpack(marked.drop("_known", "_position"))
+    return found if columns is None else found.select(*columns, "_status", "_reason")
+
+
+_TRIP_RULE_COLUMNS = ["trip_id", "driver_id", "fleet_id", "start_date", "end_date", "_position"]
 
 
 def judge_trip_scores(
-    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str, order: str | None = None
+    raw: DataFrame, fleets: DataFrame, drivers: DataFrame, position: str, order: str | None = None,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Trip scores with their status, repeated trips not told apart yet."""
-    mapped = _pack(
-        map_trip_rows(raw, order or position),
-        ["trip_id", "driver_id", "fleet_id", "start_date", "end_date", "_position"],
-    )
+    """Trip scores with their status, repeated trips not told apart yet; of the columns that no rule looks at,
+    those named in ``columns`` (None: all)."""
+    rows = map_trip_rows(raw, order or position)
+    if columns is not None:
+        rows = rows.select(*[c for c in rows.columns if c in _TRIP_RULE_COLUMNS or c in columns])
+    mapped = _pack(rows, _TRIP_RULE_COLUMNS)
     flagged = _with_known_flag(
         resolve_fleet_identity(mapped, fleets, "fleet_id", spread_by=["_position"]), drivers
     )

@@ -116,8 +116,8 @@ def conform_driver_score(b: Bed):
     return conform.accepted(scores(b))
 
 
-def trips(b: Bed):
-    return conform.conform_trip_score(b.raw_trip, b.fleet, b.known_driver, "position")
+def trips(b: Bed, columns: list[str] | None = None):
+    return conform.conform_trip_score(b.raw_trip, b.fleet, b.known_driver, "position", columns=columns)
 
 
 @query(
@@ -158,8 +158,9 @@ WHERE status <> 'resolved'""",
     ("status_trip",),
 )
 def reject_trips(b: Bed):
-    return conform.rejected(trips(b)).select(
-        "trip_id", "driver_id", "fleet_id",
+    columns = ["trip_id", "driver_id", "fleet_id"]
+    return conform.rejected(trips(b, columns)).select(
+        *columns,
         F.col("_status").alias("status"), F.col("_reason").alias("reason"),
     )
 

@@ -1,3 +1,4 @@
+import os
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -186,3 +187,16 @@ def test_daily_stamp_counts_across_pages(spark):
         assert r["sourceGroupKey"] == f"GL_REPORT_DATA:{r['snapshotDate']}"
     for stamped in by_day.values():
         assert [i for _, _, i in sorted(stamped)] == list(range(1, 13))
+
+
+def test_asked_columns_alone_are_written(spark):
+    """Rejects of some columns are those of all columns, and the others don't reach the written rows."""
+    changes = [{"tripId": "a"}, {"tripId": "a"}, {"tripId": "b", "endDate": 999}, {"tripId": "c", "driverId": "x"}, {"tripId": " "}]
+    raw = landed(spark, "trip_scores", [{**TRIP, **c} for c in changes])
+    for columns in (["trip_id", "driver_id", "fleet_id"], ["trip_id", "overall_score", "company_id"], ["geo"]):
+        got = conform.conform_trip_score(raw, fleets(spark), drivers(spark, "tp-1"), "position", columns=columns)
+        assert got.columns == [*columns, "_status", "_reason"]
+        whole = conform.conform_trip_score(raw, fleets(spark), drivers(spark, "tp-1"), "position")
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole.select(*got.columns).collect()))
+        written = spark.read.parquet(os.path.dirname(got.inputFiles()[0])).schema.simpleString()
+        assert "weather" not in written and ("overall_score" in written) == ("overall_score" in columns)
