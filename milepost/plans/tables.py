@@ -15,7 +15,7 @@ from milepost.operators.accounting import action_watch, row_watch
 from milepost.operators.merge import INSERT, UPDATE, inserted, merge_counts, merged_table, upsert
 from milepost.operators.reports import union_all
 from milepost.plans import store
-from milepost.session import cut_lineage
+from milepost.session import cut_lineage, small_files
 
 
 #: Most keys of a batch that become filters of the scan that looks for them.
@@ -292,7 +292,11 @@ def store_trip_list(trip_list: DataFrame, out_path: str, replaced: list | None)
 
 
 def store_day_rollups(combined: DataFrame, out_path: str, replaced: list | None) -> dict[str, DataFrame]:
-    """Stores both day rollups from their combined form, and the group rollups from what was stored."""
+    """Stores both day rollups from their combined form, and the group rollups from what was stored.
+
+    A stored day rollup has a small file for each of what may be thousands of days.
+    """
+    spark = combined.sparkSession
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         order = [c for c in ("company_id", "retailer_location_id", "driver_id") if c in df.columns]
@@ -301,13 +305,15 @@ def store_day_rollups(combined: DataFrame, out_path: str, replaced: list | None)
     stored = {}
     plain, events = rollups.split_day_rollups(cut_lineage(combined, "day-rollups", "zstd"))
     stored["trip_day_rollup"] = keep("trip_day_rollup", plain)
-    stored["performance_groups"] = keep(
-        "performance_groups", rollups.performance_groups(stored["trip_day_rollup"])
-    )
+    with small_files(spark):
+        stored["performance_groups"] = keep(
+            "performance_groups", rollups.performance_groups(stored["trip_day_rollup"])
+        )
     stored["trip_event_day_rollup"] = keep("trip_event_day_rollup", events)
-    stored["trip_event_groups"] = keep(
-        "trip_event_groups", rollups.trip_event_groups(stored["trip_event_day_rollup"])
-    )
+    with small_files(spark):
+        stored["trip_event_groups"] = keep(
+            "trip_event_groups", rollups.trip_event_groups(stored["trip_event_day_rollup"])
+        )
     return stored
 
 

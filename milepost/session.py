@@ -21,8 +21,14 @@ RUNTIME = {
     # the JVM never compiles methods over 8000 bytes, which wide projections easily exceed; such
     # stages run better as many small generated methods
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # a version of a stored table has a folder per partition value; Spark would list each in a task of its own, which
+    # costs far more than the listing
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
+#: Bytes that a file counts on top of its own when the files of a stored table are dealt to tasks (Spark's default: 4 MB).
+SMALL_FILE_COST = 256 << 10
+
 
 #: Root of the scratch folders of the run that is going on.
 RUN_ROOT = "milepost.scratch.root"
@@ -99,6 +105,21 @@ def run_scratch(spark: SparkSession, label: str) -> Iterator[dict]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """Scans that run in here put many small files into one task: the tasks follow the bytes, not the files.
+
+    For wide aggregates of a stored table, of which each task first sets up its many columns.
+    """
+    name = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, SMALL_FILE_COST)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def cut_lineage(df: DataFrame, label: str, compression: str = "snappy", watch=None) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 

@@ -122,3 +122,47 @@ def test_keys_of_several_columns(spark, tmp_path):
     want = df.filter("day IN ('d1', 'd4', 'd5')").withColumn("day", F.lit("d9"))
     assert sorted(r.day for r in tables.held_rows(table, target, want).collect()) == ["d1", "d4"]
     assert sorted(tables.touched_partitions(table, target, want)) == ["d1", "d4", "d9"]
+
+
+def job_tasks(spark, group):
+    """Tasks of the stages that ran in a job group."""
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    return [i.numTasks for i in map(tracker.getStageInfo, stages) if i is not None and i.numCompletedTasks]
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """Reading a version of many days lists several folders in a task."""
+    rows = spark.range(3_000).select(F.col("id").alias("v"), F.concat(F.lit("d"), F.col("id") % 150).alias("day"))
+    table = tables.StoredTable("t", str(tmp_path / "t"), ["v"], ["day"], partition="day")
+    tables.write_table(rows, table)
+    version = store.latest(spark, table.path)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        found = store.read_version(spark, version)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(version.folders) == 150 and found.exceptAll(rows).count() == 0 and found.count() == 3_000
+    assert job_tasks(spark, "listing") == [64]
+
+
+def test_group_rollups_read_many_small_files_in_few_tasks(spark, bed, tmp_path):
+    """The tasks that read a stored day rollup follow its bytes, not its days."""
+    combined = rollups.trip_event_day_rollup(
+        bed.trip_score, rollups.eligible_companies(bed.subscription, bed.company_subscription), bed.company, bed.driver,
+        bed.app_user, with_bucket=True,
+    )
+    far = combined.withColumn("reporting_day", F.expr("date_add(reporting_day, cast(driver_account_id % 8 * 30 AS int))"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    spark.sparkContext.setJobGroup("groups", "groups")
+    try:
+        stored = tables.store_day_rollups(far, str(tmp_path / "rollups"), None)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    days = far.select("reporting_day").distinct().count()
+    assert days > 100 and max(n for n in job_tasks(spark, "groups") if n != 64) < days / 8
+    assert spark.conf.get("spark.sql.files.openCostInBytes").startswith("4194304")
+    want = rollups.trip_event_groups(rollups.split_day_rollups(far)[1])
+    assert want.exceptAll(stored["trip_event_groups"].select(*want.columns)).count() == 0
+    assert stored["trip_event_groups"].count() == want.count()
