@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,6 +109,12 @@ class Words:
         """The text that each word belongs to."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
+    def lower(self) -> Words:
+        """The same words with A-Z lower-cased (in ``buf``)."""
+        out = copy.copy(self)
+        out.buf = self.buf | ((self.buf >= 65) & (self.buf <= 90)).astype(np.uint8) << np.uint8(5)
+        return out
+
     def hashes(self) -> np.ndarray:
         """XXH64 of each word."""
         return xxh64(self.buf, self.start, self.end - self.start)
@@ -142,9 +149,11 @@ def xxh64(buf: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 42)
         h = np.full(n, seed + _P5)
         long = np.flatnonzero(left >= 32)
         if len(long):
-            lanes = [np.full(len(long), s) for s in (seed + _P1 + _P2, seed + _P2, seed, seed - _P1)]
             at, rest = pos[long], left[long]
-            open_ = np.arange(len(long))
+            lanes = [_lane(s, u64[at + 8 * k]) for k, s in enumerate((seed + _P1 + _P2, seed + _P2, seed, seed - _P1))]
+            at += 32
+            rest -= 32
+            open_ = np.flatnonzero(rest >= 32)
             while len(open_):
                 for k in range(4):
                     lanes[k][open_] = _lane(lanes[k][open_], u64[at[open_] + 8 * k])
@@ -153,7 +162,7 @@ def xxh64(buf: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 42)
                 open_ = open_[rest[open_] >= 32]
             acc = sum(_rot(lane, r) for lane, r in zip(lanes, (1, 7, 12, 18)))
             for lane in lanes:
-                acc = (acc ^ _lane(np.zeros_like(lane), lane)) * _P1 + _P4
+                acc = (acc ^ _lane(np.uint64(0), lane)) * _P1 + _P4
             h[long], pos[long], left[long] = acc, at, rest
         h += size.astype(np.uint64)
         for _ in range(3):
@@ -161,7 +170,7 @@ def xxh64(buf: np.ndarray, start: np.ndarray, size: np.ndarray, seed: int = 42)
             if not len(i):
                 break
             word = u64[pos[i]]
-            h[i] = _rot(h[i] ^ _lane(np.zeros_like(word), word), 27) * _P1 + _P4
+            h[i] = _rot(h[i] ^ _lane(np.uint64(0), word), 27) * _P1 + _P4
             pos[i] += 8
             left[i] -= 8
         i = np.flatnonzero(left >= 4)

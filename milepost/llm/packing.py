@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from milepost.llm import similar
-from milepost.llm.common import small_batches, steps, text_column, utf8
+from milepost.llm.common import Words, small_batches, steps, text_column, utf8
 from milepost.llm.simhash import row_key
 from milepost.llm.token_records import encoder_of, id_width
 from milepost.session import cut_lineage
@@ -107,10 +107,11 @@ def _measure(path: str):
     def run(batches):
         for batch in steps(batches):
             raw = utf8(batch)
-            counts = encoder_of(path, width).counts(raw)
+            words = Words(raw)
+            counts = encoder_of(path, width).counts(raw, words)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("rk"), batch.column("source"), pa.array(counts),
-                 *similar.sketch_arrays(raw, similar.SHINGLE)],
+                 *similar.sketch_arrays(words, similar.SHINGLE)],
                 ["doc_id", "rk", "source", "n_tokens", "sid", "fingerprint", "n_shingles", "keys"],
             )
 

@@ -84,9 +84,9 @@ def band_keys(sets: np.ndarray, many: np.ndarray) -> np.ndarray:
     return keys
 
 
-def sketch_arrays(raw: list[bytes], size: int) -> list[pa.Array]:
-    """The columns of ``SKETCH`` for some texts."""
-    sets, many = shingle_sets(Words([t.lower() for t in raw]), size)
+def sketch_arrays(words: Words, size: int) -> list[pa.Array]:
+    """The columns of ``SKETCH`` for the words of some texts."""
+    sets, many = shingle_sets(words.lower(), size)
     keys = band_keys(sets, many)
     offsets = np.append(0, np.cumsum(np.where(many > 0, BANDS, 0))).astype(np.int32)
     return [
@@ -99,7 +99,7 @@ def _sketch_batches(size: int):
     def run(batches):
         for batch in steps(batches):
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("rk"), *sketch_arrays(utf8(batch), size)],
+                [batch.column("doc_id"), batch.column("rk"), *sketch_arrays(Words(utf8(batch)), size)],
                 ["doc_id", "rk", "sid", "fingerprint", "n_shingles", "keys"],
             )
 

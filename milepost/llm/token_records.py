@@ -18,8 +18,10 @@ columns are ignored. A damaged record stops the reader with an error.
 
 from __future__ import annotations
 
+import copy
 import functools
 import os
+import string
 import struct
 import uuid
 import zlib
@@ -38,6 +40,10 @@ HEAD, FIELDS = "<QI", "<Bq"
 HEAD_BYTES, FIELD_BYTES = struct.calcsize(HEAD), struct.calcsize(FIELDS)
 #: Words kept by a worker process (about 40 bytes each) before it begins anew.
 KNOWN_WORDS = 1_500_000
+#: Words that the library gets as one text.
+JOINED = 200
+#: ASCII marks that begin no piece with a letter, as the apostrophe does.
+MARKS = np.isin(np.arange(256), np.frombuffer(string.punctuation.replace("'", "").encode(), np.uint8))
 #: Documents that a reader hands on at once.
 READ_ROWS = 500
 #: Bytes of input files for one shard, at most: more input makes more shards.
@@ -50,17 +56,38 @@ def masked(crc: int) -> int:
     return (((crc >> 15) | (crc << 17)) + 0xA282EAD8) & 0xFFFFFFFF
 
 
-def lowered(raw: list[bytes]) -> Words:
-    """The words of the texts, A-Z lower-cased in words of ASCII alone and in texts without ``<|``."""
-    words = Words(raw)
-    buf = words.buf.copy()
-    high = np.append(0, np.cumsum(buf >= 128))
-    special = np.array([b"<|" in t for t in raw], bool)
-    plain = (high[words.end] == high[words.start]) & ~special[words.doc()]
-    at = np.flatnonzero((buf >= 65) & (buf <= 90))
-    buf[at[plain[np.searchsorted(words.start, at, side="right") - 1]]] |= 32
-    words.buf = buf
-    return words
+def units(raw: list[bytes], words: Words | None = None) -> tuple[Words, np.ndarray]:
+    """The texts' words as they are looked up, and which of them are small letters alone.
+
+    In texts without ``<|``, words of ASCII and Latin-1 letters alone are lower-cased, and a run of ``MARKS`` that
+    ends a word after such a letter is a unit of its own: the tokenizer always splits there, and nothing composes over it.
+    """
+    words = copy.copy(words or Words(raw))
+    buf, start, end = words.buf, words.start, words.end
+    # a Latin-1 letter is C3 and a second byte
+    second = np.append(False, buf[:-1] == 0xC3) & (buf != 0x97) & (buf != 0xB7)
+    latin = second | np.append(second[1:], False)
+    big = (buf >= 65) & (buf <= 90)
+    letter = latin | big | (buf >= 97) & (buf <= 122)
+    # 32 bits hold the places, for a text has less than 2 GB
+    other = np.append(np.int32(0), np.cumsum((buf >= 128) & ~latin, dtype=np.int32))
+    whole = np.array([b"<|" not in t for t in raw], bool)[words.doc()]
+    plain = whole & (other[end] == other[start])
+    at = np.flatnonzero(big | second & (buf <= 0x9E))
+    words.buf = buf.copy()
+    words.buf[at[plain[np.searchsorted(start, at, side="right") - 1]]] |= 32
+
+    last = np.maximum.accumulate(np.where(MARKS[buf], np.int32(-1), np.arange(len(buf), dtype=np.int32)))
+    stem = np.maximum(last[end - 1] + 1, start)
+    cut = whole & (stem > start) & (stem < end) & letter[stem - 1]
+    ends = np.cumsum(1 + cut)
+    words.first = np.append(0, ends)[words.first]
+    tail = ends[cut] - 1
+    words.start, words.end = np.repeat(start, 1 + cut), np.repeat(end, 1 + cut)
+    words.start[tail] = words.end[tail - 1] = stem[cut]
+    letters = np.append(np.int32(0), np.cumsum(letter, dtype=np.int32))
+    only = letters[words.end] - letters[words.start] == words.end - words.start
+    return words, only & np.repeat(plain, 1 + cut)
 
 
 class WordEncoder:
@@ -68,9 +95,13 @@ class WordEncoder:
 
     The tokenizer collapses white space and drops it before merging, and neither normalising nor
     special strings reach over a blank. So a text's ids are those of its words one after another. To have
-    fewer kinds, words of ASCII alone are lower-cased; others keep their case, since the tokenizer composes
-    letters and marks first and some pairs have a composed form in small letters only.
-    (Texts with the beginning of a special string, which is found before lower-casing, keep their case.)
+    fewer kinds, words of ASCII and Latin-1 letters alone are lower-cased; others keep their case, since the tokenizer composes
+    letters and marks first and some pairs have a composed form in small letters only. Marks that end a word are looked up apart.
+    (Texts with the beginning of a special string, which is found before lower-casing, are left as they are.)
+
+    The library gets new words of small letters alone ``JOINED`` at a time, joined by blanks: a call for each costs twice
+    as much. Such a word has one id with the model's end-of-word suffix, its last; where that doesn't hold, and for all other words, there
+    is a call for each.
 
     The table is a sorted array of word hashes with the place of each word's ids in one long array, so
     that a slice of texts is looked up and put together without a step per word. Two words of the
@@ -82,6 +113,10 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        vocab = self.library.get_vocab() if suffix else {}
+        self.last = np.zeros(max(vocab.values(), default=-1) + 1, bool)  # ids that end a word
+        self.last[[k for token, k in vocab.items() if token.endswith(suffix)]] = True
         self.kind = np.dtype(f"<u{width}")
         self.hash = np.zeros(0, np.uint64)
         self.start = self.size = np.zeros(0, np.int64)
@@ -91,21 +126,37 @@ class WordEncoder:
         at = np.minimum(np.searchsorted(self.hash, hashes), max(0, len(self.hash) - 1))
         return self.hash[at] == hashes if len(self.hash) else np.zeros(len(hashes), bool)
 
-    def _add(self, hashes: np.ndarray, words: list[str]) -> None:
-        found = [x.ids for x in self.library.encode_batch_fast(words, add_special_tokens=False)]
+    def _library_ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts one after another, and their numbers."""
+        found = [x.ids for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
         size = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), self.kind, int(size.sum()))
+        return np.fromiter(chain.from_iterable(found), self.kind, int(size.sum())), size
+
+    def _word_ids(self, words: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words one after another, and their numbers; ``plain`` words are small letters alone."""
+        if plain and len(self.last):
+            ids, _ = self._library_ids([" ".join(words[k : k + JOINED]) for k in range(0, len(words), JOINED)])
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(words) and (not len(words) or ends[-1] == len(ids)):
+                return ids, np.diff(np.append(0, ends))
+        return self._library_ids(words)
+
+    def _add(self, hashes: np.ndarray, words: list[str], plain: np.ndarray) -> None:
+        order = np.argsort(~plain, kind="stable")
+        parts = np.split(order, [int(plain.sum())])
+        found = [self._word_ids([words[k] for k in part.tolist()], kind) for part, kind in zip(parts, (True, False))]
+        size = np.concatenate([x[1] for x in found])
         start = len(self.ids) + np.cumsum(size) - size
-        hashes = np.concatenate([self.hash, hashes])
+        self.ids = np.concatenate([self.ids, *(x[0] for x in found)])
+        hashes = np.concatenate([self.hash, hashes[order]])
         order = np.argsort(hashes, kind="stable")
         self.hash = hashes[order]
         self.start = np.concatenate([self.start, start])[order]
         self.size = np.concatenate([self.size, size])[order]
-        self.ids = np.concatenate([self.ids, ids])
 
-    def _places(self, raw: list[bytes]) -> tuple[Words, np.ndarray]:
-        """The words of the texts and the place of each in the table."""
-        words = lowered(raw)
+    def _places(self, raw: list[bytes], words: Words | None) -> tuple[Words, np.ndarray]:
+        """The units of the texts and the place of each in the table."""
+        words, plain = units(raw, words)
         kinds, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
         if len(self.hash) > KNOWN_WORDS:
             self.hash, self.start, self.size, self.ids = self.hash[:0], self.start[:0], self.size[:0], self.ids[:0]
@@ -114,12 +165,12 @@ class WordEncoder:
             whole = words.buf.tobytes()
             at = first[new]
             spans = zip(words.start[at].tolist(), words.end[at].tolist())
-            self._add(kinds[new], [whole[a:b].decode() for a, b in spans])
+            self._add(kinds[new], [whole[a:b].decode() for a, b in spans], plain[at])
         return words, np.searchsorted(self.hash, kinds)[number]
 
-    def encode(self, raw: list[bytes]) -> list[bytes]:
-        """The ids of each text as little-endian bytes."""
-        words, at = self._places(raw)
+    def encode(self, raw: list[bytes], words: Words | None = None) -> list[bytes]:
+        """The ids of each text as little-endian bytes; ``words`` are those of the texts, if they are there already."""
+        words, at = self._places(raw, words)
         size = self.size[at]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
@@ -127,9 +178,9 @@ class WordEncoder:
         cuts = np.append(0, ends)[words.first].tolist()
         return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
 
-    def counts(self, raw: list[bytes]) -> np.ndarray:
+    def counts(self, raw: list[bytes], words: Words | None = None) -> np.ndarray:
         """The number of ids of each text."""
-        words, at = self._places(raw)
+        words, at = self._places(raw, words)
         return np.diff(np.append(0, np.cumsum(self.size[at]))[words.first])
 
 

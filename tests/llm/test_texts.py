@@ -253,6 +253,61 @@ def test_marks_after_capitals(spark, make_docs):
     assert rows_of(token_records.read_digests(spark, folder), *RECORD) == want_records(rows)
 
 
+def test_word_encoder_equals_library():
+    """Marks, capitals, apostrophes, signs among Latin-1 letters, marks that compose, and special strings."""
+    r = random.Random(6)
+    parts = ["a", "B", "tion", "'s", "'LL", "\u2019", "<|", "|>", "<|endoftext|>", "<", "=", "\u0338", "\u0301", "e", "\u00e9", "\u00c9", "\u00df", "\u00d7",
+             "\u00f7", "\u00ff", "\u00de", "\u00c3", "\u03a3", "\u0130", "\u212a", "\u00aa", "1", "\u4e2d", "\u3000", "\0", "\u200d", ",", ".", "!", "_", " ", " ", "\n"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(30))) for _ in range(4000)]
+    encoder = token_records.WordEncoder(WORDS, 2)
+    want = [x.ids for x in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    raw = [t.encode() for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(raw)] == want
+    assert encoder.counts(raw, common.Words(raw)).tolist() == list(map(len, want))
+
+
+class Counting:
+    """A tokenizer that notes how many texts it was given."""
+
+    def __init__(self, library):
+        self.library, self.texts = library, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.library.encode_batch_fast(texts, **options)
+
+
+def test_new_words_go_to_the_library_together():
+    """Words of letters in few texts, whatever marks end them; others one by one."""
+    r = random.Random(7)
+    words = sorted({"".join(r.choices("abcdefg\u00e9\u00c0", k=9)) for _ in range(1000)})
+    texts = [" ".join(words), ", ".join(words) + "...", " ".join(words).upper()]
+    encoder = token_records.WordEncoder(WORDS, 2)
+    want = [x.ids for x in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    counting = encoder.library = Counting(encoder.library)
+    assert encoder.counts([t.encode() for t in texts]).tolist() == list(map(len, want))
+    assert counting.texts <= len(words) / token_records.JOINED + 3
+    raw = [b"a1 b2 a1 \xe4\xb8\xad"]
+    assert encoder.counts(raw).tolist() == [len(counting.library.encode(raw[0].decode(), add_special_tokens=False).ids)]
+
+
+def test_joined_words_need_a_suffix_each():
+    """Where ends of words are not told apart by one id each, every word goes to the library by itself."""
+    texts = ["some plain words here", "and more of them"]
+    encoder = token_records.WordEncoder(WORDS, 2)
+    want = [len(x.ids) for x in encoder.library.encode_batch(texts, add_special_tokens=False)]
+    for last in (np.zeros(0, bool), ~encoder.last, np.ones_like(encoder.last)):
+        other = token_records.WordEncoder(WORDS, 2)
+        other.last = last
+        assert other.counts([t.encode() for t in texts]).tolist() == want
+
+
+def test_lower_words():
+    raw = ["ABC \u00c9D z@[`{ Z".encode(), b"", b" X\n"]
+    low, want = common.Words(raw).lower(), common.Words([t.lower() for t in raw])
+    assert low.buf.tobytes() == want.buf.tobytes() and low.first.tolist() == want.first.tolist()
+
+
 def test_shards_grow_with_the_files(spark, sf_dir, monkeypatch):
     docs = common.table(spark, sf_dir, "documents")
     size = token_records.input_bytes(docs)
